@@ -7,12 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from acreframe.llm.common import documents
+from acreframe.llm.decontaminate import contamination
 from acreframe.llm.simhash import simhash_groups
+from acreframe.llm.suffix_index import remove_repeats
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(documents(spark, sf_dir), shingle=3, radius=2, seed=42).drop("key")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op7_simhash": op7_simhash}
+def op9_suffix_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir), length=100)
+
+
+def op10_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=10)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op7_simhash": op7_simhash, "op9_suffix_index": op9_suffix_index, "op10_fm_index": op10_fm_index}
 ORACLE: dict[str, str] = {}
