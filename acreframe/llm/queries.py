@@ -8,14 +8,31 @@ from pyspark.sql import DataFrame, SparkSession
 
 from acreframe.llm.common import documents
 from acreframe.llm.decontaminate import contamination
+from acreframe.llm.line_crf import score_documents
+from acreframe.llm.packing import pack_documents
 from acreframe.llm.simhash import simhash_groups
 from acreframe.llm.suffix_index import remove_repeats
 
 
+def tokenizer(name: str) -> str:
+    """Where a vocabulary file of the public tokenizers is."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), threshold=0.7)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(documents(spark, sf_dir), shingle=3, radius=2, seed=42).drop("key")
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"), width=4096, end_id=2)
+
+
 def op9_suffix_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir), length=100)
 
@@ -24,5 +41,5 @@ def op10_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=10)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op7_simhash": op7_simhash, "op9_suffix_index": op9_suffix_index, "op10_fm_index": op10_fm_index}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op5_line_crf": op5_line_crf, "op7_simhash": op7_simhash, "op8_packing": op8_packing, "op9_suffix_index": op9_suffix_index, "op10_fm_index": op10_fm_index}
 ORACLE: dict[str, str] = {}
