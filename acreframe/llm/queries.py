@@ -10,8 +10,11 @@ from acreframe.llm.common import documents
 from acreframe.llm.decontaminate import contamination
 from acreframe.llm.line_crf import score_documents
 from acreframe.llm.packing import pack_documents
+from acreframe.llm.sanitise import find_private
 from acreframe.llm.simhash import simhash_groups
 from acreframe.llm.suffix_index import remove_repeats
+from acreframe.llm.telephony import decode_media, store_media
+from acreframe.llm.warc import ARCHIVED_SQL, archive_pages
 
 
 def tokenizer(name: str) -> str:
@@ -21,6 +24,18 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decode_media(store_media(documents(spark, sf_dir)))
+
+
+def op2_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_private(documents(spark, sf_dir))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"), least_bytes=100)
+
+
 def op5_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), threshold=0.7)
 
@@ -41,5 +56,7 @@ def op10_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=10)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op5_line_crf": op5_line_crf, "op7_simhash": op7_simhash, "op8_packing": op8_packing, "op9_suffix_index": op9_suffix_index, "op10_fm_index": op10_fm_index}
-ORACLE: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (op1_telephony, op2_sanitise, op3_warc, op5_line_crf, op7_simhash, op8_packing, op9_suffix_index, op10_fm_index)
+}
+ORACLE: dict[str, str] = {"op3_warc": ARCHIVED_SQL}
