@@ -14,6 +14,8 @@ from acreframe.llm.sanitise import find_private
 from acreframe.llm.simhash import simhash_groups
 from acreframe.llm.suffix_index import remove_repeats
 from acreframe.llm.telephony import decode_media, store_media
+from acreframe.llm.templates import line_report
+from acreframe.llm.token_tree import count_tokens, derived_edits
 from acreframe.llm.warc import ARCHIVED_SQL, archive_pages
 
 
@@ -36,10 +38,18 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"), least_bytes=100)
 
 
+def op4_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(documents(spark, sf_dir))
+
+
 def op5_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), threshold=0.7)
 
 
+def op6_token_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(documents(spark, sf_dir), derived_edits(3), tokenizer("byte_bpe_50k.tiktoken"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(documents(spark, sf_dir), shingle=3, radius=2, seed=42).drop("key")
 
@@ -57,6 +67,6 @@ def op10_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_telephony, op2_sanitise, op3_warc, op5_line_crf, op7_simhash, op8_packing, op9_suffix_index, op10_fm_index)
+    f.__name__: f for f in (op1_telephony, op2_sanitise, op3_warc, op4_templates, op5_line_crf, op6_token_tree, op7_simhash, op8_packing, op9_suffix_index, op10_fm_index)
 }
 ORACLE: dict[str, str] = {"op3_warc": ARCHIVED_SQL}
