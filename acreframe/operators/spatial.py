@@ -58,21 +58,35 @@ def boxes_overlap(a: DataFrame, b: DataFrame, tile: float, suffix: str = "_b") -
     return lay(a, "").join(lay(named, suffix), ["__tx", "__ty"]).where(meets & once).drop("__tx", "__ty")
 
 
-def clipped_area(ring: Column, box: tuple[Column, Column, Column, Column]) -> Column:
-    """Area of a ring within a box: the ring is cut by each side of the box in turn, then measured by the shoelace rule."""
+def _edges(ring: Column) -> Column:
+    following = F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1))
+    return F.zip_with(ring, following, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+
+
+def _cut(axis: str, bound: Column, low: bool):
+    """What an edge leaves of itself on the inner side of a line: where it meets the line, and its end."""
+    other = "y" if axis == "x" else "x"
+
+    def cut(e: Column) -> Column:
+        a, b = e["a"], e["b"]
+        a_in, b_in = (a[axis] >= bound, b[axis] >= bound) if low else (a[axis] <= bound, b[axis] <= bound)
+        place = {axis: bound.cast("double"), other: a[other] + F.try_divide(bound - a[axis], b[axis] - a[axis]) * (b[other] - a[other])}
+        met = F.struct(place["x"].alias("x"), place["y"].alias("y"))
+        return F.when(a_in & b_in, F.array(b)).when(a_in, F.array(met)).when(b_in, F.array(met, b)).otherwise(F.slice(F.array(met), 1, 0))
+
+    return cut
+
+
+def clip_ring(ring: Column, box: tuple[Column, Column, Column, Column]) -> Column:
+    """The ring within a box (xmin, ymin, xmax, ymax), cut by each side in turn; empty where they don't meet."""
     for axis, bound, low in (("x", box[0], True), ("x", box[2], False), ("y", box[1], True), ("y", box[3], False)):
-        other = "y" if axis == "x" else "x"
-
-        def cut(e: Column, axis=axis, other=other, bound=bound, low=low) -> Column:
-            a, b = e["a"], e["b"]
-            a_in, b_in = ((a[axis] >= bound, b[axis] >= bound) if low else (a[axis] <= bound, b[axis] <= bound))
-            t = F.try_divide(bound - a[axis], b[axis] - a[axis])
-            place = {axis: bound.cast("double"), other: a[other] + t * (b[other] - a[other])}
-            met = F.struct(place["x"].alias("x"), place["y"].alias("y"))
-            return F.when(a_in & b_in, F.array(b)).when(a_in, F.array(met)).when(b_in, F.array(met, b)).otherwise(F.slice(F.array(met), 1, 0))
-
-        ring = F.flatten(F.transform(F.zip_with(ring, F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1)), lambda a, b: F.struct(a.alias("a"), b.alias("b"))), cut))
-    crosses = F.zip_with(ring, F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1)), lambda a, b: a["x"] * b["y"] - b["x"] * a["y"])
+        ring = F.flatten(F.transform(_edges(ring), _cut(axis, bound, low)))
+    return ring
+
+
+def clipped_area(ring: Column, box: tuple[Column, Column, Column, Column]) -> Column:
+    """Area of a ring within a box, by the shoelace rule."""
+    crosses = F.transform(_edges(clip_ring(ring, box)), lambda e: e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"])
     return F.abs(F.aggregate(crosses, F.lit(0.0), lambda s, c: s + c)) / 2
 
 
