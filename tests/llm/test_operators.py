@@ -1,0 +1,369 @@
+"""The training-data operators against plain versions, with nulls, empty and long texts, ties, repeated rows and clashing columns."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import sys
+import zlib
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, str(Path(__file__).parent))
+import brute  # noqa: E402
+
+from acreframe.llm import decontaminate as de  # noqa: E402
+from acreframe.llm import fm_index, line_crf, packing, sanitise, simhash, suffix_index, telephony, templates, token_tree, warc  # noqa: E402
+from acreframe.llm.queries import tokenizer  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+PHRASE = "the quick brown fox jumps over the lazy dog while seven wise owls watch from a tall oak"
+
+
+def _texts() -> list[str | None]:
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdeéß世") for _ in range(rng.randint(2, 9)))
+    prose = lambda n: " ".join(word() for _ in range(n)).capitalize() + "."
+    long = "\n".join(prose(30) for _ in range(60))
+    base = prose(80)
+    out: list[str | None] = [None, "", " ", "one", "Two words", long, long, base, base, base.replace(" ", "  ", 1), base[:-5] + "end.", "aB" * 150, "x" * 5000]
+    out += [prose(20) + "\n" + PHRASE.upper() + "!\n" + prose(5), PHRASE, PHRASE[10:60], "seven wise", prose(12) + "\nPage 3 of the public report on owls\n" + prose(10)]
+    out += [f"{prose(15)}\nPage {i} of the public report on {word()}\n{prose(9)} Mail a.b{i}@mail.example.org or +1 (555) 010-99{i:02d}, 10.0.{i}.255, 4111 1111 1111 1111." for i in range(12)]
+    return out
+
+
+@pytest.fixture(scope="module")
+def rows():
+    texts = _texts()
+    given = [(i * 3, t) for i, t in enumerate(texts)]
+    return [*given, (9, "one"), (None, base_text()), (None, None)]
+
+
+def base_text() -> str:
+    return _texts()[7]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    """With columns whose names the operators use themselves."""
+    made = [(t, i, "k", "raw", 1, "z", None if t is None else len(t)) for i, t in rows]
+    return spark.createDataFrame(made, "text string, doc_id long, key string, raw string, __key int, lines string, n_chars long").repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(docs):
+    return docs.where("false")
+
+
+def by_id(df) -> dict:
+    return {r.doc_id: r for r in df.collect() if r.doc_id is not None}
+
+
+def test_telephony(docs, empty, rows):
+    out = by_id(telephony.decode_media(telephony.store_media(docs)))
+    for i, t in rows:
+        if i is not None:
+            raw = (t or "").encode()
+            payload = raw + b"\0" * (max(64, -(-len(raw) // 64) * 64) - len(raw))
+            r = out[i]
+            assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+            assert r.media_bytes > r.payload_bytes
+    assert telephony.decode_media(telephony.store_media(docs)).count() == len(rows)
+    assert telephony.decode_media(telephony.store_media(empty)).count() == 0
+    assert list(telephony.ULAW[[0, 127, 128, 255]]) == [-32124, 0, 32124, 0] and list(telephony.ALAW[[0x55, 0xD5, 0x2A]]) == [-8, 8, -32256]
+
+
+def test_adpcm_by_samples():
+    blocks = np.random.default_rng(0).integers(0, 256, (9, 64), dtype=np.uint8)
+    for block, got in zip(blocks, telephony.decode_adpcm(blocks), strict=True):
+        s = int(np.array(block[:2]).view("<i2")[0])
+        i, want = min(int(block[2]), 88), [s]
+        for byte in block[4:]:
+            for code in (int(byte) & 15, int(byte) >> 4):
+                step = int(telephony._STEPS[i])
+                move = (step >> 3) + (step if code & 4 else 0) + (step >> 1 if code & 2 else 0) + (step >> 2 if code & 1 else 0)
+                s = max(-32768, min(32767, s - move if code & 8 else s + move))
+                i = max(0, min(88, i + [-1, -1, -1, -1, 2, 4, 6, 8][code & 7]))
+                want.append(s)
+        assert got.tolist() == want
+
+
+def test_private_spans(docs, empty, rows):
+    out = by_id(sanitise.find_private(docs))
+    kinds = ("email", "ip", "card", "phone")
+    for i, t in rows:
+        if i is not None:
+            want = brute.private(t)
+            text = ",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in want)
+            assert out[i].base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+            assert set(text.split(",")) - {""} <= set(out[i].spans.split(","))
+            assert [out[i][f"n_{k}"] for k in kinds] == [sum(s[1] == n for s in want) for n in range(4)]
+    assert sanitise.find_private(empty).count() == 0
+    rng = random.Random(1)
+    for _ in range(3000):
+        t = "".join(rng.choice("ab.@1204 -+()é%") for _ in range(rng.randint(0, 30)))
+        assert [(a, k, b) for a, k, b, _ in sanitise.base_spans(t)] == brute.private(t), t
+
+
+def test_disclosing_terms(spark):
+    """A term beside one entity only is removed; one that's common elsewhere stays."""
+    rows = [(i, f"Doctor Zebulon wrote to zeb@clinic.org about common things {'abc'[i % 3] * 4}") for i in range(6)]
+    rows += [(10 + i, "Doctor wrote about common things " + "xyzw"[i % 4] * 5) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sanitise.disclosures(docs, sanitise.entities(docs)).collect()
+    assert {r.term for r in found if r.kind == 5} == {"zebulon"} | {r.term for r in found if r.kind == 5 and r.term not in ("doctor", "common", "things", "wrote", "about")}
+    assert not {r.term for r in found} & {"doctor", "common", "things", "wrote", "about"}
+    n = len(rows)
+    for r in found:
+        with_t, both = sum(r.term in t.lower() for _, t in rows), sum(r.term in t.lower() and "@" in t for _, t in rows)
+        assert abs(r.share - np.log(n * both / (6 * with_t)) / np.log(n / 6)) < 1e-9
+    clean = {r.doc_id: r.text for r in sanitise.sanitise(docs).collect()}
+    assert "Zebulon" not in clean[0] and "[EMAIL]" in clean[0] and "common things" in clean[0] and clean[10] == rows[6][1]
+
+
+def test_warc(spark):
+    pages = [(5, "http://a", "x" * 200), (3, None, "x" * 200), (9, "http://b\nc", "x" * 200), (1, "u", "short"), (2, "u", "short"), (4, "u", None), (6, "u", ""), (7, "é" * 20000, "é" * 60000), (8, "u", "é" * 60000), (None, "u", "x" * 200), (3, None, "x" * 200)]
+    frame = spark.createDataFrame([(u, h, p, "c") for p, u, h in pages], "url string, html string, page_id long, digest string").repartition(2)
+    got = sorted(map(tuple, warc.archive_pages(frame).collect()), key=str)
+    want = []
+    for p, _, h in pages:
+        raw = (h or "").encode()
+        least = min(q for q, _, g in pages if q is not None and g == h)
+        again = len(raw) >= 100 and p is not None and p != least
+        want.append((p, len(raw), hashlib.sha256(raw).hexdigest(), "revisit" if again else "response", least if again else None))
+    assert got == sorted(want, key=str)
+    assert warc.archive_pages(frame.where("false")).count() == 0
+    records = [warc.record(i, "u", b"abc" * i, hashlib.sha256(b"abc" * i).hexdigest(), None) for i in range(300)]
+    archive = warc.write_archive(records)
+    assert list(warc.read_archive(archive)) == records and archive[:4] == b"\x5d\x2a\x4d\x18"
+    with pytest.raises(ValueError):
+        list(warc.read_archive(archive[:-3]))
+
+
+def test_warc_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{SF}/pages.parquet'")
+    want = sorted(con.execute(warc.ARCHIVED_SQL).fetchall(), key=str)
+    assert sorted(map(tuple, warc.archive_pages(spark.read.parquet(f"{SF}/pages.parquet")).collect()), key=str) == want
+
+
+def test_templates(spark, docs, empty, rows):
+    frame = spark.createDataFrame([r for r in rows if r[0] is not None], "doc_id long, text string").dropDuplicates(["doc_id"])
+    more = spark.read.parquet(f"{SF}/documents.parquet").select((F.col("doc_id") + 1000).alias("doc_id"), "text")
+    both = frame.union(more).orderBy("doc_id").collect()
+    want = brute.boilerplate([r.text for r in both], templates.RECURS, templates.LEAST_TOKENS, templates.DEPTH, templates.CONSTANT, templates.UNLIKE)
+    assert sum(map(len, want)) > 10
+    got = by_id(templates.line_report(frame.union(more)))
+    for r, lines in zip(both, want, strict=True):
+        kept = "\n".join(x for i, x in enumerate((r.text or "").split("\n")) if i not in lines)
+        assert (got[r.doc_id].n_dropped, got[r.doc_id].kept_sha256) == (len(lines), hashlib.sha256(kept.encode()).hexdigest())
+    kept = templates.drop_boilerplate(docs)
+    assert kept.columns == docs.columns and kept.count() == len(rows)
+    assert all("public report" not in (r.text or "") for r in kept.where("doc_id > 51").collect())
+    assert templates.line_report(empty).count() == 0
+
+
+def test_templates_keep_copies(spark):
+    """A group of copies and near copies isn't boilerplate."""
+    text = "Some words that stand in a text of its own\nand a second line that has its own words"
+    frame = spark.createDataFrame([(i, text + (f"\nand number {i} at the end" if i % 5 == 0 else "")) for i in range(200)], "doc_id long, text string")
+    assert templates.line_report(frame).agg(F.sum("n_dropped")).first()[0] == 0
+
+
+def test_field_marginals():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 5):
+        move, weight = rng.normal(size=(2, 2)), rng.normal(size=3)
+        features, many = rng.normal(size=(2 * n + 1, 3)), np.array([n, n + 1])
+        model = line_crf.LineModel(np.zeros(3), np.ones(3), weight, 0.3, move)
+        got = model.marginals(features, many)
+        score = features @ weight + 0.3
+        assert np.allclose(got, np.concatenate((brute.marginals(score[:n], move), brute.marginals(score[n:], move))))
+
+
+def test_quality(spark, docs, empty):
+    frame, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    out = line_crf.score_documents(frame, labels).join(labels, "doc_id").where("held_out").collect()
+    assert len(out) > 50 and sum(r.predicted == r.quality for r in out) / len(out) > 0.95
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 4 == 2 and (r.score >= 0.7) == (r.predicted == 1) for r in out)
+    flipped = labels.withColumn("quality", F.when(F.expr("crc32(cast(cast(doc_id as string) as binary)) % 4 = 2"), 1 - F.col("quality")).otherwise(F.col("quality")))
+    again = {r.doc_id: r.score for r in line_crf.score_documents(frame, flipped).collect()}
+    assert all(abs(again[r.doc_id] - r.score) < 1e-12 for r in out)
+    odd = line_crf.score_documents(docs, labels)
+    assert odd.count() == docs.count() and odd.where("score is null or score < 0 or score > 1").count() == 0
+    assert line_crf.score_documents(empty, labels.where("false")).count() == 0
+    assert line_crf.keep_good(docs, labels.where("false")).columns == docs.columns
+
+
+def test_token_tree(docs, empty):
+    count = token_tree.counter(tokenizer("byte_bpe_50k.tiktoken"))
+    rng, letters = random.Random(2), "ab c  d\n\t'sé1,.  世"
+    for _ in range(300):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 200)))
+        tree = token_tree.TokenTree(text, count, 8)
+        for _ in range(6):
+            a = rng.randint(0, len(text))
+            b, new = rng.randint(a, min(len(text), a + rng.choice([0, 3, 30]))), "".join(rng.choice(letters) for _ in range(rng.randint(0, 10)))
+            tree.edit(a, b, new)
+            text = text[:a] + new + text[b:]
+            assert (tree.text(), tree.length, tree.total) == (text, len(text), count(text))
+    edits = token_tree.derived_edits(3)
+    made = docs.select("doc_id", "text", edits.alias("e")).collect()
+    got = by_id(token_tree.count_tokens(docs, edits, tokenizer("byte_bpe_50k.tiktoken")))
+    for r in made:
+        if r.doc_id is None or r.doc_id == 9:
+            continue
+        text = r.text or ""
+        before = count(text)
+        for e in r.e:
+            a = max(0, min(e.start or 0, len(text)))
+            text = text[:a] + (e.new or "") + text[max(a, min(e.stop or 0, len(text))) :]
+        assert (got[r.doc_id].n_tokens, got[r.doc_id].n_tokens_after, got[r.doc_id].n_chars_after) == (before, count(text), len(text))
+    assert token_tree.count_tokens(empty, edits, tokenizer("byte_bpe_50k.tiktoken")).count() == 0
+
+
+def test_covering_masks():
+    masks = simhash.covering_masks(2)
+    assert len(masks) == 7
+    assert all(any(not m >> a & 1 and not m >> b & 1 for m in masks) for a in range(64) for b in range(a))
+
+
+def test_simhash(docs, empty, rows):
+    got = simhash.simhash_groups(docs).collect()
+    assert len(got) == len(rows)
+    prints = sorted({(i, brute.fingerprint(t)) for i, t in rows if i is not None})
+    first = brute.groups([p for _, p in prints], lambda a, b: (a ^ b).bit_count() <= 2)
+    want = {i: (f"{p:016x}", prints[g][0]) for (i, p), g in zip(prints, first, strict=True)}
+    assert {r.doc_id: (r.fingerprint, r.component_id) for r in got if r.doc_id is not None} == want
+    kept = simhash.drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.dropDuplicates(["doc_id"]).collect() if r.doc_id is not None) == sorted({c for _, c in want.values()})
+    assert simhash.simhash_groups(empty).count() == 0 and simhash.drop_near_copies(empty).count() == 0
+
+
+def test_simhash_links(spark):
+    """A crowd of fingerprints around a few centres: links connect what pairs within two bits connect."""
+    rng = random.Random(4)
+    prints = [0, 1, 3, 7, 1 << 63]
+    for _ in range(6):
+        centre = rng.getrandbits(64)
+        prints += [centre ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))) for _ in range(40)]
+    prints = sorted({simhash._signed(p) for p in prints})
+    edges = simhash.links(spark.createDataFrame([(p,) for p in prints], "fp long")).collect()
+    mask = (1 << 64) - 1
+    near = {(a, b) for a in prints for b in prints if a < b and ((a ^ b) & mask).bit_count() <= 2}
+    linked = {(min(r.u, r.v), max(r.u, r.v)) for r in edges}
+    assert linked <= near
+    assert brute.groups(prints, lambda a, b: (min(a, b), max(a, b)) in linked) == brute.groups(prints, lambda a, b: (min(a, b), max(a, b)) in near)
+
+
+def test_cuts():
+    rng = random.Random(5)
+    for _ in range(200):
+        width = rng.choice([8, 16, 33])
+        places = [0]
+        while len(places) < rng.randint(2, 40):
+            places.append(places[-1] + rng.randint(1, width))
+        costs = [rng.choice([0, 3, 7]) for _ in places]
+        cuts = packing.choose_cuts(places, costs, width)
+        assert cuts[0] == 0 and cuts[-1] == places[-1] and set(cuts) <= set(places)
+        sizes = [b - a for a, b in zip(cuts, cuts[1:], strict=False)]
+        cost = sum((0 if n & (n - 1) == 0 else width - n) + packing.WINDOW_COST for n in sizes) + sum(costs[places.index(c)] for c in cuts[1:])
+        assert max(sizes) <= width and cost == brute.best_cost(places, costs, width, packing.WINDOW_COST)
+
+
+@pytest.mark.parametrize("width", [64, 4096])
+def test_packing(docs, empty, rows, width, monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = tokenizer("word_bpe_49k.json")
+    whole = Tokenizer.from_file(path)
+    pieces = packing.pack_documents(docs, path, width).collect()
+    texts = {i: t for i, t in rows if i is not None}
+    for i, t in texts.items():
+        ids = [*whole.encode(t or "", add_special_tokens=False).ids, 2]
+        own = sorted(((p.start, p.length, p.ids_crc32, p.doc_tokens) for p in pieces if p.doc_id == i), key=lambda p: p[0])
+        own = own[:: 2 if i == 9 else 1]
+        assert sum(p[1] for p in own) == len(ids) and all(p[3] == len(ids) for p in own)
+        for start, n, crc, _ in own:
+            assert crc == zlib.crc32(np.array(ids[start : start + n], "<u4").tobytes())
+    sequences: dict[int, list] = {}
+    for p in pieces:
+        sequences.setdefault(p.sequence_id, []).append((p.offset, p.length))
+    for parts in sequences.values():
+        assert [o for o, _ in sorted(parts)] == [sum(n for _, n in sorted(parts)[:k]) for k in range(len(parts))] and sum(n for _, n in parts) <= width
+    assert packing.pack_documents(empty, path, width).count() == 0
+
+
+def test_tokenizer_words():
+    from tokenizers import Tokenizer
+
+    path = tokenizer("word_bpe_49k.json")
+    whole, words = Tokenizer.from_file(path), packing.WordTokenizer.of(path)
+    rng = random.Random(6)
+    for _ in range(2000):
+        text = "".join(rng.choice("aAbZ don't've  \n\t.,!?½²3é́ÀİΣσßﬁ世<|endoftext|>_×÷­ ") for _ in range(rng.randint(0, 30)))
+        assert words.encode(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
+
+
+@pytest.mark.parametrize("length, crowded", [(100, 1000), (40, 1000), (40, 1)])
+def test_repeats(spark, empty, rows, length, crowded, monkeypatch):
+    monkeypatch.setattr(suffix_index, "CROWDED", crowded)
+    monkeypatch.setattr(suffix_index, "TASK_ENTRIES", 50)
+    known = dict(r for r in rows if r[0] is not None)
+    frame = spark.createDataFrame([*known.items(), (9, known[9])], "doc_id long, text string").repartition(4)
+    want = brute.removed_bytes(list(known.items()), length)
+    got = suffix_index.remove_repeats(frame, length).collect()
+    assert len(got) == len(known) + 1 and sum(w[1] for w in want.values()) > 500
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
+    assert suffix_index.remove_repeats(empty, length).count() == 0
+
+
+def test_repeats_without_ids(docs, rows):
+    assert suffix_index.remove_repeats(docs, 100, with_bytes=True).count() == len(rows)
+
+
+def test_repeats_in_long_text(spark, monkeypatch):
+    """A document of several batches, in itself and in another one."""
+    monkeypatch.setattr(suffix_index, "BATCH_BYTES", 3000)
+    rng = random.Random(7)
+    a = "".join(rng.choice("abcd ") for _ in range(9000))
+    rows = [(2, a + a[1000:5000]), (1, a[2500:3500]), (3, "ab" * 4000)]
+    got = suffix_index.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 100).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == brute.removed_bytes(rows, 100)
+
+
+def test_fm_index():
+    rng = np.random.default_rng(1)
+    for _ in range(60):
+        runs = [rng.integers(1, rng.integers(2, 6), rng.integers(1, 20)).tolist() for _ in range(rng.integers(1, 8))] * int(rng.integers(1, 3))
+        seq = np.array([x for r in runs for x in [*r, 0]], np.int32)
+        index = fm_index.FMIndex(seq, 4)
+        for n in (1, 2, 5):
+            phrases = np.array([rng.integers(1, 6, n).tolist() for _ in range(10)], np.int32)
+            for p, lo, hi in zip(phrases, *index.search(phrases), strict=True):
+                assert sorted(index.locate(np.arange(lo, hi)).tolist()) == [i for i in range(len(seq)) if seq[i : i + n].tolist() == p.tolist()]
+
+
+@pytest.mark.parametrize("block", [16 << 20, 60])
+def test_contamination(spark, docs, empty, rows, block, monkeypatch):
+    monkeypatch.setattr(de, "BLOCK_BYTES", block)
+    items = {"7": PHRASE, "12": "wise Owls", "30": "unknown words here", "8": PHRASE[4:]}
+    bench = spark.createDataFrame([*[(int(k), v) for k, v in items.items()], (40, None), (41, ""), (None, "public report on")], "item_id long, text string")
+    got = by_id(de.contamination(docs, bench))
+    for i, t in rows:
+        if i is not None:
+            hit, _ = brute.hit_words(t, items | {"none": "public report on"})
+            _, names = brute.hit_words(t, items)
+            r = got[i]
+            assert (r.n_words, r.n_hit, r.n_items, r.contaminated) == (len(hit), sum(hit), len(names), any(hit))
+            assert r.items_sha256 == hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
+    clean = de.decontaminate(docs, bench)
+    assert clean.columns == docs.columns and clean.count() == len(rows)
+    assert de.contamination(clean, bench).agg(F.sum("n_hit")).first()[0] == 0
+    assert clean.where("text is not null and n_chars != length(text)").count() == 0
+    assert de.contamination(empty, bench).count() == 0 and de.contamination(docs, bench.where("false")).where("contaminated").count() == 0
