@@ -63,6 +63,11 @@ def _edges(ring: Column) -> Column:
     return F.zip_with(ring, following, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
 
 
+def _once(value: Column, use) -> Column:
+    """use(value), with the value computed once however often it's used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _cut(axis: str, bound: Column, low: bool):
     """What an edge leaves of itself on the inner side of a line: where it meets the line, and its end."""
     other = "y" if axis == "x" else "x"
@@ -77,17 +82,25 @@ def _cut(axis: str, bound: Column, low: bool):
     return cut
 
 
+def _cutter(cut):
+    return lambda r: F.flatten(F.transform(_edges(r), cut))
+
+
 def clip_ring(ring: Column, box: tuple[Column, Column, Column, Column]) -> Column:
     """The ring within a box (xmin, ymin, xmax, ymax), cut by each side in turn; empty where they don't meet."""
     for axis, bound, low in (("x", box[0], True), ("x", box[2], False), ("y", box[1], True), ("y", box[3], False)):
-        ring = F.flatten(F.transform(_edges(ring), _cut(axis, bound, low)))
+        ring = _once(ring, _cutter(_cut(axis, bound, low)))
     return ring
 
 
 def clipped_area(ring: Column, box: tuple[Column, Column, Column, Column]) -> Column:
     """Area of a ring within a box, by the shoelace rule."""
-    crosses = F.transform(_edges(clip_ring(ring, box)), lambda e: e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"])
-    return F.abs(F.aggregate(crosses, F.lit(0.0), lambda s, c: s + c)) / 2
+
+    def area(r: Column) -> Column:
+        crosses = F.transform(_edges(r), lambda e: e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"])
+        return F.abs(F.aggregate(crosses, F.lit(0.0), lambda s, c: s + c)) / 2
+
+    return _once(clip_ring(ring, box), area)
 
 
 def pixel_key(x: Column, y: Column, size: float, x0: float = 0.0, y0: float = 0.0) -> list[Column]:
