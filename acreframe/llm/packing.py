@@ -95,7 +95,7 @@ def choose_cuts(places: list[int], costs: list[int], width: int) -> list[int]:
     best, back = [0] * len(places), [0] * len(places)
     queue: deque[tuple[int, int, int]] = deque([(0, 0, 0)])
     at = {0: 0}
-    powers = [1 << k for k in range(width.bit_length() - 1)]
+    powers = [1 << k for k in range(width.bit_length()) if 1 << k < width]
     seen = at.get
     for j in range(1, len(places)):
         p = places[j]
