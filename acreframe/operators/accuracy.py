@@ -89,16 +89,22 @@ def recall_by_holdout(scores: DataFrame, lut: DataFrame, by: list[str]) -> DataF
     return scores.join(side, "pred", "left").groupBy(*by).agg(F.round(F.avg(F.coalesce(right, F.lit(False)).cast("double")), 3).alias("recall"))
 
 
-def roc_auc(scores: DataFrame, score: str, label: str) -> DataFrame:
+def roc_auc(scores: DataFrame, score: str, label: str, buckets: int = 4096) -> DataFrame:
     """Area under the ROC curve by rank sums over distinct scores, ties counting half.
 
-    Scores are first counted by value, so the window runs over distinct scores, not over rows.
+    Scores are counted by value, and negatives below each are added up in two steps, over buckets of the range and within each, so
+    no task sees all values.
     """
-    pos, neg = F.count_if(F.col(label) == 1), F.count_if(F.col(label) == 0)
-    by = scores.where(f"{label} is not null").groupBy(score).agg(pos.alias("p"), neg.alias("n"))
-    below = F.coalesce(F.sum("n").over(Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    wins = by.withColumn("w", F.col("p") * (below + F.col("n") / 2))
-    return wins.agg(ratio(F.sum("w"), F.sum("p") * F.sum("n")).alias("auc"))
+    known = scores.where(f"{label} is not null and {score} is not null").select(F.col(score).cast("double").alias("s"), F.col(label).alias("y"))
+    by = known.groupBy("s").agg(F.count_if(F.col("y") == 1).alias("p"), F.count_if(F.col("y") == 0).alias("n"))
+    span = known.agg(F.min("s").alias("lo"), F.max("s").alias("hi"))
+    width = F.when(F.col("hi") > F.col("lo"), F.floor((F.col("s") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets)).otherwise(0)
+    placed = by.join(F.broadcast(span)).select("s", "p", "n", width.alias("b"))  # one row is joined
+    before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy("b").agg(F.sum("n").alias("n")).select("b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("below"))  # a row per bucket
+    inside = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    wins = placed.withColumn("mine", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(F.broadcast(sums), "b")
+    return wins.agg(ratio(F.sum(F.col("p") * (F.col("below") + F.col("mine") + F.col("n") / 2)), F.sum("p") * F.sum("n")).alias("auc"))
 
 
 def run_scores(scores: DataFrame, metrics: list[str], by: tuple[str, ...] = ("F", "S", "C", "A")) -> DataFrame:
