@@ -24,6 +24,8 @@ GRAM = 32
 BATCH_BYTES = 1 << 20
 #: Entries in a task's levels, beyond which they're handed on and started anew.
 TASK_ENTRIES = 2_000_000
+#: Entries of an anchor beyond which its windows are spread over tasks.
+CROWDED = 1000
 _LOW = np.uint64((1 << 24) - 1)
 
 
@@ -143,12 +145,13 @@ class Levels:
         self.levels, self.repeats = [], []
 
 
-_ROWS = "h long, seg long, doc long, pos long, n long, again boolean"
+_ROWS = "h long, seg long, doc long, place long"
 
 
 def _rows(h: np.ndarray, seg: np.ndarray, doc: np.ndarray, pos: np.ndarray, n: np.ndarray, again: bool) -> pa.RecordBatch:
-    arrays = [pa.array(np.ascontiguousarray(x), pa.int64()) for x in (h, seg, doc, pos, n.astype(np.int64))]
-    return pa.RecordBatch.from_arrays([*arrays, pa.array(np.full(len(h), again))], names=["h", "seg", "doc", "pos", "n", "again"])
+    """Entries as they're shuffled; place holds the first window, the number of windows and whether they're known to be repeats."""
+    place = (pos << 32) | (n.astype(np.int64) << 1) | int(again)
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x), pa.int64()) for x in (h, seg, doc, place)], names=["h", "seg", "doc", "place"])
 
 
 def _batches(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -193,18 +196,110 @@ def _scan(length: int):
     return run
 
 
-def _windows(length: int):
-    """Two fingerprints of each window of the listed runs, with the document and place; one row per window that this task has first."""
+def _windows(data: np.ndarray, begin: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two fingerprints of each window."""
+    return Rolling(data, _ONE).pieces(begin, begin + length), Rolling(data, _TWO).pieces(begin, begin + length)
+
+
+def _behind(one: np.ndarray, two: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of windows: the indices of the first of each string, and of those that stand behind another at a different place."""
+    order = np.lexsort((pos, doc, two, one))
+    a, b = order[:-1], order[1:]
+    again = np.concatenate(([False], (one[a] == one[b]) & (two[a] == two[b])))[: len(order)]
+    moved = np.concatenate(([False], (doc[a] != doc[b]) | (pos[a] != pos[b])))[: len(order)]
+    return order[~again], order[again & moved]
+
+
+def _runs(doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Single windows as runs of consecutive ones."""
+    order = np.lexsort((pos, doc))
+    doc, pos = doc[order], pos[order]
+    new = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (pos[1:] > pos[:-1] + 1)))) if len(doc) else np.zeros(0, np.int64)
+    last = np.append(new[1:], len(doc)) - 1
+    return doc[new], pos[new], (pos[last] - pos[new] + 1 if len(new) else new)
+
+
+_PARTS = "h long, doc long, pos long, n long, raw binary"
+
+
+def _parts(h: np.ndarray, doc: np.ndarray, pos: np.ndarray, n: np.ndarray, raw: list[bytes] | pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*[pa.array(np.ascontiguousarray(x), pa.int64()) for x in (h, doc, pos, n)], raw if isinstance(raw, pa.Array) else pa.array(raw, pa.binary())], names=["h", "doc", "pos", "n", "raw"])
+
+
+def _cut_out(length: int):
+    """Of the listed segments: n > 0: the bytes of the segment, by anchor; n = 0: a window of a crowded anchor, by fingerprint, of each string the
+    first in the batch; n < 0: a run of -n windows that are repeats."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            for doc, raw, runs in zip(batch.column("key").to_pylist(), batch.column("raw").to_pylist(), batch.column("runs").to_pylist(), strict=True):
-                data = np.frombuffer(unpack(raw), np.uint8)
-                begin = np.concatenate([np.arange(r["pos"], r["pos"] + r["n"]) for r in runs])
-                begin = begin[begin + length <= len(data)]
-                one, two = (Rolling(data, x).pieces(begin, begin + length) for x in (_ONE, _TWO))
-                yield _rows(one.view(np.int64), two.view(np.int64), np.full(len(begin), doc), begin, np.ones(len(begin), np.int64), False)
+            few: list[tuple[int, int, int, int, bytes]] = []
+            many: list[tuple[np.ndarray, ...]] = []
+            for doc, packed, runs in zip(batch.column("key").to_pylist(), batch.column("raw").to_pylist(), batch.column("runs").to_pylist(), strict=True):
+                raw = unpack(packed)
+                few += [(r["h"], doc, r["pos"], r["n"], raw[r["pos"] : r["pos"] + r["n"] - 1 + length]) for r in runs if not r["crowded"]]
+                crowded = [np.arange(r["pos"], r["pos"] + r["n"]) for r in runs if r["crowded"]]
+                if crowded:
+                    begin = np.concatenate(crowded)
+                    begin = begin[begin + length <= len(raw)]
+                    many.append((*_windows(np.frombuffer(raw, np.uint8), begin, length), np.full(len(begin), doc), begin))
+            if few:
+                h, docs, pos, n, raws = zip(*few, strict=True)
+                yield _parts(*[np.array(x, np.int64) for x in (h, docs, pos, n)], list(raws))
+            if many:
+                one, two, docs, pos = (np.concatenate(x) for x in zip(*many, strict=True))
+                first, behind = _behind(one, two, docs, pos)
+                yield _parts(one[first].view(np.int64), docs[first], pos[first], np.zeros(len(first)), pa.array([x.tobytes() for x in two[first]], pa.binary()))
+                docs, pos, n = _runs(docs[behind], pos[behind])
+                if len(docs):
+                    yield _parts(_mix(docs.view(np.uint64) * np.uint64(_TWO) + pos.astype(np.uint64)).view(np.int64), docs, pos, -n, [b""] * len(docs))
+
+    return run
+
+
+def _compared(parts: pa.Table, length: int) -> pa.RecordBatch | None:
+    """Runs of windows (doc, pos, n) that stand behind an equal one, among parts that hold whatever shares an h with one of them."""
+    h, doc, pos, n = (parts.column(x).to_numpy() for x in ("h", "doc", "pos", "n"))
+    known, single, whole = n < 0, n == 0, np.flatnonzero(n > 0)
+    raw = parts.column("raw").combine_chunks()
+    out = [(doc[known], pos[known], -n[known])]
+    if len(whole):
+        raws = [x.as_py() for x in raw.take(pa.array(whole))]
+        sizes = np.fromiter(map(len, raws), np.int64, len(raws))
+        starts = np.cumsum(sizes) - sizes
+        count = np.minimum(n[whole], sizes - length + 1)
+        step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        docs, places = np.repeat(doc[whole], count), np.repeat(pos[whole], count) + step
+        _, behind = _behind(*_windows(np.frombuffer(b"".join(raws), np.uint8), np.repeat(starts, count) + step, length), docs, places)
+        out.append(_runs(docs[behind], places[behind]))
+    if single.any():
+        two = np.frombuffer(b"".join([x.as_py() for x in raw.filter(pa.array(single))]), np.uint64)
+        _, behind = _behind(h[single].view(np.uint64), two, doc[single], pos[single])
+        out.append(_runs(doc[single][behind], pos[single][behind]))
+    columns = [np.concatenate(x) for x in zip(*out, strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["doc", "pos", "n"]) if len(columns[0]) else None
+
+
+def _compare(length: int):
+    """Parts come sorted by h; as many whole groups as there are in a few batches are compared at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            for part in slices(batch, "raw", 1 << 19):
+                h = part.column("h").to_numpy()
+                begin = int(np.searchsorted(h, h[-1]))  # its last group may go on
+                if begin == 0 and held and held[-1].column("h")[-1].as_py() != h[0]:
+                    done, held = held, [part]
+                elif begin:
+                    done, held = [*held, part.slice(0, begin)], [part.slice(begin)]
+                else:
+                    held.append(part)
+                    continue
+                if out := _compared(pa.Table.from_batches(done), length):
+                    yield out
+        if held and (out := _compared(pa.Table.from_batches(held), length)):
+            yield out
 
     return run
 
@@ -223,12 +318,17 @@ def _pack(docs: DataFrame) -> DataFrame:
 
 
 def _repeats(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of rows by fingerprint: those that stand behind an equal one, and the first ones that share their anchor with an unequal one."""
-    group, line = Window.partitionBy("h"), Window.partitionBy("h").orderBy("seg", "doc", "pos")
-    seen = rows.select("*", F.lag("seg").over(line).alias("last"), F.lag(F.struct("doc", "pos")).over(line).alias("place"), F.min("seg").over(group).alias("lo"), F.max("seg").over(group).alias("hi"))
-    kept = seen.select("h", "doc", "pos", "n", F.expr("again or (last <=> seg and (place.doc != doc or place.pos != pos))").alias("again"), F.expr("not again and not (last <=> seg) and lo != hi").alias("mixed"))
-    kept = materialise(kept.where("again or mixed"), "repeats")
-    return kept.where("again").select("doc", "pos", "n"), kept.where("mixed").select("doc", "pos", "n")
+    """Of rows by fingerprint: runs that stand behind an equal one, and the first ones that share their anchor with an unequal one."""
+    group, line = Window.partitionBy("h"), Window.partitionBy("h").orderBy("seg", "doc", "place")
+    last = F.lag(F.struct("seg", "doc", "place")).over(line)
+    seen = rows.select("*", last.alias("last"), F.min("seg").over(group).alias("lo"), F.max("seg").over(group).alias("hi"), F.count("*").over(group).alias("size"))
+    same = F.expr("last.seg <=> seg")
+    moved = F.expr("last.doc != doc or shiftright(last.place, 32) != shiftright(place, 32)")
+    again = (F.col("place") % 2 == 1) | (same & moved)
+    pos, n = F.shiftright("place", 32).alias("pos"), (F.shiftright("place", 1).bitwiseAND(F.lit(0x7FFFFFFF))).alias("n")
+    kept = seen.where(again | (~same & (F.col("lo") != F.col("hi")))).select("h", "doc", pos, n, again.alias("again"), (F.col("size") > CROWDED).alias("crowded"))
+    kept = materialise(kept, "repeats")
+    return kept.where("again").select("doc", "pos", "n"), kept.where("not again").select("h", "doc", "pos", "n", "crowded")
 
 
 def repeated_windows(docs: DataFrame, length: int = 100) -> DataFrame:
@@ -236,16 +336,15 @@ def repeated_windows(docs: DataFrame, length: int = 100) -> DataFrame:
 
     Every task is a writer of its own levels, so a passage that a third of all documents hold leaves a task once, and the last
     merge is Spark's shuffle by anchor.  Segments equal to an earlier one are repeats as a whole.  Where segments with one
-    anchor differ, as at the ends of a match, their windows are compared one by one.
+    anchor differ, as at the ends of a match, their windows are compared one by one: beside each other where the anchor has
+    few segments, else spread by window.
     """
     scanned = docs.select(row_key().alias("doc"), F.col("text").cast("string").alias("text")).where(F.octet_length("text") >= length)
     again, mixed = _repeats(scanned.mapInArrow(_scan(length), _ROWS))
-    runs = mixed.groupBy("doc").agg(F.collect_list(F.struct("pos", "n")).alias("runs"))
-    held = _pack(docs.where(F.octet_length("text") >= length)).select("key", "raw").join(runs, F.col("key") == F.col("doc")).select("key", "raw", "runs")
-    windows = held.mapInArrow(_windows(length), _ROWS).select("h", "seg", "doc", "pos")
-    line = Window.partitionBy("h", "seg").orderBy("doc", "pos")
-    behind = windows.select("doc", "pos", F.lag(F.struct("doc", "pos")).over(line).alias("place")).where("place is not null and (place.doc != doc or place.pos != pos)")
-    return again.union(behind.select("doc", "pos", F.lit(1).cast("long").alias("n")))
+    runs = mixed.groupBy("doc").agg(F.collect_list(F.struct("h", "pos", "n", "crowded")).alias("runs"))
+    held = _pack(docs.where(F.octet_length("text") >= length)).select("key", "raw").join(runs.hint("merge"), F.col("key") == F.col("doc")).select("key", "raw", "runs")
+    parts = held.mapInArrow(_cut_out(length), _PARTS).repartition("h").sortWithinPartitions("h")
+    return again.union(parts.mapInArrow(_compare(length), "doc long, pos long, n long"))
 
 
 def _merged(runs: list[dict] | None, length: int, size: int) -> list[tuple[int, int]]:
@@ -286,4 +385,4 @@ def remove_repeats(docs: DataFrame, length: int = 100, with_bytes: bool = False)
             types = [pa.int64()] * 4 + [pa.string(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*out, strict=True), types, strict=False)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: 5 + with_bytes])
 
-    return _pack(docs).join(runs.withColumnRenamed("doc", "key"), "key", "left").select("doc_id", "raw", "runs").mapInArrow(run, schema)
+    return _pack(docs).join(runs.withColumnRenamed("doc", "key").hint("merge"), "key", "left").select("doc_id", "raw", "runs").mapInArrow(run, schema)
