@@ -37,6 +37,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or with underscores behind it one that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """doc_id; a row without one gets a negative id from its text, so it sorts first and can be joined on."""
     return F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(F.col(text)).bitwiseOR(F.lit(-(1 << 63))))

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acreframe.llm.common import materialise, row_key, slices
+from acreframe.llm.common import free_name, materialise, row_key, slices
 
 KINDS = ("email", "ip", "card", "phone", "generalise", "remove")
 #: Words around an entity that count as its context, and how far they're looked for.
@@ -203,12 +203,13 @@ def find_private(docs: DataFrame) -> DataFrame:
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """docs, all rows and columns, with entities and removed terms replaced by [KIND] and generalised terms by their first letter and ***."""
-    spans = private_spans(docs).select(F.col("key").alias("__key"), F.concat("base", "extra").alias("__spans")).groupBy("__key").agg(F.first("__spans").alias("__spans"))
+    key, found = free_name(docs, "__key"), free_name(docs, "__spans")
+    spans = private_spans(docs).groupBy(F.col("key").alias(key)).agg(F.first(F.concat("base", "extra")).alias(found))
     names = docs.columns
 
-    def clean(text: str | None, found: list[dict] | None) -> str | None:
+    def clean(text: str | None, spans: list[dict] | None) -> str | None:
         out, at = [], 0
-        for s in sorted(found or [], key=lambda s: (s["start"], s["kind"], s["end"])):
+        for s in sorted(spans or [], key=lambda s: (s["start"], s["kind"], s["end"])):
             if s["start"] < at:
                 at = max(at, s["end"])
                 continue
@@ -219,8 +220,8 @@ def sanitise(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                texts = pa.array([clean(t, s) for t, s in zip(part.column("text").to_pylist(), part.column("__spans").to_pylist(), strict=True)], pa.string())
+                texts = pa.array([clean(t, s) for t, s in zip(part.column("text").to_pylist(), part.column(found).to_pylist(), strict=True)], pa.string())
                 yield pa.RecordBatch.from_arrays([texts if x == "text" else part.column(x) for x in names], names=names)
 
-    joined = docs.withColumn("__key", row_key()).join(spans, "__key", "left").select(*names, "__spans")
+    joined = docs.withColumn(key, row_key()).join(spans, key, "left").select(*names, found)
     return joined.mapInArrow(run, docs.schema)

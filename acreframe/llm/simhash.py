@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acreframe.llm.common import materialise, row_key, slices
+from acreframe.llm.common import free_name, materialise, row_key, slices
 from acreframe.llm.components import components
 
 BITS = 64
@@ -102,5 +102,6 @@ def drop_near_copies(docs: DataFrame, shingle: int = 3, radius: int = 2, seed: i
     """The rows of docs, all columns, whose doc_id names its group.  Rows that share an id stay or go together; of a group without ids, rows with the least key stay."""
     groups = simhash_groups(docs, shingle, radius, seed)
     keep = groups.where("doc_id = component_id").select("key").union(groups.where("component_id is null").groupBy("fingerprint").agg(F.min("key").alias("key")).select("key"))
-    keyed = docs.withColumn("__key", row_key())
-    return keyed.join(keep.distinct().withColumnRenamed("key", "__key"), "__key", "left_semi").drop("__key")
+    name = free_name(docs, "__key")
+    # merged by key at every size, so that the plan and what it moves don't change with the input
+    return docs.withColumn(name, row_key()).join(keep.distinct().withColumnRenamed("key", name).hint("merge"), name, "left_semi").select(docs.columns)
