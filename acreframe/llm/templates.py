@@ -129,7 +129,8 @@ def boilerplate(docs: DataFrame) -> DataFrame:
 
 def _marked(docs: DataFrame) -> DataFrame:
     found = boilerplate(docs).select(F.col("key").alias("__key"), F.col("lines").alias("__lines"))
-    return docs.withColumn("__key", row_key()).join(found, "__key", "left").select(*docs.columns, "__lines")
+    # merged by key at every size, so that the plan and what it moves don't change with the input
+    return docs.withColumn("__key", row_key()).join(found.hint("merge"), "__key", "left").select(*docs.columns, "__lines")
 
 
 def _without(text: str | None, lines: list[int] | None) -> str | None:
