@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acreframe.llm.common import materialise, row_key, slices
+from acreframe.llm.common import free_name, materialise, row_key, slices
 
 #: Leading tokens that choose a leaf below its token count, and tokens of the shortest line that is looked at.
 DEPTH, LEAST_TOKENS = 3, 4
@@ -100,6 +101,36 @@ def _lines(docs: DataFrame, leaves: DataFrame) -> DataFrame:
     return rows.join(leaves, "leaf", "left_semi")
 
 
+def _counted(batch: pa.RecordBatch) -> tuple[list[tuple[int, int, list[str], int]], Counter]:
+    """Of a batch of lines: (leaf, id, tokens, alike) of each, and how many documents have each token at each place of a leaf."""
+    lines = [(leaf, name, line.split(" "), n) for leaf, name, line, n in zip(*[batch.column(x).to_pylist() for x in ("leaf", "id", "line", "alike")], strict=True)]
+    counts: Counter = Counter()
+    for leaf, _, tokens, n in lines:
+        for place in enumerate(tokens):
+            counts[leaf, place] += n
+    return lines, counts
+
+
+def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(leaf, place, token, n), added up within a batch."""
+    for batch in batches:
+        for part in slices(batch, "line"):
+            _, counts = _counted(part)
+            leaf, at, n = [k[0] for k in counts], [k[1] for k in counts], list(counts.values())
+            yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int64()), pa.array([p for p, _ in at], pa.int32()), pa.array([t for _, t in at], pa.string()), pa.array(n, pa.int64())], names=["leaf", "place", "token", "n"])
+
+
+def _doubtful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(leaf, id, place, token) of the tokens that a batch alone doesn't show to be constant; those that it does needn't be looked up."""
+    for batch in batches:
+        for part in slices(batch, "line"):
+            lines, counts = _counted(part)
+            out = [(leaf, name, place, token) for leaf, name, tokens, _ in lines for place, token in enumerate(tokens) if token == _MARK.decode() or counts[leaf, (place, token)] < RECURS]
+            if out:
+                types = (pa.int64(), pa.int64(), pa.int32(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], names=["leaf", "id", "place", "token"])
+
+
 def templates(lines: DataFrame) -> DataFrame:
     """(leaf, line, template, alike, docs): each masked line and the template its leaf makes of it.
 
@@ -107,13 +138,14 @@ def templates(lines: DataFrame) -> DataFrame:
     counts alone, so templates don't depend on the order of lines or on how they're spread.
     """
     counted = lines.groupBy("leaf", "line", "likeness").agg(F.count("*").alias("docs")).groupBy("leaf", "line").agg(F.count("*").alias("alike"), F.sum("docs").alias("docs"))
-    counted = materialise(counted, "lines")
-    tokens = counted.select("leaf", "line", "alike", F.posexplode(F.split("line", " ")).alias("place", "token"))
-    kept = tokens.groupBy("leaf", "place", "token").agg(F.sum("alike").alias("n")).where((F.col("n") >= RECURS) & (F.col("token") != _MARK.decode())).select("leaf", "place", "token")
-    constant = tokens.join(kept, ["leaf", "place", "token"]).groupBy("leaf", "line").agg(F.array_sort(F.collect_list(F.struct("place", "token"))).alias("template"))
-    share = F.size("template") / F.size(F.split("line", " "))
-    made = counted.join(constant, ["leaf", "line"]).where(share >= CONSTANT).select("leaf", "line", F.xxhash64("template").alias("template"), "alike", "docs")
-    return made
+    counted = materialise(counted.withColumn("id", F.xxhash64("line")), "lines")
+    own = counted.select("leaf", "id", "line", "alike")
+    kept = own.mapInArrow(_token_counts, "leaf long, place int, token string, n long").groupBy("leaf", "place", "token").agg(F.sum("n").alias("n")).where((F.col("n") >= RECURS) & (F.col("token") != _MARK.decode())).select("leaf", "place", "token")
+    fields = own.mapInArrow(_doubtful, "leaf long, id long, place int, token string").join(kept, ["leaf", "place", "token"], "left_anti").groupBy("leaf", "id").agg(F.collect_list("place").alias("fields"))
+    words = F.split("line", " ")
+    masked = F.transform(words, lambda t, i: F.when(F.array_contains("fields", i), _MARK.decode()).otherwise(t))
+    made = counted.join(fields, ["leaf", "id"], "left").withColumn("fields", F.coalesce("fields", F.expr("cast(array() as array<int>)")))
+    return made.where(F.size("fields") <= (1 - CONSTANT) * F.size(words)).select("leaf", "line", F.xxhash64(masked).alias("template"), "alike", "docs")
 
 
 def boilerplate(docs: DataFrame) -> DataFrame:
@@ -127,10 +159,12 @@ def boilerplate(docs: DataFrame) -> DataFrame:
     return lines.join(dropped, ["leaf", "line"], "left_semi").groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("lines"))
 
 
-def _marked(docs: DataFrame) -> DataFrame:
-    found = boilerplate(docs).select(F.col("key").alias("__key"), F.col("lines").alias("__lines"))
+def _marked(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with the numbers of the lines to drop, and the name of that column."""
+    key, lines = free_name(docs, "__key"), free_name(docs, "__lines")
+    found = boilerplate(docs).select(F.col("key").alias(key), F.col("lines").alias(lines))
     # merged by key at every size, so that the plan and what it moves don't change with the input
-    return docs.withColumn("__key", row_key()).join(found.hint("merge"), "__key", "left").select(*docs.columns, "__lines")
+    return docs.withColumn(key, row_key()).join(found.hint("merge"), key, "left").select(*docs.columns, lines), lines
 
 
 def _without(text: str | None, lines: list[int] | None) -> str | None:
@@ -140,8 +174,8 @@ def _without(text: str | None, lines: list[int] | None) -> str | None:
     return "\n".join([x for i, x in enumerate(text.split("\n")) if i not in drop])
 
 
-def _left(part: pa.RecordBatch) -> list[str | None]:
-    return [_without(t, x) for t, x in zip(part.column("text").to_pylist(), part.column("__lines").to_pylist(), strict=True)]
+def _left(part: pa.RecordBatch, lines: str) -> list[str | None]:
+    return [_without(t, x) for t, x in zip(part.column("text").to_pylist(), part.column(lines).to_pylist(), strict=True)]
 
 
 def drop_boilerplate(docs: DataFrame) -> DataFrame:
@@ -152,29 +186,30 @@ def drop_boilerplate(docs: DataFrame) -> DataFrame:
     nothing else becomes empty.  Rows with the same doc_id are one document and lose lines of the same numbers.
     """
     names = docs.columns
+    marked, lines = _marked(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                texts = _left(part)
+                texts = _left(part, lines)
                 columns = [pa.array(texts, pa.string()) if x == "text" else pa.array([None if t is None else len(t) for t in texts], part.column(x).type) if x == "n_chars" else part.column(x) for x in names]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return _marked(docs).mapInArrow(run, docs.schema)
+    return marked.mapInArrow(run, docs.schema)
 
 
 def line_report(docs: DataFrame) -> DataFrame:
     """For each row of documents(doc_id, text): doc_id, n_lines, n_dropped, kept_bytes and kept_sha256 of the text that drop_boilerplate leaves (null: empty)."""
     names = ("doc_id", "n_lines", "n_dropped", "kept_bytes", "kept_sha256")
+    marked, lines = _marked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 many = [(t or "").count("\n") + 1 for t in part.column("text").to_pylist()]
-                kept = [(t or "").encode() for t in _left(part)]
-                gone = [len(x or ()) for x in part.column("__lines").to_pylist()]
+                kept = [(t or "").encode() for t in _left(part, lines)]
+                gone = [len(x or ()) for x in part.column(lines).to_pylist()]
                 columns = [part.column("doc_id"), *[pa.array(x, pa.int64()) for x in (many, gone, [len(k) for k in kept])], pa.array([hashlib.sha256(k).hexdigest() for k in kept])]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return _marked(slim).mapInArrow(run, "doc_id long, n_lines long, n_dropped long, kept_bytes long, kept_sha256 string")
+    return marked.mapInArrow(run, "doc_id long, n_lines long, n_dropped long, kept_bytes long, kept_sha256 string")
