@@ -57,6 +57,17 @@ def accuracies(matrix: DataFrame) -> DataFrame:
     return out.union(total)
 
 
+def accuracy_table(scores: DataFrame, lut: DataFrame, schemes: tuple[str, ...] = ("LC2", "LC3", "LC25")) -> DataFrame:
+    """Accuracies of the same scores in several schemes of the lookup table: (scheme, class, UA, PA, F1, F_5, F_25, OA)."""
+    out: DataFrame | None = None
+    for scheme in schemes:
+        part = accuracies(confusion(regroup(scores, lut, scheme))).select(F.lit(scheme).alias("scheme"), "*")
+        out = part if out is None else out.union(part)
+    if out is None:
+        raise ValueError("no schemes")
+    return out
+
+
 def kappa(scores: DataFrame, positive: object) -> DataFrame:
     """Kappa of two classes, in one pass."""
     p, o = F.col("pred") == F.lit(positive), F.col("obs") == F.lit(positive)

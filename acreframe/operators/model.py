@@ -106,6 +106,18 @@ def classification_job(stack: DataFrame, train: Callable[[], tuple[PipelineModel
     return spark.read.parquet(out)
 
 
+def train_and_score(points: DataFrame, holdout: DataFrame, class_col: str, **options) -> tuple[PipelineModel, DataFrame, dict[str, float]]:
+    """A forest on the training rows, its scores on the holdout by type, and its inner accuracy.
+
+    points and holdout hold var_ columns, OID_ and the class; holdout also ho_type.  Returns the model, the scored rows
+    (pred, label, OID, ho_type) and {"inner": accuracy, "holdout": accuracy}.
+    """
+    model, inner = train_forest(points, class_col, **options)
+    scored = score_holdout(holdout, model, class_col, keep=("ho_type",)).select("pred", "label", "OID", "ho_type")
+    right = scored.agg(F.avg((F.col("pred") == F.col("label")).cast("double"))).first()[0]
+    return model, scored, {"inner": inner, "holdout": right or 0.0}
+
+
 def sweep(samples: dict[str, DataFrame], score: Callable[[DataFrame, int], dict[str, float]], runs: int, spark) -> DataFrame:
     """One row of scores per sample and run; run i has the seed 1 + 23 i.  The driver loops over models, not over rows."""
     rows = [{"model": name, "run": i, **score(frame, 1 + 23 * i)} for name, frame in samples.items() for i in range(runs)]

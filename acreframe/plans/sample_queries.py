@@ -141,6 +141,20 @@ SELECT class, u AS "UA", p AS "PA", round(2 * u * p / nullif(u + p, 0), 3) AS "F
 UNION ALL SELECT 'All', NULL, NULL, NULL, NULL, NULL, round(count(*) FILTER (WHERE pred = obs) / CAST(count(*) AS DOUBLE), 3) FROM kn"""
 
 
+def accuracy_table(spark, sf):
+    return ac.accuracy_table(view(spark, sf, "scores"), view(spark, sf, "lut"), ("LC2", "LC3"))
+
+
+def _table_part(scheme: str) -> str:
+    kn = f"(SELECT a.{scheme}_name AS pred, b.{scheme}_name AS obs FROM scores JOIN lut a ON pred = a.LC_UNQ JOIN lut b ON obs = b.LC_UNQ)"
+    classes = f"""SELECT class, round(coalesce(rt, 0) / CAST(rw AS DOUBLE), 3) AS u, round(coalesce(rt, 0) / CAST(cw AS DOUBLE), 3) AS p FROM (SELECT pred AS class, count(*) AS rw, count(*) FILTER (WHERE pred = obs) AS rt FROM {kn} k GROUP BY 1) r FULL JOIN (SELECT obs AS class, count(*) AS cw FROM {kn} k GROUP BY 1) c USING (class)"""
+    return f"""SELECT '{scheme}' AS scheme, class, u AS "UA", p AS "PA", round(2 * u * p / nullif(u + p, 0), 3) AS "F1", round(1.5e0 * u * p / nullif(0.5e0 * u + p, 0), 3) AS "F_5", round(1.25e0 * u * p / nullif(0.25e0 * u + p, 0), 3) AS "F_25", CAST(NULL AS DOUBLE) AS "OA" FROM ({classes}) q
+ UNION ALL SELECT '{scheme}', 'All', NULL, NULL, NULL, NULL, NULL, round(count(*) FILTER (WHERE pred = obs) / CAST(count(*) AS DOUBLE), 3) FROM {kn} k"""
+
+
+TABLE_SQL = f"{cte('scores', 'lut')} {_table_part('LC2')} UNION ALL {_table_part('LC3')}"
+
+
 def weighted(spark, sf):
     return ac.weighted_mean(ac.accuracies(ac.confusion(_regrouped(spark, sf))), "UA", ac.CROP_TYPE_WEIGHTS).withColumn("UA", F.round("UA", 5))
 
@@ -302,7 +316,7 @@ def classified(spark, sf):
 QUERIES = {
     "class_lookup": (with_lut, LUT_SQL), "balanced_sample": (balance, BALANCE_SQL), "balance_ratios": (balance_ratios, RATIOS_SQL), "stable_sets": (stable_sets, SETS_SQL), "train_test": (train_test, TRAIN_SQL), "field_split": (fields_split, FIELDS_SQL), "training_rest": (training_rest, REST_SQL),
     "thinned_sample": (thinned, THIN_SQL), "prebalanced_sample": (prebalance, PREBALANCE_SQL), "sample_increments": (increments, INCREMENTS_SQL), "smallholders": (smallholders, SMALL_SQL), "confusion": (confusion, CONFUSION_SQL), "accuracies": (accuracies, ACCURACY_SQL),
-    "weighted_accuracy": (weighted, WEIGHTED_SQL), "kappa": (kappa, KAPPA_SQL), "label_kappa": (label_kappa, LABEL_KAPPA_SQL), "generic_confusion": (generic_confusion, GENERIC_SQL), "smallholder_confusion": (smallholder_confusion, SMALL_CM_SQL), "holdout_recall": (recall, RECALL_SQL), "roc_auc": (roc, ROC_SQL),
+    "accuracy_table": (accuracy_table, TABLE_SQL), "weighted_accuracy": (weighted, WEIGHTED_SQL), "kappa": (kappa, KAPPA_SQL), "label_kappa": (label_kappa, LABEL_KAPPA_SQL), "generic_confusion": (generic_confusion, GENERIC_SQL), "smallholder_confusion": (smallholder_confusion, SMALL_CM_SQL), "holdout_recall": (recall, RECALL_SQL), "roc_auc": (roc, ROC_SQL),
     "run_scores": (run_scores, RUNS_SQL), "best_models": (best_models, BEST_SQL), "accuracy_gains": (accuracy_gains, GAINS_SQL), "array_means": (array_means, MEANS_SQL), "score_log": (log_scores, LOG_SQL), "class_counts": (class_counts, COUNTS_SQL), "sample_names": (sample_names, NAMES_SQL), "stratified_sample": (stratified, STRATIFIED_SQL),
     "forest_scores": (forest, None), "classified_map": (classified, None),
 }

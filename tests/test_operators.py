@@ -36,17 +36,15 @@ def frame(spark, data):
     return spark.createDataFrame([(1, k, 0, "evi2", d, v) for k, rows in data.items() for d, v in rows], SCHEMA)
 
 
-def plain_extremes(values: list[int], difference: int = 500) -> tuple[list[bool], list[bool]]:
+def plain_extremes(values: list[int], difference: int = 500, steps: int = 1) -> tuple[list[bool], list[bool]]:
     med = int(statistics.median(values))
     flags = []
     for sign, mark, fill in ((1, 1, 0), (-1, 10000, 32767)):
         p = [v if sign * (v - med) > 0 else mark for v in values]
-        for step in (1, -1):
-            q = []
-            for i, v in enumerate(p):
-                other = p[i + step] if 0 <= i + step < len(p) else fill
-                q.append(v if sign * (v - other) >= 0 or v == mark else fill)
-            p = q
+        for t in range(1, steps + 1):
+            for way in (1, -1):
+                at = lambda i, p=p: p[i] if 0 <= i < len(p) else fill  # noqa: B023, E731
+                p = [v if sign * (v - at(i + way * t)) >= 0 or v == mark or (t > 1 and at(i + way * (t - 1)) == mark) else fill for i, v in enumerate(p)]
         flags.append([v >= med + difference for v in p] if sign == 1 else [v <= med - difference for v in p])
     return flags[0], flags[1]
 
@@ -58,8 +56,10 @@ def test_extremes(spark):
         mine = [r for r in out if r.row == k]
         peaks, troughs = plain_extremes([v for _, v in rows])
         assert [r.peak for r in mine] == peaks and [r.trough for r in mine] == troughs
-    revised = phenology.extremes(frame(spark, data), F.lit(True), revise=True)
-    assert revised.where("peak").count() <= sum(r.peak for r in out)
+    out = phenology.extremes(frame(spark, data), F.lit(True), revise=True).orderBy("row", "img_date").collect()
+    for k, rows in data.items():
+        mine = [r for r in out if r.row == k]
+        assert ([r.peak for r in mine], [r.trough for r in mine]) == plain_extremes([v for _, v in rows], steps=9)
 
 
 def test_phenology(spark):
@@ -273,3 +273,22 @@ def test_upsert_keeps_old(spark):
     old = spark.createDataFrame([(1, 10, "x"), (2, 20, "y")], "cell_id int, a int, b string")
     new = spark.createDataFrame([(2, 21, True), (3, None, False)], "cell_id int, a int, c boolean")
     assert {tuple(r) for r in inventory.upsert(old, new).collect()} == {(1, 10, "x", None), (2, 21, "y", True), (3, None, None, False)}
+
+
+def test_forest(spark, tmp_path):
+    from acreframe.operators import model
+
+    rng = random.Random(9)
+    rows = [(i, 1, i // 20, i % 20, "ab"[i % 2], (i % 2) * 100 + rng.randint(0, 60), rng.randint(0, 9), "bigCrop" if i % 3 else "noCrop") for i in range(400)]
+    points = spark.createDataFrame(rows, "OID_ long, cell_id int, row int, col int, cls string, var_x int, var_y int, ho_type string")
+    fitted, scored, accuracy_ = model.train_and_score(points.where("OID_ % 4 > 0"), points.where("OID_ % 4 = 0"), "cls", trees=10, depth=3, seed=1)
+    assert accuracy_["inner"] > 0.9 and accuracy_["holdout"] > 0.9 and scored.count() == 100
+    assert model.importances(fitted)[0][0] == "var_x" and model.permutation_importances(fitted, points.limit(100), "cls", "OID_", 2)[0][0] == "var_x"
+    made = model.classification_job(points, lambda: (fitted, 1.0), str(tmp_path / "model"), str(tmp_path / "map"))
+    again = model.classification_job(points, lambda: 1 / 0, str(tmp_path / "model"), str(tmp_path / "map2"))
+    assert sorted(map(tuple, made.collect())) == sorted(map(tuple, again.collect())) and made.count() == 400
+    curve = model.auc(points.select("cls", F.col("var_x").alias("score")), "cls", "b")
+    exact = accuracy.roc_auc(points.select((F.col("cls") == "b").cast("int").alias("y"), F.col("var_x").alias("score")), "score", "y").first().auc
+    assert abs(curve["areaUnderROC"] - exact) < 1e-6
+    table = model.sweep({"all": points}, lambda f, seed: {"n": float(f.count() + seed)}, 2, spark)
+    assert sorted(r.n for r in table.collect()) == [401.0, 424.0]
