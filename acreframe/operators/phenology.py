@@ -109,7 +109,7 @@ def phenology_features(series: DataFrame, names: list[str], season: str, year: i
         "maxv": F.col("maxv"), "minv": F.col("minv"), "amp": F.col("maxv") - F.col("minv"), "med": med, "slp": short("slope"),
         "numrot": F.col("peaks"), "posd": posd, "posv": posv, "numlow": F.col("troughs"), "tosd": tosd, "tosv": tosv,
         "p1amp": F.when((step > 0) & (has | lows), step).otherwise(0), "sosd": sosd, "sosv": F.col("sos_value"), "eosd": eosd, "eosv": F.col("eos_value"),
-        "rog": F.when(has, short(ratio(posv - F.col("sos_value"), posd - sosd))).otherwise(0), "ros": F.when(has, short(ratio(posv - F.col("eos_value"), posd - eosd))).otherwise(0),
+        "rog": F.when(has, short(ratio(posv - F.col("sos_value"), posd - sosd))).otherwise(F.lit(0).cast("smallint")), "ros": F.when(has, short(ratio(posv - F.col("eos_value"), posd - eosd))).otherwise(F.lit(0).cast("smallint")),
         "los": F.when(has, eosd - sosd).otherwise(0),
     }
     return g.select(*KEY, *[out[n].alias(f"{n}_{season}") for n in names])

@@ -82,7 +82,7 @@ def day_rollover(spark, sf):
     return o.select("o_orderkey", day.alias("day"), nm.day_of(F.year(d), day).alias("back"), nu.cyclic_day(F.dayofyear(d)).alias("cyclic"), F.round(nu.shift_length(F.col("o_orderkey") % 7, F.col("o_orderkey") % 11), 4).alias("shift"), nu.cropped_area(F.col("o_orderkey") % 50 - 25).alias("area"), nu.filled_short(F.col("o_totalprice")).alias("filled"))
 
 
-ROLLOVER_SQL = """WITH q AS (SELECT o_orderkey, o_totalprice, CAST(o_orderdate AS DATE) AS d FROM orders), w AS (SELECT *, CASE WHEN dayofyear(d) >= 183 THEN dayofyear(d) ELSE dayofyear(d) + 365 END AS day FROM q)
+ROLLOVER_SQL = """WITH q AS (SELECT o_orderkey, o_totalprice, CAST(o_orderdate AS DATE) AS d FROM orders), w AS (SELECT *, CAST(CASE WHEN dayofyear(d) >= 183 THEN dayofyear(d) ELSE dayofyear(d) + 365 END AS INT) AS day FROM q)
 SELECT o_orderkey, day, make_date(year(d), 1, 1) + CAST(day - 1 AS INT) AS back, CAST(trunc(100 * (cos(2 * pi() * dayofyear(d) / 365) + 1)) AS SMALLINT) AS cyclic, round(sqrt((o_orderkey % 7) * (o_orderkey % 7) + (o_orderkey % 11) * (o_orderkey % 11)), 4) AS shift,
  CASE WHEN o_orderkey % 50 < 25 THEN 32767 ELSE o_orderkey % 50 - 25 END AS area, CAST(CASE WHEN trunc(o_totalprice) <= 32767 THEN trunc(o_totalprice) ELSE 0 END AS SMALLINT) AS filled FROM w"""
 
@@ -324,7 +324,7 @@ def closest_images(spark, sf):
     return iv.closest_image(requests, s)
 
 
-CLOSEST_SQL = f"""{cte('scenes')}, q AS (SELECT DISTINCT cell_id, year(img_date) AS y FROM scenes), k AS (SELECT concat(q.cell_id, '-', y) AS req_id, abs(dayofyear(img_date) - ((q.cell_id * 7) % 365 + 1)) AS gap, dayofyear(img_date) AS img_day, numpix, scene_id FROM q JOIN scenes ON q.cell_id = scenes.cell_id AND year(img_date) = y),
+CLOSEST_SQL = f"""{cte('scenes')}, q AS (SELECT DISTINCT cell_id, year(img_date) AS y FROM scenes), k AS (SELECT concat(q.cell_id, '-', y) AS req_id, CAST(abs(dayofyear(img_date) - ((q.cell_id * 7) % 365 + 1)) AS INT) AS gap, CAST(dayofyear(img_date) AS INT) AS img_day, numpix, scene_id FROM q JOIN scenes ON q.cell_id = scenes.cell_id AND year(img_date) = y),
  b AS (SELECT *, row_number() OVER (PARTITION BY req_id ORDER BY gap, img_day, numpix DESC, scene_id) AS n FROM k) SELECT req_id, gap AS off, img_day, scene_id AS file FROM b WHERE n = 1"""
 
 

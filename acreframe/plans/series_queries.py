@@ -26,7 +26,7 @@ def _short(x: str) -> str:
 
 
 def _wrap(d: str, start: int) -> str:
-    return f"CASE WHEN dayofyear({d}) >= {start} THEN dayofyear({d}) ELSE dayofyear({d}) + 365 END"
+    return f"CAST(CASE WHEN dayofyear({d}) >= {start} THEN dayofyear({d}) ELSE dayofyear({d}) + 365 END AS INT)"
 
 
 def _feature_sql(name: str) -> str:
@@ -198,7 +198,7 @@ def monthly_series(spark, sf):
     return se.monthly_series(view(spark, sf, "pixels"), 3).groupBy("yyyyddd").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
 
 
-MONTH_SERIES_SQL = f"{cte('pixels')} SELECT strftime(img_date, '%Y%j') AS yyyyddd, count(*) AS n, sum(value) AS total FROM pixels WHERE month(img_date) = 3 GROUP BY 1"
+MONTH_SERIES_SQL = f"{cte('pixels')} SELECT strftime(img_date, '%Y%j') AS yyyyddd, count(*) AS n, CAST(sum(value) AS BIGINT) AS total FROM pixels WHERE month(img_date) = 3 GROUP BY 1"
 
 
 def series_window(spark, sf):
