@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from acreframe.llm.common import documents
-from acreframe.llm.decontaminate import contamination
+from acreframe.llm.decontaminate import CONTAMINATION_SQL, contamination
 from acreframe.llm.line_crf import score_documents
 from acreframe.llm.packing import pack_documents
 from acreframe.llm.sanitise import find_private
@@ -69,4 +69,4 @@ def op10_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_telephony, op2_sanitise, op3_warc, op4_templates, op5_line_crf, op6_token_tree, op7_simhash, op8_packing, op9_suffix_index, op10_fm_index)
 }
-ORACLE: dict[str, str] = {"op3_warc": ARCHIVED_SQL}
+ORACLE: dict[str, str] = {"op3_warc": ARCHIVED_SQL, "op10_fm_index": CONTAMINATION_SQL}
