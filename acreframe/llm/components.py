@@ -9,7 +9,7 @@ from acreframe.llm.common import materialise
 
 
 def _state(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % F.lit(1 << 40))).first()
+    row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
     return row[0], row[1] or 0
 
 

@@ -245,6 +245,20 @@ def test_simhash(docs, empty, rows):
     assert simhash.simhash_groups(empty).count() == 0 and simhash.drop_near_copies(empty).count() == 0
 
 
+def test_components(spark):
+    """A long chain, a star, a ring and random links."""
+    from acreframe.llm.components import components
+
+    rng = random.Random(10)
+    edges = [(i, i + 1) for i in range(0, 90)] + [(200, k) for k in range(201, 260)] + [(300 + i, 300 + (i + 1) % 7) for i in range(7)] + [(rng.randint(-500, -400), rng.randint(-500, -400)) for _ in range(70)] + [(5, 5)]
+    rng.shuffle(edges)
+    nodes = sorted({x for e in edges for x in e if e[0] != e[1]})
+    linked = {frozenset(e) for e in edges}
+    first = brute.groups(nodes, lambda a, b: frozenset((a, b)) in linked)
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {n: nodes[g] for n, g in zip(nodes, first, strict=True)}
+
+
 def test_simhash_links(spark):
     """A crowd of fingerprints around a few centres: links connect what pairs within two bits connect."""
     rng = random.Random(4)
