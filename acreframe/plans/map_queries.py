@@ -66,7 +66,7 @@ def export_names(spark, sf):
     """Names of the other export convention, where the date stands further right behind L1C_."""
     n = _names(spark, sf)
     mid = F.when(F.col("o_orderkey") % 2 == 0, "_L1C_T21HUB_A00123_").otherwise("_L2A_T21HUB_A0012_")
-    file = F.concat(F.lit("S2A"), F.rpad(mid, 16, "0"), F.when(F.col("o_orderkey") % 2 == 0, ""). otherwise(""), F.date_format("d", "yyyyMMdd"))
+    file = F.concat(F.lit("S2A"), F.rpad(mid, 16, "0"), F.date_format("d", "yyyyMMdd"))
     fields = nm.export_fields(file)
     return n.select("o_orderkey", fields["sensor"].alias("sensor"), fields["date"].alias("date"))
 

@@ -164,8 +164,7 @@ SELECT round(avg(w) FILTER (WHERE w > 0), 5) AS "UA" FROM k"""
 
 
 def kappa(spark, sf):
-    lut = view(spark, sf, "lut").withColumn("LC2_name", F.col("LC2_name"))
-    return ac.kappa(ac.regroup(view(spark, sf, "scores"), lut, "LC2"), "crop")
+    return ac.kappa(ac.regroup(view(spark, sf, "scores"), view(spark, sf, "lut"), "LC2"), "crop")
 
 
 KAPPA_SQL = f"""{cte('scores', 'lut')}, g AS (SELECT a.LC2 = 30 AS p, b.LC2 = 30 AS o FROM scores JOIN lut a ON pred = a.LC_UNQ JOIN lut b ON obs = b.LC_UNQ),
