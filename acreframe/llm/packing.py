@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -31,7 +32,7 @@ class WordTokenizer:
     takes the whole way.
     """
 
-    CACHED = 400_000
+    CACHED = 300_000
     _PLAIN = re.compile(r"[!-~¡-ÿ]+")
     _SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^0-9²³¹¼½¾a-zªµºß-öø-ÿ]+")
     _loaded: dict[str, WordTokenizer] = {}
@@ -46,8 +47,12 @@ class WordTokenizer:
         vocabulary = self.whole.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for t, i in vocabulary.items() if t.removesuffix("</w>")[-1:] in (".", "!", "?")]] = True
-        self.words: dict[str, bytes] = {"": b""}
+        # the words seen lately, and those of the generation before, from which a word is taken over when it's seen again
+        self.words: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.old_parts: dict[str, bytes] = {}
+        self.pack = [struct.Struct(f"<{n}I").pack for n in range(32)]
 
     @classmethod
     def of(cls, path: str) -> WordTokenizer:
@@ -57,33 +62,30 @@ class WordTokenizer:
         return cls._loaded[path]
 
     def _part(self, part: str) -> bytes:
-        if part not in self.parts:
-            if len(self.parts) >= self.CACHED // 2:
-                self.parts.clear()
-            self.parts[part] = np.array([t.id for t in self.model.tokenize(part.translate(self.bytes))], "<u4").tobytes()
-        return self.parts[part]
+        tokens = [t.id for t in self.model.tokenize(part if part.isascii() else part.translate(self.bytes))]
+        return self.pack[len(tokens)](*tokens) if len(tokens) < len(self.pack) else np.array(tokens, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
         if self._PLAIN.fullmatch(word) and "<|" not in word and len(word) < 1000:
-            return b"".join([self._part(p) for p in self._SPLIT.findall(word.lower())])
+            out = []
+            for part in self._SPLIT.findall(word.lower()):
+                ids = self.parts.get(part)
+                if ids is None:
+                    ids = self.parts[part] = self.old_parts.get(part) or self._part(part)
+                out.append(ids)
+            return b"".join(out)
         return np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
+        if len(self.words) > self.CACHED:
+            self.words, self.old_words = {}, self.words
+        if len(self.parts) > self.CACHED // 2:
+            self.parts, self.old_parts = {}, self.parts
         known = self.words
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        out = []
-        for w in words:
-            ids = known.get(w)
-            if ids is None:
-                if len(known) >= self.CACHED:
-                    known.clear()
-                ids = known[w] = self._word(w)
-            out.append(ids)
-        return b"".join(out)
+        for w in {w for w in words if w not in known}:
+            known[w] = self.old_words.get(w) or self._word(w)
+        return b"".join([known[w] for w in words])
 
 
 def choose_cuts(places: list[int], costs: list[int], width: int) -> list[int]:
