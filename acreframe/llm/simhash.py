@@ -98,10 +98,14 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 2, seed: int
     return prints.join(of, "fp").select("key", "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, shingle: int = 3, radius: int = 2, seed: int = 42) -> DataFrame:
-    """The rows of docs, all columns, whose doc_id names its group.  Rows that share an id stay or go together; of a group without ids, rows with the least key stay."""
-    groups = simhash_groups(docs, shingle, radius, seed)
-    keep = groups.where("doc_id = component_id").select("key").union(groups.where("component_id is null").groupBy("fingerprint").agg(F.min("key").alias("key")).select("key"))
+def keep_first(docs: DataFrame, groups: DataFrame, group: str) -> DataFrame:
+    """The rows of docs whose doc_id names its group; of a group without ids, by the column `group`, rows with the least key."""
+    keep = groups.where("doc_id = component_id").select("key").union(groups.where("component_id is null").groupBy(group).agg(F.min("key").alias("key")).select("key"))
     name = free_name(docs, "__key")
     # merged by key at every size, so that the plan and what it moves don't change with the input
     return docs.withColumn(name, row_key()).join(keep.distinct().withColumnRenamed("key", name).hint("merge"), name, "left_semi").select(docs.columns)
+
+
+def drop_near_copies(docs: DataFrame, shingle: int = 3, radius: int = 2, seed: int = 42) -> DataFrame:
+    """The rows of docs, all columns, whose doc_id names its group.  Rows that share an id stay or go together; of a group without ids, rows with the least key stay."""
+    return keep_first(docs, simhash_groups(docs, shingle, radius, seed), "fingerprint")

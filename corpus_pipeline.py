@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from acreframe.llm.common import materialise
 from acreframe.llm.decontaminate import decontaminate
 from acreframe.llm.line_crf import keep_good
+from acreframe.llm.near_copies import drop_similar
 from acreframe.llm.packing import pack_documents
 from acreframe.llm.queries import tokenizer
-from acreframe.llm.simhash import drop_near_copies
 from acreframe.llm.templates import drop_boilerplate
 
 
@@ -26,7 +26,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_near_copies(docs, shingle=3, radius=2, seed=42)
+    return drop_similar(docs, length=5, percent=80)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
