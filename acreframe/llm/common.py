@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,20 +16,33 @@ from pyspark.sql import functions as F
 
 #: Text bytes that a Python worker holds as Python objects at a time.
 SLICE_BYTES = 2 << 20
+#: Bits of a filter of hashes: its size is fixed, 1 MB.  Beyond it more passes than needed, and what passes is always looked up.
+FILTER_BITS = 1 << 23
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: spark.checkpoint.dir, or a local one of ours where it is unset (tests)."""
+    """The folder every executor sees: spark.checkpoint.dir.  Unset, only a local session gets one: a folder that goes with the process."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="acreframe-"))
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        own = tempfile.mkdtemp(prefix="acreframe-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        sc.setCheckpointDir(own)
         found = sc.getCheckpointDir()
     return found.rstrip("/")
 
 
 def table_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/acreframe/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/acreframe/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove the tables this application has materialised; nothing that still reads them may be in use."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/acreframe/{sc.applicationId}")
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -50,6 +66,26 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(F.col(text)).bitwiseOR(F.lit(-(1 << 63))))
 
 
+def digest(text: str = "text") -> Column:
+    """128 bits that tell a text from any other; null counts as empty.  With row_key it tells a row from others of the same id."""
+    return F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")))
+
+
+def bit_table(values: DataFrame) -> np.ndarray:
+    """A filter of the longs in the only column: FILTER_BITS bits, made by a grouped bit_or."""
+    place = f"(`{values.columns[0]}` & {FILTER_BITS - 1})"
+    words = values.select(F.expr(f"shiftright({place}, 6)").alias("w"), F.expr(f"shiftleft(1L, cast({place} & 63 as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).collect()
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    for w, b in words:
+        bits[w] = b
+    return bits.view(np.uint8)
+
+
+def in_table(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    place = values.astype(np.uint64) & np.uint64(FILTER_BITS - 1)
+    return (table[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a record batch with about `size` bytes of the column each; one row at least."""
     lengths = batch.column(column)

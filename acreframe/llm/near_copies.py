@@ -10,12 +10,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acreframe.llm.common import materialise, row_key, slices
+from acreframe.llm.common import bit_table, in_table, materialise, row_key, slices
 from acreframe.llm.components import components
 from acreframe.llm.simhash import keep_first
 
-#: Bits of the filters of common shingles and of keys: their size is fixed; beyond it more is looked at than needed.
-FILTER_BITS = 1 << 23
 #: One of SAMPLE texts is looked at for common shingles, which stand in COMMON of those at least.  This only orders shingles; it drops none.
 SAMPLE, COMMON = 16, 3
 #: Sets that share a shingle of their prefixes are all compared up to CROWDED; beyond that with a pivot for STARS rounds, then those still apart.
@@ -40,22 +38,6 @@ def _name(shingles: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(shingles.tobytes(), 42) - (1 << 63)
 
 
-def _bits(values: DataFrame) -> np.ndarray:
-    """A bit table of the longs in the only column."""
-    name = values.columns[0]
-    place = f"({name} & {FILTER_BITS - 1})"
-    words = values.select(F.expr(f"shiftright({place}, 6)").alias("w"), F.expr(f"shiftleft(1L, cast({place} & 63 as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).collect()
-    bits = np.zeros(FILTER_BITS // 64, np.int64)
-    for w, b in words:
-        bits[w] = b
-    return bits.view(np.uint8)
-
-
-def _held(table: np.ndarray, values: np.ndarray) -> np.ndarray:
-    place = values.astype(np.uint64) & np.uint64(FILTER_BITS - 1)
-    return (table[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-
-
 def _common(docs: DataFrame, length: int) -> DataFrame:
     """(h): shingles that several texts of the sample have."""
 
@@ -76,7 +58,7 @@ def _prints(docs: DataFrame, length: int, percent: int) -> DataFrame:
     Sets of a similarity of `percent` share percent of the larger one at least, so in any one order of all shingles, the first
     n - ceil(percent n) + 1 of each can't be disjoint.
     """
-    held = docs.sparkSession.sparkContext.broadcast(_bits(_common(docs, length)))
+    held = docs.sparkSession.sparkContext.broadcast(bit_table(_common(docs, length)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -84,7 +66,7 @@ def _prints(docs: DataFrame, length: int, percent: int) -> DataFrame:
                 ids, many, first = [], [], []
                 for text in part.column("text").to_pylist():
                     own = shingle_set(text, length)
-                    late = _held(held.value, own)
+                    late = in_table(held.value, own)
                     ids.append(_name(own))
                     many.append(len(own))
                     first.append(np.concatenate((own[~late], own[late]))[: len(own) - -(-percent * len(own) // 100) + 1].view(np.int64))
@@ -134,11 +116,11 @@ def _similar(docs: DataFrame, prints: DataFrame, pairs: DataFrame, length: int,
     pairs = materialise(pairs, "pairs")
     wanted = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
     keys = prints.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("key").alias("key")).select("key")
-    held = docs.sparkSession.sparkContext.broadcast(_bits(keys))
+    held = docs.sparkSession.sparkContext.broadcast(bit_table(keys))
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.filter(pa.array(_held(held.value, batch.column(0).to_numpy())))
+            batch = batch.filter(pa.array(in_table(held.value, batch.column(0).to_numpy())))
             for part in slices(batch):
                 names = [_name(shingle_set(t, length)) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), part.column(1)], names=["id", "text"])

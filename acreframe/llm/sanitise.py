@@ -2,26 +2,25 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acreframe.llm.common import free_name, materialise, row_key, slices
+from acreframe.llm.common import bit_table, digest, free_name, in_table, materialise, row_key, slices
 
 KINDS = ("email", "ip", "card", "phone", "generalise", "remove")
-#: Words around an entity that count as its context, and how far they're looked for.
-CONTEXT_WORDS, CONTEXT_CHARS = 8, 160
-#: Documents in which a term must stand beside an entity, and the shares of the entity's information from which it is generalised and removed.
-SUPPORT, GENERALISE, REMOVE = 3, 0.7, 0.9
-#: Bits of the filter of terms to count: its size is fixed; beyond it more terms are counted than needed.
-FILTER_BITS = 1 << 23
+#: A term is seen with a single value where it stands within so many words of it; with a kind of value, anywhere in the text.
+BESIDE_WORDS = 8
+#: Texts in which a term and an entity must be seen together, texts that the entity's own rate counts as beside those, and the
+#: shares of the entity's information from which a term is generalised and removed.
+SUPPORT, PRIOR, GENERALISE, REMOVE = 3, 3, 0.7, 0.9
+#: Distinct terms whose counts a task holds.
+HELD_TERMS = 200_000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -74,123 +73,201 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(out)
 
 
-def _contexts(text: str, spans: list[tuple[int, int, int, str]]) -> list[tuple[int, str, int, int]]:
-    """(entity, term, start, end) of the words around each span that aren't part of one."""
-    taken = [(a, b) for a, _, b, _ in spans]
+def _entity(kind: int, value: str = "") -> int:
+    """The number of a value, or of all values of a kind."""
+    return xxhash.xxh64_intdigest(f"{KINDS[kind]}:{value}", 42) - (1 << 63)
+
+
+def _terms(text: str, spans: list[tuple[int, int, int, str]]) -> list[tuple[str, int, int]]:
+    """The terms outside the spans, in lower case, and where they stand."""
+    out, at = [], 0
+    for a, _, b, _ in [*spans, (len(text), 0, len(text), "")]:
+        out += [(m[0].lower(), *m.span()) for m in _TERM.finditer(text, at, max(a, at))]
+        at = max(at, b)
+    return out
+
+
+def _beside(terms: list[tuple[str, int, int]], spans: list[tuple[int, int, int, str]]) -> set[tuple[int, str]]:
+    """(value, term) of the terms that stand near each value."""
+    starts = np.array([a for _, a, _ in terms], np.int64)
     out = set()
-    for a, kind, b, value in spans:
-        entity = xxhash.xxh64_intdigest(f"{KINDS[kind]}:{value}", 42) - (1 << 63)
-        low, high = max(0, a - CONTEXT_CHARS), min(len(text), b + CONTEXT_CHARS)
-        before = [m.span() for m in _TERM.finditer(text, low, a) if m.start() > low or low == 0][-CONTEXT_WORDS:]
-        behind = [m.span() for m in _TERM.finditer(text, b, high) if m.end() < high or high == len(text)][:CONTEXT_WORDS]
-        for s, e in before + behind:
-            if not any(s < y and x < e for x, y in taken):
-                out.add((entity, text[s:e].lower(), s, e))
-    return sorted(out)
+    for a, kind, _, value in spans:
+        at = int(np.searchsorted(starts, a))
+        out |= {(_entity(kind, value), t) for t, *_ in terms[max(0, at - BESIDE_WORDS) : at + BESIDE_WORDS]}
+    return out
 
 
 _FOUND = pa.schema(
     [
         ("key", pa.int64()),
         ("doc_id", pa.int64()),
+        ("digest", pa.binary()),
         ("spans", pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int64()), ("end", pa.int64())]))),
-        ("contexts", pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))),
+        ("entities", pa.list_(pa.int64())),
+        ("beside", pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string())]))),
     ]
 )
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(row_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), digest().alias("digest"), F.col("text").cast("string").alias("text"))
+
+
 def entities(docs: DataFrame) -> DataFrame:
-    """key, doc_id, base spans and the context of each entity, for every row of documents(doc_id, text)."""
+    """Of every row of documents(doc_id, text): key, doc_id, digest, base spans, its entities (values and their kinds), and terms beside values."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                spans, contexts = [], []
+                spans, owned, beside = [], [], []
                 for text in part.column("text").to_pylist():
                     found = base_spans(text or "")
                     spans.append([{"start": a, "kind": k, "end": b} for a, k, b, _ in found])
-                    contexts.append([dict(zip(("entity", "term", "start", "end"), c, strict=True)) for c in _contexts(text, found)] if found else [])
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(spans, _FOUND.field("spans").type), pa.array(contexts, _FOUND.field("contexts").type)], schema=_FOUND)
+                    owned.append(sorted({e for _, k, _, v in found for e in (_entity(k), _entity(k, v))}))
+                    beside.append([{"entity": e, "term": t} for e, t in sorted(_beside(_terms(text, found), found))] if found else [])
+                made = [pa.array(x, _FOUND.field(n).type) for x, n in zip((spans, owned, beside), _FOUND.names[3:], strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], *made], schema=_FOUND)
 
-    schema = "key long, doc_id long, spans array<struct<start long, kind long, end long>>, contexts array<struct<entity long, term string, start long, end long>>"
-    return docs.select(row_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    schema = "key long, doc_id long, digest binary, spans array<struct<start long, kind long, end long>>, entities array<long>, beside array<struct<entity long, term string>>"
+    return _keyed(docs).mapInArrow(run, schema)
 
 
-def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(term, n_term): in how many documents each of terms(term) stands.
+_COUNTS = ("n_term", "n_email", "n_ip", "n_card", "n_phone")
 
-    Every text is read.  A bit filter of fixed size, made by a grouped bit_or, keeps most other words out of the shuffle, and each task
-    sends a term's count once.
-    """
-    place = F.pmod(F.xxhash64("term"), F.lit(FILTER_BITS))
-    words = terms.select(F.shiftright(place, 6).alias("w"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(term), {FILTER_BITS}) & 63 as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).collect()
-    bits = np.zeros(FILTER_BITS // 64, np.int64)
-    for w, b in words:
-        bits[w] = b
-    held = docs.sparkSession.sparkContext.broadcast(bits.view(np.uint8))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, counts, known = held.value, Counter(), {}
+def _count(texts: Iterator[str]) -> Iterator[pa.RecordBatch]:
+    """(term, n_term, n_email, ...): in how many texts each term stands, and in how many of those that hold each kind of value."""
+    counts: dict[str, list[int]] = {}
+
+    def rows() -> pa.RecordBatch:
+        columns = np.array(list(counts.values()), np.int64).reshape(-1, len(_COUNTS))
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), *[pa.array(c) for c in columns.T]], names=["term", *_COUNTS])
+
+    for text in texts:
+        spans = base_spans(text)
+        kinds = sorted({k for _, k, _, _ in spans})
+        for term in {t for t, *_ in _terms(text, spans)} if spans else set(_TERM.findall(text.lower())):
+            own = counts.get(term)
+            if own is None:
+                own = counts[term] = [0] * len(_COUNTS)
+            own[0] += 1
+            for k in kinds:
+                own[k + 1] += 1
+        if len(counts) > HELD_TERMS:
+            yield rows()
+            counts.clear()
+    if counts:
+        yield rows()
 
-        def wanted(word: str) -> bool:
-            p = xxhash.xxh64_intdigest(word, 42) % FILTER_BITS
-            return bool(table[p >> 3] >> (p & 7) & 1)
 
-        def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
+def term_counts(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """(term, n_term, n_email, n_ip, n_card, n_phone) over distinct texts: copies count once.
 
+    Texts without a copy are counted where they're read, each task sending a term once.  Those that may have one (a filter of fixed
+    size tells) leave a task once each, meet by digest, and are counted there.
+    """
+    repeated = found.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select(F.xxhash64("digest").alias("h"))
+    held = docs.sparkSession.sparkContext.broadcast(bit_table(repeated))
+    schema = ", ".join(["term string", *(f"{c} long" for c in _COUNTS)])
+
+    def split(batches: Iterator[pa.RecordBatch], copied: bool) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
-                for text in part.column(0).to_pylist():
-                    for word in set(_TERM.findall((text or "").lower())):
-                        if word not in known:
-                            known[word] = wanted(word)
-                        if known[word]:
-                            counts[word] += 1
-                if len(known) > 200_000:
-                    known.clear()
-                if len(counts) > 200_000:
-                    yield rows()
-                    counts.clear()
-        if counts:
-            yield rows()
+            h = np.array([xxhash.xxh64_intdigest(d.as_py(), 42) for d in batch.column("digest")], np.uint64)
+            yield from slices(batch.filter(pa.array(in_table(held.value, h) == copied)))
+
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _count(t or "" for part in split(batches, False) for t in part.column("text").to_pylist())
+
+    def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for part in split(batches, True):
+            keep = []
+            for d in part.column("digest").to_pylist():
+                keep.append(d not in seen)
+                seen.add(d)
+            yield part.filter(pa.array(keep, pa.bool_()))
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _count(t or "" for batch in batches for part in slices(batch) for t in part.column("text").to_pylist())
+
+    texts = docs.select(digest().alias("digest"), F.col("text").cast("string").alias("text"))
+    once = texts.mapInArrow(several, "digest binary, text string").groupBy("digest").agg(F.first("text").alias("text"))
+    counted = texts.mapInArrow(single, schema).union(once.select("text").mapInArrow(met, schema))
+    return counted.groupBy("term").agg(*[F.sum(c).alias(c) for c in _COUNTS])
+
+
+def _share(both: Column, term: Column, entity: Column, total: float) -> Column:
+    """Pointwise mutual information of a term and an entity as a share of the entity's own information.
 
-    counted = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "term string, n long")
-    return counted.groupBy("term").agg(F.sum("n").alias("n_term"))
+    log(P(e|t) / P(e)) / log(1 / P(e)), where P(e|t) counts PRIOR texts at the entity's own rate beside those seen, so that a few
+    texts don't make a term as telling as many do.
+    """
+    rate = entity / F.lit(total)
+    return F.log((both + F.lit(float(PRIOR)) * rate) / (F.greatest(term, both) + F.lit(float(PRIOR))) / rate) / -F.log(rate)
 
 
 def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(entity, term, share, kind): terms that give an entity away.
+    """(entity, term, share, kind): terms that give an entity away, an entity being a value or a whole kind of values.
 
-    share is the pointwise mutual information of the two, from counts of documents, as a share of the entity's own information:
-    log(N n(e,t) / n(e) n(t)) / log(N / n(e)).  A term is seen in an entity's context in SUPPORT documents at least; one with a
-    share from GENERALISE on is generalised, from REMOVE on removed.
+    All counts are of distinct texts.  A term is seen with an entity in SUPPORT of them at least; one with a share of the entity's
+    information from GENERALISE on is generalised, from REMOVE on removed.
     """
-    total = found.count()
-    beside = found.select("key", F.explode("contexts").alias("c")).select("key", "c.entity", "c.term").distinct()
-    pairs = materialise(beside.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= SUPPORT), "pairs")
-    of = beside.select("key", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    counts = document_counts(docs, pairs.select("term"))
-    share = F.log(F.lit(float(total)) * F.col("n_both") / (F.col("n_entity") * F.greatest("n_term", "n_both"))) / F.log(F.lit(float(total)) / F.col("n_entity"))
-    known = pairs.join(of, "entity").join(counts, "term").where(F.col("n_entity") < total).withColumn("share", share)
+    counts = materialise(term_counts(docs, found), "terms")
+    total = float(found.select("digest").distinct().count())
+    of = found.select("digest", F.explode("entities").alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") < total)
+    kinds = F.explode(F.array(*[F.struct(F.lit(_entity(k)).alias("entity"), F.col(f"n_{KINDS[k]}").alias("n_both")) for k in range(4)])).alias("k")
+    by_kind = counts.select("term", "n_term", kinds).select("k.entity", "term", "n_term", "k.n_both").where(F.col("n_both") >= SUPPORT)
+    pairs = found.select("digest", F.explode("beside").alias("b")).select("digest", "b.*").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= SUPPORT)
+    by_value = pairs.join(counts.select("term", "n_term"), "term").select("entity", "term", "n_term", "n_both")
+    known = by_kind.union(by_value).join(of, "entity").withColumn("share", _share(F.col("n_both"), F.col("n_term"), F.col("n_entity"), total))
     return known.where(F.col("share") >= GENERALISE).select("entity", "term", "share", F.when(F.col("share") >= REMOVE, 5).otherwise(4).cast("long").alias("kind"))
 
 
+def _places(docs: DataFrame, given: DataFrame) -> DataFrame:
+    """(key, digest, entity, term, places): of texts that hold an entity, all places of terms that may disclose it by a filter of pairs."""
+    held = docs.sparkSession.sparkContext.broadcast(bit_table(given.select(F.col("entity").bitwiseXOR(F.xxhash64("term")).alias("pair"))))
+    types = (pa.int64(), pa.binary(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                out = []
+                for key, name, text in zip(*[part.column(x).to_pylist() for x in ("key", "digest", "text")], strict=True):
+                    spans = base_spans(text or "")
+                    if not spans:
+                        continue
+                    places: dict[str, list] = {}
+                    for term, a, b in _terms(text, spans):
+                        places.setdefault(term, []).append({"start": a, "end": b})
+                    terms = list(places)
+                    hashes = np.array([xxhash.xxh64_intdigest(t, 42) for t in terms], np.uint64)
+                    for entity in {e for _, k, _, v in spans for e in (_entity(k), _entity(k, v))}:
+                        likely = in_table(held.value, hashes ^ np.array(entity, np.int64).astype(np.uint64))
+                        out += [(key, name, entity, terms[i], places[terms[i]]) for i in np.flatnonzero(likely)]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], names=["key", "digest", "entity", "term", "places"])
+
+    return _keyed(docs).mapInArrow(run, "key long, digest binary, entity long, term string, places array<struct<start long, end long>>")
+
+
 def private_spans(docs: DataFrame) -> DataFrame:
-    """key, doc_id, base (the spans that patterns find) and extra (those of disclosing terms) of every row of docs, as arrays of (start, kind, end)."""
+    """key, digest, doc_id, base (the spans that patterns find) and extra (those of disclosing terms) of every row of docs, as arrays of (start, kind, end)."""
     found = materialise(entities(docs), "entities")
     given = materialise(disclosures(docs, found), "disclosures").select("entity", "term", "kind")
-    near = found.select("key", F.explode("contexts").alias("c")).select("key", "c.*")
-    extra = near.join(given, ["entity", "term"]).groupBy("key", "start", "end").agg(F.max("kind").alias("kind")).groupBy("key").agg(F.collect_list(F.struct("start", "kind", "end")).alias("extra"))
-    return found.join(extra, "key", "left").select("key", "doc_id", F.col("spans").alias("base"), F.coalesce("extra", F.expr("array()").cast("array<struct<start:bigint,kind:bigint,end:bigint>>")).alias("extra"))
+    marked = _places(docs, given).join(given, ["entity", "term"]).select("key", "digest", "kind", F.explode("places").alias("p"))
+    spans = marked.groupBy("key", "digest", "p").agg(F.max("kind").alias("kind"))
+    extra = spans.groupBy("key", "digest").agg(F.collect_list(F.struct("p.start", "kind", "p.end")).alias("extra"))
+    none = F.expr("cast(array() as array<struct<start:bigint,kind:bigint,end:bigint>>)")
+    return found.join(extra, ["key", "digest"], "left").select("key", "digest", "doc_id", F.col("spans").alias("base"), F.coalesce("extra", none).alias("extra"))
 
 
 def find_private(docs: DataFrame) -> DataFrame:
     """Personal data in every whole text of documents(doc_id, text).
 
     Returns doc_id, n_email, n_ip, n_card, n_phone, base_sha256 (of kind:start:end, comma-joined, of the patterns' spans),
-    spans (all, with the kinds generalise and remove) and n_terms.  A null or empty text has no spans; repeated rows each get their
-    row (and count as documents of their own only if their ids differ); null ids stay null.  Other columns are ignored.
+    spans (all, with the kinds generalise and remove) and n_terms.  A disclosing term is marked at all its places in each text that
+    holds the entity, and in no other.  A null or empty text has no spans.  Every row has the spans of its own text, whatever other
+    rows share its id; copies count once in all estimates.  Null ids stay null; other columns are ignored.
     """
     names = F.array(*[F.lit(k) for k in KINDS])
 
@@ -203,8 +280,8 @@ def find_private(docs: DataFrame) -> DataFrame:
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """docs, all rows and columns, with entities and removed terms replaced by [KIND] and generalised terms by their first letter and ***."""
-    key, found = free_name(docs, "__key"), free_name(docs, "__spans")
-    spans = private_spans(docs).groupBy(F.col("key").alias(key)).agg(F.first(F.concat("base", "extra")).alias(found))
+    key, name, found = (free_name(docs, x) for x in ("__key", "__digest", "__spans"))
+    spans = private_spans(docs).groupBy(F.col("key").alias(key), F.col("digest").alias(name)).agg(F.first(F.concat("base", "extra")).alias(found))
     names = docs.columns
 
     def clean(text: str | None, spans: list[dict] | None) -> str | None:
@@ -223,5 +300,5 @@ def sanitise(docs: DataFrame) -> DataFrame:
                 texts = pa.array([clean(t, s) for t, s in zip(part.column("text").to_pylist(), part.column(found).to_pylist(), strict=True)], pa.string())
                 yield pa.RecordBatch.from_arrays([texts if x == "text" else part.column(x) for x in names], names=names)
 
-    joined = docs.withColumn(key, row_key()).join(spans, key, "left").select(*names, found)
+    joined = docs.withColumns({key: row_key(), name: digest()}).join(spans, [key, name], "left").select(*names, found)
     return joined.mapInArrow(run, docs.schema)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import sys
 import zlib
 from pathlib import Path
@@ -110,19 +111,44 @@ def test_private_spans(docs, empty, rows):
 
 
 def test_disclosing_terms(spark):
-    """A term beside one entity only is removed; one that's common elsewhere stays."""
-    rows = [(i, f"Doctor Zebulon wrote to zeb@clinic.org about common things {'abc'[i % 3] * 4}") for i in range(6)]
-    rows += [(10 + i, "Doctor wrote about common things " + "xyzw"[i % 4] * 5) for i in range(60)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = sanitise.disclosures(docs, sanitise.entities(docs)).collect()
-    assert {r.term for r in found if r.kind == 5} == {"zebulon"} | {r.term for r in found if r.kind == 5 and r.term not in ("doctor", "common", "things", "wrote", "about")}
-    assert not {r.term for r in found} & {"doctor", "common", "things", "wrote", "about"}
-    n = len(rows)
-    for r in found:
-        with_t, both = sum(r.term in t.lower() for _, t in rows), sum(r.term in t.lower() and "@" in t for _, t in rows)
-        assert abs(r.share - np.log(n * both / (6 * with_t)) / np.log(n / 6)) < 1e-9
+    """Shares against counts by hand; terms that give a kind or a value away go, wherever they stand in the texts that hold it."""
+    far = " ".join(["filler"] * 40)
+    rows = [(i, f"Doctor Zebulon wrote to zeb@clinic.org about common things {'abcdefghi'[i] * 4} {far} and zebulon again") for i in range(9)]
+    rows += [(10 + i, "Doctor wrote about common filler things " + "xyzw"[i % 4] * 5 + f" number {i}") for i in range(90)]
+    rows += [(100 + i, rows[0][1]) for i in range(50)] + [(200, "Call other@mail.org"), (201, "Zebulon without a kind of value")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {(r.entity, r.term): r for r in sanitise.disclosures(docs, sanitise.entities(docs)).collect()}
+    texts = {t for _, t in rows}
+    words = {t: {w for w in re.findall("[a-z]{3,}", re.sub("[a-z]+@[a-z.]+", " ", t.lower()))} for t in texts}
+    want = {}
+    for value in ("", "zeb@clinic.org", "other@mail.org"):
+        own = {t for t in texts if (value or "@") in t}
+        for w in set().union(*words.values()):
+            near = {t for t in own if w in words[t]} if not value else {t for t in own if w in (re.findall("[a-z]{3,}", t.lower().split(value)[0])[-8:] + re.findall("[a-z]{3,}", t.lower().split(value)[1])[:8])}
+            if len(near) >= 3:
+                rate, n = len(own) / len(texts), max(len(near), sum(w in words[t] for t in texts))
+                share = np.log((len(near) + 3 * rate) / (n + 3) / rate) / -np.log(rate)
+                if share >= 0.7:
+                    want[sanitise._entity(0, value), w] = (share, 5 if share >= 0.9 else 4)
+    assert found.keys() == want.keys() and all(abs(found[k].share - v[0]) < 1e-9 and found[k].kind == v[1] for k, v in want.items())
+    assert "zebulon" in {w for _, w in want} and not {w for _, w in want} & {"doctor", "common", "things", "wrote", "about", "filler"}
+    out = sanitise.find_private(docs).collect()
+    for r in out:
+        text = dict(rows)[r.doc_id]
+        extra = {(a, b) for k, a, b in (x.split(":") for x in r.spans.split(",") if x) if k in ("generalise", "remove")}
+        assert extra == ({(str(m.start()), str(m.end())) for _, w in want for m in re.finditer(rf"\b{w}\b", text.lower())} if "zeb@" in text else set())
     clean = {r.doc_id: r.text for r in sanitise.sanitise(docs).collect()}
-    assert "Zebulon" not in clean[0] and "[EMAIL]" in clean[0] and "common things" in clean[0] and clean[10] == rows[6][1]
+    assert "ebulon" not in clean[0] and "[EMAIL]" in clean[0] and "common things" in clean[0] and clean[10] == rows[9][1] and clean[201] == rows[-1][1]
+
+
+def test_private_rows_of_one_id(spark):
+    """Rows that share an id but not a text each get their own spans."""
+    rows = [(0, f"Doctor Zebulon wrote to zeb@clinic.org {w}") for w in ("one", "two", "three")] + [(0, "hi"), (0, "hi"), (None, "hi"), (0, None)] + [(i, f"text number {i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = sanitise.find_private(docs).collect()
+    assert len(out) == len(rows) and sum("remove" in r.spans or "generalise" in r.spans for r in out) == 3 and sum(r.spans == "" for r in out) == len(rows) - 3
+    clean = [r.text for r in sanitise.sanitise(docs).collect()]
+    assert sorted(filter(None, clean)) == sorted([t for _, t in rows if t and "@" not in t] + [t for t in clean if t and "[EMAIL]" in t]) and sum("[EMAIL]" in (t or "") for t in clean) == 3
 
 
 def test_warc(spark):
