@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -14,17 +13,25 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acreframe.llm.common import free_name, materialise, row_key, slices
-
-#: Leading tokens that choose a leaf below its token count, and tokens of the shortest line that is looked at.
-DEPTH, LEAST_TOKENS = 3, 4
-#: Documents in which a template recurs, share of constant tokens it has at least, and share of its documents that must be unlike.
-RECURS, CONSTANT, UNLIKE = 5, 0.6, 0.05
-#: Bits of the filter of recurring leaves: its size is fixed; beyond it more lines are looked at than needed.
-FILTER_BITS = 1 << 23
+from acreframe.llm.common import bit_table, digest, free_name, in_table, materialise, slices
+
+#: Leading tokens that choose a leaf below its token count.
+DEPTH = 3
+#: Documents in which a template recurs, and the part of the rest of such a document that must be its own.
+RECURS, OWN = 3, 0.5
+#: A token is constant if it stands at its place in this part of its leaf's lines; constant tokens a template has at least.
+DOMINANT, CONSTANT = 0.3, 0.6
+#: A line without tokens beyond the leading ones must make this part of the recurring lines of its length.
+SHORT_SHARE = 0.02
+#: Words of the runs of which a line's least stands for it, where copies are to be told from other texts.
+RUN = 5
+#: Leaves and runs that a task holds.
+HELD = 400_000
 
 _FIELD = re.compile(rb"[0-9@]|://")
 _MARK = b"<*>"
+_LOW = (1 << 48) - 1
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _masked(token: bytes) -> bytes:
@@ -37,134 +44,182 @@ def _leaf(tokens: list[bytes]) -> int:
     return xxhash.xxh64_intdigest(b"%d " % len(tokens) + b" ".join([_masked(t) for t in tokens[:DEPTH]]), 42) - (1 << 63)
 
 
-def _likeness(raw: bytes) -> int:
-    """The word of least checksum stands for the document: copies and near copies mostly share it, so they count as one."""
-    return min(map(zlib.crc32, set(raw.split())), default=0)
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(digest().alias("digest"), F.col("text").cast("string").alias("text"))
+
+
+def _sketches(lines: list[list[bytes]]) -> np.ndarray:
+    """For each line of some tokens the least hash of its runs of RUN tokens, or that of all its tokens: edits of a few seldom change it."""
+    many = np.fromiter(map(len, lines), np.int64, len(lines))
+    starts = np.cumsum(many) - many
+    words = np.fromiter((xxhash.xxh64_intdigest(t) for line in lines for t in line), np.uint64, int(many.sum()))
+    padded = np.concatenate((words, np.zeros(RUN, np.uint64)))
+    runs, whole = np.zeros(len(words), np.uint64), np.zeros(len(lines), np.uint64)
+    for k in range(RUN):
+        runs = runs * _ODD + padded[k : k + len(words)]
+        whole = np.where(many > k, whole * _ODD + padded[starts + k], whole)
+    runs = (runs ^ (runs >> np.uint64(32))) * _ODD
+    line, place = np.repeat(np.arange(len(lines)), many), np.arange(len(words)) - np.repeat(starts, many)
+    runs[place > many[line] - RUN] = np.iinfo(np.uint64).max
+    least = np.minimum.reduceat(runs, starts) if len(lines) else runs
+    return np.where(many < RUN, (whole ^ (whole >> np.uint64(32))) * _ODD, least).view(np.int64)
+
+
+def _parsed(texts: list[str | None]) -> tuple[list[tuple[int, int, bytes, list[bytes]]], np.ndarray]:
+    """(text, number, line, tokens) of the lines of texts that aren't blank, and their sketches."""
+    split = [(i, at, line, line.split()) for i, text in enumerate(texts) if text for at, line in enumerate(text.encode().split(b"\n"))]
+    split = [x for x in split if x[3]]
+    return split, _sketches([x[3] for x in split])
 
 
-def _leaves(docs: DataFrame) -> DataFrame:
-    """(leaf, likeness, n): for each leaf, documents of each likeness; counted within a slice first."""
+def _recurring(docs: DataFrame) -> DataFrame:
+    """(h): leaves and sketches of RECURS distinct texts at least.  A task names RECURS texts of each at most, since more make no difference."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, set[bytes]] = {}
+
+        def rows() -> pa.RecordBatch:
+            pairs = [(h, d) for h, names in found.items() for d in names]
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([d for _, d in pairs], pa.binary())], names=["h", "digest"])
+
         for batch in batches:
             for part in slices(batch):
-                counts: dict[tuple[int, int], int] = {}
-                for text in part.column(0).to_pylist():
-                    raw = (text or "").encode()
-                    like = _likeness(raw)
-                    lines = (line.split() for line in set(raw.split(b"\n")))
-                    for leaf in {_leaf(t) for t in lines if len(t) >= LEAST_TOKENS}:
-                        counts[leaf, like] = counts.get((leaf, like), 0) + 1
-                if counts:
-                    pairs = np.array(list(counts), np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(list(counts.values()), pa.int64())], names=["leaf", "likeness", "n"])
-
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "leaf long, likeness long, n long")
-
-
-def _recurs() -> F.Column:
-    return (F.col("alike") >= RECURS) & (F.col("alike") >= UNLIKE * F.col("docs"))
-
-
-def _lines(docs: DataFrame, leaves: DataFrame) -> DataFrame:
-    """(key, likeness, leaf, line, at): the distinct masked lines of each document in recurring leaves, and the numbers of its lines that read so."""
-    place = f"pmod(leaf, {FILTER_BITS})"
-    words = leaves.select(F.expr(f"cast({place} / 64 as long)").alias("w"), F.expr(f"shiftleft(1L, cast({place} % 64 as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).collect()
-    bits = np.zeros(FILTER_BITS // 64, np.int64)
-    for w, b in words:
-        bits[w] = b
-    held = docs.sparkSession.sparkContext.broadcast(bits.view(np.uint8))
-    names = ["key", "likeness", "leaf", "line", "at"]
+                names = part.column(0).to_pylist()
+                lines, sketches = _parsed(part.column(1).to_pylist())
+                for (i, _, _, tokens), sketch in zip(lines, sketches.tolist(), strict=True):
+                    for h in (_leaf(tokens), sketch):
+                        own = found.get(h)
+                        if own is None:
+                            found[h] = {names[i]}
+                        elif len(own) < RECURS:
+                            own.add(names[i])
+                if len(found) > HELD:
+                    yield rows()
+                    found.clear()
+        if found:
+            yield rows()
+
+    pairs = _texts(docs).mapInArrow(run, "h long, digest binary").distinct()
+    return pairs.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= RECURS).select("h")
+
+
+def _lines(docs: DataFrame, recurring: DataFrame) -> DataFrame:
+    """Of distinct texts, those of copies in different tasks coming again: digest, all (bytes of its lines), and of each distinct masked line of
+    which the leaf or the sketch may recur: leaf, sketch, id, line, bytes, and the numbers of the lines that read so (at)."""
+    held = docs.sparkSession.sparkContext.broadcast(bit_table(recurring))
+    names = ["digest", "all", "leaf", "sketch", "id", "line", "bytes", "at"]
+    types = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.list_(pa.int32()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = held.value
+        seen: set[bytes] = set()
         for batch in batches:
             for part in slices(batch):
-                out: list[tuple] = []
-                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    raw, found = (text or "").encode(), {}
-                    for at, line in enumerate(raw.split(b"\n")):
-                        tokens = line.split()
-                        if len(tokens) >= LEAST_TOKENS:
-                            leaf = _leaf(tokens)
-                            p = leaf % FILTER_BITS
-                            if table[p >> 3] >> (p & 7) & 1:
-                                found.setdefault((leaf, b" ".join(map(_masked, tokens))), []).append(at)
-                    if found:
-                        like = _likeness(raw)
-                        out += [(key, like, leaf, line.decode(), at) for (leaf, line), at in found.items()]
+                keep = []
+                for name in part.column(0).to_pylist():
+                    keep.append(name not in seen)
+                    seen.add(name)
+                part = part.filter(pa.array(keep, pa.bool_()))
+                digests = part.column(0).to_pylist()
+                lines, sketches = _parsed(part.column(1).to_pylist())
+                leaves = np.array([_leaf(t) for *_, t in lines], np.int64)
+                size = np.zeros(len(digests), np.int64)
+                np.add.at(size, [i for i, *_ in lines], [len(x) for *_, x, _ in lines])
+                found: dict[tuple[int, int, bytes], list] = {}
+                for k in np.flatnonzero(in_table(held.value, leaves) | in_table(held.value, sketches)):
+                    i, at, line, tokens = lines[k]
+                    own = found.setdefault((i, int(leaves[k]), b" ".join(map(_masked, tokens))), [int(sketches[k]), 0, []])
+                    own[1] += len(line)
+                    own[2].append(at)
+                out = [(digests[i], int(size[i]), leaf, sketch, xxhash.xxh64_intdigest(line, 42) - (1 << 63), line.decode(), n, at) for (i, leaf, line), (sketch, n, at) in found.items()]
                 if out:
-                    types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32()))
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
-    rows = docs.select(row_key().alias("key"), F.col("text").cast("string").alias("text")).mapInArrow(run, "key long, likeness long, leaf long, line string, at array<int>")
-    return rows.join(leaves, "leaf", "left_semi")
-
-
-def _counted(batch: pa.RecordBatch) -> tuple[list[tuple[int, int, list[str], int]], Counter]:
-    """Of a batch of lines: (leaf, id, tokens, alike) of each, and how many documents have each token at each place of a leaf."""
-    lines = [(leaf, name, line.split(" "), n) for leaf, name, line, n in zip(*[batch.column(x).to_pylist() for x in ("leaf", "id", "line", "alike")], strict=True)]
-    counts: Counter = Counter()
-    for leaf, _, tokens, n in lines:
-        for place in enumerate(tokens):
-            counts[leaf, place] += n
-    return lines, counts
+    return _texts(docs).mapInArrow(run, "digest binary, all long, leaf long, sketch long, id long, line string, bytes long, at array<int>")
 
 
 def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(leaf, place, token, n), added up within a batch."""
-    for batch in batches:
-        for part in slices(batch, "line"):
-            _, counts = _counted(part)
-            leaf, at, n = [k[0] for k in counts], [k[1] for k in counts], list(counts.values())
-            yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int64()), pa.array([p for p, _ in at], pa.int32()), pa.array([t for _, t in at], pa.string()), pa.array(n, pa.int64())], names=["leaf", "place", "token", "n"])
-
-
-def _doubtful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(leaf, id, place, token) of the tokens that a batch alone doesn't show to be constant; those that it does needn't be looked up."""
+    """(leaf, token, n) of lines (leaf, line, n), added up within a batch; a token is 48 bits of its hash below its place."""
     for batch in batches:
         for part in slices(batch, "line"):
-            lines, counts = _counted(part)
-            out = [(leaf, name, place, token) for leaf, name, tokens, _ in lines for place, token in enumerate(tokens) if token == _MARK.decode() or counts[leaf, (place, token)] < RECURS]
-            if out:
-                types = (pa.int64(), pa.int64(), pa.int32(), pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], names=["leaf", "id", "place", "token"])
+            counts: Counter = Counter()
+            for leaf, line, n in zip(*[part.column(x).to_pylist() for x in ("leaf", "line", "n")], strict=True):
+                for place, token in enumerate(line.split(" ")):
+                    if place >= DEPTH and token != "<*>":
+                        counts[leaf, place << 48 | xxhash.xxh64_intdigest(token, 42) & _LOW] += n
+            yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in counts], pa.int64()) for i in range(2)] + [pa.array(list(counts.values()), pa.int64())], names=["leaf", "token", "n"])
 
 
 def templates(lines: DataFrame) -> DataFrame:
-    """(leaf, line, template, alike, docs): each masked line and the template its leaf makes of it.
+    """(leaf, id, template, n) of lines (leaf, id, line, n), n texts having each: the template its leaf makes of a line.
 
-    A token stays where enough documents have it at its place in the leaf; any other is a variable field.  That is decided from
-    counts alone, so templates don't depend on the order of lines or on how they're spread.
+    A token stays where DOMINANT of the leaf's lines have it at its place; any other is a variable field.  That is decided from
+    counts alone, so templates don't depend on the order of lines or on how they're spread, and as shares, so they don't loosen as
+    a corpus grows.  Lines with too many fields for their tokens beyond the leading ones have no template.
     """
-    counted = lines.groupBy("leaf", "line", "likeness").agg(F.count("*").alias("docs")).groupBy("leaf", "line").agg(F.count("*").alias("alike"), F.sum("docs").alias("docs"))
-    counted = materialise(counted.withColumn("id", F.xxhash64("line")), "lines")
-    own = counted.select("leaf", "id", "line", "alike")
-    kept = own.mapInArrow(_token_counts, "leaf long, place int, token string, n long").groupBy("leaf", "place", "token").agg(F.sum("n").alias("n")).where((F.col("n") >= RECURS) & (F.col("token") != _MARK.decode())).select("leaf", "place", "token")
-    fields = own.mapInArrow(_doubtful, "leaf long, id long, place int, token string").join(kept, ["leaf", "place", "token"], "left_anti").groupBy("leaf", "id").agg(F.collect_list("place").alias("fields"))
+    totals = lines.groupBy("leaf").agg(F.sum("n").alias("total"), F.count("*").alias("many")).where((F.col("total") >= RECURS) & (F.col("many") > 1)).select("leaf", "total")
+    counts = lines.select("leaf", "line", "n").join(totals.select("leaf"), "leaf", "left_semi").mapInArrow(_token_counts, "leaf long, token long, n long").groupBy("leaf", "token").agg(F.sum("n").alias("n")).where(F.col("n") >= RECURS)
+    constant = counts.join(totals, "leaf").where(F.col("n") >= DOMINANT * F.col("total")).groupBy("leaf").agg(F.collect_list("token").alias("constants"))
+    words = F.split("line", " ")
+    token = lambda t, i: F.shiftleft(i.cast("long"), 48).bitwiseOR(F.xxhash64(t).bitwiseAND(F.lit(_LOW)))
+    masked = F.transform(words, lambda t, i: F.when((i < DEPTH) | (t == "<*>") | F.array_contains("constants", token(t, i)), t).otherwise(F.lit("<>")))
+    made = lines.join(constant, "leaf").select("leaf", "id", "n", masked.alias("made"))
+    fields, marks, size = (F.size(F.filter("made", lambda t: t == "<>")), F.size(F.filter("made", lambda t: t == "<*>")), F.size("made"))
+    return made.where((fields <= (1 - CONSTANT) * F.greatest(size - DEPTH, F.lit(0))) & (size - fields - marks >= CONSTANT * size)).select("leaf", "id", F.xxhash64("made").alias("template"), "n")
+
+
+def grouped(lines: DataFrame) -> DataFrame:
+    """(leaf, id, group, size): the masked lines that RECURS distinct texts have, as they are or as a template; of one template, one group."""
+    counted = materialise(lines.groupBy("leaf", "id", "digest").agg(F.first("line").alias("line")).groupBy("leaf", "id").agg(F.first("line").alias("line"), F.count("*").alias("n")), "counted")
     words = F.split("line", " ")
-    masked = F.transform(words, lambda t, i: F.when(F.array_contains("fields", i), _MARK.decode()).otherwise(t))
-    made = counted.join(fields, ["leaf", "id"], "left").withColumn("fields", F.coalesce("fields", F.expr("cast(array() as array<int>)")))
-    return made.where(F.size("fields") <= (1 - CONSTANT) * F.size(words)).select("leaf", "line", F.xxhash64(masked).alias("template"), "alike", "docs")
+    size, marks = F.size(words), F.size(F.filter(words, lambda t: t == "<*>"))
+    made = materialise(templates(counted), "templates")
+    several = made.groupBy("leaf", "template").agg(F.sum("n").alias("n"), F.count("*").alias("many")).where((F.col("n") >= RECURS) & (F.col("many") > 1)).select("leaf", "template")
+    alike = made.join(several, ["leaf", "template"]).select("leaf", "id", F.col("template").alias("group"))
+    alone = counted.where((F.col("n") >= RECURS) & (size - marks >= CONSTANT * size)).join(alike, ["leaf", "id"], "left_anti").select("leaf", "id", F.col("id").alias("group"))
+    return alike.union(alone).join(counted.select("leaf", "id", size.alias("size")), ["leaf", "id"])
+
+
+def evidence(lines: DataFrame, groups: DataFrame, recurring: DataFrame) -> DataFrame:
+    """(leaf, group, n): in how many distinct texts that are otherwise their own a line of each group stands.
+
+    Of such a text, OWN of the bytes beside the line at least lie in lines whose sketch doesn't recur.  Near copies share most
+    of their lines but for a few edits, so however many there are of a text, they don't make its lines boilerplate; nor do copies,
+    which are one text.
+    """
+    one = lines.select("digest", "all", "leaf", "sketch", "id", "bytes").distinct()
+    one = materialise(one.join(recurring.select(F.col("h").alias("sketch"), F.lit(True).alias("shared")), "sketch", "left"), "flagged").na.fill(False, ["shared"])
+    common = F.when(F.col("shared"), F.col("bytes")).otherwise(0)
+    of = one.groupBy("digest").agg(F.sum(common).alias("common"))
+    rest = F.col("all") - F.col("bytes")
+    own = rest - (F.col("common") - common)
+    held = one.join(groups.select("leaf", "id", "group"), ["leaf", "id"]).join(of, "digest")
+    return held.where((own > 0) & (own >= OWN * rest)).groupBy("leaf", "group").agg(F.count("*").alias("n"))
+
+
+def recurring_lines(lines: DataFrame, recurring: DataFrame) -> DataFrame:
+    """(leaf, id): the masked lines of groups that recur in texts which are otherwise their own."""
+    groups = materialise(grouped(lines.join(recurring.withColumnRenamed("h", "leaf"), "leaf", "left_semi")), "line-groups")
+    sized = groups.groupBy("leaf", "group").agg(F.first("size").alias("size")).join(evidence(lines, groups, recurring), ["leaf", "group"]).where(F.col("n") >= RECURS)
+    sized = materialise(sized, "evidence")
+    short = sized.where(F.col("size") <= DEPTH).groupBy("size").agg(F.sum("n").alias("of"))  # a row for each size up to DEPTH
+    kept = sized.join(F.broadcast(short), "size", "left").where((F.col("size") > DEPTH) | (F.col("n") >= SHORT_SHARE * F.col("of")))
+    return groups.join(kept.select("leaf", "group"), ["leaf", "group"], "left_semi").select("leaf", "id")
 
 
 def boilerplate(docs: DataFrame) -> DataFrame:
-    """(key, lines): numbers of the lines of each document whose template recurs across documents."""
-    leaves = _leaves(docs).groupBy("leaf", "likeness").agg(F.sum("n").alias("n")).groupBy("leaf").agg(F.count("*").alias("alike"), F.sum("n").alias("docs"))
-    leaves = materialise(leaves.where(F.col("alike") >= RECURS).select("leaf"), "leaves")
-    lines = materialise(_lines(docs, leaves), "lines")
-    made = materialise(templates(lines), "templates")
-    recurring = made.groupBy("leaf", "template").agg(F.sum("alike").alias("alike"), F.sum("docs").alias("docs")).where(_recurs()).select("leaf", "template")
-    dropped = made.join(recurring, ["leaf", "template"]).select("leaf", "line")
-    return lines.join(dropped, ["leaf", "line"], "left_semi").groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("lines"))
+    """(digest, lines): of each distinct text the numbers of the lines whose template recurs across documents."""
+    recurring = materialise(_recurring(docs), "recurring")
+    lines = materialise(_lines(docs, recurring), "lines")
+    dropped = lines.join(recurring_lines(lines, recurring), ["leaf", "id"], "left_semi").groupBy("digest", "leaf", "id").agg(F.first("at").alias("at"))
+    return dropped.groupBy("digest").agg(F.flatten(F.collect_list("at")).alias("lines"))
 
 
 def _marked(docs: DataFrame) -> tuple[DataFrame, str]:
     """docs with the numbers of the lines to drop, and the name of that column."""
-    key, lines = free_name(docs, "__key"), free_name(docs, "__lines")
-    found = boilerplate(docs).select(F.col("key").alias(key), F.col("lines").alias(lines))
-    # merged by key at every size, so that the plan and what it moves don't change with the input
-    return docs.withColumn(key, row_key()).join(found.hint("merge"), key, "left").select(*docs.columns, lines), lines
+    name, lines = free_name(docs, "__digest"), free_name(docs, "__lines")
+    found = boilerplate(docs).select(F.col("digest").alias(name), F.col("lines").alias(lines))
+    # merged by text at every size, so that the plan and what it moves don't change with the input
+    return docs.withColumn(name, digest()).join(found.hint("merge"), name, "left").select(*docs.columns, lines), lines
 
 
 def _without(text: str | None, lines: list[int] | None) -> str | None:
@@ -181,9 +236,9 @@ def _left(part: pa.RecordBatch, lines: str) -> list[str | None]:
 def drop_boilerplate(docs: DataFrame) -> DataFrame:
     """docs, all rows and columns, without the lines whose template recurs across documents; n_chars, where there is one, follows.
 
-    A template recurs if documents of RECURS likenesses have it, and not only copies of a few documents: likenesses make
-    UNLIKE of its documents at least.  Lines of fewer than LEAST_TOKENS tokens stay, as do null and empty texts; a text of
-    nothing else becomes empty.  Rows with the same doc_id are one document and lose lines of the same numbers.
+    A template recurs if it stands in RECURS distinct texts that are otherwise their own (see evidence); one-word lines and others
+    that are all leading tokens must also be common among lines of their length.  Blank lines stay, as do null and
+    empty texts; a text of nothing else becomes empty.  Every row loses the lines of its own text, whatever other rows share its id.
     """
     names = docs.columns
     marked, lines = _marked(docs)

@@ -92,44 +92,70 @@ def private(text: str | None) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def boilerplate(texts: list[str | None], recurs: int, least: int, depth: int, constant: float, unlike: float) -> list[set[int]]:
-    """Numbers of the lines of each text whose template recurs."""
-
-    def masked(t: bytes) -> bytes:
-        return b"<*>" if re.search(rb"[0-9@]|://", t) else t
-
-    like = [min((zlib.crc32(w) for w in (t or "").encode().split()), default=0) for t in texts]
-    lines = []
-    for d, t in enumerate(texts):
-        for at, line in enumerate((t or "").encode().split(b"\n")):
-            tokens = [masked(x) for x in line.split()]
-            if len(tokens) >= least:
-                lines.append((d, at, (len(tokens), *tokens[:depth]), tuple(tokens)))
+def _least_run(line: str) -> int:
+    """The least hash of the runs of five tokens, or that of all tokens."""
+    odd, top = 0x9E3779B97F4A7C15, (1 << 64) - 1
+    words = [xxhash.xxh64_intdigest(t) for t in line.encode().split()]
+    found = []
+    for i in range(max(1, len(words) - 4)):
+        h = 0
+        for w in words[i : i + 5]:
+            h = (h * odd + w) & top
+        found.append((h ^ h >> 32) * odd & top)
+    return min(found)
+
+
+def boilerplate(texts: list[str | None], recurs: int = 3) -> list[set[int]]:
+    """Numbers of the lines of each text that recur, as they read or as a template, in texts that are otherwise their own."""
+
+    def read(line: str) -> tuple[str, ...]:
+        return tuple("<*>" if re.search("[0-9@]|://", t) else t for t in line.encode().decode("latin-1").split())
+
+    parsed = {t: [(at, read(x), len(x.encode())) for at, x in enumerate(t.split("\n")) if x.encode().split()] for t in {t or "" for t in texts}}
+    holders = defaultdict(set)
+    for t, lines in parsed.items():
+        for _, line, _ in lines:
+            holders[line].add(t)
+    leaf = lambda line: (len(line), line[:3])
     leaves = defaultdict(set)
-    for d, _, leaf, _ in lines:
-        leaves[leaf].add(like[d])
-    lines = [x for x in lines if len(leaves[x[2]]) >= recurs]
-    per_line = defaultdict(set)
-    for d, _, leaf, tokens in lines:
-        per_line[leaf, tokens].add(d)
-    alike = {k: len({like[d] for d in v}) for k, v in per_line.items()}
-    counts = Counter()
-    for (leaf, tokens), n in alike.items():
-        for place, token in enumerate(tokens):
-            counts[leaf, place, token] += n
-    template, total, docs = {}, Counter(), Counter()
-    for (leaf, tokens), n in alike.items():
-        made = tuple(t if counts[leaf, i, t] >= recurs and t != b"<*>" else b"<*>" for i, t in enumerate(tokens))
-        if made.count(b"<*>") <= (1 - constant) * len(made):
-            template[leaf, tokens] = made
-            total[leaf, made] += n
-            docs[leaf, made] += len(per_line[leaf, tokens])
-    out = [set() for _ in texts]
-    for d, at, leaf, tokens in lines:
-        made = template.get((leaf, tokens))
-        if made is not None and total[leaf, made] >= recurs and total[leaf, made] >= unlike * docs[leaf, made]:
-            out[d].add(at)
-    return out
+    for line, ts in holders.items():
+        leaves[leaf(line)] |= ts
+    words = lambda line: len(line) - line.count("<*>")
+    group = {x: (x,) for x in holders if len(holders[x]) >= recurs and words(x) >= 0.6 * len(x)}
+    same_leaf = defaultdict(list)
+    for x in holders:
+        if len(leaves[leaf(x)]) >= recurs:
+            same_leaf[leaf(x)].append(x)
+    for lines in same_leaf.values():
+        total, places, made = sum(len(holders[x]) for x in lines), Counter(), defaultdict(list)
+        for x in lines:
+            for p in enumerate(x):
+                places[p] += len(holders[x])
+        for x in lines:
+            m = tuple(t if i < 3 or t == "<*>" or (places[i, t] >= recurs and places[i, t] >= 0.3 * total) else None for i, t in enumerate(x))
+            if m.count(None) <= 0.4 * max(len(m) - 3, 0) and len(m) - m.count(None) - m.count("<*>") >= 0.6 * len(m):
+                made[m].append(x)
+        for m, same in made.items():
+            if len(same) > 1 and sum(len(holders[x]) for x in same) >= recurs:
+                group |= dict.fromkeys(same, ("template", m))
+    runs = defaultdict(set)
+    for t in parsed:
+        for line in t.split("\n"):
+            runs[_least_run(line)].add(t)
+    n = Counter()
+    for t, lines in parsed.items():
+        raw = t.split("\n")
+        first = {x: raw[at] for at, x, _ in reversed(lines)}  # of lines that read alike the first one's run counts
+        for line in {x for _, x, _ in lines if x in group}:
+            rest = [(x, b) for _, x, b in lines if x != line]
+            own = sum(b for x, b in rest if len(runs[_least_run(first[x])]) < recurs)
+            n[group[line]] += own > 0 and 2 * own >= sum(b for _, b in rest)
+    size = {of: len(x) for x, of in group.items()}
+    of = Counter()
+    for g, k in n.items():
+        of[size[g]] += k if k >= recurs else 0
+    gone = {x for x, g in group.items() if n[g] >= recurs and (size[g] > 3 or n[g] >= 0.02 * of[size[g]])}
+    return [{at for at, line, _ in parsed[t or ""] if line in gone} for t in texts]
 
 
 def best_cost(places: list[int], costs: list[int], width: int, each: int) -> float:
