@@ -58,10 +58,11 @@ def hit_words(text: str | None, items: dict[str, str], window: int = 10) -> tupl
     return hit, names
 
 
-def removed_bytes(docs: list[tuple[int, str | None]], length: int) -> dict[int, tuple[int, int, int, str]]:
-    """n_bytes, n_removed, n_spans and digest of each document, by trying every window in order."""
+def removed_bytes(docs: list[tuple[int, str | None]], length: int) -> dict[tuple[int, str | None], tuple[int, int, int, str]]:
+    """n_bytes, n_removed, n_spans and digest of each document, by trying every window in order; of one id, texts follow a hash of them."""
     seen, out = set(), {}
-    for doc, text in sorted(docs, key=lambda d: d[0]):
+    signed = lambda t: (h := xxhash.xxh64_intdigest(t, 42)) - (1 << 64) * (h >> 63)
+    for doc, text in sorted(set(docs), key=lambda d: (d[0], signed(d[1] or ""))):
         raw = (text or "").encode()
         gone = bytearray(len(raw))
         for s in range(len(raw) - length + 1):
@@ -70,7 +71,7 @@ def removed_bytes(docs: list[tuple[int, str | None]], length: int) -> dict[int,
             seen.add(raw[s : s + length])
         kept = bytes(b for b, g in zip(raw, gone, strict=True) if not g)
         spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
-        out[doc] = (len(raw), sum(gone), spans, hashlib.sha256(kept).hexdigest())
+        out[doc, text] = (len(raw), sum(gone), spans, hashlib.sha256(kept).hexdigest())
     return out
 
 

@@ -381,19 +381,61 @@ def test_tokenizer_words():
         assert words.encode(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
 
 
-@pytest.mark.parametrize("length, crowded", [(100, 1000), (40, 1000), (40, 1)])
-def test_repeats(spark, empty, rows, length, crowded, monkeypatch):
+@pytest.mark.parametrize("length, crowded, batch", [(100, 1000, 1 << 20), (40, 1000, 700), (40, 1, 700)])
+def test_repeats(spark, empty, rows, length, crowded, batch, monkeypatch):
+    """With one level and with many, and with anchors' windows beside each other and spread."""
     monkeypatch.setattr(suffix_index, "CROWDED", crowded)
-    monkeypatch.setattr(suffix_index, "TASK_ENTRIES", 50)
-    known = dict(r for r in rows if r[0] is not None)
-    frame = spark.createDataFrame([*known.items(), (9, known[9])], "doc_id long, text string").repartition(4)
-    want = brute.removed_bytes(list(known.items()), length)
+    monkeypatch.setattr(suffix_index, "TASK_ENTRIES", 60)
+    monkeypatch.setattr(suffix_index, "BATCH_BYTES", batch)
+    known = [r for r in rows if r[0] is not None]
+    base = known[7][1]
+    known += [(9, base[50:400] + " and more"), (9, "entirely " * 3 + base[20:300]), (9, known[5][1][:900])]
+    frame = spark.createDataFrame([*known, known[3]], "doc_id long, text string").repartition(4)
+    want = brute.removed_bytes(known, length)
     got = suffix_index.remove_repeats(frame, length).collect()
     assert len(got) == len(known) + 1 and sum(w[1] for w in want.values()) > 500
-    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted((i, *want[i, t]) for i, t in [*known, known[3]])
     assert suffix_index.remove_repeats(empty, length).count() == 0
 
 
+def test_repeats_keep_rows_of_one_id(spark):
+    """Rows that share an id but nothing else lose nothing."""
+    rng = random.Random(14)
+    a, b = ("".join(rng.choice("abcdefgh ") for _ in range(300)) for _ in range(2))
+    got = suffix_index.remove_repeats(spark.createDataFrame([(1, a), (2, a), (2, b)], "doc_id long, text string").repartition(2)).collect()
+    assert sorted((r.doc_id, r.n_removed) for r in got) == [(1, 0), (2, 0), (2, 300)]
+
+
+def test_suffix_levels():
+    """Levels are in the order of their bytes, hold each segment once under its first place, and their sizes fall."""
+    rng = np.random.default_rng(5)
+    pieces, first = rng.choice(np.frombuffer(b"ab", np.uint8), (12, 35)), {}
+    monkey, suffix_index.GRAM = suffix_index.GRAM, 6
+    try:
+        family = suffix_index.Levels(20)
+        for doc in rng.permutation(40):
+            raw = pieces[rng.integers(0, 12, 9)].ravel()
+            h, seg, at, begin, many = suffix_index._segments(raw, np.array([0, len(raw)]), 20)
+            entries = np.zeros(len(h), suffix_index.ENTRY)
+            entries["h"], entries["seg"], entries["n"], entries["at"], entries["pos"], entries["doc"] = h, seg, many, at, begin, doc
+            entries["left"], entries["right"] = at - begin, begin + many + 19 - at
+            for x, y in zip(begin, begin + many + 19, strict=True):
+                key = raw[x:y].tobytes()
+                first[key] = min(first.get(key, (99, 0)), (int(doc), int(x)))
+            family.add(raw, entries)
+            sizes = [len(x.entries) for x in family.levels]
+            assert all(a >= 2 * b for a, b in zip(sizes, sizes[1:], strict=False))
+        got = {}
+        for level in family.levels:
+            text = level.text.tobytes()
+            keys = [(text[e["at"] : e["at"] + e["right"]], e["left"], text[e["at"] - e["left"] : e["at"]]) for e in level.entries]
+            assert all(a[0] <= b[0] for a, b in zip(keys, keys[1:], strict=False)) and len(set(keys)) == len(keys)
+            got |= {left + right: (int(e["doc"]), int(e["pos"])) for e, (right, _, left) in zip(level.entries, keys, strict=True)}
+        assert got == first and sum(map(len, family.repeats)) > 50
+    finally:
+        suffix_index.GRAM = monkey
+
+
 def test_repeats_without_ids(docs, rows):
     assert suffix_index.remove_repeats(docs, 100, with_bytes=True).count() == len(rows)
 
@@ -405,7 +447,7 @@ def test_repeats_in_long_text(spark, monkeypatch):
     a = "".join(rng.choice("abcd ") for _ in range(9000))
     rows = [(2, a + a[1000:5000]), (1, a[2500:3500]), (3, "ab" * 4000)]
     got = suffix_index.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 100).collect()
-    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == brute.removed_bytes(rows, 100)
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == {i: v for (i, _), v in brute.removed_bytes(rows, 100).items()}
 
 
 def test_fm_index():
