@@ -45,11 +45,11 @@ def clear(spark: SparkSession) -> None:
     path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write to the shared folder and read again: cuts lineage, and survives a lost executor."""
     spark = df.sparkSession
     path = table_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

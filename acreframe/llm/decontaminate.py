@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
@@ -12,7 +11,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acreframe.llm.common import slices
+from acreframe.llm.common import free_name, materialise, slices
 from acreframe.llm.fm_index import FMIndex
 
 #: Bytes that aren't part of a word become spaces, A-Z become a-z.
@@ -20,9 +19,10 @@ _FOLD = bytes(32 if not (48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c >
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
-#: Text of a shard, and test text that is held at a time.
+#: Text of a shard, test text of a block of queries, and test text that a pass over the documents holds.
 SHARD_BYTES = 2 << 20
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
+PASS_BYTES = 16 << 20
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -30,137 +30,160 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class Windows:
-    """The distinct windows of a block of test items: phrases by length, and the items of each."""
+    """The distinct windows of a block of test items: phrases by length, and the items of each, as arrays."""
 
     def __init__(self, items: list[tuple[str | None, str | None]], window: int) -> None:
-        self.vocabulary: dict[bytes, int] = {}
+        ids: dict[bytes, int] = {}
         owners: dict[tuple[int, ...], set[str]] = {}
         for item, text in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)]
-            for k in range(max(1, len(ids) - window + 1) if ids else 0):
-                owners.setdefault(tuple(ids[k : k + window]), set()).update([] if item is None else [item])
+            words = [ids.setdefault(w, len(ids)) for w in words_of(text)]
+            for k in range(max(1, len(words) - window + 1) if words else 0):
+                owners.setdefault(tuple(words[k : k + window]), set()).update([] if item is None else [item])
+        self.vocabulary = list(ids)
         self.names = sorted({x for found in owners.values() for x in found})
         number = {x: i for i, x in enumerate(self.names)}
         by_length: dict[int, list[tuple[int, ...]]] = {}
         for phrase in sorted(owners):
             by_length.setdefault(len(phrase), []).append(phrase)
-        self.groups = [(n, np.array(p, np.int32), [np.array(sorted(number[x] for x in owners[q]), np.int64) for q in p]) for n, p in sorted(by_length.items())]
-        self.shortest = min(by_length, default=0)
-
-
-def _find(texts: list[str | None], windows: Windows) -> tuple[list[int], list[np.ndarray], list[list[str]]]:
-    """For each text: its number of words, which are hit, and the names of the items found."""
-    ids: list[int] = []
-    counts, get = [], windows.vocabulary.get
-    for text in texts:
-        words = words_of(text)
-        counts.append(len(words))
-        ids.extend([get(w, 0) for w in words])
-        ids.append(0)
-    line = np.array(ids, np.int32)
-    starts = np.concatenate(([0], np.cumsum(np.array(counts, np.int64) + 1)))
-    cover = np.zeros(len(line) + 1, np.int64)
-    found: list[tuple[np.ndarray, np.ndarray]] = []
-    # Only runs of words that the items use, as long as the shortest window, can hold a window: these are what is indexed.
-    edge = np.diff(np.concatenate(([0], (line > 0).astype(np.int8), [0])))
-    begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    long = (end - begin >= windows.shortest) if windows.groups else np.zeros(len(begin), bool)
-    begin, end = begin[long], end[long]
-    if len(begin):
-        keep = np.zeros(len(line) + 1, np.int32)
-        np.add.at(keep, begin, 1)
-        np.add.at(keep, end + 1, -1)  # the zero behind a run closes it
-        place = np.flatnonzero(np.cumsum(keep)[:-1] > 0)
-        index = FMIndex(line[place])
-        for n, phrases, owners in windows.groups:
-            lo, hi = index.search(phrases)
-            hit = np.flatnonzero(hi > lo)
-            if not len(hit):
+        self.groups = []
+        for _, phrases in sorted(by_length.items()):
+            many = np.array([len(owners[p]) for p in phrases])
+            self.groups.append((np.array(phrases, np.int32), np.cumsum(many) - many, many, np.array([number[x] for p in phrases for x in sorted(owners[p])], np.int64)))
+
+
+class Shard:
+    """The FM-index of some texts, over all their words."""
+
+    def __init__(self, texts: list[str | None]) -> None:
+        self.vocabulary: dict[bytes, int] = {}
+        ids: list[int] = []
+        known, counts = self.vocabulary.setdefault, []
+        for text in texts:
+            words = words_of(text)
+            counts.append(len(words))
+            ids += [known(w, len(self.vocabulary) + 1) for w in words]
+            ids.append(0)
+        self.counts = np.array(counts, np.int64)
+        self.starts = np.concatenate(([0], np.cumsum(self.counts + 1)))
+        self.index = FMIndex(np.array(ids, np.int32))
+
+    def find(self, windows: Windows, cover: np.ndarray, names: list[set[str]]) -> None:
+        """Search a block of windows: adds to cover where hits begin and end, and to names the items of each text."""
+        ids = np.array([self.vocabulary.get(w, 0) for w in windows.vocabulary], np.int32)
+        for phrases, first, many, owners in windows.groups:
+            mine = ids[phrases]
+            known = np.flatnonzero((mine > 0).all(axis=1))
+            if not len(known):
                 continue
-            many = hi[hit] - lo[hit]
-            rows = np.repeat(lo[hit], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            at = place[index.locate(rows)]
+            lo, hi = self.index.search(mine[known])
+            found = np.flatnonzero(hi > lo)
+            times = hi[found] - lo[found]
+            rows = np.repeat(lo[found], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            at = self.index.locate(rows)
             np.add.at(cover, at, 1)
-            np.add.at(cover, at + n, -1)
-            doc = np.searchsorted(starts, at, side="right") - 1
-            phrase = np.repeat(hit, many)
-            pairs = np.unique(doc * len(phrases) + phrase)
-            for d, p in zip(pairs // len(phrases), pairs % len(phrases), strict=True):
-                found.append((np.full(len(owners[p]), d), owners[p]))
-    covered = np.cumsum(cover)[:-1] > 0
-    names: list[set[int]] = [set() for _ in texts]
-    for docs, items in found:
-        if len(items):
-            names[int(docs[0])].update(items.tolist())
-    return counts, [covered[starts[i] : starts[i] + n] for i, n in enumerate(counts)], [[windows.names[x] for x in s] for s in names]
-
-
-def _search(texts: list[str | None], blocks: list[Broadcast]) -> list[tuple[int, np.ndarray, set[str]]]:
-    whole: list[tuple[int, np.ndarray, set[str]]] = []
+            np.add.at(cover, at + phrases.shape[1], -1)
+            doc = np.searchsorted(self.starts, at, side="right") - 1
+            for d, p in np.unique(np.stack((doc, np.repeat(known[found], times)), axis=1), axis=0).tolist():
+                names[d].update(windows.names[x] for x in owners[first[p] : first[p] + many[p]])
+
+
+def _marks(texts: list[str | None], blocks: list[Windows]) -> list[tuple[int, np.ndarray, set[str]]]:
+    """For each text: its number of words, which of them are hit, and the items found.  The shard is indexed once, for all blocks."""
+    shard, names = Shard(texts), [set() for _ in texts]
+    cover = np.zeros(int(shard.starts[-1]) + 1, np.int64)
     for block in blocks:
-        counts, hits, names = _find(texts, block.value)
-        whole = [(n, h if not whole else h | whole[i][1], set(s) | (whole[i][2] if whole else set())) for i, (n, h, s) in enumerate(zip(counts, hits, names, strict=True))]
-    return whole or [(len(words_of(t)), np.zeros(0, bool), set()) for t in texts]
+        shard.find(block, cover, names)
+    hit = np.cumsum(cover) > 0
+    return [(n, hit[a : a + n], s) for n, a, s in zip(shard.counts.tolist(), shard.starts.tolist(), names, strict=False)]
 
 
-def _without(text: str, hit: np.ndarray) -> str:
-    """The text without the merged spans of hit words: from the first to the last word of each run."""
+def _without(text: str, runs: list[dict]) -> str:
+    """The text without runs of hit words: from the first to the last word of each."""
     spans = [m.span() for m in _WORD.finditer(text.translate(_LOWER))]
-    edge = np.diff(np.concatenate(([0], hit.astype(np.int8), [0])))
     kept, at = [], 0
-    for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True):
-        kept.append(text[at : spans[a][0]])
-        at = spans[b - 1][1]
+    for r in runs:
+        kept.append(text[at : spans[r["start"]][0]])
+        at = spans[r["end"] - 1][1]
     return "".join([*kept, text[at:]])
 
 
-def _blocks(benchmark: DataFrame, window: int) -> list[Broadcast]:
-    """Broadcasts of the test items, each of about BLOCK_BYTES of text at most; they are used one after another."""
-    spark = benchmark.sparkSession
+def _passes(benchmark: DataFrame, window: int) -> Iterator[list[Windows]]:
+    """Blocks of test items, of each pass over the documents in turn; their size is taken first, so the driver holds PASS_BYTES of text at most."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text")).where("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-size // BLOCK_BYTES)
-    part = F.pmod(F.xxhash64("item", "text"), F.lit(max(1, n)))
-    return [spark.sparkContext.broadcast(Windows([tuple(r) for r in items.where(part == k).collect()], window)) for k in range(n)]
+    n = max(1, -(-size // BLOCK_BYTES))
+    part = F.pmod(F.xxhash64("item", "text"), F.lit(n))
+    each = max(1, PASS_BYTES // BLOCK_BYTES)
+    for at in range(0, n, each):
+        yield [Windows([tuple(r) for r in items.where(part == k).collect()], window) for k in range(at, min(n, at + each))]
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """Which words of documents(doc_id, text) lie in a window of benchmark(item_id, text).
+def marked(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> tuple[DataFrame, str, str, str]:
+    """docs with three more columns, and their names: words of the text, runs (start, end) of hit ones, and the items found (sorted).
 
-    A window is `window` consecutive words of an item, or all words of a shorter one.  Each slice of a partition is a
-    shard with an index of its own; nothing is shuffled.  The items are a stated query set: they're searched in blocks of
-    bounded size, against all rows.  Returns doc_id, n_words, n_hit, n_items, items_sha256 (of the sorted ids, comma-joined;
-    of nothing where none is found) and contaminated.  A null or empty text has no words; null ids are returned as they are, and
-    an item without an id marks words but isn't counted.  Repeated rows each get their row; other columns are ignored.
+    Each slice of a partition is a shard with an index of its own, which all blocks of a pass are searched in; nothing is shuffled.
+    A benchmark of up to PASS_BYTES of text takes one pass.  A larger one takes several, each with a broadcast that is freed
+    behind it, and between them the documents are written with what was found so far.
     """
-    blocks = _blocks(benchmark, window)
+    words, runs, items = (free_name(docs, x) for x in ("__words", "__runs", "__items"))
+    spark, names = docs.sparkSession, docs.columns
+    state = ((words, "long"), (runs, "array<struct<start:bigint,end:bigint>>"), (items, "array<string>"))
+    out = docs.select("*", *[F.lit(None).cast(kind).alias(name) for name, kind in state])
+    types = (pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.list_(pa.string()))
+
+    def search(held: Broadcast):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in slices(batch, size=SHARD_BYTES):
+                    found = []
+                    for (n, hit, own), old, known in zip(_marks(part.column("text").to_pylist(), held.value), part.column(runs).to_pylist(), part.column(items).to_pylist(), strict=True):
+                        for r in old or []:
+                            hit[r["start"] : r["end"]] = True
+                        edge = np.diff(np.concatenate(([0], hit.astype(np.int8), [0])))
+                        spans = zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True)
+                        found.append((n, [{"start": a, "end": b} for a, b in spans], sorted(own.union(known or []))))
+                    columns = [pa.array(x, t) for x, t in zip(zip(*found, strict=True), types, strict=True)]
+                    yield pa.RecordBatch.from_arrays([*[part.column(x) for x in names], *columns], names=[*names, words, runs, items])
+
+        return run
+
+    last = None
+    for blocks in _passes(benchmark, window):
+        if last is not None:
+            out = materialise(out, "marked")
+            last.destroy()
+        last = spark.sparkContext.broadcast(blocks)
+        out = out.mapInArrow(search(last), out.schema)
+    return out, words, runs, items
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, size=SHARD_BYTES):
-                found = _search(part.column("text").to_pylist(), blocks)
-                hits = [int(h.sum()) for _, h, _ in found]
-                columns = [part.column(0), pa.array([n for n, _, _ in found], pa.int64()), pa.array(hits, pa.int64()), pa.array([len(s) for *_, s in found], pa.int64())]
-                columns += [pa.array([hashlib.sha256(",".join(sorted(s)).encode()).hexdigest() for *_, s in found], pa.string()), pa.array([h > 0 for h in hits], pa.bool_())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
+    """Which words of documents(doc_id, text) lie in a window of benchmark(item_id, text).
+
+    A window is `window` consecutive words of an item, or all words of a shorter one.  The items are a stated query set,
+    searched in blocks against all rows (see marked).  Returns doc_id, n_words, n_hit, n_items, items_sha256 (of the sorted ids,
+    comma-joined; of nothing where none is found) and contaminated.  A null or empty text has no words; null ids are returned as they
+    are, and an item without an id marks words but isn't counted.  Repeated rows each get their row; other columns are ignored.
+    """
+    found, words, runs, items = marked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), benchmark, window)
+    hits = F.aggregate(runs, F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    found = found.select("doc_id", F.col(words).alias("n_words"), hits.alias("n_hit"), F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"))
+    return found.withColumn("contaminated", F.col("n_hit") > 0)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """docs, all rows and columns, with the spans of words that lie in a window of the benchmark cut out of text; n_chars, where there is one, follows."""
-    blocks = _blocks(benchmark, window)
+    found, _, runs, _ = marked(docs, benchmark, window)
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, size=SHARD_BYTES):
-                texts = part.column("text").to_pylist()
-                clean = [_without(t, h) if h.any() else t for t, (_, h, _) in zip(texts, _search(texts, blocks), strict=True)]
+            for part in slices(batch):
+                clean = [_without(t, r) if r else t for t, r in zip(part.column("text").to_pylist(), part.column(runs).to_pylist(), strict=True)]
                 columns = [pa.array(clean, pa.string()) if x == "text" else pa.array([None if t is None else len(t) for t in clean], part.column(x).type) if x == "n_chars" else part.column(x) for x in names]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return found.mapInArrow(run, docs.schema)
 
 
 CONTAMINATION_SQL = r"""

@@ -8,31 +8,33 @@ import numpy as np
 def suffix_array(seq: np.ndarray) -> np.ndarray:
     """Order of the suffixes of seq, whose zeros are separators: each counts as a symbol of its own, in order of position.
 
-    Prefix doubling that sorts again only the suffixes whose group isn't settled; comparisons end at a separator, so the
-    last element must be one.
+    Prefix doubling from three symbols on that sorts again only the suffixes whose group isn't settled; comparisons end at a
+    separator, so the last element must be one.
     """
     n = len(seq)
     gaps = np.flatnonzero(seq == 0)
     rank = seq.astype(np.int64) + len(gaps)
     rank[gaps] = np.arange(len(gaps))
-    order = np.argsort(rank, kind="stable")
-    live, h = order, 0
-    sa = order.copy()
-    keys = rank[order]
+    base = int(rank.max(initial=0)) + 1
+    h = 3 if base < 1 << 20 else 1
+    keys = rank
+    for k in range(1, h):
+        keys = keys * base + np.concatenate((rank[k:], np.zeros(min(k, n), np.int64)))[:n]
+    sa = np.argsort(keys, kind="stable")
+    live, keys = sa.copy(), keys[sa]
     first = np.concatenate(([True], keys[1:] != keys[:-1]))
     group_at = np.arange(n)
     while True:
         # live: suffixes in order; first: where a new group starts; group_at: the slot in sa of each.
         starts = np.flatnonzero(first)
-        head = np.repeat(group_at[starts], np.diff(np.append(starts, len(live))))
+        many = np.diff(np.append(starts, len(live)))
+        head, more = np.repeat(group_at[starts], many), np.repeat(many > 1, many)
         rank[live] = head
-        size = np.repeat(np.diff(np.append(starts, len(live))), np.diff(np.append(starts, len(live))))
-        more = size > 1
         if not more.any():
             return sa
         live, group_at, head = live[more], group_at[more], head[more]
-        h = 2 * h or 1
         then = rank[live + h]
+        h *= 2
         again = np.lexsort((then, head))
         live, then, head = live[again], then[again], head[again]
         sa[group_at] = live

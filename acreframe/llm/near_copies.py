@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acreframe.llm.common import bit_table, in_table, materialise, row_key, slices
+from acreframe.llm.common import bit_table, digest, in_table, materialise, row_key, slices
 from acreframe.llm.components import components
 from acreframe.llm.simhash import keep_first
 
@@ -53,7 +53,7 @@ def _common(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _prints(docs: DataFrame, length: int, percent: int) -> DataFrame:
-    """(key, doc_id, id, n, prefix) of each row: id names its shingle set of n; prefix: its first shingles, common ones ordered last.
+    """(key, digest, doc_id, id, n, prefix) of each row: id names its shingle set of n; prefix: its first shingles, common ones ordered last.
 
     Sets of a similarity of `percent` share percent of the larger one at least, so in any one order of all shingles, the first
     n - ceil(percent n) + 1 of each can't be disjoint.
@@ -70,11 +70,11 @@ def _prints(docs: DataFrame, length: int, percent: int) -> DataFrame:
                     ids.append(_name(own))
                     many.append(len(own))
                     first.append(np.concatenate((own[~late], own[late]))[: len(own) - -(-percent * len(own) // 100) + 1].view(np.int64))
-                columns = [part.column(0), part.column(1), pa.array(ids, pa.int64()), pa.array(many, pa.int64()), pa.array(first, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "doc_id", "id", "n", "prefix"])
+                columns = [*part.columns[:3], pa.array(ids, pa.int64()), pa.array(many, pa.int64()), pa.array(first, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "digest", "doc_id", "id", "n", "prefix"])
 
-    rows = docs.select(row_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "key long, doc_id long, id long, n long, prefix array<long>")
+    rows = docs.select(row_key().alias("key"), digest().alias("digest"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, "key long, digest binary, doc_id long, id long, n long, prefix array<long>")
 
 
 def _buckets(prints: DataFrame) -> DataFrame:
@@ -174,7 +174,7 @@ def similar_links(docs: DataFrame, prints: DataFrame, length: int = 5, percent:
 def similar_groups(docs: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:
     """Group documents(doc_id, text) whose sets of word shingles are linked by steps of a Jaccard similarity of `percent` at least.
 
-    Returns key, doc_id, group and component_id, the least doc_id of the group.  Texts of equal sets are merged first; null and
+    Returns key, digest, doc_id, group and component_id, the least doc_id of the group.  Texts of equal sets are merged first; null and
     empty texts have the same set.  A row without doc_id never names its group unless all its group's ids are null (then null).
     """
     prints = materialise(_prints(docs, length, percent), "prints")
@@ -182,7 +182,7 @@ def similar_groups(docs: DataFrame, length: int = 5, percent: int = 80) -> DataF
     least = prints.groupBy("id").agg(F.min("doc_id").alias("least"))
     named = least.join(roots, "id", "left").select("id", "least", F.coalesce("root", "id").alias("group"))
     of = materialise(named.join(named.groupBy("group").agg(F.min("least").alias("component_id")), "group").select("id", "group", "component_id"), "groups")
-    return prints.select("key", "doc_id", "id").join(of, "id").select("key", "doc_id", "group", "component_id")
+    return prints.select("key", "digest", "doc_id", "id").join(of, "id").select("key", "digest", "doc_id", "group", "component_id")
 
 
 def drop_similar(docs: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acreframe.llm.common import documents
+from acreframe.llm.common import documents, materialise
 from acreframe.llm.decontaminate import CONTAMINATION_SQL, contamination
 from acreframe.llm.line_crf import score_documents
 from acreframe.llm.packing import pack_documents
@@ -27,7 +27,7 @@ def tokenizer(name: str) -> str:
 
 
 def op1_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode_media(store_media(documents(spark, sf_dir)))
+    return decode_media(materialise(store_media(documents(spark, sf_dir)), "media", compression="zstd"))
 
 
 def op2_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +51,7 @@ def op6_token_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_groups(documents(spark, sf_dir), shingle=3, radius=2, seed=42).drop("key")
+    return simhash_groups(documents(spark, sf_dir), shingle=3, radius=2, seed=42).drop("key", "digest")
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

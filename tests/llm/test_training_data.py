@@ -287,6 +287,10 @@ def test_covering_masks():
     masks = simhash.covering_masks(2)
     assert len(masks) == 7
     assert all(any(not m >> a & 1 and not m >> b & 1 for m in masks) for a in range(64) for b in range(a))
+    for m in masks:
+        free = [i for i in range(64) if not m >> i & 1]
+        further = simhash.covering_masks(2, m)
+        assert all(x & m == m != x for x in further) and all(any(not x >> a & 1 and not x >> b & 1 for x in further) for a in free for b in free)
 
 
 def test_simhash(docs, empty, rows):
@@ -316,20 +320,20 @@ def test_components(spark):
     assert got == {n: nodes[g] for n, g in zip(nodes, first, strict=True)}
 
 
-def test_simhash_links(spark):
-    """A crowd of fingerprints around a few centres: links connect what pairs within two bits connect."""
+@pytest.mark.parametrize("radius, bucket", [(2, 64), (2, 4), (1, 4), (3, 16)])
+def test_simhash_links(spark, radius, bucket, monkeypatch):
+    """A crowd of fingerprints around a few centres: links are the pairs within the radius."""
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
     rng = random.Random(4)
     prints = [0, 1, 3, 7, 1 << 63]
     for _ in range(6):
         centre = rng.getrandbits(64)
         prints += [centre ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))) for _ in range(40)]
     prints = sorted({simhash._signed(p) for p in prints})
-    edges = simhash.links(spark.createDataFrame([(p,) for p in prints], "fp long")).collect()
+    edges = simhash.links(spark.createDataFrame([(p,) for p in prints], "fp long"), radius).collect()
     mask = (1 << 64) - 1
-    near = {(a, b) for a in prints for b in prints if a < b and ((a ^ b) & mask).bit_count() <= 2}
-    linked = {(min(r.u, r.v), max(r.u, r.v)) for r in edges}
-    assert linked <= near
-    assert brute.groups(prints, lambda a, b: (min(a, b), max(a, b)) in linked) == brute.groups(prints, lambda a, b: (min(a, b), max(a, b)) in near)
+    near = {(a, b) for a in prints for b in prints if a < b and ((a ^ b) & mask).bit_count() <= radius}
+    assert {(min(r.u, r.v), max(r.u, r.v)) for r in edges} == near
 
 
 def test_cuts():
@@ -462,9 +466,11 @@ def test_fm_index():
                 assert sorted(index.locate(np.arange(lo, hi)).tolist()) == [i for i in range(len(seq)) if seq[i : i + n].tolist() == p.tolist()]
 
 
-@pytest.mark.parametrize("block", [16 << 20, 60])
-def test_contamination(spark, docs, empty, rows, block, monkeypatch):
+@pytest.mark.parametrize("block, held", [(4 << 20, 16 << 20), (60, 120)])
+def test_contamination(spark, docs, empty, rows, block, held, monkeypatch):
+    """In one pass of one block, and in several passes of several."""
     monkeypatch.setattr(de, "BLOCK_BYTES", block)
+    monkeypatch.setattr(de, "PASS_BYTES", held)
     items = {"7": PHRASE, "12": "wise Owls", "30": "unknown words here", "8": PHRASE[4:]}
     bench = spark.createDataFrame([*[(int(k), v) for k, v in items.items()], (40, None), (41, ""), (None, "public report on")], "item_id long, text string")
     got = by_id(de.contamination(docs, bench))
