@@ -16,6 +16,8 @@ from acreframe.llm.common import slices
 _KINDS = np.array([3 if chr(c) in " \t\r\n" else 0 if 97 <= c <= 122 else 1 if 65 <= c <= 90 else 2 if 48 <= c <= 57 else 8 if c >= 128 else 5 if c == 33 else 6 if c == 124 else 4 if chr(c) in ".,;:'\"?-()" else 7 for c in range(256)], np.uint8)
 OWN = 14
 FEATURES = 3 * OWN
+#: Log odds against the label of its document from which on a line is given the other one, and the part of a document that others may make.
+MARGIN, MINORITY = 1.0, 0.5
 
 
 def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -109,33 +111,69 @@ class LineModel:
         return _sigmoid(self.slope * self.odds(texts) + self.level) if texts else np.zeros(0)
 
 
-def train(texts: list[str | None], labels: np.ndarray, rounds: int = 80, ridge: float = 1.0) -> LineModel:
-    """Fit the field by gradient ascent on the likelihood of the line labels, which are those of the document."""
-    features, _, many = line_features(texts)
-    mean, scale = features.mean(axis=0), features.std(axis=0)
-    scale[scale < 1e-9] = 1
-    x = (features - mean) / scale
-    y = np.repeat(labels.astype(np.float64), many)
+def likelihood(theta: np.ndarray, x: np.ndarray, y: np.ndarray, many: np.ndarray, ridge: float = 1.0) -> tuple[float, np.ndarray]:
+    """Log likelihood of the line labels y under theta (weights, bias and the four steps), less the ridge, and its gradient."""
     inner = np.ones(len(x), bool)
-    inner[np.cumsum(many) - 1] = False  # lines that have a next one
-    now = np.flatnonzero(inner)
+    inner[np.cumsum(many) - 1] = False
+    now, last = np.flatnonzero(inner), np.flatnonzero(~inner)  # lines that have a next one, and those that don't
     seen = np.array([[np.sum((1 - y[now]) * (1 - y[now + 1])), np.sum((1 - y[now]) * y[now + 1])], [np.sum(y[now] * (1 - y[now + 1])), np.sum(y[now] * y[now + 1])]])
+    move = theta[-4:].reshape(2, 2)
+    score = x @ theta[:-5] + theta[-5]
+    ahead, behind = _sweep(score, many, move, True), _sweep(score, many, move, False)
+    p = _sigmoid(ahead + score + behind)
+    a, b = (ahead + score)[now], (score + behind)[now + 1]
+    joint = np.stack([np.full(len(now), move[0, 0]), b + move[0, 1], a + move[1, 0], a + b + move[1, 1]])
+    joint = np.exp(joint - joint.max(axis=0, initial=-np.inf))
+    joint = (joint / joint.sum(axis=0)).sum(axis=1).reshape(2, 2)
+    total = np.sum(np.logaddexp(a + move[1, 0], move[0, 0])) + np.sum(np.logaddexp(0, (ahead + score)[last]))
+    value = np.sum(score * y) + np.sum(seen * move) - total - ridge / 2 * theta @ theta
+    return float(value), np.concatenate((x.T @ (y - p), [np.sum(y - p)], (seen - joint).ravel())) - ridge * theta
+
+
+def _ascend(x: np.ndarray, y: np.ndarray, many: np.ndarray, rounds: int, ridge: float) -> np.ndarray:
     theta = np.zeros(x.shape[1] + 5)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for r in range(1, rounds + 1):
-        weight, bias, move = theta[:-5], theta[-5], theta[-4:].reshape(2, 2)
-        score = x @ weight + bias
-        ahead, behind = _sweep(score, many, move, True), _sweep(score, many, move, False)
-        p = _sigmoid(ahead + score + behind)
-        a, b = (ahead + score)[now], (score + behind)[now + 1]
-        joint = np.stack([np.full(len(now), move[0, 0]), b + move[0, 1], a + move[1, 0], a + b + move[1, 1]])
-        joint = np.exp(joint - joint.max(axis=0))
-        joint = (joint / joint.sum(axis=0)).sum(axis=1).reshape(2, 2)
-        slope = np.concatenate((x.T @ (y - p), [np.sum(y - p)], (seen - joint).ravel())) - ridge * theta
-        slope /= len(x)
+        slope = likelihood(theta, x, y, many, ridge)[1] / len(x)
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
         theta += 0.1 * (first / (1 - 0.9**r)) / (np.sqrt(second / (1 - 0.99**r)) + 1e-8)
-    model = LineModel(mean, scale, theta[:-5], float(theta[-5]), theta[-4:].reshape(2, 2))
+    return theta
+
+
+def line_labels(odds: np.ndarray, labels: np.ndarray, size: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Labels of lines that agree with those of their documents: a line whose log odds speak against its document's label by MARGIN
+    gets the other label, the clearest first, as long as such lines make less than MINORITY of the document's bytes."""
+    own = np.repeat(labels, many)
+    against = np.where(own > 0, -odds, odds)
+    doc = np.repeat(np.arange(len(many)), many)
+    order = np.lexsort((-against, doc))
+    length = (size + 1)[order]
+    first = np.cumsum(many) - many
+    taken = np.cumsum(length) - np.repeat((np.cumsum(length) - length)[first], many)
+    other = (against[order] >= MARGIN) & (taken < MINORITY * np.repeat(np.add.reduceat(size + 1, first), many))
+    out = own.astype(np.float64)
+    out[order[other]] = 1 - out[order[other]]
+    return out
+
+
+def train(texts: list[str | None], labels: np.ndarray, rounds: int = 80, turns: int = 2, ridge: float = 1.0) -> LineModel:
+    """Fit the field by gradient ascent on the likelihood of line labels, which are latent: only documents are labelled.
+
+    The first odds of a line come from its own features alone, with its document's label; line_labels makes labels of them, so steps
+    between good and bad lines within a document are seen.  Then the field is fitted and gives the next odds, `turns` times.
+    """
+    features, size, many = line_features(texts)
+    mean, scale = features.mean(axis=0), features.std(axis=0)
+    scale[scale < 1e-9] = 1
+    x = (features - mean) / scale
+    each = np.ones(len(x), np.int64)
+    theta = _ascend(x[:, :OWN], np.repeat(labels.astype(np.float64), many), each, rounds, ridge)
+    odds = x[:, :OWN] @ theta[:OWN] + theta[OWN]
+    for _ in range(turns):
+        theta = _ascend(x, line_labels(odds, labels, size, many), many, rounds, ridge)
+        model = LineModel(mean, scale, theta[:-5], float(theta[-5]), theta[-4:].reshape(2, 2))
+        good = np.clip(model.marginals(features, many), 1e-9, 1 - 1e-9)
+        odds = np.log(good / (1 - good))
     odds, line = model.odds(texts), np.zeros(2)
     for _ in range(25):  # Newton steps for the calibration
         p = _sigmoid(line[0] * odds + line[1])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 import sys
@@ -242,6 +243,44 @@ def test_field_marginals():
         assert np.allclose(got, np.concatenate((brute.marginals(score[:n], move), brute.marginals(score[n:], move))))
 
 
+def test_field_gradient():
+    """The gradient against differences, the likelihood against all labellings."""
+    rng = np.random.default_rng(7)
+    many = np.array([1, 4, 3])
+    x, y, theta = rng.normal(size=(8, 3)), rng.integers(0, 2, 8).astype(float), rng.normal(size=8)
+    value, slope = line_crf.likelihood(theta, x, y, many)
+    for i in range(8):
+        step = np.eye(8)[i] * 1e-5
+        assert abs((line_crf.likelihood(theta + step, x, y, many)[0] - line_crf.likelihood(theta - step, x, y, many)[0]) / 2e-5 - slope[i]) < 1e-5
+    score, move, want, at = x @ theta[:3] + theta[3], theta[4:].reshape(2, 2), -theta @ theta / 2, 0
+    for n in many:
+        weight = lambda labels: sum(s * l for s, l in zip(score[at : at + n], labels, strict=True)) + sum(move[int(a), int(b)] for a, b in zip(labels, labels[1:], strict=False))  # noqa: B023, E731, E741
+        want += weight(y[at : at + n]) - np.log(sum(np.exp(weight(z)) for z in itertools.product((0, 1), repeat=int(n))))
+        at += n
+    assert abs(value - want) < 1e-9
+
+
+def test_line_labels():
+    """Lines that speak against their document clearly get the other label, but never as much as half of it."""
+    many, size = np.array([4, 3, 1]), np.array([50, 20, 10, 40, 9, 50, 9, 30])
+    odds = np.array([3.0, -2, -0.5, 1, 4, 2, -3, 5])
+    assert line_crf.line_labels(odds, np.array([1, 0, 0]), size, many).tolist() == [1, 0, 1, 1, 1, 0, 0, 0]
+
+
+def test_mixed_documents(spark):
+    """Lines of junk in a good text are told from its others, and the other way round."""
+    sf = "/root/testdata/sf0.01"
+    texts = spark.read.parquet(f"{sf}/documents.parquet").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("length(text) < 20000").orderBy("doc_id").select("text", "quality").collect()
+    model = line_crf.train([r.text for r in texts], np.array([r.quality for r in texts]))
+    good = [r.text.split("\n")[0] for r in texts if r.quality == 1 and len(r.text.split("\n")[0]) > 80][:20]
+    bad = [r.text.split("\n")[-1] for r in texts if r.quality == 0 and len(r.text.split("\n")[-1]) > 80][:20]
+    right = 0
+    for g, b in zip(good, bad, strict=False):
+        features, _, many = line_crf.line_features(["\n".join([g, g[::-1], b, b[::-1]])])
+        right += int(np.sum((model.marginals(features, many) > 0.5) == [True, True, False, False]))
+    assert right >= 0.9 * 4 * min(len(good), len(bad))
+
+
 def test_quality(spark, docs, empty):
     frame, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     out = line_crf.score_documents(frame, labels).join(labels, "doc_id").where("held_out").collect()
