@@ -6,6 +6,7 @@ import base64
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +18,9 @@ SEGMENT = 256
 #: Fixed value: the pattern by which byte-level BPE vocabularies of this kind split text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: No pre-token reaches over these places, whatever stands further off: before a single space between other characters, and between a letter and a digit.
+_SURE = regex.compile(r"(?<=\S)(?= \S)|(?<=\p{L})(?=\p{N})|(?<=\p{N})(?=\p{L})")
+
 _counters: dict[str, Callable[[str], int]] = {}
 
 
@@ -33,34 +37,32 @@ def counter(path: str) -> Callable[[str], int]:
 
 
 def segments(text: str, size: int = SEGMENT) -> list[str]:
-    """Cut before single spaces between characters that aren't white space: no pre-token reaches over such a place, whatever stands further off."""
+    """Cut at the first sure boundary from `size` characters on; a run of letters without one, as of some scripts, is one segment however long."""
     out, start = [], 0
-    at = text.find(" ", size)
-    while at > 0:
-        if at + 1 < len(text) and not text[at - 1].isspace() and not text[at + 1].isspace():
-            out.append(text[start:at])
-            start = at
-            at = text.find(" ", at + size)
-        else:
-            at = text.find(" ", at + 1)
+    while found := _SURE.search(text, start + size):
+        out.append(text[start : found.start()])
+        start = found.start()
     return [*out, text[start:]]
 
 
 class TokenTree:
-    """Leaves are segments with their token counts, inner nodes hold sums; an edit updates the leaves it touches and their paths."""
+    """Leaves are segments with their token counts, inner nodes hold sums; an edit cuts the leaves it touches anew and updates their paths."""
 
     def __init__(self, text: str, count: Callable[[str], int], size: int = SEGMENT) -> None:
-        self.count = count
+        self.count, self.size = count, size
+        self.encoded = 0  # characters encoded for edits
         self.parts = segments(text, size)
+        self._grow([count(part) for part in self.parts])
+
+    def _grow(self, tokens: list[int]) -> None:
+        """The sums over the leaves of self.parts, whose token counts are known."""
         self.width = 1 << (len(self.parts) - 1).bit_length()
-        self.tokens = [0] * (2 * self.width)
-        self.chars = [0] * (2 * self.width)
-        for i, part in enumerate(self.parts):
-            self.tokens[self.width + i], self.chars[self.width + i] = count(part), len(part)
+        spare = [0] * (self.width - len(tokens))
+        self.tokens = [0] * self.width + tokens + spare
+        self.chars = [0] * self.width + [len(part) for part in self.parts] + spare
         for i in range(self.width - 1, 0, -1):
             self.tokens[i] = self.tokens[2 * i] + self.tokens[2 * i + 1]
             self.chars[i] = self.chars[2 * i] + self.chars[2 * i + 1]
-        self.encoded = 0  # characters encoded for edits
 
     @property
     def total(self) -> int:
@@ -96,8 +98,8 @@ class TokenTree:
     def edit(self, start: int, end: int, new: str) -> None:
         """Put `new` in place of the characters from start to end (both within the text).
 
-        The touched leaves and the nearest filled one on either side are encoded again as one; the boundaries beyond those stand
-        between characters that the edit doesn't reach.
+        The touched leaves and the nearest filled one on either side are cut and encoded again; the boundaries beyond those stand
+        between characters that the edit doesn't reach.  What doesn't fit into their places makes the tree grow, without encoding more.
         """
         start = max(0, min(start, self.length))
         end = max(start, min(end, self.length))
@@ -111,12 +113,17 @@ class TokenTree:
         low, high = (left if left >= 0 else first), (right if right < len(self.parts) else last)
         before -= len(self.parts[left]) if left >= 0 else 0
         old = "".join(self.parts[low : high + 1])
-        part = old[: start - before] + new + old[end - before :]
-        self.encoded += len(part)
-        for leaf in range(low, high + 1):
-            if leaf != first and self.parts[leaf]:
-                self._put(leaf, "")
-        self._put(first, part)
+        changed = old[: start - before] + new + old[end - before :]
+        self.encoded += len(changed)
+        parts = segments(changed, self.size)
+        if len(parts) <= high + 1 - low:
+            for leaf, part in zip(range(low, high + 1), parts + [""] * (high + 1 - low - len(parts)), strict=True):
+                if part != self.parts[leaf]:
+                    self._put(leaf, part)
+        else:
+            tokens = self.tokens[self.width : self.width + len(self.parts)]
+            self.parts[low : high + 1] = parts
+            self._grow(tokens[:low] + [self.count(part) for part in parts] + tokens[high + 1 :])
 
 
 def count_tokens(docs: DataFrame, edits: Column, ranks: str) -> DataFrame:

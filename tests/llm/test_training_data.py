@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import io
 import itertools
 import random
 import re
 import sys
+import wave
 import zlib
 from pathlib import Path
 
@@ -20,6 +22,7 @@ import brute  # noqa: E402
 
 from acreframe.llm import decontaminate as de  # noqa: E402
 from acreframe.llm import fm_index, line_crf, packing, sanitise, simhash, suffix_index, telephony, templates, token_tree, warc  # noqa: E402
+from acreframe.llm.common import materialise  # noqa: E402
 from acreframe.llm.queries import tokenizer  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -79,6 +82,48 @@ def test_telephony(docs, empty, rows):
     assert list(telephony.ULAW[[0, 127, 128, 255]]) == [-32124, 0, 32124, 0] and list(telephony.ALAW[[0x55, 0xD5, 0x2A]]) == [-8, 8, -32256]
 
 
+def test_telephony_files(spark, rows):
+    """Each stored file and its PCM against a plain reading: WAV by the standard library, tables and resampling sample by sample."""
+    frame = spark.createDataFrame([r for r in rows if r[0] is not None], "doc_id long, text string")
+    stored = materialise(telephony.store_media(frame), "media", compression="zstd")
+    files = {r.doc_id: r.media for r in stored.collect()}
+    seen = set()
+    for r in telephony.decode_media(stored, with_pcm=True).collect():
+        media, codec = files[r.doc_id], r.feature.split(";")[0]
+        seen.add(codec)
+        assert (r.media_bytes, r.media_sha256) == (len(media), hashlib.sha256(media).hexdigest()) and media[:4] == b"RIFF" and int.from_bytes(media[4:8], "little") == len(media) - 8
+        payload = media[media.index(b"data") + 8 :]
+        assert hashlib.sha256(payload).hexdigest() == r.payload_sha256 and media[media.index(b"data") + 4 :][:4] == len(payload).to_bytes(4, "little")
+        if codec == "adpcm":
+            pcm = np.concatenate([telephony.decode_adpcm(np.frombuffer(payload[k : k + 64], np.uint8)[None])[0] for k in range(0, len(payload), 64)])
+        else:
+            pcm = np.array([_g711(codec, b) for b in payload], np.int16)
+        with wave.open(io.BytesIO(bytes(r.pcm).replace(b"fact\x04\0\0\0" + (2 * len(pcm)).to_bytes(4, "little"), b"", 1))) as wav:
+            assert (wav.getframerate(), wav.getsampwidth(), wav.getnchannels(), wav.getnframes()) == (16000, 2, 1, 2 * len(pcm))
+            out = np.frombuffer(wav.readframes(wav.getnframes()), "<i2")
+        assert (r.pcm_bytes, r.pcm_sha256) == (len(r.pcm), hashlib.sha256(r.pcm).hexdigest()) and (out[::2] == pcm).all()
+        weights = np.array([np.sinc(k - 7.5) * (0.5 + 0.5 * np.cos(np.pi * (k - 7.5) / 8)) for k in range(16)])
+        for i in {0, 1, len(pcm) // 2, len(pcm) - 1}:
+            near = [float(pcm[i - 7 + k]) if 0 <= i - 7 + k < len(pcm) else 0.0 for k in range(16)]
+            assert abs(out[2 * i + 1] - np.clip(np.dot(near, weights / weights.sum()), -32768, 32767)) <= 0.51
+        wide = out.astype(float)
+        cross = sum((a < 0) != (b < 0) for a, b in zip(out, out[1:], strict=False))
+        assert r.feature == f"{codec};rate=16000;samples={len(out)};peak={int(np.abs(wide).max())};rms={int(np.sqrt(np.mean(wide**2)))};crossings={cross * 1000 // len(out)}"
+    assert seen == set(telephony.CODECS)
+
+
+def _g711(codec: str, byte: int) -> int:
+    """A sample by the definition of the coding, bit by bit."""
+    if codec == "ulaw":
+        byte ^= 0xFF
+        size = ((((byte & 15) << 1) + 33) << (byte >> 4 & 7)) - 33 << 2
+        return -size if byte & 128 else size
+    byte ^= 0x55
+    step, low = byte >> 4 & 7, byte & 15
+    size = (2 * low + 1) << 3 if step == 0 else (2 * low + 33) << (step + 2)
+    return size if byte & 128 else -size
+
+
 def test_adpcm_by_samples():
     blocks = np.random.default_rng(0).integers(0, 256, (9, 64), dtype=np.uint8)
     for block, got in zip(blocks, telephony.decode_adpcm(blocks), strict=True):
@@ -307,6 +352,11 @@ def test_token_tree(docs, empty):
             tree.edit(a, b, new)
             text = text[:a] + new + text[b:]
             assert (tree.text(), tree.length, tree.total) == (text, len(text), count(text))
+    tree, words = token_tree.TokenTree("some words of a text " * 200, count, 64), "and more of it "
+    for i in range(300):
+        tree.edit(37 * i, 37 * i + 5, words * (1 + i % 3))
+    assert max(map(len, tree.parts)) < 3 * 64 and tree.total == count(tree.text()) and tree.encoded < 300 * 6 * 64
+    assert max(map(len, token_tree.segments("ab12" * 500, 64))) < 70
     edits = token_tree.derived_edits(3)
     made = docs.select("doc_id", "text", edits.alias("e")).collect()
     got = by_id(token_tree.count_tokens(docs, edits, tokenizer("byte_bpe_50k.tiktoken")))
