@@ -40,3 +40,8 @@ def spectral_index(name: str, compat: bool = False) -> Column:
     if name == "gcvi" and not compat:
         return 10000 * (ratio(n, b) - 1)
     return 10000 * (-difference if name == "ndwi" else difference)
+
+
+def whole_ndvi() -> Column:
+    """ndvi as a whole number, cut towards zero."""
+    return spectral_index("ndvi").cast("int")

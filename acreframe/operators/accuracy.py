@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acreframe.functions.numbers import ratio
+from acreframe.operators.ranks import sums_before
 
 #: Weights of crop classes in alphabetical order, the last for the row of totals.
 CROP_TYPE_WEIGHTS = (1, 1, 1, 1, 2, 1, 1, 1, 0)
+#: Weights of the recalls of big crops, no crops and small crops, and what a lost no-crop counts.
+BIG, NO, SMALL, LOST = 0.22, 0.75, 0.03, 15
 
 
 def class_counts(frame: DataFrame, column: str) -> DataFrame:
@@ -93,6 +98,20 @@ def combined_score(crop: float, types: float) -> float:
     return (2 * crop + types) / 3
 
 
+def combined_scores(crop: DataFrame, types: DataFrame, points: DataFrame, model: str) -> DataFrame:
+    """One row for a model: UA, PA and F1 of crop against the rest, twice, and of the crop types, weighted; the smallholders' own
+    measures; and counts of points and of smallholders among them.
+
+    crop(UA, PA, F1, and 1ha_ and halfha_ ones) has one row, types(class, UA, PA, F1) one for each class, points the smallholder flags.
+    """
+    weighted = [weighted_mean(types, m, CROP_TYPE_WEIGHTS).withColumnRenamed(m, f"__{m}") for m in ("UA", "PA", "F1")]
+    known = points.agg(F.count("LC25_name").alias("Num_obs"), F.sum("smlhld_1ha").alias("Num_sm_1ha"), F.sum("smlhd_halfha").alias("Num_sm_halfha"))
+    joined = reduce(lambda a, b: a.crossJoin(b), [crop, *weighted, known])  # one row each
+    both = [combined_score(F.col(m), F.col(f"__{m}")).alias(m) for m in ("UA", "PA", "F1")]
+    small = [F.col(f"`{size}_{m}`") for size in ("1ha", "halfha") for m in ("UA", "PA", "F1")]
+    return joined.select(F.lit(model).alias("Model"), *both, *small, "Num_obs", "Num_sm_1ha", "Num_sm_halfha")
+
+
 def recall_by_holdout(scores: DataFrame, lut: DataFrame, by: list[str]) -> DataFrame:
     """Share of each holdout type predicted right: crop (LC2 = 30) for the crop types, not crop for noCrop."""
     side = F.broadcast(lut.where(F.col("LC_UNQ").isNotNull()).select(F.col("LC_UNQ").alias("pred"), F.when(F.col("LC2") == 30, 30).otherwise(0).alias("two")))
@@ -100,22 +119,21 @@ def recall_by_holdout(scores: DataFrame, lut: DataFrame, by: list[str]) -> DataF
     return scores.join(side, "pred", "left").groupBy(*by).agg(F.round(F.avg(F.coalesce(right, F.lit(False)).cast("double")), 3).alias("recall"))
 
 
-def roc_auc(scores: DataFrame, score: str, label: str, buckets: int = 4096) -> DataFrame:
-    """Area under the ROC curve by rank sums over distinct scores, ties counting half.
-
-    Scores are counted by value, and negatives below each are added up in two steps, over buckets of the range and within each, so
-    no task sees all values.
+def roc_auc(scores: DataFrame, score: str, label: str) -> DataFrame:
+    """Areas under the ROC curve by rank sums over distinct scores, ties counting half, and under the precision-recall curve by
+    trapezoids between distinct scores, from the highest on.  Scores are counted by value first; no task sees all values.
     """
     known = scores.where(f"{label} is not null and {score} is not null").select(F.col(score).cast("double").alias("s"), F.col(label).alias("y"))
-    by = known.groupBy("s").agg(F.count_if(F.col("y") == 1).alias("p"), F.count_if(F.col("y") == 0).alias("n"))
-    span = known.agg(F.min("s").alias("lo"), F.max("s").alias("hi"))
-    width = F.when(F.col("hi") > F.col("lo"), F.floor((F.col("s") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets)).otherwise(0)
-    placed = by.join(F.broadcast(span)).select("s", "p", "n", width.alias("b"))  # one row is joined
-    before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    sums = placed.groupBy("b").agg(F.sum("n").alias("n")).select("b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("below"))  # a row per bucket
-    inside = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    wins = placed.withColumn("mine", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(F.broadcast(sums), "b")
-    return wins.agg(ratio(F.sum(F.col("p") * (F.col("below") + F.col("mine") + F.col("n") / 2)), F.sum("p") * F.sum("n")).alias("auc"))
+    by = known.groupBy("s").agg(F.count_if(F.col("y") == 1).alias("p"), F.count_if(F.col("y") == 0).alias("n")).withColumn("g", F.lit(0))
+    total = by.agg(F.sum("p").alias("all_p"), F.sum("n").alias("all_n"))
+    placed = sums_before(by, "g", "s", ["p", "n"]).join(F.broadcast(total))  # one row is joined
+    # positives and negatives from a score on, and from the next higher one on
+    tp, fp = F.col("all_p") - F.col("p_before"), F.col("all_n") - F.col("n_before")
+    tp0, fp0 = tp - F.col("p"), fp - F.col("n")
+    here = ratio(tp, tp + fp)
+    above = F.when(tp0 + fp0 == 0, here).otherwise(ratio(tp0, tp0 + fp0))
+    wins = F.sum(F.col("p") * (F.col("n_before") + F.col("n") / 2))
+    return placed.agg(ratio(wins, F.max(F.col("all_p") * F.col("all_n"))).alias("auc"), ratio(F.sum(F.col("p") * (here + above) / 2), F.max("all_p")).alias("pr_auc"))
 
 
 def run_scores(scores: DataFrame, metrics: list[str], by: tuple[str, ...] = ("F", "S", "C", "A")) -> DataFrame:
@@ -137,7 +155,7 @@ def accuracy_gains(scores: DataFrame) -> DataFrame:
     """avgacc, its weighted form, and what the noCrop class loses against the first n, times 15, per model."""
     first = F.first("acc_noCrop").over(Window.partitionBy("model").orderBy("n"))
     big, no, small = F.col("acc_bigCrop"), F.col("acc_noCrop"), F.col("acc_smallCrop")
-    return scores.withColumns({"avgacc": big + no, "avgacc_w": 0.22 * big + 0.75 * no + 0.03 * small, "lost": 15 * (first - no)})
+    return scores.withColumns({"avgacc": big + no, "avgacc_w": BIG * big + NO * no + SMALL * small, "lost": LOST * (first - no)})
 
 
 def log_scores(log: DataFrame, new: DataFrame, key: str = "model") -> DataFrame:

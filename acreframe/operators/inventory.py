@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acreframe.functions.names import bandpass, late_l7, scene_fields, scene_of_product
 from acreframe.functions.numbers import shift_length
+from acreframe.operators.ranks import medians
 
 #: Sensors as scene ids name them.
 SENSORS = ("lt05", "le07", "lc08", "lc09", "s2")
@@ -24,8 +25,9 @@ def unique_scenes(files: DataFrame) -> DataFrame:
 
 def first_cells(scenes: DataFrame) -> DataFrame:
     """Each scene id once, with its first cell."""
-    line = Window.partitionBy("scene_id").orderBy("cell_id")
-    return scenes.withColumn("__k", F.row_number().over(line)).where("__k = 1").drop("__k")
+    others = [c for c in scenes.columns if c not in ("scene_id", "cell_id")]
+    first = scenes.groupBy("scene_id").agg(F.min(F.struct("cell_id", *others)).alias("__s"))
+    return first.select("scene_id", "__s.*").select(scenes.columns)
 
 
 def closest_image(requests: DataFrame, images: DataFrame) -> DataFrame:
@@ -61,11 +63,10 @@ def set_differences(a: DataFrame, b: DataFrame, key: str = "scene_id") -> DataFr
 
 
 def match_products(scenes: DataFrame, products: DataFrame) -> DataFrame:
-    """scenes with the corrected product of the same sensor and date whose name contains the tile (path and row); the last by name."""
-    p = products.select(F.lower(F.substring("product", 1, 4)).alias("sensor"), "date", F.col("product"))
-    s = scenes.select("scene_id", "sensor", "date", "tile")
-    best = s.join(p, ["sensor", "date"]).where(F.col("product").contains(F.col("tile"))).groupBy("scene_id").agg(F.max("product").alias("product"))
-    return scenes.join(best, "scene_id", "left")
+    """scenes with the corrected product of the same sensor, tile (path and row) and date, as its name has them; the last by name."""
+    part = F.split("product", "_")
+    p = products.groupBy(F.lower(F.substring("product", 1, 4)).alias("sensor"), F.get(part, F.lit(1)).alias("tile"), "date").agg(F.max("product").alias("product"))
+    return scenes.join(p, ["sensor", "tile", "date"], "left").select(*scenes.columns, "product")
 
 
 def rebuild(downloads: DataFrame, products: DataFrame) -> DataFrame:
@@ -119,13 +120,15 @@ def by_month(frame: DataFrame, date: str = "img_date") -> DataFrame:
 def cell_status(scenes: DataFrame, years: list[int]) -> DataFrame:
     """One row per cell: what was seen, skipped, failed, ingested and used by year and sensor, and the shifts of coregistered images.
 
-    scenes(cell_id, scene_id, sensor, yr, skip, error, brdf_error, redownload, brdf, coreg, shift_x, shift_y, used).  Excluded are those
-    seen but not ingested, low_quality those ingested but not used.  One aggregate; a null flag counts as false.
+    scenes(cell_id, scene_id, sensor, yr, skip, error, brdf_error, brdf, coreg, shift_x, shift_y, used, and redownload where there is one).
+    Excluded are those seen but not ingested, low_quality those ingested but not used; an image to be downloaded again isn't
+    ingested.  One aggregate; a null flag counts as false.
     """
-    ok = not_true("skip") & F.col("error").isNull()
+    again = F.coalesce(F.col("redownload"), F.lit(False)) if "redownload" in scenes.columns else F.lit(False)
+    ok = not_true("skip") & F.col("error").isNull() & ~again
     used = F.coalesce(F.col("used"), F.lit(False))
     shift = F.when(F.coalesce(F.col("coreg"), F.lit(False)), shift_length("shift_x", "shift_y"))
-    out = [F.count("*").alias("seen"), F.count_if(F.coalesce(F.col("skip"), F.lit(False))).alias("skipped"), F.count_if(F.col("error").isNotNull()).alias("dl_errors"), F.count_if(F.col("brdf_error").isNotNull()).alias("brdf_errors")]
+    out = [F.count("*").alias("seen"), F.count_if(F.coalesce(F.col("skip"), F.lit(False))).alias("skipped"), F.count_if(F.col("error").isNotNull()).alias("dl_errors"), F.count_if(F.col("brdf_error").isNotNull()).alias("brdf_errors"), F.count_if(again).alias("to_redownload")]
     for y in years:
         out += [F.count_if(ok & (F.col("yr") == y)).alias(f"images_ingested_{y}"), F.count_if(used & (F.col("yr") == y)).alias(f"images_used_{y}")]
     for s in SENSORS:
@@ -153,8 +156,21 @@ def complete_cells(coverage: DataFrame, first: int, last: int, indices: int) ->
 
 
 def shift_statistics(scenes: DataFrame) -> DataFrame:
+    """Shifts of coregistered images by sensor.  The median comes from counts by value, so no task holds a sensor's shifts."""
     shift = F.when(F.coalesce(F.col("coreg"), F.lit(False)), shift_length("shift_x", "shift_y"))
-    return scenes.groupBy("sensor").agg(F.count("*").alias("n"), F.count(shift).alias("n_coreg"), F.avg(shift).alias("mean_shift"), F.median(shift).alias("med_shift"), F.max(shift).alias("max_shift"))
+    g = scenes.groupBy("sensor").agg(F.count("*").alias("n"), F.count(shift).alias("n_coreg"), F.avg(shift).alias("mean_shift"), F.max(shift).alias("max_shift"))
+    return g.join(medians(scenes.select("sensor", shift.alias("med_shift")), "sensor", "med_shift"), "sensor", "left").select("sensor", "n", "n_coreg", "mean_shift", "med_shift", "max_shift")
+
+
+def mean_cloud_cover(table: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Mean cloud cover of a catalogue, to two places, over all or by columns."""
+    return table.groupBy(*(by or [])).agg(F.round(F.avg("cloudcov"), 2).alias("cloudcov"), F.count("*").alias("n"))
+
+
+def images_to_merge(images: DataFrame, start: str, end: str, other: DataFrame | None = None) -> DataFrame:
+    """Images dated after start and before end, put to those of another set whose dates they don't have."""
+    chosen = images.where((F.col("img_date") > F.lit(start).cast("date")) & (F.col("img_date") < F.lit(end).cast("date")))
+    return chosen if other is None else other.unionByName(chosen.join(other.select("cell_id", "img_date").distinct(), ["cell_id", "img_date"], "left_anti"), allowMissingColumns=True)
 
 
 def scenes_per_year(scenes: DataFrame) -> DataFrame:

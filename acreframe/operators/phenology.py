@@ -156,7 +156,7 @@ def season_turn(series: DataFrame, peaks: DataFrame, method: str, side: str) ->
     start = side == "start"
     part = series.join(peaks.select(*KEY, "peak_date"), list(KEY)).where((F.col("img_date") < F.col("peak_date")) if start else (F.col("img_date") > F.col("peak_date"))).drop("peak_date")
     line, everything = Window.partitionBy(*KEY).orderBy("img_date"), Window.partitionBy(*KEY)
-    d = F.col("img_date")
+    d = F.struct("img_date", "value")
     end = (F.min if start else F.max)(d)
     if method == "thresh":
         found = (F.max if start else F.min)(F.when(F.col("value") < LOW, d))
@@ -167,11 +167,11 @@ def season_turn(series: DataFrame, peaks: DataFrame, method: str, side: str) ->
     elif method == "deriv":
         part = derivative(part)
         part = part.where((F.col("deriv") > 0) if start else (F.col("deriv") < 0)).withColumn("off", F.abs(F.col("value") - F.median("value").over(everything)))
-        found, end = F.min_by(d, F.struct("off", _days())), F.lit(None).cast("date")
+        found, end = F.min_by(d, F.struct("off", _days())), F.lit(None).cast(part.select(d.alias("d")).schema["d"].dataType)
     else:
         raise ValueError(f"unknown method {method}")
-    turn = part.groupBy(*KEY).agg(F.coalesce(found, end).alias("turn_date"))
-    return part.join(turn, list(KEY)).where(d == F.col("turn_date")).select(*KEY, "turn_date", F.col("value").alias("turn_value"))
+    turn = part.groupBy(*KEY).agg(F.coalesce(found, end).alias("t")).where("t is not null")
+    return turn.select(*KEY, F.col("t.img_date").alias("turn_date"), F.col("t.value").alias("turn_value"))
 
 
 def union_of_seasons(date: Column, year: int, pad: tuple[int, int]) -> Column:

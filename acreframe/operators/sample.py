@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acreframe.functions.classes import MIXED
+from acreframe.operators.ranks import sums_before
 
 
 def prevalence(lut: DataFrame, compat: bool = False) -> DataFrame:
@@ -117,10 +118,22 @@ def inside_polygons(points: DataFrame, inside: bool = True) -> DataFrame:
 
 
 def stratified(points: DataFrame, class_col: str, share: float, key: str, seed: int = 0) -> DataFrame:
-    """points with `inner_test`: the same share of each class, by a hash of the key, rounded up."""
-    line = Window.partitionBy(class_col).orderBy(F.xxhash64(key, F.lit(seed)), key)
-    n = F.count("*").over(Window.partitionBy(class_col))
-    return points.withColumn("inner_test", (F.row_number().over(line) <= F.ceil(n * share)).cast("int"))
+    """points with `inner_test`: the same share of each class, by a hash of the key, rounded up; rows with one key go together.
+
+    The hash that ends the share is found from counts by hash, so no task ranks a class.
+    """
+    placed = points.withColumns({"__g": F.xxhash64(class_col), "__h": F.xxhash64(key, F.lit(seed))})
+    counts = placed.groupBy("__g", "__h").agg(F.count("*").alias("__n"))
+    need = counts.groupBy("__g").agg(F.ceil(F.sum("__n") * share).alias("__need"))
+    found = sums_before(counts, "__g", "__h", ["__n"]).join(need, "__g")
+    end = found.where("__n_before < __need and __need <= __n_before + __n").select("__g", F.col("__h").alias("__end"))  # a row for each class
+    return placed.join(end, "__g", "left").withColumn("inner_test", F.coalesce(F.col("__h") <= F.col("__end"), F.lit(False)).cast("int")).drop("__g", "__h", "__end")
+
+
+def sweep_sample(points: DataFrame, lut: DataFrame, cutoff: int, cls: str, method: str, target: int, mix_factor: float = 10, drop: tuple[str, ...] = ()) -> DataFrame:
+    """Points balanced for a sweep: classes of the lookup table, one method's rows of a class thinned to the target, then all classes by prevalence."""
+    joined = with_lut(points.drop("LC_UNQ", "LC2", "LC3", "LC4", "LC5"), lut, columns=("LC_UNQ", "LC25", "LC25_name", "LC2", "LC2_name"))
+    return balance(prebalance(joined, cls, method, target), lut, cutoff, mix_factor).drop(*drop)
 
 
 def with_lut(points: DataFrame, lut: DataFrame, on: str = "Class", columns: tuple[str, ...] = ("LC25", "LC25_name", "LC2", "LC2_name")) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from acreframe.functions.indices import whole_ndvi
+
 
 def row_statistics(series: DataFrame) -> DataFrame:
     """ALL, the mean over points per date, and stdv over points and that mean with one degree of freedom less: the population deviation.
@@ -21,8 +23,8 @@ def long_series(wide: DataFrame, date: str = "date", drop: tuple[str, ...] = ("A
 
 
 def wide_series(series: DataFrame, points: list[str]) -> DataFrame:
-    """A column per listed point, with ALL and stdv, in order of date: for export."""
-    return series.groupBy("img_date").pivot("point_id", points).agg(F.first("value")).join(row_statistics(series), "img_date").orderBy("img_date")
+    """A column per listed point, with ALL and stdv, in order of date: for export.  Several values of a point on a date are averaged."""
+    return series.groupBy("img_date").pivot("point_id", points).agg(F.avg("value")).join(row_statistics(series), "img_date").orderBy("img_date")
 
 
 def filled(series: DataFrame, key: list[str], column: str = "value") -> DataFrame:
@@ -37,3 +39,9 @@ def filled(series: DataFrame, key: list[str], column: str = "value") -> DataFram
 def point_sample(series: DataFrame, cls: str | None = None) -> DataFrame:
     """Points of one class."""
     return series if cls is None else series.where(F.col("Class") == cls)
+
+
+def monthly_ndvi(images: DataFrame) -> DataFrame:
+    """(key, month, ndvi, n): the mean of whole ndvi over the images(cell_id, row, col, img_date, bands) of each pixel and month."""
+    month = F.trunc("img_date", "month").alias("month")
+    return images.groupBy("cell_id", "row", "col", month).agg(F.avg(whole_ndvi()).alias("ndvi"), F.count(whole_ndvi()).alias("n"))

@@ -117,19 +117,24 @@ def sample_pixels(points: DataFrame, pixels: DataFrame, size: float, x: str = "x
 def nearest_pixels(points: DataFrame, pixels: DataFrame, size: float, tolerance: float, key: str) -> DataFrame:
     """The pixel whose centre (px, py) is nearest to each point (x, y), null beyond the tolerance; ties go to the lower row, then column.
 
-    Only the nine pixels around a point are candidates, which holds for tolerances up to a pixel's size.
+    Points and pixels meet on tiles as large as the tolerance, of which a point looks at its own and the eight around it; so a
+    tolerance of many pixels makes no more rows of a point.  size: of a pixel, the least a tile measures.
     """
-    if tolerance > size:
-        raise ValueError("the tolerance is larger than a pixel")
-    row, column = pixel_key(F.col("x"), F.col("y"), size)
-    around = points.withColumn("__r", row).withColumn("__c", column)
-    around = around.withColumn("__dr", F.explode(F.sequence(F.lit(-1), F.lit(1)))).withColumn("__dc", F.explode(F.sequence(F.lit(-1), F.lit(1))))
-    found = around.withColumn("row", F.col("__r") + F.col("__dr")).withColumn("col", F.col("__c") + F.col("__dc")).join(pixels, ["row", "col"])
-    found = found.withColumn("distance", F.hypot(F.col("px") - F.col("x"), F.col("py") - F.col("y"))).where(F.col("distance") <= tolerance)
+    tile = float(max(size, tolerance))
+    tiled = pixels.withColumn("__r", F.floor(F.col("py") / tile)).withColumn("__c", F.floor(F.col("px") / tile))
+    steps = F.sequence(F.lit(-1), F.lit(1))
+    around = points.select(key, "x", "y", F.explode(steps).alias("__dr"), F.floor(F.col("y") / tile).alias("__y")).select("*", F.explode(steps).alias("__dc"), F.floor(F.col("x") / tile).alias("__x"))
+    around = around.select(key, "x", "y", (F.col("__y") + F.col("__dr")).alias("__r"), (F.col("__x") + F.col("__dc")).alias("__c"))
+    found = around.join(tiled, ["__r", "__c"]).withColumn("distance", F.hypot(F.col("px") - F.col("x"), F.col("py") - F.col("y"))).where(F.col("distance") <= tolerance)
     best = found.groupBy(key).agg(F.min(F.struct("distance", "row", "col", "value")).alias("b")).select(key, "b.row", "b.col", "b.value", "b.distance")
     return points.join(best, key, "left")
 
 
+def pixel_at(pixels: DataFrame, row: int, col: int) -> DataFrame:
+    """Coordinates and value of the pixel at a row and column."""
+    return pixels.where((F.col("row") == row) & (F.col("col") == col)).select("x", "y", "value")
+
+
 def patches(points: DataFrame, pixels: DataFrame, size: float, reach: int = 1) -> DataFrame:
     """Pixels within `reach` rows and columns of each point's own, tagged with the point's columns."""
     row, column = pixel_key(F.col("x"), F.col("y"), size)
@@ -163,21 +168,54 @@ def downsample(pixels: DataFrame, k: int) -> DataFrame:
     return pixels.groupBy("cell_id", F.floor(F.col("row") / k).cast("int").alias("row"), F.floor(F.col("col") / k).cast("int").alias("col")).agg(F.avg("value").alias("value"))
 
 
-def random_points(zones: DataFrame, n: int, seed: int = 0, tries: int = 16) -> DataFrame:
-    """n points in each zone(zone_id, ring), id <zone>_<i>: hashed candidates in its box, the first n of them inside.
+def resample(pixels: DataFrame, old: float, new: float) -> DataFrame:
+    """pixels(cell_id, row, col, value) of one size at another, larger one: each of int(n old / new) rows and columns is the mean of
+    the pixels it covers, weighted by how much of each it covers.  Pixels that lack a value don't count."""
+    if new < old:
+        raise ValueError("the new size is smaller than the old")
+    shape = pixels.groupBy("cell_id").agg(F.floor((F.max("row") + 1) * old / new).alias("__h"), F.floor((F.max("col") + 1) * old / new).alias("__w"))
+    parts = pixels.where("value is not null")
+    for axis in ("row", "col"):
+        low, high = F.col(axis) * old / new, (F.col(axis) + 1) * old / new
+        first, last = F.floor(low), F.greatest(F.floor(low), F.ceil(high) - 1)  # one new pixel or two
+        parts = parts.withColumn(f"__{axis}", F.explode(F.sequence(first, last))).withColumn(f"__w_{axis}", F.least(high, F.col(f"__{axis}") + 1) - F.greatest(low, F.col(f"__{axis}")))
+    weight = F.col("__w_row") * F.col("__w_col")
+    made = parts.groupBy("cell_id", F.col("__row").cast("int").alias("row"), F.col("__col").cast("int").alias("col")).agg((F.sum(weight * F.col("value")) / F.sum(weight)).alias("value"))
+    return made.join(shape, "cell_id").where("row < __h and col < __w").drop("__h", "__w")
 
-    The same seed gives the same points.  A ring that fills little of its box may get fewer than n; raise tries then.
-    """
-    boxed = zones.withColumns(ring_box(F.col("ring"))).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(n * tries - 1))))
 
-    def uniform(what: str) -> Column:
-        return F.pmod(F.xxhash64("zone_id", "i", F.lit(what), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+def _uniform(seed: int, what: str) -> Column:
+    """A number from 0 to 1 for zone_id and i, by the first 32 bits of an MD5."""
+    name = F.concat_ws(":", F.col("zone_id").cast("string"), F.col("i").cast("string"), F.lit(f"{what}{seed}"))
+    return F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("double") / float(1 << 32)
 
-    x = F.col("xmin") + uniform("x") * (F.col("xmax") - F.col("xmin"))
-    y = F.col("ymin") + uniform("y") * (F.col("ymax") - F.col("ymin"))
-    inside = boxed.select("zone_id", "i", x.alias("x"), y.alias("y"), "ring").where(in_ring(F.col("x"), F.col("y"), F.col("ring")))
-    ranked = inside.withColumn("k", F.row_number().over(Window.partitionBy("zone_id").orderBy("i"))).where(F.col("k") <= n)
-    return ranked.select("zone_id", F.concat_ws("_", "zone_id", F.col("k") - 1).alias("point_id"), "x", "y")
+
+def random_points(zones: DataFrame, n: int, seed: int = 0, first: int = 4) -> DataFrame:
+    """n points in each zone(zone_id, ring), id <zone>_<i>: of numbered candidates in its box, the first n inside.
+
+    The same seed gives the same points.  Each round draws for the zones that still lack points, twice as many candidates as the
+    round before, until none does; a ring without an area has no points.
+    """
+    spark = zones.sparkSession
+    boxed = zones.withColumns(ring_box(F.col("ring")))
+    short = boxed.where(clipped_area(F.col("ring"), tuple(F.col(c) for c in ("xmin", "ymin", "xmax", "ymax"))) > 0).withColumn("__lack", F.lit(n))
+    x = F.col("xmin") + _uniform(seed, "x") * (F.col("xmax") - F.col("xmin"))
+    y = F.col("ymin") + _uniform(seed, "y") * (F.col("ymax") - F.col("ymin"))
+    out, low, many = None, 0, first * n
+    while n > 0:
+        drawn = short.withColumn("i", F.explode(F.sequence(F.lit(low), F.lit(low + many - 1)))).select("zone_id", "i", x.alias("x"), y.alias("y"), "ring", "__lack")
+        line = Window.partitionBy("zone_id").orderBy("i")
+        inside = drawn.where(in_ring(F.col("x"), F.col("y"), F.col("ring"))).withColumn("k", F.row_number().over(line)).where("k <= __lack")
+        found = inside.select("zone_id", F.concat_ws("_", "zone_id", F.lit(n) - F.col("__lack") + F.col("k") - 1).alias("point_id"), "x", "y")
+        out = found if out is None else out.union(found)
+        got = inside.groupBy("zone_id").agg(F.count("*").alias("__got"))
+        left = short.join(got, "zone_id", "left").withColumn("__lack", F.col("__lack") - F.coalesce("__got", F.lit(0))).where("__lack > 0").drop("__got")
+        # the zones that lack points are written down, so a further round doesn't draw the rounds before again
+        short = left.checkpoint() if spark.sparkContext.getCheckpointDir() else left.cache()
+        if short.isEmpty():
+            break
+        low, many = low + many, 2 * many
+    return zones.select("zone_id", F.lit("").alias("point_id"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y")).limit(0) if out is None else out
 
 
 def observed_between(polygons: DataFrame, oldest: int, newest: int) -> DataFrame:

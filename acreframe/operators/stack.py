@@ -82,6 +82,17 @@ def drop_features(frame: DataFrame, indices: tuple[str, ...] = (), variables: tu
     return frame.drop(*[c for c in frame.columns if goes(c)])
 
 
+def reduced_model(frame: DataFrame, models: dict[str, FeatureModel], name: str, new: str, indices: tuple[str, ...] = (), variables: tuple[str, ...] = (), names: tuple[str, ...] = ()) -> tuple[DataFrame, dict[str, FeatureModel]]:
+    """A frame without some features, and the models with what is left of `name` as a new one, its bands in the frame's order."""
+    kept = drop_features(frame, indices, variables, names)
+    bands = [c.removeprefix("var_") for c in kept.columns if c.startswith("var_")]
+    plain = [b for b in bands if not b.startswith(("sing_", "poly_"))]
+    of = lambda kind: [b.removeprefix(kind) for b in bands if b.startswith(kind)]
+    if name not in models:
+        raise ValueError(f"no feature model {name}")
+    return kept, models | {new: FeatureModel(combo_bands=plain, singleton_vars=of("sing_"), poly_vars=of("poly_"))}
+
+
 def without_polygons(frame: DataFrame) -> DataFrame:
     return frame.drop(*[c for c in frame.columns if c.startswith("var_poly")])
 
@@ -99,6 +110,16 @@ def append_features(points: DataFrame, *features: DataFrame, on: str = "OID_") -
     return points
 
 
+def features_of_points(points: DataFrame, features: DataFrame, on: str = "OID_") -> DataFrame:
+    """Points that have features, with them; a column of both keeps the point's values."""
+    return points.join(features.drop(*[c for c in features.columns if c in points.columns and c != on]), on)
+
+
+def constant(frame: DataFrame, name: str, value: object) -> DataFrame:
+    """frame with a column that is the same everywhere."""
+    return frame.withColumn(name, F.lit(value))
+
+
 def missing_values(frame: DataFrame, only_features: bool = False) -> DataFrame:
     """(column, n) of the columns with missing values, in one pass."""
     names = [c for c in frame.columns if not only_features or c.startswith("var_")]

@@ -151,40 +151,47 @@ SELECT round(avg(abs(d)), 2) AS mae_all, round(avg(d), 2) AS bias_all, round(avg
 
 
 def _land(spark, sf):
-    """A table of pixels of 50 by 50 from the points: one value for each."""
+    """A table of pixels of 50 by 50: one value for each that holds a supplier."""
+    p = table(spark, sf, "supplier").select("s_suppkey", ((F.col("s_suppkey") * 37) % 1000 + 0.5).alias("x"), (F.floor("s_acctbal") + 0.25).alias("y"))
     row, col = sp.pixel_key(F.col("x"), F.col("y"), 50.0)
-    return view(spark, sf, "points").groupBy(row, col).agg(F.max("OID_").alias("value")).withColumns({"px": (F.col("col") + 0.5) * 50, "py": (F.col("row") + 0.5) * 50})
+    return p.groupBy(row, col).agg(F.max("s_suppkey").alias("value")).withColumns({"px": (F.col("col") + 0.5) * 50, "py": (F.col("row") + 0.5) * 50})
 
 
-_LAND = "land AS (SELECT CAST(floor(y / 50) AS INT) AS r, CAST(floor(x / 50) AS INT) AS c, max(OID_) AS value FROM points GROUP BY 1, 2)"
+_LAND = "land AS (SELECT CAST(floor((floor(s_acctbal) + 0.25e0) / 50) AS INT) AS r, CAST(floor(((s_suppkey * 37) % 1000 + 0.5e0) / 50) AS INT) AS c, max(s_suppkey) AS value FROM supplier GROUP BY 1, 2)"
 
 
 def sampled_pixels(spark, sf):
-    return sp.sample_pixels(view(spark, sf, "points").where("OID_ % 3 = 0"), _land(spark, sf).where("value % 2 = 0"), 50.0).select("OID_", "row", "col", "value")
+    return sp.sample_pixels(view(spark, sf, "points"), _land(spark, sf), 50.0).select("OID_", "row", "col", "value")
 
 
-SAMPLED_SQL = f"""{cte('points')}, {_LAND} SELECT OID_, CAST(floor(y / 50) AS INT) AS "row", CAST(floor(x / 50) AS INT) AS "col", value FROM points LEFT JOIN (SELECT * FROM land WHERE value % 2 = 0) ON r = floor(y / 50) AND c = floor(x / 50) WHERE OID_ % 3 = 0"""
+SAMPLED_SQL = f"""{cte('points')}, {_LAND} SELECT OID_, CAST(floor(y / 50) AS INT) AS "row", CAST(floor(x / 50) AS INT) AS "col", value FROM points LEFT JOIN land ON r = floor(y / 50) AND c = floor(x / 50)"""
 
 
 def nearest_pixels(spark, sf):
-    out = sp.nearest_pixels(view(spark, sf, "points").where("OID_ % 3 = 0").select("OID_", "x", "y"), _land(spark, sf).where("value % 2 = 0"), 50.0, 30.0, "OID_")
+    """The nearest pixel of 50 within 120."""
+    out = sp.nearest_pixels(view(spark, sf, "points").select("OID_", "x", "y"), _land(spark, sf), 50.0, 120.0, "OID_")
     return out.select("OID_", "row", "col", "value", F.round("distance", 4).alias("distance"))
 
 
-NEAREST_SQL = f"""{cte('points')}, {_LAND}, k AS (SELECT OID_, r, c, value, sqrt(((c + 0.5e0) * 50 - x) * ((c + 0.5e0) * 50 - x) + ((r + 0.5e0) * 50 - y) * ((r + 0.5e0) * 50 - y)) AS d FROM points JOIN land ON abs(r - floor(y / 50)) <= 1 AND abs(c - floor(x / 50)) <= 1 WHERE OID_ % 3 = 0 AND value % 2 = 0),
- b AS (SELECT *, row_number() OVER (PARTITION BY OID_ ORDER BY d, r, c) AS n FROM k WHERE d <= 30) SELECT OID_, r AS "row", c AS "col", value, round(d, 4) AS distance FROM (SELECT OID_ FROM points WHERE OID_ % 3 = 0) LEFT JOIN (SELECT * FROM b WHERE n = 1) USING (OID_)"""
+NEAREST_SQL = f"""{cte('points')}, {_LAND}, k AS (SELECT OID_, r, c, value, sqrt(((c + 0.5e0) * 50 - x) * ((c + 0.5e0) * 50 - x) + ((r + 0.5e0) * 50 - y) * ((r + 0.5e0) * 50 - y)) AS d FROM points JOIN land ON abs(r - floor(y / 50)) <= 3 AND abs(c - floor(x / 50)) <= 3),
+ b AS (SELECT *, row_number() OVER (PARTITION BY OID_ ORDER BY d, r, c) AS n FROM k WHERE d <= 120) SELECT OID_, r AS "row", c AS "col", value, round(d, 4) AS distance FROM points LEFT JOIN (SELECT * FROM b WHERE n = 1) USING (OID_)"""
 
 
 def point_patches(spark, sf):
-    return sp.patches(view(spark, sf, "points").where("OID_ % 10 = 0").select("OID_", "x", "y"), _land(spark, sf), 50.0).select("OID_", "row", "col", "value")
+    return sp.patches(view(spark, sf, "points").select("OID_", "x", "y"), _land(spark, sf), 50.0).select("OID_", "row", "col", "value")
 
 
-PATCHES_SQL = f"""{cte('points')}, {_LAND} SELECT OID_, r AS "row", c AS "col", value FROM points JOIN land ON abs(r - floor(y / 50)) <= 1 AND abs(c - floor(x / 50)) <= 1 WHERE OID_ % 10 = 0"""
+PATCHES_SQL = f"""{cte('points')}, {_LAND} SELECT OID_, r AS "row", c AS "col", value FROM points JOIN land ON abs(r - floor(y / 50)) <= 1 AND abs(c - floor(x / 50)) <= 1"""
 
 
 def random_points(spark, sf):
     """Ten repeatable random points in each zone."""
-    return sp.random_points(_zones(spark, sf), 10, 7)
+    return sp.random_points(_zones(spark, sf), 10, 7).select("zone_id", "point_id", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
+_UNIFORM = "CAST('0x' || substr(md5(concat(zone_id, ':', i, ':{}7')), 1, 8) AS BIGINT) / 4294967296.0e0"
+RANDOM_SQL = f"""{cte('zones')}, k AS (SELECT *, CAST(unnest(range(0, 400)) AS INT) AS i FROM zones), p AS (SELECT zone_id, i, x0, y0, x0 + {_UNIFORM.format('x')} * 180 AS x, y0 + {_UNIFORM.format('y')} * 2000 AS y FROM k),
+ n AS (SELECT *, row_number() OVER (PARTITION BY zone_id ORDER BY i) AS k FROM p WHERE {_IN_ZONE}) SELECT zone_id, concat(zone_id, '_', k - 1) AS point_id, round(x, 6) AS x, round(y, 6) AS y FROM n WHERE k <= 10"""
 
 
 def grid_cells(spark, sf):
@@ -232,11 +239,11 @@ HISTOGRAM_SQL = f"""{cte('pixels')} SELECT spec_index, CAST(least(floor(value *
 
 
 def stretched(spark, sf):
-    out = mp.stretched(view(spark, sf, "pixels").where("cell_id = 1"))
+    out = mp.stretched(view(spark, sf, "pixels"))
     return out.select("cell_id", "row", "col", "spec_index", "img_date", F.round("stretched", 5).alias("stretched"))
 
 
-STRETCHED_SQL = f"""{cte('pixels')}, g AS (SELECT *, pow(CAST(value AS DOUBLE), 1 / 1.5e0) AS v FROM pixels WHERE cell_id = 1), b AS (SELECT spec_index, min(v) AS lo, max(v) AS hi FROM g GROUP BY 1)
+STRETCHED_SQL = f"""{cte('pixels')}, g AS (SELECT *, pow(CAST(value AS DOUBLE), 1 / 1.5e0) AS v FROM pixels), b AS (SELECT spec_index, min(v) AS lo, max(v) AS hi FROM g GROUP BY 1)
 SELECT {KEY_SQL}, img_date, round((v - lo) / (hi - lo), 5) AS stretched FROM g JOIN b USING (spec_index)"""
 
 
@@ -409,22 +416,24 @@ BY_YEAR_SQL = f"{cte('scenes')} SELECT yr, {', '.join(f'''count(*) FILTER (WHERE
 
 
 def images_by_month(spark, sf):
-    return iv.by_month(view(spark, sf, "scenes").where("cell_id = 3 and month(img_date) in (1, 2, 7)"))
+    """Failed images by month; there are months without any."""
+    return iv.by_month(view(spark, sf, "scenes").where("error is not null and brdf_error is not null"))
 
 
-BY_MONTH_SQL = f"""{cte('scenes')}, k AS (SELECT CAST(date_trunc('month', img_date) AS DATE) AS m, count(*) AS n FROM scenes WHERE cell_id = 3 AND month(img_date) IN (1, 2, 7) GROUP BY 1),
+BY_MONTH_SQL = f"""{cte('scenes')}, k AS (SELECT CAST(date_trunc('month', img_date) AS DATE) AS m, count(*) AS n FROM scenes WHERE error IS NOT NULL AND brdf_error IS NOT NULL GROUP BY 1),
  a AS (SELECT CAST(unnest(generate_series(CAST(min(m) AS TIMESTAMP), CAST(max(m) AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS month FROM k) SELECT month, coalesce(n, 0) AS n FROM a LEFT JOIN k ON month = m"""
 
 
 def cell_status(spark, sf):
-    out = iv.cell_status(view(spark, sf, "scenes"), [1997, 1998])
+    out = iv.cell_status(view(spark, sf, "scenes").withColumn("redownload", F.col("numpix") % 50 < F.month("img_date")), [1997, 1998])
     return out.withColumns({c: F.round(c, 4) for c in out.columns if c.startswith(("avg_shift", "med_shift", "max_shift"))})
 
 
 def _status_sql() -> str:
-    ok = "NOT coalesce(skip, false) AND error IS NULL"
+    again = "numpix % 50 < month(img_date)"
+    ok = f"NOT coalesce(skip, false) AND error IS NULL AND NOT ({again})"
     shift = "sqrt(shift_x * shift_x + shift_y * shift_y)"
-    cols = ["count(*) AS seen", "count(*) FILTER (WHERE skip) AS skipped", "count(*) FILTER (WHERE error IS NOT NULL) AS dl_errors", "count(*) FILTER (WHERE brdf_error IS NOT NULL) AS brdf_errors"]
+    cols = ["count(*) AS seen", "count(*) FILTER (WHERE skip) AS skipped", "count(*) FILTER (WHERE error IS NOT NULL) AS dl_errors", "count(*) FILTER (WHERE brdf_error IS NOT NULL) AS brdf_errors", f"count(*) FILTER (WHERE {again}) AS to_redownload"]
     for y in (1997, 1998):
         cols += [f"count(*) FILTER (WHERE {ok} AND yr = {y}) AS images_ingested_{y}", f"count(*) FILTER (WHERE used AND yr = {y}) AS images_used_{y}"]
     cols += [f"count(*) FILTER (WHERE sensor LIKE '{s}%' AND brdf) AS num_processed_{s}" for s in iv.SENSORS] + ["count(*) FILTER (WHERE brdf) AS num_brdf", "count(*) FILTER (WHERE coreg) AS num_coreged"]
@@ -501,20 +510,21 @@ SELECT cell_id, reached AS "start", "start" AS "end" FROM w WHERE n > 1 AND "sta
 
 def _log_lines(spark, sf):
     """Lines of a log for each customer's file: the cell, then a period, sometimes an error, a runtime and cores per order."""
-    o = table(spark, sf, "orders").where("o_custkey % 5 > 0").select("o_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("d"))
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("d"))
     file = F.concat(F.lit("stacdl_"), F.col("o_custkey") % 400, F.lit(".err"))
     no = F.unix_date("d").cast("long") * 1_000_000 + (F.col("o_orderkey") % 100_000) * 10
     made = [
         o.select(file.alias("file"), F.lit(0).cast("long").alias("line_no"), F.concat(F.lit("cell_id = "), F.col("o_custkey") % 400 + 7).alias("line")).distinct(),
         o.select(file, no, F.concat(F.lit("\\ Working on "), F.col("d"), F.lit(" to "), F.date_add("d", (F.col("o_orderkey") % 40).cast("int")))),
-        o.where("o_orderkey % 9 = 0").select(file, no + 1, F.lit("TimeoutError: no answer")),
+        o.where("o_orderkey % 9 = 0").select(file, no + 1, F.when(F.col("o_orderkey") % 2 == 0, "TimeoutError: no answer").when(F.col("o_orderkey") % 3 == 0, "  raise pystac_client.exceptions.APIError").otherwise("download failed: urllib.error.HTTPError: 502")),
+        o.where("o_orderkey % 7 = 0").select(file, no + 4, F.lit("a warning, no error")),
         o.where("o_orderkey % 4 = 0").select(file, no + 2, F.concat(F.lit("full process took: "), F.col("o_orderkey") % 90, F.lit(" minutes"))),
         o.where("o_orderkey % 8 = 0").select(file, no + 3, F.concat(F.lit("core used: "), F.col("o_custkey") % 120)),
     ]
     return reduce(lambda a, b: a.union(b), made)
 
 
-_LOG = """o AS (SELECT *, CAST(o_orderdate AS DATE) AS d, CAST(o_custkey % 400 + 7 AS INT) AS cell_id, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 40 AS INT) AS e, o_custkey % 400 AS f FROM orders WHERE o_custkey % 5 > 0)"""
+_LOG = """o AS (SELECT *, CAST(o_orderdate AS DATE) AS d, CAST(o_custkey % 400 + 7 AS INT) AS cell_id, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 40 AS INT) AS e, o_custkey % 400 AS f FROM orders)"""
 
 
 def log_status(spark, sf):
@@ -537,19 +547,21 @@ def merged_status(spark, sf):
     late = F.col("line_no") >= 10_227 * 1_000_000  # 1998-01-01
     cells = F.col("line_no") == 0
     out = lg.merge_status(lg.roll_up(lines.where(cells | ~late)), lg.roll_up(lines.where(cells | late)))
-    return out.select("cell_id", "dllog_start", "dllog_end", "dltime", "archivable", F.size("dllog_errors").alias("n_errors"))
+    text = F.array_join(F.transform("dllog_gaps", lambda g: F.concat_ws(":", g["start"], g["end"])), ",")
+    return out.select("cell_id", "dllog_start", "dllog_end", "dltime", "archivable", F.size("dllog_errors").alias("n_errors"), F.size("dl_fix_now").alias("n_fix"), text.alias("gaps"))
 
 
 MERGED_SQL = f"""WITH {_LOG}, x AS (SELECT DISTINCT cell_id, d AS a, e AS b, d >= DATE '1998-01-01' AS late FROM o WHERE o_orderkey % 9 = 0), c AS (SELECT cell_id, min(d) AS lo, max(e) AS hi FROM o WHERE d >= DATE '1998-01-01' GROUP BY 1),
  k AS (SELECT DISTINCT x.cell_id, a, b FROM x LEFT JOIN c USING (cell_id) WHERE late OR a < coalesce(lo, DATE '9999-12-31') OR b > coalesce(hi, DATE '0001-01-01')), n AS (SELECT cell_id, CAST(count(*) AS INT) AS n FROM k GROUP BY 1),
  p AS (SELECT cell_id, min(d) AS dllog_start, max(e) AS dllog_end, CAST(coalesce(sum(o_orderkey % 90) FILTER (WHERE o_orderkey % 4 = 0), 0) AS INT) AS dltime, count(*) FILTER (WHERE d >= DATE '1998-01-01') AS late FROM o GROUP BY 1),
- w AS (SELECT cell_id, d, d >= DATE '1998-01-01' AS late, max(e) OVER (PARTITION BY cell_id, d >= DATE '1998-01-01' ORDER BY d, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM o),
- g AS (SELECT cell_id, late, count(*) AS n FROM w WHERE d > reached AND NOT (month(reached) = 12 AND day(reached) = 31 AND d = reached + 1) GROUP BY 1, 2)
-SELECT p.cell_id, dllog_start, dllog_end, dltime, coalesce(n.n, 0) = 0 AND NOT EXISTS (SELECT 1 FROM g WHERE g.cell_id = p.cell_id AND g.late = (p.late > 0)) AS archivable, coalesce(n.n, 0) AS n_errors FROM p LEFT JOIN n USING (cell_id)"""
+ w AS (SELECT cell_id, d, max(e) OVER (PARTITION BY cell_id ORDER BY d, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM o),
+ g AS (SELECT DISTINCT cell_id, reached AS a, d AS b FROM w WHERE d > reached AND NOT (month(reached) = 12 AND day(reached) = 31 AND d = reached + 1)),
+ gt AS (SELECT cell_id, string_agg(concat(a, ':', b), ',' ORDER BY a, b) AS gaps FROM g GROUP BY 1), f AS (SELECT cell_id, CAST(count(*) AS INT) AS n FROM (SELECT cell_id, a, b FROM k UNION SELECT cell_id, a, b FROM g) GROUP BY 1)
+SELECT p.cell_id, dllog_start, dllog_end, dltime, coalesce(f.n, 0) = 0 AS archivable, coalesce(n.n, 0) AS n_errors, coalesce(f.n, 0) AS n_fix, coalesce(gaps, '') AS gaps FROM p LEFT JOIN n USING (cell_id) LEFT JOIN f USING (cell_id) LEFT JOIN gt USING (cell_id)"""
 
 QUERIES = {
     "image_names": (image_names, NAMES_SQL), "product_ids": (product_ids, PRODUCT_SQL), "export_names": (export_names, EXPORT_SQL), "day_rollover": (day_rollover, ROLLOVER_SQL), "points_in_cells": (points_in_cells, IN_CELLS_SQL), "cells_over_zones": (cells_over_zones, OVERLAP_SQL), "zone_points": (zone_points, ZONE_POINTS_SQL),
-    "zonal_shares": (_zonal, ZONAL_SQL), "district_errors": (district_errors, DISTRICT_SQL), "sampled_pixels": (sampled_pixels, SAMPLED_SQL), "nearest_pixels": (nearest_pixels, NEAREST_SQL), "point_patches": (point_patches, PATCHES_SQL), "random_points": (random_points, None), "grid_cells": (grid_cells, GRID_SQL),
+    "zonal_shares": (_zonal, ZONAL_SQL), "district_errors": (district_errors, DISTRICT_SQL), "sampled_pixels": (sampled_pixels, SAMPLED_SQL), "nearest_pixels": (nearest_pixels, NEAREST_SQL), "point_patches": (point_patches, PATCHES_SQL), "random_points": (random_points, RANDOM_SQL), "grid_cells": (grid_cells, GRID_SQL),
     "downsampled": (downsampled, DOWN_SQL), "decimated": (decimated, DECIMATED_SQL), "mosaic": (mosaicked, MOSAIC_SQL), "histogram": (histograms, HISTOGRAM_SQL), "stretched": (stretched, STRETCHED_SQL), "image_bounds": (image_bounds, BOUNDS_SQL), "class_means": (class_means, CLASS_MEANS_SQL), "external_recall": (external_recall, EXTERNAL_SQL),
     "feature_stack": (feature_stack, STACK_SQL), "missing_values": (missing_values, MISSING_SQL), "reduced_features": (reduced_features, REDUCED_SQL), "unique_files": (unique_files, UNIQUE_SQL), "first_cells": (first_cells, FIRST_SQL), "closest_images": (closest_images, CLOSEST_SQL), "missing_files": (missing_files, MISSING_FILES_SQL),
     "cells_with_file": (cells_with_file, CELLS_SQL), "catalogue_differences": (catalogue_differences, DIFFERENCES_SQL), "matched_products": (matched_products, MATCHED_SQL), "rebuilt_scenes": (rebuilt, REBUILT_SQL), "scenes_between": (scenes_between, BETWEEN_SQL), "catalogue": (catalogue, CATALOGUE_SQL), "why_missing": (why_missing, WHY_SQL),

@@ -208,11 +208,13 @@ RECALL_SQL = f"{cte('scores', 'lut')} SELECT ho_type, yr, round(avg(CASE WHEN (L
 
 def roc(spark, sf):
     frame = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
-    return ac.roc_auc(frame, "n_chars", "quality").withColumn("auc", F.round("auc", 6))
+    return ac.roc_auc(frame, "n_chars", "quality").select(F.round("auc", 6).alias("auc"), F.round("pr_auc", 6).alias("pr_auc"))
 
 
 ROC_SQL = """WITH j AS (SELECT n_chars, quality FROM documents JOIN labels USING (doc_id)), b AS (SELECT n_chars, count(*) FILTER (WHERE quality = 1) AS p, count(*) FILTER (WHERE quality = 0) AS n FROM j GROUP BY 1),
- w AS (SELECT p, n, p * (coalesce(sum(n) OVER (ORDER BY n_chars ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + n / 2.0e0) AS w FROM b) SELECT round(sum(w) / CAST(sum(p) * sum(n) AS DOUBLE), 6) AS auc FROM w"""
+ w AS (SELECT p, n, p * (coalesce(sum(n) OVER (ORDER BY n_chars ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + n / 2.0e0) AS w, sum(p) OVER (ORDER BY n_chars DESC) AS tp, sum(n) OVER (ORDER BY n_chars DESC) AS fp FROM b),
+ q AS (SELECT *, tp / CAST(tp + fp AS DOUBLE) AS here, CASE WHEN tp - p + fp - n = 0 THEN tp / CAST(tp + fp AS DOUBLE) ELSE (tp - p) / CAST(tp - p + fp - n AS DOUBLE) END AS above FROM w)
+SELECT round(sum(w) / CAST(sum(p) * sum(n) AS DOUBLE), 6) AS auc, round(sum(p * (here + above) / 2) / sum(p), 6) AS pr_auc FROM q"""
 
 
 def run_scores(spark, sf):
@@ -291,7 +293,7 @@ STRATIFIED_SQL = f"{cte('points', 'lut')}, {_P} SELECT LC25_name, CAST(ceil(coun
 
 
 def _embedding_frame(spark, sf):
-    return table(spark, sf, "embeddings").select(F.col("vec_id").alias("OID_"), F.col("label"), *[(F.col("embedding")[i] * 10000).cast("int").alias(f"var_e_{i}") for i in range(12)])
+    return table(spark, sf, "embeddings").select(F.col("vec_id").alias("OID_"), F.col("label"), *[(F.col("embedding")[i] * 10000).cast("int").alias(f"var_e_{i}") for i in range(64)])
 
 
 def forest(spark, sf):

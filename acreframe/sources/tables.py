@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from acreframe.functions.classes import holdout_type
+from acreframe.functions.names import date_of_yyyyddd
 from acreframe.operators.seasons import crop_year
 from acreframe.operators.stack import FeatureModel
 
@@ -36,7 +39,7 @@ def as_cells(x: int | str | Iterable[int], spark: SparkSession) -> DataFrame:
 def index_series(pixels: DataFrame, cells: DataFrame | None, index: str, year: int, start_month: int) -> DataFrame:
     """Rows of an index and of the cells in a crop year; both prune partitions of a table laid out by them."""
     out = pixels.where((F.col("spec_index") == index) & crop_year(F.col("img_date"), year, start_month))
-    return out if cells is None else out.join(F.broadcast(cells), "cell_id", "left_semi")
+    return out if cells is None else out.join(cells, "cell_id", "left_semi")
 
 
 def raw_images(raw: DataFrame, sensors: tuple[str, ...]) -> DataFrame:
@@ -55,9 +58,13 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFram
 
 
 def log_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """(file, line_no, line) of text logs, a file to a row before its lines are numbered."""
-    whole = spark.read.text(folder, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\n")).alias("line_no", "line"))
-    return whole.select("file", F.col("line_no").cast("long").alias("line_no"), "line")
+    """(file, line_no, line) of text logs; line_no rises within a file, in steps of one or more.
+
+    A large log is read in blocks: a line's number is where its block starts plus its place among the rows of the task, which is
+    smaller than a block has bytes.
+    """
+    lines = spark.read.text(folder).select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("n"), F.col("value").alias("line"))
+    return lines.select("file", (F.col("at") + F.col("n")).alias("line_no"), "line")
 
 
 def read_points(spark: SparkSession, path: str) -> DataFrame:
@@ -76,16 +83,42 @@ def read_series(spark: SparkSession, path: str) -> DataFrame:
     return wide.select(F.to_date("date").alias("date"), *[F.col(f"`{c}`").try_cast("double").alias(c) for c in names]).orderBy("date")
 
 
-def monthly_files(spark: SparkSession, folder: str, year: int, months: range, band: str, area: str) -> DataFrame:
-    """Wide monthly series whose file names hold area, year_month and band, as one; columns that a file lacks are null."""
-    out: DataFrame | None = None
-    for m in months:
-        part = spark.read.option("pathGlobFilter", f"*{area}*{year}_{m:02d}*{band}*").csv(folder, header=True, nullValue="NaN")
-        if part.columns:
-            out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    if out is None:
+def monthly_files(spark: SparkSession, folder: str, kind: str, area: str, year: int, months: tuple[int, int], band: str) -> DataFrame:
+    """Wide series of files named MMYYYY..., with kind, band and area in the name ("All": any area), of the months, as one.
+
+    The day column imDay (yyyyddd) becomes `date`; ALL is the mean of a row's points, stdv their deviation with that mean among them.
+    The driver lists names and unites files, of which there are a few for each month.
+    """
+    listed = [r.path for r in list_files(spark, folder, "*.csv").where(F.col("file").rlike(r"^\d{6}")).select("path", "file").collect() if months[0] <= int(r.file[:2]) <= months[1] and all(x in r.file for x in (str(year), kind, band, "" if area == "All" else area))]
+    if not listed:
         raise ValueError("no file matches")
-    return out
+    wide = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [spark.read.csv(p, header=True, nullValue="NaN") for p in sorted(listed)])
+    points = [c for c in wide.columns if c != "imDay"]
+    values = F.filter(F.array(*[F.col(f"`{c}`").try_cast("double") for c in points]), lambda v: v.isNotNull())
+    mean = lambda v: F.try_divide(F.aggregate(v, F.lit(0.0), lambda s, x: s + x), F.size(v))
+    out = wide.select(date_of_yyyyddd("imDay").alias("date"), *[F.col(f"`{c}`").try_cast("double").alias(c) for c in points], values.alias("__v"))
+    out = out.withColumn("ALL", mean(F.col("__v")))
+    return out.withColumn("stdv", F.sqrt(mean(F.transform("__v", lambda v: (v - F.col("ALL")) * (v - F.col("ALL")))))).drop("__v")
+
+
+def fixed_holdout(spark: SparkSession, folder: str, features: str, year: str, lut: DataFrame, values: DataFrame | None = None) -> DataFrame:
+    """A fixed holdout with ho_type: the file <features>_..._all_<year>*, split by class, or else one file for each type, with features joined where given.
+
+    Files of types are called <features or GENERAL>_HOLDOUT_<type>_<year>.csv; those that aren't there are left out.
+    """
+    known = {r.file: r.path for r in list_files(spark, folder, "*.csv").select("path", "file").collect()}
+    read = lambda f: spark.read.csv(known[f], header=True, inferSchema=True, nullValue="NaN")
+    whole = sorted(f for f in known if (p := f.split("_"))[0] == features and len(p) > 2 and p[-2] == "all" and p[-1].startswith(year))
+    if whole:
+        rows = read(whole[0]).withColumn("ho_type", holdout_type()).where(F.col("ho_type").isNotNull())
+    else:
+        parts = [(t, f) for t in ("noCrop", "smallCrop", "medCrop", "bigCrop") for f in (f"{features}_HOLDOUT_{t}_{year}.csv", f"GENERAL_HOLDOUT_{t}_{year}.csv") if f in known]
+        if not parts:
+            raise ValueError("no fixed holdout")
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [read(f).withColumn("ho_type", F.lit(t)) for t, f in dict(reversed(parts)).items()])
+    if "LC2" not in rows.columns:
+        rows = rows.join(F.broadcast(lut.where(F.col("LC_UNQ").isNotNull()).select("LC_UNQ", "LC2")), "LC_UNQ", "left")
+    return rows if values is None else rows.join(values.drop(*[c for c in values.columns if c in rows.columns and c != "OID_"]), "OID_")
 
 
 def read_registry(text: str) -> dict[str, FeatureModel]:

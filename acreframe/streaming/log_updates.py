@@ -2,33 +2,45 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from acreframe.operators.logs import merge_status, roll_up
 
 
-def apply_batch(store: str, lines: DataFrame, start_date: str | None = None, stop_date: str | None = None) -> str:
-    """Merge a batch of log lines(file, line_no, line) into the status table; returns where the new version is.
+def _versions(spark: SparkSession, store: str) -> list[int]:
+    """Numbers of the complete versions in a store: those whose last file, the writer's _SUCCESS, is there."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(f"{store}/version-*/_SUCCESS")
+    found = path.getFileSystem(conf).globStatus(path)
+    return sorted(int(f.getPath().getParent().getName().removeprefix("version-")) for f in found or [])
+
+
+def current_status(spark: SparkSession, store: str) -> DataFrame | None:
+    """The newest complete version of the status table."""
+    known = _versions(spark, store)
+    return spark.read.parquet(f"{store}/version-{known[-1]}") if known else None
+
+
+def apply_batch(store: str, lines: DataFrame, start_date: str | None = None, stop_date: str | None = None, ignore: tuple[str, str] | None = None, batch: int | None = None) -> str:
+    """Merge a batch of log lines(file, line_no, line) into the status table; returns where the version that holds it is.
 
-    store: a folder of versions; the pointer table `current` in it names the valid one, so a batch that dies leaves the old.
+    store: a folder of versions, numbered by batch (without one: the next number).  A version counts once it is complete, so a
+    batch that dies leaves the table as it was, and one that is already in it changes nothing when it comes again.
     """
     spark = lines.sparkSession
-    new = roll_up(lines, start_date, stop_date)
-    pointer = f"{store}/current"
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pointer)
-    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        merged = merge_status(spark.read.parquet(spark.read.text(pointer).first()[0]), new)
-    else:
-        merged = merge_status(new.limit(0), new)
-    version = f"{store}/version-{uuid.uuid4().hex}"
-    merged.drop("archivable").write.parquet(version)
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(pointer)
+    known = _versions(spark, store)
+    if batch is None:
+        batch = known[-1] + 1 if known else 0
+    if known and known[-1] >= batch:
+        return f"{store}/version-{known[-1]}"
+    new = roll_up(lines, start_date, stop_date, ignore)
+    old = spark.read.parquet(f"{store}/version-{known[-1]}") if known else new.limit(0)
+    version = f"{store}/version-{batch}"
+    merge_status(old, new, start_date, stop_date, ignore).drop("archivable").write.mode("overwrite").parquet(version)
     return version
 
 
-def watch_logs(lines: DataFrame, store: str, checkpoint: str) -> StreamingQuery:
-    """The same for a stream of log lines: each micro-batch is merged by foreachBatch, all that's there now."""
-    return lines.writeStream.foreachBatch(lambda batch, _: apply_batch(store, batch)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def watch_logs(lines: DataFrame, store: str, checkpoint: str, start_date: str | None = None, stop_date: str | None = None, ignore: tuple[str, str] | None = None) -> StreamingQuery:
+    """The same for a stream of log lines: each micro-batch is merged by foreachBatch under its number, all that's there now."""
+    return lines.writeStream.foreachBatch(lambda frame, batch: apply_batch(store, frame, start_date, stop_date, ignore, batch) and None).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

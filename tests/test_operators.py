@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from acreframe.functions import classes, names, numbers
 from acreframe.functions.indices import spectral_index
-from acreframe.operators import accuracy, features, inventory, logs, phenology, sample, seasons, series, spatial, stack
+from acreframe.operators import accuracy, features, inventory, logs, phenology, ranks, sample, seasons, series, spatial, stack
 from acreframe.sources import tables
-from acreframe.streaming.log_updates import apply_batch, watch_logs
+from acreframe.streaming.log_updates import apply_batch, current_status, watch_logs
 
 SCHEMA = "cell_id int, row int, col int, spec_index string, img_date date, value int"
 
@@ -168,12 +168,42 @@ def test_rings(spark):
     assert abs(box(-1, -1, 11, 11) - 70) < 1e-9 and abs(box(0, 0, 5, 4) - 20) < 1e-9 and box(20, 20, 30, 30) == 0
     made = spatial.random_points(zones, 5, 3).collect()
     assert len(made) == 5 and all(inside(p.x, p.y) for p in made) and made == spatial.random_points(zones, 5, 3).collect()
+    thin = spark.createDataFrame([(7, [(0.0, 0.0), (1000.0, 1000.0), (1000.0, 1001.0), (0.0, 1.0), (0.0, 0.0)]), (8, [(0.0, 0.0), (1.0, 1.0), (0.0, 0.0)])], "zone_id int, ring array<struct<x double, y double>>")
+    many = spatial.random_points(thin, 50, 1, first=1).collect()
+    assert sorted(p.point_id for p in many) == sorted(f"7_{i}" for i in range(50)) and all(0 <= p.y - p.x <= 1 for p in many)
+    pixels = spark.createDataFrame([(i, j, i * 100 + j, j * 10 + 5.0, i * 10 + 5.0) for i in range(12) for j in range(12) if (i + j) % 3], "row int, col int, value int, px double, py double")
+    places = [(k, rng.uniform(-20, 140), rng.uniform(-20, 140)) for k in range(60)]
+    for tolerance in (3.0, 15.0, 47.0):
+        got = {r.k: r for r in spatial.nearest_pixels(spark.createDataFrame(places, "k int, x double, y double"), pixels, 10.0, tolerance, "k").collect()}
+        for k, x, y in places:
+            near = min((((r.px - x) ** 2 + (r.py - y) ** 2) ** 0.5, r.row, r.col) for r in pixels_of(pixels))
+            assert (got[k].row, got[k].col) == (near[1:] if near[0] <= tolerance else (None, None))
     edge = spark.createDataFrame([(5.0, 5.0), (10.0, 5.0)], "x double, y double")
     boxes = spark.createDataFrame([(1, 0.0, 0.0, 10.0, 10.0), (2, 10.0, 0.0, 20.0, 10.0)], "cell_id int, xmin double, ymin double, xmax double, ymax double")
     assert [r.cell_id for r in spatial.points_in_boxes(edge, boxes, 10.0).collect()] == [1]
     assert "NestedLoop" not in spatial.points_in_boxes(edge, boxes, 10.0)._jdf.queryExecution().toString()
 
 
+_held: list = []
+
+
+def pixels_of(pixels):
+    if not _held:
+        _held.extend(pixels.collect())
+    return _held
+
+
+def test_ranks(spark):
+    """Medians and sums over an order where values crowd at one end."""
+    rng = random.Random(4)
+    rows = [("a", rng.gauss(0, 1) if i % 50 else 1e9 * i) for i in range(1001)] + [("b", float(i % 7)) for i in range(100)] + [("c", 3.0)]
+    frame_ = spark.createDataFrame([*rows, ("a", None)], "g string, v double")
+    assert {r.g: r.v for r in ranks.medians(frame_, "g", "v").collect()} == {g: statistics.median(v for h, v in rows if h == g) for g in "abc"}
+    counts = frame_.where("v is not null").groupBy("g", "v").agg(F.count("*").alias("n"))
+    for r in ranks.sums_before(counts, "g", "v", ["n"]).where("g = 'b'").collect():
+        assert r.n_before == sum(1 for g, v in rows if g == "b" and v < r.v)
+
+
 def test_gaps(spark):
     d = dt.date
     rows = [(1, d(2019, 1, 1), d(2019, 12, 31)), (1, d(2020, 1, 1), d(2020, 2, 1)), (1, d(2020, 3, 1), d(2020, 4, 1)), (2, d(2020, 1, 1), d(2020, 2, 1)), (3, d(2020, 1, 1), d(2020, 6, 1)), (3, d(2020, 2, 1), d(2020, 3, 1)), (4, None, d(2020, 1, 1))]
@@ -202,15 +232,41 @@ def test_logs(spark, tmp_path):
     (tmp_path / "new" / "stacdl_1.err").write_text("\n".join(again))
     status = {r.cell_id: r for r in spark.read.parquet(apply_batch(store, tables.log_lines(spark, str(tmp_path / "new")))).collect()}
     assert set(status) == {3001, 4007} and status[3001].dltime == 60 and not status[3001].dllog_errors and status[3001].dllog_end == dt.date(2020, 3, 10)
+    assert not status[3001].dllog_gaps and len(status[4007].dllog_gaps) == 1
+
+
+def test_merged_gaps(spark):
+    """A gap between the spans of two logs is one of the merged status; an ignored period is no fix; three kinds of errors count."""
+    lines = lambda *periods: spark.createDataFrame([("a_1.err", 0, "cell_id = 3")] + [("a_1.err", i, x) for i, x in enumerate(periods, 1)], "file string, line_no long, line string")
+    work = "\\ Working on {} to {}".format
+    old = logs.roll_up(lines(work("2000-01-01", "2000-09-01"), work("2000-08-01", "2001-06-01")))
+    new = logs.roll_up(lines(work("2010-01-01", "2010-03-01"), "x urllib.error.HTTPError: 1", work("2010-02-01", "2010-06-01"), "pystac_client.exceptions.APIError", work("2010-05-01", "2010-07-01"), "TimeoutError"), ignore=("2010-05-01", "2010-07-01"))
+    assert new.first().dllog_gaps == [] and len(new.first().dllog_errors) == 3 and len(new.first().dl_fix_now) == 2
+    both = logs.merge_status(old, new, "1999-01-01", "2010-07-01").first()
+    d = dt.date
+    assert [tuple(g) for g in both.dllog_gaps] == [(d(1999, 1, 1), d(2000, 1, 1)), (d(2001, 6, 1), d(2010, 1, 1))] and not both.archivable
+    assert [tuple(g) for g in logs.merge_status(old, new).first().dllog_gaps] == [(d(2001, 6, 1), d(2010, 1, 1))]
+
+
+def test_batches_again(spark, tmp_path):
+    """A batch that comes again changes nothing; one that died leaves the table as it was."""
+    frame_ = spark.createDataFrame([("a_1.err", i, x) for i, x in enumerate(LOG)], "file string, line_no long, line string")
+    store = str(tmp_path / "s")
+    first = apply_batch(store, frame_, batch=4)
+    assert apply_batch(store, frame_, batch=4) == first and spark.read.parquet(first).first().dltime == 30
+    spark.range(1).write.parquet(f"{store}/version-5")
+    (tmp_path / "s" / "version-5" / "_SUCCESS").unlink()
+    assert current_status(spark, store).first().dltime == 30
+    assert spark.read.parquet(apply_batch(store, frame_, batch=5)).first().dltime == 60
 
 
 def test_log_stream(spark, tmp_path):
     rows = [("stacdl_1.err", i, line) for i, line in enumerate(LOG)]
     spark.createDataFrame(rows, "file string, line_no long, line string").write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("file string, line_no long, line string").parquet(str(tmp_path / "in"))
-    watch_logs(stream, str(tmp_path / "store"), str(tmp_path / "cp")).awaitTermination(120)
-    where = spark.read.text(str(tmp_path / "store/current")).first()[0]
-    assert [r.cell_id for r in spark.read.parquet(where).collect()] == [3001]
+    watch_logs(stream, str(tmp_path / "store"), str(tmp_path / "cp"), "2019-01-01").awaitTermination(120)
+    status = current_status(spark, str(tmp_path / "store")).first()
+    assert status.cell_id == 3001 and [tuple(g)[0] for g in status.dllog_gaps] == [dt.date(2019, 1, 1), dt.date(2020, 2, 1)]
 
 
 def test_models_and_stacks(spark):
@@ -290,5 +346,68 @@ def test_forest(spark, tmp_path):
     curve = model.auc(points.select("cls", F.col("var_x").alias("score")), "cls", "b")
     exact = accuracy.roc_auc(points.select((F.col("cls") == "b").cast("int").alias("y"), F.col("var_x").alias("score")), "score", "y").first().auc
     assert abs(curve["areaUnderROC"] - exact) < 1e-6
+    flat = model.permutation_importances(fitted, points.limit(100), "cls", "OID_", 2, bucket=20)
+    assert flat[0][0] == "var_x" and {f for f, *_ in flat} == {"var_x", "var_y"} and len(model.importances(fitted, 1)) == 1
+    assert abs(curve["areaUnderPR"] - accuracy.roc_auc(points.select((F.col("cls") == "b").cast("int").alias("y"), F.col("var_x").alias("score")), "score", "y").first().pr_auc) < 1e-3
     table = model.sweep({"all": points}, lambda f, seed: {"n": float(f.count() + seed)}, 2, spark)
     assert sorted(r.n for r in table.collect()) == [401.0, 424.0]
+
+
+def test_model_runs(spark, tmp_path):
+    """The whole chain, a learning curve and a grid of samples, from classes of a lookup table on."""
+    from acreframe.operators import model
+
+    lut = spark.createDataFrame([(1, "Corn", 11, "Corn", 30, "crop", 0.5), (2, "Trees", 12, "Trees", 98, "nocrop", 0.3), (3, "Mix", 13, "Crops-mix", 30, "crop", 0.2)], "LC_UNQ int, USE_NAME string, LC25 int, LC25_name string, LC2 int, LC2_name string, perLC25E double")
+    rng = random.Random(3)
+    rows = [(i, ["Corn", "Trees", "Mix"][i % 3], rng.random(), (0 if i % 3 == 1 else 100) + rng.randint(0, 60), rng.randint(0, 9), [30, 98, 30][i % 3], ["bigCrop", "noCrop", "smallCrop"][i % 3], 2021 + i % 2, int(i % 5 == 0), ["Corn", "Trees", "Crops-mix"][i % 3]) for i in range(600)]
+    points = spark.createDataFrame(rows, "OID_ long, Class string, rand double, var_x int, var_y int, LC2 int, ho_type string, year int, TESTSET20 int, LC25_name string")
+    free = points.drop("LC2", "ho_type", "year")
+    path = str(tmp_path / "rf")
+    options = {"trees": 5, "depth": 3}
+    fitted, scores = model.model_run(free, lut, "base", "bal10mix1", "cropNoCrop", [2021, 2022], percent=20, fixed=points, path=path, **options)
+    assert scores["model"] == "base_bal10mix1_LC2_2122_RF" and scores["holdout"] > 0.9 and scores["recall_noCrop"] > 0.9 and scores["OA_cnc"] > 0.9 and scores["Kappa_cnc"] > 0.8
+    assert {"recall_smallCrop_2021", "recall_bigCrop_2022"} <= scores.keys()
+    _, again = model.model_run(free, lut, "base", "bal10mix1", "cropNoCrop", [2021, 2022], percent=20, fixed=points, path=path, trees=-1)
+    assert again == scores
+    curve = model.learning_curve(free, points, lut, "base", "bal10", "cropNoCrop", [2021], runs=2, stop=40, step=20, **options).collect()
+    assert [r.n for r in curve] == [0, 1] and curve[0].n_small == 0 < curve[1].n_small and all(len(r.OA_cnc) == 2 and abs(r.avgOA_cnc - sum(r.OA_cnc) / 2) < 6e-4 for r in curve)
+    grid = model.sample_grid(free, points, lut, "base", "cropNoCrop", [2021], [50], [1, 2], runs=1, **options).collect()
+    assert {r.S for r in grid} == {"bal50mix1", "bal50mix2"} and all(r.OA_cnc > 0.8 for r in grid)
+    sampled = sample.sweep_sample(points.withColumn("SampMethod", F.lit("sat")).drop("LC25_name"), lut, 10, "Corn", "sat", 50, drop=("year",))
+    assert "year" not in sampled.columns and sampled.where("Class = 'Corn'").count() < 120
+    stack_ = spark.createDataFrame([(1, 1, 1, 5, 7)], "cell_id int, row int, col int, evi2_maxv_yr int, sing_h int")
+    with_poly = stack.FeatureModel(spec_indices=["evi2"], si_vars=["maxv_yr"], singleton_vars=["h"], poly_vars=["area"])
+    assert model.model_stack({"base4Poly6": stack_}, with_poly, "base4NoPoly")[1] == ["evi2_maxv_yr", "sing_h"]
+    held, bands = model.model_stack({"m": stack_.withColumn("area", F.lit(3))}, with_poly, "m")
+    assert stack.select_bands(held, bands).first()[3:] == (5, 7, 3)
+    with pytest.raises(ValueError):
+        model.model_stack({}, with_poly, "other")
+    frame_ = spark.createDataFrame([(1, 2, 3, 4)], "OID_ int, var_evi2_maxv_yr int, var_evi2_amp int, var_poly_area int")
+    kept, models = stack.reduced_model(frame_, {"m": with_poly}, "m", "small", variables=("amp",))
+    assert models["small"].band_names == ["evi2_maxv_yr", "poly_area"] and kept.columns == ["OID_", "var_evi2_maxv_yr", "var_poly_area"]
+
+
+def test_more_sources(spark, tmp_path):
+    d = tmp_path / "ts"
+    d.mkdir()
+    (d / "012021_NoDLs_AOI1_N.csv").write_text("imDay,1,2\n2021003,4,NaN\n2021009,1,2\n")
+    (d / "022021_NoDLs_AOI1_N.csv").write_text("imDay,1,3\n2021040,5,7\n")
+    (d / "032021_NoDLs_AOI1_N.csv").write_text("imDay,1\n2021070,5\n")
+    (d / "012021_NoDLs_AOI2_N.csv").write_text("imDay,9\n2021005,5\n")
+    got = {str(r.date): r for r in tables.monthly_files(spark, str(d), "NoDLs", "AOI1", 2021, (1, 2), "N").collect()}
+    assert set(got) == {"2021-01-03", "2021-01-09", "2021-02-09"} and got["2021-02-09"].ALL == 6 and got["2021-02-09"].stdv == statistics.stdev([5, 7, 6]) and got["2021-01-03"]["2"] is None
+    assert tables.monthly_files(spark, str(d), "NoDLs", "All", 2021, (1, 1), "N").count() == 3
+    lut = spark.createDataFrame([(22, 30), (23, 30), (60, 98)], "LC_UNQ int, LC2 int")
+    h = tmp_path / "ho"
+    h.mkdir()
+    (h / "GENERAL_HOLDOUT_noCrop_2021.csv").write_text("OID_,LC_UNQ\n1,60\n")
+    (h / "base_HOLDOUT_bigCrop_2021.csv").write_text("OID_,LC_UNQ\n2,22\n")
+    values = spark.createDataFrame([(1, 5), (2, 6)], "OID_ int, var_x int")
+    assert {(r.OID_, r.ho_type, r.LC2, r.var_x) for r in tables.fixed_holdout(spark, str(h), "base", "2021", lut, values).collect()} == {(1, "noCrop", 98, 5), (2, "bigCrop", 30, 6)}
+    (h / "base_x_all_2021.csv").write_text("OID_,LC_UNQ,LC2\n1,60,98\n2,22,30\n3,23,30\n4,19,98\n")
+    assert {(r.OID_, r.ho_type) for r in tables.fixed_holdout(spark, str(h), "base", "2021", lut).collect()} == {(1, "noCrop"), (2, "bigCrop"), (3, "smallCrop")}
+    tables.write_csv(lut.orderBy("LC_UNQ"), str(tmp_path / "out"))
+    assert spark.read.csv(str(tmp_path / "out"), header=True).count() == 3
+    (tmp_path / "p.csv").write_text("OID_,PID\n1,a\n")
+    tables.write_stack(spark.createDataFrame([(1, 1, 1, 5, 6)], "cell_id int, row int, col int, b int, a int"), str(tmp_path / "st"), ["a", "b"])
+    assert spark.read.parquet(str(tmp_path / "st")).columns == ["cell_id", "row", "col", "a", "b"]
