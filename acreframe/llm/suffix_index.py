@@ -108,6 +108,23 @@ def _word(text: np.ndarray, entries: np.ndarray, k: int, steps: int) -> np.ndarr
     return np.ascontiguousarray(found).view(">u8").ravel().astype(np.uint64)
 
 
+def _same(a_text: np.ndarray, a: np.ndarray, b_text: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the segments of a and b have the same bytes on both sides of their anchors; fingerprints that differ spare the look."""
+    same = (a["h"] == b["h"]) & (a["seg"] == b["seg"]) & (a["left"] == b["left"]) & (a["right"] == b["right"])
+    look = np.flatnonzero(same)
+    for at in range(0, len(look), 4096):
+        part = look[at : at + 4096]
+        size = a["left"][part] + a["right"][part]
+        step = np.arange(int(size.max()))
+        alike = a_text[(a["at"] - a["left"])[part, None] + step] == b_text[(b["at"] - b["left"])[part, None] + step]
+        same[part] = (alike | (step >= size[:, None])).all(axis=1)
+    return same
+
+
+#: Parts that are alike, from which on whole segments are compared before further parts.
+_LONG = 4
+
+
 def suffix_order(text: np.ndarray, entries: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
     """Order of the entries by their bytes, and the place of the first of those that are equal to each in it.
 
@@ -119,6 +136,11 @@ def suffix_order(text: np.ndarray, entries: np.ndarray, steps: int) -> tuple[np.
     group = np.maximum.accumulate(np.where(head, np.arange(len(order)), 0)) if len(order) else order
     slots = np.flatnonzero(~head | np.concatenate((~head[1:], [False])))
     for k in range(1, 2 * steps + 1):
+        if k == _LONG and len(slots):
+            equal = _same(text, entries[order[slots]], text, entries[order[group[slots]]])
+            starts = np.flatnonzero(slots == group[slots])
+            whole = np.logical_and.reduceat(equal, starts)
+            slots = slots[~np.repeat(whole, np.diff(np.append(starts, len(slots))))]  # groups of equal ones are settled
         if not len(slots):
             break
         live, of = order[slots], group[slots]
@@ -157,14 +179,20 @@ class Level:
         """
         low = np.searchsorted(self.entries["first"], entries["first"], side="left")
         high = np.searchsorted(self.entries["first"], entries["first"], side="right")
+        out = np.full(len(entries), -1)
         for k in range(1, 2 * steps + 1):
+            if k == _LONG:
+                single = np.flatnonzero(high - low == 1)
+                equal = _same(text, entries[single], self.text, self.entries[low[single]])
+                out[single[equal]] = low[single[equal]]
+                high[single] = low[single]
             live = np.flatnonzero(low < high)
             if not len(live):
                 break
             key = _word(text, entries[live], k, steps)
             begin = self._range(key, low[live], high[live], k, steps, False)
             low[live], high[live] = begin, self._range(key, begin, high[live], k, steps, True)
-        return np.where(low < high, low, -1)
+        return np.where(low < high, low, out)
 
 
 def _before(a: np.ndarray, b: np.ndarray) -> np.ndarray:
