@@ -32,14 +32,15 @@ class WordTokenizer:
     takes the whole way.
     """
 
-    CACHED = 300_000
+    CACHED, CACHED_CHARS, LONG = 300_000, 8 << 20, 64
     _PLAIN = re.compile(r"[!-~¡-ÿ]+")
     _SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^0-9²³¹¼½¾a-zªµºß-öø-ÿ]+")
     _loaded: dict[str, WordTokenizer] = {}
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, cached: int = CACHED) -> None:
         from tokenizers import Tokenizer, pre_tokenizers
 
+        self.cached = cached
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
@@ -50,15 +51,16 @@ class WordTokenizer:
         # the words seen lately, and those of the generation before, from which a word is taken over when it's seen again
         self.words: dict[str, bytes] = {}
         self.old_words: dict[str, bytes] = {}
+        self.held = 0  # characters of words
         self.parts: dict[str, bytes] = {}
         self.old_parts: dict[str, bytes] = {}
         self.pack = [struct.Struct(f"<{n}I").pack for n in range(32)]
 
     @classmethod
-    def of(cls, path: str) -> WordTokenizer:
+    def of(cls, path: str, cached: int = CACHED) -> WordTokenizer:
         """One for each Python worker."""
         if path not in cls._loaded:
-            cls._loaded[path] = cls(path)
+            cls._loaded[path] = cls(path, cached)
         return cls._loaded[path]
 
     def _part(self, part: str) -> bytes:
@@ -66,25 +68,28 @@ class WordTokenizer:
         return self.pack[len(tokens)](*tokens) if len(tokens) < len(self.pack) else np.array(tokens, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        if self._PLAIN.fullmatch(word) and "<|" not in word and len(word) < 1000:
+        if self._PLAIN.fullmatch(word) and "<|" not in word:
             out = []
             for part in self._SPLIT.findall(word.lower()):
                 ids = self.parts.get(part)
                 if ids is None:
-                    ids = self.parts[part] = self.old_parts.get(part) or self._part(part)
+                    ids = self.old_parts.get(part) or self._part(part)
+                    if len(part) <= self.LONG:
+                        self.parts[part] = ids
                 out.append(ids)
             return b"".join(out)
         return np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
-        if len(self.words) > self.CACHED:
-            self.words, self.old_words = {}, self.words
-        if len(self.parts) > self.CACHED // 2:
+        if len(self.words) > self.cached or self.held > self.CACHED_CHARS:
+            self.words, self.old_words, self.held = {}, self.words, 0
+        if len(self.parts) > self.cached // 2:
             self.parts, self.old_parts = {}, self.parts
         known = self.words
         for w in {w for w in words if w not in known}:
             known[w] = self.old_words.get(w) or self._word(w)
+            self.held += len(w)
         return b"".join([known[w] for w in words])
 
 
@@ -179,17 +184,19 @@ class _Packer:
 _PIECES = pa.schema([(x, pa.int64()) for x in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, width: int = 4096, end_id: int = 2) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, width: int = 4096, end_id: int = 2, cached: int = WordTokenizer.CACHED) -> DataFrame:
     """Pack documents(doc_id, text) into sequences of at most `width` ids, in the order in which they come.
 
-    tokenizer: path of a tokenizers file, on every machine; `end_id` follows each document.  Returns a row per piece:
+    tokenizer: path of a tokenizers file, on every machine; `end_id` follows each document; cached: words whose ids a Python worker
+    keeps, twice (some 250 bytes each), which changes nothing but time.  Returns a row per piece:
     doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset.  A partition is packed by itself, without a shuffle:
-    its number leads the sequence_ids, and its last sequence is the only one with more padding than a choice of cuts saves.
+    its number leads the sequence_ids.  Cuts are the best ones for each BLOCK_TOKENS of tokens with what the block before left
+    over, and the last sequence of a partition is the only one with more padding than a choice of cuts saves.
     Null and empty texts are the end id alone; null ids and repeated rows are packed as they come; other columns are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokenizer.of(tokenizer)
+        words = WordTokenizer.of(tokenizer, cached)
         end = end_id.to_bytes(4, "little")
         packer = _Packer(words.closes, width, TaskContext.get().partitionId() << 40)
 

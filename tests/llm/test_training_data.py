@@ -472,6 +472,8 @@ def test_tokenizer_words():
     for _ in range(2000):
         text = "".join(rng.choice("aAbZ don't've  \n\t.,!?½²3é́ÀİΣσßﬁ世<|endoftext|>_×÷­ ") for _ in range(rng.randint(0, 30)))
         assert words.encode(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
+    for text in ("Ab9." * 5000, "x" * 30000, "é'" * 2000 + " b", "世" * 3000):
+        assert words.encode(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 @pytest.mark.parametrize("length, crowded, batch", [(100, 1000, 1 << 20), (40, 1000, 700), (40, 1, 700)])
