@@ -107,23 +107,21 @@ def _without(text: str, runs: list[dict]) -> str:
     return "".join([*kept, text[at:]])
 
 
-def _passes(benchmark: DataFrame, window: int) -> Iterator[list[Windows]]:
-    """Blocks of test items, of each pass over the documents in turn; their size is taken first, so the driver holds PASS_BYTES of text at most."""
+def _passes(benchmark: DataFrame) -> tuple[DataFrame, list[range]]:
+    """Test items with the number of their block, and the blocks of each pass over the documents; the size is taken before anything is collected."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text")).where("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-size // BLOCK_BYTES))
-    part = F.pmod(F.xxhash64("item", "text"), F.lit(n))
-    each = max(1, PASS_BYTES // BLOCK_BYTES)
-    for at in range(0, n, each):
-        yield [Windows([tuple(r) for r in items.where(part == k).collect()], window) for k in range(at, min(n, at + each))]
+    n, each = max(1, -(-size // BLOCK_BYTES)), max(1, PASS_BYTES // BLOCK_BYTES)
+    return items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n))), [range(at, min(n, at + each)) for at in range(0, n, each)]
 
 
-def marked(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> tuple[DataFrame, str, str, str]:
+def marked(docs: DataFrame, benchmark: DataFrame, window: int = 10, cut: bool = False) -> tuple[DataFrame, str, str, str]:
     """docs with three more columns, and their names: words of the text, runs (start, end) of hit ones, and the items found (sorted).
 
-    Each slice of a partition is a shard with an index of its own, which all blocks of a pass are searched in; nothing is shuffled.
-    A benchmark of up to PASS_BYTES of text takes one pass.  A larger one takes several, each with a broadcast that is freed
-    behind it, and between them the documents are written with what was found so far.
+    cut: the hit runs are cut out of text besides, once all items are searched, and n_chars, where there is one, follows.  Each slice of a
+    partition is a shard with an index of its own, which all blocks of a pass are searched in; nothing is shuffled.  A benchmark
+    of up to PASS_BYTES of text takes one pass.  A larger one takes several, each with a broadcast that is freed behind it, and between
+    them the documents are written with what was found so far.
     """
     words, runs, items = (free_name(docs, x) for x in ("__words", "__runs", "__items"))
     spark, names = docs.sparkSession, docs.columns
@@ -131,29 +129,36 @@ def marked(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> tuple[Dat
     out = docs.select("*", *[F.lit(None).cast(kind).alias(name) for name, kind in state])
     types = (pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.list_(pa.string()))
 
-    def search(held: Broadcast):
+    def search(held: Broadcast, clean: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in slices(batch, size=SHARD_BYTES):
-                    found = []
-                    for (n, hit, own), old, known in zip(_marks(part.column("text").to_pylist(), held.value), part.column(runs).to_pylist(), part.column(items).to_pylist(), strict=True):
+                    texts, found = part.column("text").to_pylist(), []
+                    for (n, hit, own), old, known in zip(_marks(texts, held.value), part.column(runs).to_pylist(), part.column(items).to_pylist(), strict=True):
                         for r in old or []:
                             hit[r["start"] : r["end"]] = True
                         edge = np.diff(np.concatenate(([0], hit.astype(np.int8), [0])))
                         spans = zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True)
                         found.append((n, [{"start": a, "end": b} for a, b in spans], sorted(own.union(known or []))))
+                    given = {x: part.column(x) for x in names}
+                    if clean:
+                        texts = [_without(t, r) if r else t for t, (_, r, _) in zip(texts, found, strict=True)]
+                        given["text"] = pa.array(texts, pa.string())
+                        if "n_chars" in given:
+                            given["n_chars"] = pa.array([None if t is None else len(t) for t in texts], part.column("n_chars").type)
                     columns = [pa.array(x, t) for x, t in zip(zip(*found, strict=True), types, strict=True)]
-                    yield pa.RecordBatch.from_arrays([*[part.column(x) for x in names], *columns], names=[*names, words, runs, items])
+                    yield pa.RecordBatch.from_arrays([*given.values(), *columns], names=[*names, words, runs, items])
 
         return run
 
+    given, passes = _passes(benchmark)
     last = None
-    for blocks in _passes(benchmark, window):
+    for k, blocks in enumerate(passes):
         if last is not None:
             out = materialise(out, "marked")
             last.destroy()
-        last = spark.sparkContext.broadcast(blocks)
-        out = out.mapInArrow(search(last), out.schema)
+        last = spark.sparkContext.broadcast([Windows([tuple(r) for r in given.where(F.col("block") == b).select("item", "text").collect()], window) for b in blocks])
+        out = out.mapInArrow(search(last, cut and k == len(passes) - 1), out.schema)
     return out, words, runs, items
 
 
@@ -173,17 +178,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """docs, all rows and columns, with the spans of words that lie in a window of the benchmark cut out of text; n_chars, where there is one, follows."""
-    found, _, runs, _ = marked(docs, benchmark, window)
-    names = docs.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                clean = [_without(t, r) if r else t for t, r in zip(part.column("text").to_pylist(), part.column(runs).to_pylist(), strict=True)]
-                columns = [pa.array(clean, pa.string()) if x == "text" else pa.array([None if t is None else len(t) for t in clean], part.column(x).type) if x == "n_chars" else part.column(x) for x in names]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    return found.mapInArrow(run, docs.schema)
+    return marked(docs, benchmark, window, cut=True)[0].select(docs.columns)
 
 
 CONTAMINATION_SQL = r"""

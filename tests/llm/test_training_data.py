@@ -463,6 +463,13 @@ def test_packing(docs, empty, rows, width, monkeypatch):
     assert packing.pack_documents(empty, path, width).count() == 0
 
 
+def test_padding(spark):
+    """Sequences but the last of a partition hardly need padding."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").coalesce(1)
+    sizes = [r.n for r in packing.pack_documents(docs, tokenizer("word_bpe_49k.json")).groupBy("sequence_id").agg(F.sum("length").alias("n")).orderBy("sequence_id").collect()]
+    assert max(sizes) <= 4096 and sum(4096 - n for n in sizes[:-1] if n & (n - 1)) < 0.01 * sum(sizes)
+
+
 def test_tokenizer_words():
     from tokenizers import Tokenizer
 
