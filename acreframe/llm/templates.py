@@ -26,7 +26,9 @@ SHORT_SHARE = 0.02
 #: Words of the runs of which a line's least stands for it, where copies are to be told from other texts.
 RUN = 5
 #: Leaves and runs that a task holds.
-HELD = 400_000
+HELD = 60_000
+#: Text that a task holds as tokens at a time.
+PARSED_BYTES = 1 << 19
 
 _FIELD = re.compile(rb"[0-9@]|://")
 _MARK = b"<*>"
@@ -76,23 +78,23 @@ def _recurring(docs: DataFrame) -> DataFrame:
     """(h): leaves and sketches of RECURS distinct texts at least.  A task names RECURS texts of each at most, since more make no difference."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, set[bytes]] = {}
+        found: dict[int, tuple[bytes, ...]] = {}
 
         def rows() -> pa.RecordBatch:
             pairs = [(h, d) for h, names in found.items() for d in names]
             return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([d for _, d in pairs], pa.binary())], names=["h", "digest"])
 
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=PARSED_BYTES):
                 names = part.column(0).to_pylist()
                 lines, sketches = _parsed(part.column(1).to_pylist())
                 for (i, _, _, tokens), sketch in zip(lines, sketches.tolist(), strict=True):
                     for h in (_leaf(tokens), sketch):
                         own = found.get(h)
                         if own is None:
-                            found[h] = {names[i]}
-                        elif len(own) < RECURS:
-                            own.add(names[i])
+                            found[h] = (names[i],)
+                        elif len(own) < RECURS and names[i] not in own:
+                            found[h] = (*own, names[i])
                 if len(found) > HELD:
                     yield rows()
                     found.clear()
@@ -113,7 +115,7 @@ def _lines(docs: DataFrame, recurring: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=PARSED_BYTES):
                 keep = []
                 for name in part.column(0).to_pylist():
                     keep.append(name not in seen)
