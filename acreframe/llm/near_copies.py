@@ -1,4 +1,8 @@
-"""Near copies by the share of word shingles two texts have in common: every pair from the given similarity on is linked."""
+"""Near copies by the share of word shingles two texts have in common: every pair from the given similarity on is linked.
+
+Covering hashing of SimHash fingerprints finds groups first, whose members are compared with a pivot each.  Fingerprints bound no
+similarity, so a join of the sets' prefixes finds the pairs that are still apart: none from the given similarity on is missed.
+"""
 
 from __future__ import annotations
 
@@ -12,12 +16,14 @@ from pyspark.sql import functions as F
 
 from acreframe.llm.common import bit_table, digest, in_table, materialise, row_key, slices
 from acreframe.llm.components import components
-from acreframe.llm.simhash import keep_first
+from acreframe.llm.simhash import keep_first, links, majority
 
 #: One of SAMPLE texts is looked at for common shingles, which stand in COMMON of those at least.  This only orders shingles; it drops none.
 SAMPLE, COMMON = 16, 3
 #: Sets that share a shingle of their prefixes are all compared up to CROWDED; beyond that with a pivot for STARS rounds, then those still apart.
-CROWDED, STARS = 16, 3
+CROWDED, STARS = 16, 2
+#: Bits in which fingerprints of a covering group differ from one to the next.
+RADIUS = 3
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -53,7 +59,7 @@ def _common(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _prints(docs: DataFrame, length: int, percent: int) -> DataFrame:
-    """(key, digest, doc_id, id, n, prefix) of each row: id names its shingle set of n; prefix: its first shingles, common ones ordered last.
+    """(key, digest, doc_id, id, fp, n, prefix) of each row: id names its shingle set of n, fp is its fingerprint; prefix: its first shingles, common ones ordered last.
 
     Sets of a similarity of `percent` share percent of the larger one at least, so in any one order of all shingles, the first
     n - ceil(percent n) + 1 of each can't be disjoint.
@@ -63,18 +69,19 @@ def _prints(docs: DataFrame, length: int, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                ids, many, first = [], [], []
+                ids, prints, many, first = [], [], [], []
                 for text in part.column("text").to_pylist():
                     own = shingle_set(text, length)
                     late = in_table(held.value, own)
                     ids.append(_name(own))
+                    prints.append(majority(own))
                     many.append(len(own))
                     first.append(np.concatenate((own[~late], own[late]))[: len(own) - -(-percent * len(own) // 100) + 1].view(np.int64))
-                columns = [*part.columns[:3], pa.array(ids, pa.int64()), pa.array(many, pa.int64()), pa.array(first, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "digest", "doc_id", "id", "n", "prefix"])
+                columns = [*part.columns[:3], pa.array(ids, pa.int64()), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(many, pa.int64()), pa.array(first, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "digest", "doc_id", "id", "fp", "n", "prefix"])
 
     rows = docs.select(row_key().alias("key"), digest().alias("digest"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "key long, digest binary, doc_id long, id long, n long, prefix array<long>")
+    return rows.mapInArrow(run, "key long, digest binary, doc_id long, id long, fp long, n long, prefix array<long>")
 
 
 def _buckets(prints: DataFrame) -> DataFrame:
@@ -91,13 +98,13 @@ def _pairs(met: DataFrame, percent: int) -> DataFrame:
 
 
 def _likely(few: DataFrame, crowded: DataFrame, percent: int) -> DataFrame:
-    """(u, v) of the sets that meet in buckets of few, without those that share too few shingles of their prefixes to be similar.
+    """(u, v) of the sets of unlike labels that meet in buckets of few, without those that share too few shingles of their prefixes to be similar.
 
     Similar sets of n and m share percent (n + m) / (100 + percent) at least, so of either prefix all but n (m) less that many are in the
     other set; of the prefix that ends first in the order, these are in the other prefix.  Shared crowded shingles aren't counted
     one by one: the lesser number of them in either prefix stands for them.
     """
-    met = few.join(_second(few), "h").where("id > id2").where(100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
+    met = few.join(_second(few), "h").where("id > id2 and label != label2").where(100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
     shared = met.groupBy(F.col("id").alias("u"), F.col("id2").alias("v")).agg(F.count("*").alias("c"), F.first("n").alias("n"), F.first("n2").alias("n2"))
     many = crowded.groupBy("id").agg(F.count("*").alias("k"))
     shared = shared.join(many.toDF("u", "k"), "u", "left").join(many.toDF("v", "k2"), "v", "left").na.fill(0, ["k", "k2"])
@@ -140,35 +147,44 @@ def _similar(docs: DataFrame, prints: DataFrame, pairs: DataFrame, length: int,
     return materialise(both.select("u", "v", "a", "b").mapInArrow(compare, "u long, v long"), "similar")
 
 
+def _covered(prints: DataFrame, percent: int) -> DataFrame:
+    """(u, v): each set of a covering group of fingerprints with the group's pivot."""
+    sets = prints.select("id", "n", "fp").distinct()
+    roots = components(links(sets.select("fp").distinct(), RADIUS)).withColumnRenamed("node", "fp")
+    grouped = sets.join(roots, "fp", "left").select("id", "n", F.coalesce("root", "fp").alias("h"))
+    pivots = grouped.groupBy("h").agg(F.min_by(F.struct("id", "n"), F.xxhash64("id")).alias("p"), F.count("*").alias("many")).where("many > 1").select("h", "p.*")
+    return _pairs(grouped.join(_second(pivots), "h"), percent)
+
+
 def _labelled(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """Rows of sets with a label that is the same for sets that the edges connect."""
     roots = components(edges).withColumnRenamed("node", "id")
-    return materialise(rows.join(roots, "id", "left").select("h", "id", "n", F.coalesce("root", "id").alias("label")), "labels")
+    return rows.select("h", "id", "n").join(roots, "id", "left").select("h", "id", "n", F.coalesce("root", "id").alias("label"))
 
 
 def similar_links(docs: DataFrame, prints: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:
     """Edges (u, v) that connect the set ids of prints as all pairs of a similarity of `percent` do.
 
-    Pairs of sets that are linked already needn't be compared: in a crowded bucket each is compared with a pivot, and after
-    some rounds whatever isn't in the bucket's largest component is compared with everything it isn't linked with.
+    Pairs of sets that are linked already needn't be compared.  So each set is first compared with the pivot of its covering group, and
+    in crowded buckets with another for some rounds, which links the members of large groups.  Then the pairs in buckets of few that are still apart are compared, and
+    at last whatever isn't in its crowded bucket's largest component with everything there it isn't linked with.
     """
     buckets = materialise(_buckets(prints), "buckets")
     crowds = buckets.groupBy("h").agg(F.count("*").alias("many")).where(F.col("many") > CROWDED).select("h")
     crowded = materialise(buckets.join(crowds, "h", "left_semi"), "crowded")
     few = buckets.join(crowds, "h", "left_anti")
-    edges = _similar(docs, prints, _likely(few, crowded, percent), length, percent)
-    rows = _labelled(crowded, edges)
-    for turn in range(STARS + 1):
-        if turn < STARS:
-            pivots = rows.groupBy("h").agg(F.min_by(F.struct("id", "n", "label"), F.xxhash64("id", F.lit(turn))).alias("p")).select("h", "p.*")
-            met = rows.join(_second(pivots), "h")
-        else:
-            largest = rows.groupBy("h").agg(F.mode("label").alias("most"))
-            met = rows.join(largest, "h").where("label != most").drop("most").join(_second(rows), "h")
-        apart = materialise(_pairs(met.where("label != label2"), percent), "apart")
-        if not apart.isEmpty():
-            edges = edges.union(_similar(docs, prints, apart, length, percent))
-            rows = _labelled(crowded, edges) if turn < STARS else rows
-    return edges
+    edges = _similar(docs, prints, _covered(prints, percent), length, percent)
+    rows = materialise(_labelled(crowded, edges), "labels")
+    for turn in range(STARS):
+        pivots = rows.groupBy("h").agg(F.min_by(F.struct("id", "n", "label"), F.xxhash64("id", F.lit(turn))).alias("p")).select("h", "p.*")
+        apart = _pairs(rows.join(_second(pivots), "h").where("label != label2"), percent)
+        edges = materialise(edges.union(_similar(docs, prints, apart, length, percent)), "edges")
+        rows = materialise(_labelled(crowded, edges), "labels")
+    edges = edges.union(_similar(docs, prints, _likely(materialise(_labelled(few, edges), "labels"), crowded, percent), length, percent))
+    rows = materialise(_labelled(crowded, edges), "labels")
+    largest = rows.groupBy("h").agg(F.mode("label").alias("most"))
+    met = rows.join(largest, "h").where("label != most").drop("most").join(_second(rows), "h")
+    return edges.union(_similar(docs, prints, _pairs(met.where("label != label2"), percent), length, percent))
 
 
 def similar_groups(docs: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:

@@ -18,6 +18,15 @@ BITS = 64
 BUCKET = 64
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The bits that over half of the hashes have."""
+    total = np.zeros(BITS, np.int64)
+    for at in range(0, len(hashes), 4096):
+        part = hashes[at : at + 4096]
+        total += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * total > len(hashes), bitorder="little").view(np.uint64)[0])
+
+
 def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     """The majority bits of the XXH64 of the word shingles, repeats included; zero where there is no word."""
     words = (text or "").encode().lower().split()
@@ -30,11 +39,7 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[: -shingle] + 1))
     hashes = np.fromiter((digest(line[a:b], seed) for a, b in zip(starts.tolist(), ends[shingle - 1 :].tolist(), strict=True)), np.uint64, len(starts))
-    total = np.zeros(BITS, np.int64)
-    for at in range(0, len(hashes), 4096):
-        part = hashes[at : at + 4096]
-        total += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * total > len(hashes), bitorder="little").view(np.uint64)[0])
+    return majority(hashes)
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:

@@ -41,6 +41,16 @@ def groups(prints: list[int], near) -> list[int]:
     return [find(x) for x in range(len(prints))]
 
 
+def shingles(text: str | None) -> frozenset:
+    words = (text or "").encode().lower().split()
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+
+
+def similar(a: frozenset, b: frozenset) -> bool:
+    """Whether a Jaccard similarity is 0.8 at least."""
+    return 5 * len(a & b) >= 4 * len(a | b)
+
+
 def hit_words(text: str | None, items: dict[str, str], window: int = 10) -> tuple[list[bool], set[str]]:
     def words(t: str | None) -> list[str]:
         return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t or ""))

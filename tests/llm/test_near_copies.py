@@ -15,15 +15,6 @@ import corpus_pipeline  # noqa: E402
 from acreframe.llm import near_copies  # noqa: E402
 
 
-def _shingles(text: str | None) -> frozenset:
-    words = (text or "").lower().split()
-    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
-
-
-def _similar(a: frozenset, b: frozenset) -> bool:
-    return 5 * len(a & b) >= 4 * len(a | b)
-
-
 def _texts() -> list[str | None]:
     rng = random.Random(8)
     word = lambda: "".join(rng.choice("abcdeé世") for _ in range(rng.randint(3, 9)))
@@ -46,7 +37,7 @@ def test_similar_groups(spark, monkeypatch, crowded, stars, sample):
         monkeypatch.setattr(near_copies, name, value)
     texts = _texts()
     frame = spark.createDataFrame([*enumerate(texts), (None, texts[20]), (None, "no id one"), (None, "no id one")], "doc_id long, text string").repartition(3)
-    first = brute.groups([_shingles(t) for t in texts], _similar)
+    first = brute.groups([brute.shingles(t) for t in texts], brute.similar)
     assert 40 < len(set(first)) < 100
     got = near_copies.similar_groups(frame).collect()
     assert len(got) == len(texts) + 3
@@ -64,7 +55,7 @@ def test_stage_drops_edited_copies(spark):
     edited = [w if i not in (40, 90, 120, 150) else "x" for i, w in enumerate(base)]
     other = [w if i % 20 else "y" for i, w in enumerate(base)]
     texts = [" ".join(x) for x in (base, edited, other)]
-    assert _similar(*map(_shingles, texts[:2])) and not _similar(*map(_shingles, texts[::2]))
+    assert brute.similar(*map(brute.shingles, texts[:2])) and not brute.similar(*map(brute.shingles, texts[::2]))
     assert (brute.fingerprint(texts[0]) ^ brute.fingerprint(texts[1])).bit_count() > 2
     kept = corpus_pipeline.near_copies(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "")
     assert sorted(r.doc_id for r in kept.collect()) == [0, 2]

@@ -9,7 +9,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
-from acreframe.llm import line_crf, templates  # noqa: E402
+from acreframe.llm import line_crf  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -32,11 +32,11 @@ def test_stages(spark, tmp_path):
             assert kept[name] == {i: t for i, t in before.items() if i in good} and len(good) < len(before)
         elif name == "lines":
             ids = sorted(before)
-            drop = brute.boilerplate([before[i] for i in ids], templates.RECURS, templates.LEAST_TOKENS, templates.DEPTH, templates.CONSTANT, templates.UNLIKE)
+            drop = brute.boilerplate([before[i] for i in ids])
             assert kept[name] == {i: "\n".join(x for k, x in enumerate(before[i].split("\n")) if k not in d) for i, d in zip(ids, drop, strict=True)}
         elif name == "near_copies":
             ids = sorted(before)
-            first = brute.groups([brute.fingerprint(before[i]) for i in ids], lambda a, b: (a ^ b).bit_count() <= 2)
+            first = brute.groups([brute.shingles(before[i]) for i in ids], brute.similar)
             assert kept[name] == {ids[g]: before[ids[g]] for g in set(first)}
         elif name == "benchmark":
             assert kept[name].keys() == before.keys()
@@ -46,3 +46,19 @@ def test_stages(spark, tmp_path):
         else:
             assert {p.doc_id for p in kept[name]} == before.keys()
     assert corpus_pipeline.run(spark, SF).count() == len(kept["packing"])
+
+
+def test_stages_on_odd_rows(spark):
+    """Nulls, empty and repeated rows, and no rows at all; near copies have tests of their own."""
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    rows = [(None, None, "en", "a", None), (1, "", None, "a", 0), (1, "", None, "a", 0), (2, None, "en", None, 3), (3, "word of a text " * 3000, "en", "a", 45000), (3, "another text", "en", "a", 12)]
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in corpus_pipeline.STAGES:
+        if name == "near_copies":
+            continue
+        out = stage(spark, docs, SF)
+        if name == "packing":
+            assert sorted({p.doc_id for p in out.collect()}, key=str) == [1, 2, 3, None]
+        else:
+            assert out.columns == docs.columns and out.count() <= len(rows) and (name == "quality" or out.count() == len(rows))
+        assert stage(spark, docs.where("false"), SF).count() == 0
