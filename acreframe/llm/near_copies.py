@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acreframe.llm.common import bit_table, digest, in_table, materialise, row_key, slices
@@ -91,27 +91,39 @@ def _buckets(prints: DataFrame) -> DataFrame:
     return dealt.join(shared.hint("merge"), "h", "left_semi").select("h", "id", "n").distinct()
 
 
+def _least_shared(percent: int) -> Column:
+    """How many shingles of their prefixes sets of n and n2 share at least if they're similar.
+
+    Similar sets of n and m share percent (n + m) / (100 + percent) at least, so of either prefix all but n (m) less that many are in the
+    other set; of the prefix that ends first in the order, these are in the other prefix.
+    """
+    prefix = lambda n: F.floor((100 - percent) * F.col(n) / 100) + 1
+    common = F.ceil(percent * (F.col("n") + F.col("n2")) / (100 + percent) - F.lit(1e-6))
+    return F.least(prefix("n") - F.col("n") + common, prefix("n2") - F.col("n2") + common)
+
+
 def _pairs(met: DataFrame, percent: int) -> DataFrame:
-    """(u, v) of (id, n, id2, n2), each once; sets too unlike in size can't be similar."""
+    """(u, v) of (id, n, id2, n2), each once; sets too unlike in size can't be similar.
+
+    Where k and k2 say how many crowded shingles the prefixes hold, neither are sets that can't share enough of them; if
+    they share others besides, they meet in buckets of few.
+    """
     sized = met.where("id != id2").where(100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
+    if "k" in met.columns:
+        sized = sized.where(F.least("k", "k2") >= _least_shared(percent))
     return sized.select(F.greatest("id", "id2").alias("u"), F.least("id", "id2").alias("v")).distinct()
 
 
 def _likely(few: DataFrame, crowded: DataFrame, percent: int) -> DataFrame:
     """(u, v) of the sets of unlike labels that meet in buckets of few, without those that share too few shingles of their prefixes to be similar.
 
-    Similar sets of n and m share percent (n + m) / (100 + percent) at least, so of either prefix all but n (m) less that many are in the
-    other set; of the prefix that ends first in the order, these are in the other prefix.  Shared crowded shingles aren't counted
-    one by one: the lesser number of them in either prefix stands for them.
+    Shared crowded shingles aren't counted one by one: the lesser number of them in either prefix stands for them.
     """
     met = few.join(_second(few), "h").where("id > id2 and label != label2").where(100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
     shared = met.groupBy(F.col("id").alias("u"), F.col("id2").alias("v")).agg(F.count("*").alias("c"), F.first("n").alias("n"), F.first("n2").alias("n2"))
-    many = crowded.groupBy("id").agg(F.count("*").alias("k"))
+    many = crowded.select("id", "k").distinct()
     shared = shared.join(many.toDF("u", "k"), "u", "left").join(many.toDF("v", "k2"), "v", "left").na.fill(0, ["k", "k2"])
-    prefix = lambda n: F.floor((100 - percent) * F.col(n) / 100) + 1
-    common = F.ceil(percent * (F.col("n") + F.col("n2")) / (100 + percent) - F.lit(1e-6))
-    least = F.least(prefix("n") - F.col("n") + common, prefix("n2") - F.col("n2") + common)
-    return shared.where(F.col("c") + F.least("k", "k2") >= least).select("u", "v")
+    return shared.where(F.col("c") + F.least("k", "k2") >= _least_shared(percent)).select("u", "v")
 
 
 def _second(rows: DataFrame) -> DataFrame:
@@ -121,6 +133,8 @@ def _second(rows: DataFrame) -> DataFrame:
 def _similar(docs: DataFrame, prints: DataFrame, pairs: DataFrame, length: int, percent: int) -> DataFrame:
     """The pairs (u, v) whose shingle sets are similar, compared whole."""
     pairs = materialise(pairs, "pairs")
+    if pairs.isEmpty():
+        return pairs
     wanted = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
     keys = prints.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("key").alias("key")).select("key")
     held = docs.sparkSession.sparkContext.broadcast(bit_table(keys))
@@ -159,7 +173,7 @@ def _covered(prints: DataFrame, percent: int) -> DataFrame:
 def _labelled(rows: DataFrame, edges: DataFrame) -> DataFrame:
     """Rows of sets with a label that is the same for sets that the edges connect."""
     roots = components(edges).withColumnRenamed("node", "id")
-    return rows.select("h", "id", "n").join(roots, "id", "left").select("h", "id", "n", F.coalesce("root", "id").alias("label"))
+    return rows.join(roots, "id", "left").select(*rows.columns, F.coalesce("root", "id").alias("label"))
 
 
 def similar_links(docs: DataFrame, prints: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:
@@ -171,15 +185,20 @@ def similar_links(docs: DataFrame, prints: DataFrame, length: int = 5, percent:
     """
     buckets = materialise(_buckets(prints), "buckets")
     crowds = buckets.groupBy("h").agg(F.count("*").alias("many")).where(F.col("many") > CROWDED).select("h")
-    crowded = materialise(buckets.join(crowds, "h", "left_semi"), "crowded")
+    met = materialise(buckets.join(crowds, "h", "left_semi"), "met")
+    crowded = materialise(met.join(met.groupBy("id").agg(F.count("*").alias("k")), "id").select("h", "id", "n", "k"), "crowded")
     few = buckets.join(crowds, "h", "left_anti")
     edges = _similar(docs, prints, _covered(prints, percent), length, percent)
     rows = materialise(_labelled(crowded, edges), "labels")
     for turn in range(STARS):
-        pivots = rows.groupBy("h").agg(F.min_by(F.struct("id", "n", "label"), F.xxhash64("id", F.lit(turn))).alias("p")).select("h", "p.*")
+        # first the set with most crowded shingles, of which the others may be edits; then any
+        first = -F.col("k") if turn == 0 else F.lit(0)
+        pivots = rows.groupBy("h").agg(F.min_by(F.struct("id", "n", "k", "label"), F.struct(first, F.xxhash64("id", F.lit(turn)))).alias("p")).select("h", "p.*")
         apart = _pairs(rows.join(_second(pivots), "h").where("label != label2"), percent)
-        edges = materialise(edges.union(_similar(docs, prints, apart, length, percent)), "edges")
-        rows = materialise(_labelled(crowded, edges), "labels")
+        found = _similar(docs, prints, apart, length, percent)
+        if not found.isEmpty():
+            edges = materialise(edges.union(found), "edges")
+            rows = materialise(_labelled(crowded, edges), "labels")
     edges = edges.union(_similar(docs, prints, _likely(materialise(_labelled(few, edges), "labels"), crowded, percent), length, percent))
     rows = materialise(_labelled(crowded, edges), "labels")
     largest = rows.groupBy("h").agg(F.mode("label").alias("most"))
