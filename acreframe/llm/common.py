@@ -38,13 +38,18 @@ def table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/acreframe/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def clear(spark: SparkSession) -> None:
-    """Remove the tables this application has materialised; nothing that still reads them may be in use."""
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a table of the shared folder that nothing reads any more."""
     sc = spark.sparkContext
-    path = sc._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/acreframe/{sc.applicationId}")
+    path = sc._jvm.org.apache.hadoop.fs.Path(path)
     path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def clear(spark: SparkSession) -> None:
+    """Remove the tables this application has materialised; nothing that still reads them may be in use."""
+    discard(spark, f"{shared_dir(spark)}/acreframe/{spark.sparkContext.applicationId}")
+
+
 def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write to the shared folder and read again: cuts lineage, and survives a lost executor."""
     spark = df.sparkSession
