@@ -1,7 +1,8 @@
 """Near copies by the share of word shingles two texts have in common: every pair from the given similarity on is linked.
 
 Covering hashing of SimHash fingerprints finds groups first, whose members are compared with a pivot each.  Fingerprints bound no
-similarity, so a join of the sets' prefixes finds the pairs that are still apart: none from the given similarity on is missed.
+similarity, so a join of the sets' prefixes finds the pairs that are still apart: none from the given similarity on is missed.  Where many
+sets share a shingle of their prefixes, they are told by what sets them apart from one of them, and these differences are joined (see `_differences`).
 """
 
 from __future__ import annotations
@@ -20,8 +21,9 @@ from acreframe.llm.simhash import keep_first, links, majority
 
 #: One of SAMPLE texts is looked at for common shingles, which stand in COMMON of those at least.  This only orders shingles; it drops none.
 SAMPLE, COMMON = 16, 3
-#: Sets that share a shingle of their prefixes are all compared up to CROWDED; beyond that with a pivot for STARS rounds, then those still apart.
-CROWDED, STARS = 16, 2
+#: Sets that share a shingle of their prefixes are all compared up to CROWDED; beyond that they're told by their differences from a pivot, and so
+#: are those that share a difference, LEVELS times; whatever is crowded then is compared pair by pair.
+CROWDED, LEVELS = 16, 2
 #: Bits in which fingerprints of a covering group differ from one to the next.
 RADIUS = 3
 
@@ -130,12 +132,8 @@ def _second(rows: DataFrame) -> DataFrame:
     return rows.withColumnsRenamed({c: f"{c}2" for c in rows.columns if c != "h"})
 
 
-def _similar(docs: DataFrame, prints: DataFrame, pairs: DataFrame, length: int, percent: int) -> DataFrame:
-    """The pairs (u, v) whose shingle sets are similar, compared whole."""
-    pairs = materialise(pairs, "pairs")
-    if pairs.isEmpty():
-        return pairs
-    wanted = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
+def _own_texts(docs: DataFrame, prints: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """(id, text): a text of each wanted set."""
     keys = prints.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("key").alias("key")).select("key")
     held = docs.sparkSession.sparkContext.broadcast(bit_table(keys))
 
@@ -146,6 +144,16 @@ def _similar(docs: DataFrame, prints: DataFrame, pairs: DataFrame, length: int,
                 names = [_name(shingle_set(t, length)) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), part.column(1)], names=["id", "text"])
 
+    own = docs.select(row_key().alias("key"), F.col("text").cast("string").alias("text")).mapInArrow(texts, "id long, text string")
+    return own.join(wanted, "id", "left_semi").dropDuplicates(["id"])
+
+
+def _similar(docs: DataFrame, prints: DataFrame, pairs: DataFrame, length: int, percent: int) -> DataFrame:
+    """The pairs (u, v) whose shingle sets are similar, compared whole."""
+    pairs = materialise(pairs, "pairs")
+    if pairs.isEmpty():
+        return pairs
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             right, one, x = [], None, None
@@ -155,12 +163,46 @@ def _similar(docs: DataFrame, prints: DataFrame, pairs: DataFrame, length: int,
                 right.append((100 + percent) * len(np.intersect1d(x, y, assume_unique=True)) >= percent * (len(x) + len(y)))
             yield batch.select(["u", "v"]).filter(pa.array(right, pa.bool_()))
 
-    own = docs.select(row_key().alias("key"), F.col("text").cast("string").alias("text")).mapInArrow(texts, "id long, text string")
-    own = own.join(wanted, "id", "left_semi").dropDuplicates(["id"])
+    own = _own_texts(docs, prints, pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct(), length)
     both = pairs.join(own.select(F.col("id").alias("u"), F.col("text").alias("a")), "u").join(own.select(F.col("id").alias("v"), F.col("text").alias("b")), "v")
     return materialise(both.select("u", "v", "a", "b").mapInArrow(compare, "u long, v long"), "similar")
 
 
+def _differences(docs: DataFrame, prints: DataFrame, pairs: DataFrame, length: int, percent: int) -> DataFrame:
+    """(p, id, linked, d, w, first, rest) of pairs (p, id): how the set of id differs from that of its pivot p.
+
+    Of a set S, let A be what it has beside the pivot P and R what it lacks of it, D both together, d = |D| and w = percent |A| + 100 |R|.
+    S is similar to P (linked) if w <= (100 - percent) |P| = c; and S1 to S2 if (100 + percent) |D1 & D2| >= w1 + w2 - c, for |S1 & S2| is
+    |P| - |R1| - |R2| + |D1 & D2|.  So sets that are similar to each other but not both to the pivot share a difference at least, and more than
+    w1 / (100 + percent) of them if S2 isn't linked; two that aren't share (w1 - c) / 100 at least.  In any one order of all differences the first
+    d - least + 1 of each can't be disjoint: `first` are those for a set that isn't linked to meet others like it, or for a linked one to meet those that
+    aren't, `rest` the further ones by which a set that isn't linked meets linked ones.  What is lacking comes last: many lack the same.
+    """
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, one, pivot = [], None, None
+            for p, i, a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
+                one, pivot = (one, pivot) if p == one else (p, shingle_set(b.as_py(), length))
+                own = shingle_set(a.as_py(), length)
+                added, lacking = np.setdiff1d(own, pivot, assume_unique=True), np.setdiff1d(pivot, own, assume_unique=True)
+                d, w, c = len(added) + len(lacking), percent * len(added) + 100 * len(lacking), (100 - percent) * len(pivot)
+                linked = w <= c
+                least = w // (100 + percent) + 1 if linked else max(w // (100 + percent) + 1, -(-(w - c) // 100))
+                by_linked = -(-(w - c) // (100 + percent))  # and a linked set has at most c / percent differences
+                first = max(0, d - least + 1)
+                last = first if linked or by_linked * percent > c else max(first, d - by_linked + 1)
+                order = np.concatenate((added, lacking)).view(np.int64)
+                out.append((p, i, linked, d, w, order[:first], order[first:last]))
+            types = {"p": pa.int64(), "id": pa.int64(), "linked": pa.bool_(), "d": pa.int64(), "w": pa.int64(), "first": pa.list_(pa.int64()), "rest": pa.list_(pa.int64())}
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(types.values())], names=list(types))
+
+    own = _own_texts(docs, prints, pairs.select("id").union(pairs.select("p")).distinct(), length)
+    # the pivots' texts, of which each meets many, are joined last and not moved again
+    both = pairs.join(own.select("id", F.col("text").alias("a")), "id").join(own.select(F.col("id").alias("p"), F.col("text").alias("b")), "p")
+    return both.select("p", "id", "a", "b").mapInArrow(compare, "p long, id long, linked boolean, d long, w long, first array<long>, rest array<long>")
+
+
 def _covered(prints: DataFrame, percent: int) -> DataFrame:
     """(u, v): each set of a covering group of fingerprints with the group's pivot."""
     sets = prints.select("id", "n", "fp").distinct()
@@ -176,12 +218,53 @@ def _labelled(rows: DataFrame, edges: DataFrame) -> DataFrame:
     return rows.join(roots, "id", "left").select(*rows.columns, F.coalesce("root", "id").alias("label"))
 
 
+def _apart(rows: DataFrame) -> DataFrame:
+    """Rows (h, label, ...) of the buckets that hold sets of several labels."""
+    several = rows.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("h")
+    return rows.join(several, "h", "left_semi")
+
+
+def _by_size(crowded: DataFrame) -> DataFrame:
+    """Buckets split by size, so that no set in one is over 1.6 times as large as another: sizes go by steps of 5/4, and each set lies with the sets
+    of its own step and the one below, and with those of its own and the one above."""
+    step = F.floor(F.log("n") / float(np.log(1.25)) + 1e-9)
+    return crowded.withColumn("__step", F.explode(F.array(step, step + 1))).withColumn("h", F.xxhash64("h", "__step")).drop("__step")
+
+
+def _met(parts: DataFrame, percent: int) -> DataFrame:
+    """(u, v) of the sets of unlike labels that share a difference by which similar ones must meet; c is (100 - percent) |P|."""
+    ways = (F.col("linked") != F.col("linked2")) | (~F.col("linked") & ~F.col("linked2") & F.col("first") & F.col("first2"))
+    many = F.col("w") + F.col("w2") - F.col("c") <= (100 + percent) * F.least("d", "d2")
+    return _pairs(parts.join(_second(parts), "h").where("id > id2 and label != label2").where(ways & many), percent)
+
+
+def _split(docs: DataFrame, prints: DataFrame, crowded: DataFrame, edges: DataFrame, length: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Compare crowded buckets (h, id, n, k) with a pivot each: more edges, and the buckets of the pivots' differences that are crowded again.
+
+    Buckets whose sets meet otherwise have the same pivot if it's in both, so a set is compared with few pivots.
+    """
+    pivots = crowded.groupBy("h").agg(F.min_by(F.struct("id", "n"), F.struct(-F.col("k"), F.xxhash64("id"))).alias("p")).select("h", F.col("p.id").alias("p"), F.col("p.n").alias("np"))
+    to = materialise(crowded.join(pivots, "h").where("id != p").select("p", "np", "id", "n", "k").distinct(), "pivots")
+    found = materialise(_differences(docs, prints, to.select("p", "id"), length, percent), "differences")
+    edges = materialise(edges.union(found.where("linked").select(F.greatest("id", "p").alias("u"), F.least("id", "p").alias("v"))), "edges")
+    labels = _labelled(to.select("id", "n", "k").distinct(), edges)
+    own = lambda c: F.transform(c, lambda e: F.struct(e.alias("e"), F.lit(c == "first").alias("first")))
+    parts = found.select("p", "id", "linked", "d", "w", F.explode(F.concat(own("first"), own("rest"))).alias("at")).select(F.xxhash64("p", "at.e").alias("h"), "p", "id", "linked", "d", "w", "at.first")
+    # a bucket can hold a pair if two sets that aren't linked have it among the first, or one that is and one that isn't share it
+    sizes = parts.groupBy("h").agg(F.count("*").alias("many"), F.count_if(~F.col("linked") & F.col("first")).alias("free"), F.count_if("linked").alias("bound"))
+    sizes = sizes.where((F.col("free") > 1) | ((F.col("bound") > 0) & (F.col("bound") < F.col("many")))).select("h", "many")
+    sized = to.select("p", "id", "n", "k", (100 - percent) * F.col("np")).toDF("p", "id", "n", "k", "c")
+    parts = parts.join(sizes, "h").join(sized, ["p", "id"]).join(labels.select("id", "label"), "id")
+    parts = materialise(_apart(parts.select("h", "id", "n", "k", "c", "linked", "first", "d", "w", "label", "many")), "parts")
+    edges = edges.union(_similar(docs, prints, _met(parts.where(F.col("many") <= CROWDED).drop("many"), percent), length, percent))
+    return materialise(edges, "edges"), parts.where(F.col("many") > CROWDED).select("h", "id", "n", "k").distinct()
+
+
 def similar_links(docs: DataFrame, prints: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:
     """Edges (u, v) that connect the set ids of prints as all pairs of a similarity of `percent` do.
 
-    Pairs of sets that are linked already needn't be compared.  So each set is first compared with the pivot of its covering group, and
-    in crowded buckets with another for some rounds, which links the members of large groups.  Then the pairs in buckets of few that are still apart are compared, and
-    at last whatever isn't in its crowded bucket's largest component with everything there it isn't linked with.
+    Pairs of sets that are linked already needn't be compared.  So each set is first compared with the pivot of its covering group.  Crowded buckets that
+    still hold sets apart are split by their differences from a pivot, then the pairs in buckets of few are compared.
     """
     buckets = materialise(_buckets(prints), "buckets")
     crowds = buckets.groupBy("h").agg(F.count("*").alias("many")).where(F.col("many") > CROWDED).select("h")
@@ -189,21 +272,16 @@ def similar_links(docs: DataFrame, prints: DataFrame, length: int = 5, percent:
     crowded = materialise(met.join(met.groupBy("id").agg(F.count("*").alias("k")), "id").select("h", "id", "n", "k"), "crowded")
     few = buckets.join(crowds, "h", "left_anti")
     edges = _similar(docs, prints, _covered(prints, percent), length, percent)
-    rows = materialise(_labelled(crowded, edges), "labels")
-    for turn in range(STARS):
-        # first the set with most crowded shingles, of which the others may be edits; then any
-        first = -F.col("k") if turn == 0 else F.lit(0)
-        pivots = rows.groupBy("h").agg(F.min_by(F.struct("id", "n", "k", "label"), F.struct(first, F.xxhash64("id", F.lit(turn)))).alias("p")).select("h", "p.*")
-        apart = _pairs(rows.join(_second(pivots), "h").where("label != label2"), percent)
-        found = _similar(docs, prints, apart, length, percent)
-        if not found.isEmpty():
-            edges = materialise(edges.union(found), "edges")
-            rows = materialise(_labelled(crowded, edges), "labels")
-    edges = edges.union(_similar(docs, prints, _likely(materialise(_labelled(few, edges), "labels"), crowded, percent), length, percent))
-    rows = materialise(_labelled(crowded, edges), "labels")
-    largest = rows.groupBy("h").agg(F.mode("label").alias("most"))
-    met = rows.join(largest, "h").where("label != most").drop("most").join(_second(rows), "h")
-    return edges.union(_similar(docs, prints, _pairs(met.where("label != label2"), percent), length, percent))
+    open_ = _by_size(crowded)
+    for _ in range(LEVELS):
+        open_ = materialise(_apart(_labelled(open_, edges)).select("h", "id", "n", "k"), "apart")
+        if open_.isEmpty():
+            break
+        edges, open_ = _split(docs, prints, open_, edges, length, percent)
+    else:
+        rows = materialise(_apart(_labelled(open_, edges)), "labels")
+        edges = edges.union(_similar(docs, prints, _pairs(rows.join(_second(rows), "h").where("label != label2"), percent), length, percent))
+    return edges.union(_similar(docs, prints, _likely(materialise(_labelled(few, edges), "labels"), crowded, percent), length, percent))
 
 
 def similar_groups(docs: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:
