@@ -1,4 +1,4 @@
-"""Line deduplication by a log-template tree of fixed depth."""
+"""Line deduplication by a log-template tree: token count and leading tokens choose a leaf, which divides further where its lines are of several templates."""
 
 from __future__ import annotations
 
@@ -6,11 +6,12 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acreframe.llm.common import bit_table, digest, free_name, in_table, materialise, slices
@@ -21,8 +22,13 @@ DEPTH = 3
 RECURS, OWN = 3, 0.5
 #: A token is constant if it stands at its place in this part of its leaf's lines; constant tokens a template has at least.
 DOMINANT, CONSTANT = 0.3, 0.6
-#: A line without tokens beyond the leading ones must make this part of the recurring lines of its length.
-SHORT_SHARE = 0.02
+#: Times that a leaf is divided by the tokens of a further place.
+SPLITS = 2
+#: A line without tokens beyond the leading ones must stand so many times as often as chance would put its words beside each other, by so many
+#: nats of a Poisson tail; either way of a place in the corpus, so neither depends on the corpus' size or on how many such lines there are.
+LIFT, NATS = 10, 20
+#: Buckets in which the words of running text are counted, parts in which the counts are added up, and ends of words that don't tell them apart.
+WORD_BUCKETS, WORD_PARTS, ENDS = 1 << 18, 16, ".,"
 #: Words of the runs of which a line's least stands for it, where copies are to be told from other texts.
 RUN = 5
 #: Leaves and runs that a task holds.
@@ -50,8 +56,9 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(digest().alias("digest"), F.col("text").cast("string").alias("text"))
 
 
-def _sketches(lines: list[list[bytes]]) -> np.ndarray:
-    """For each line of some tokens the least hash of its runs of RUN tokens, or that of all its tokens: edits of a few seldom change it."""
+def _sketches(lines: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """For each line of some tokens the least hash of its runs of RUN tokens, or that of all its tokens: edits of a few seldom change it.  And the
+    hashes of the tokens of running text: of lines beyond the leading ones."""
     many = np.fromiter(map(len, lines), np.int64, len(lines))
     starts = np.cumsum(many) - many
     words = np.fromiter((xxhash.xxh64_intdigest(t) for line in lines for t in line), np.uint64, int(many.sum()))
@@ -64,45 +71,89 @@ def _sketches(lines: list[list[bytes]]) -> np.ndarray:
     line, place = np.repeat(np.arange(len(lines)), many), np.arange(len(words)) - np.repeat(starts, many)
     runs[place > many[line] - RUN] = np.iinfo(np.uint64).max
     least = np.minimum.reduceat(runs, starts) if len(lines) else runs
-    return np.where(many < RUN, (whole ^ (whole >> np.uint64(32))) * _ODD, least).view(np.int64)
+    return np.where(many < RUN, (whole ^ (whole >> np.uint64(32))) * _ODD, least).view(np.int64), words[many[line] > DEPTH]
 
 
-def _parsed(texts: list[str | None]) -> tuple[list[tuple[int, int, bytes, list[bytes]]], np.ndarray]:
-    """(text, number, line, tokens) of the lines of texts that aren't blank, and their sketches."""
+def _parsed(texts: list[str | None]) -> tuple[list[tuple[int, int, bytes, list[bytes]]], np.ndarray, np.ndarray]:
+    """(text, number, line, tokens) of the lines of texts that aren't blank, their sketches, and the hashes of the tokens of running text."""
     split = [(i, at, line, line.split()) for i, text in enumerate(texts) if text for at, line in enumerate(text.encode().split(b"\n"))]
     split = [x for x in split if x[3]]
-    return split, _sketches([x[3] for x in split])
+    return split, *_sketches([x[3] for x in split])
 
 
-def _recurring(docs: DataFrame) -> DataFrame:
-    """(h): leaves and sketches of RECURS distinct texts at least.  A task names RECURS texts of each at most, since more make no difference."""
+class Chance(NamedTuple):
+    """How often words stand in running text, by buckets of their hashes, how many words that is, and how many lines there are of each length up to DEPTH."""
+
+    words: np.ndarray
+    total: int
+    lines: np.ndarray
+
+    def expected(self, tokens: list[str]) -> float:
+        """In how many lines chance would put these tokens: case and ENDS aside, each as often as in running text; fields count as sure."""
+        out = float(self.lines[len(tokens)])
+        for token in tokens:
+            if token != "<*>":
+                word = token.strip(ENDS).lower() or token
+                forms = {f"{form}{end}" for form in (word, word.capitalize()) for end in ("", *ENDS)} | {token}
+                at = {xxhash.xxh64_intdigest(f) % WORD_BUCKETS for f in forms}
+                out *= (int(self.words[sorted(at)].sum()) + 1) / (self.total + 1)
+        return out
+
+    def unlikely(self, tokens: list[str], n: int) -> bool:
+        """Whether n lines are too many for chance."""
+        e = self.expected(tokens)
+        return n >= LIFT * e and n * (np.log(n / e) - 1) + e >= NATS
+
+
+def _recurring(docs: DataFrame) -> tuple[DataFrame, Chance]:
+    """(h): leaves and sketches of RECURS distinct texts at least; and how often words stand in running text.
+
+    A task names RECURS texts of each at most, since more make no difference.
+    """
+    names = ["h", "digest", "part", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, tuple[bytes, ...]] = {}
+        words, lengths = np.zeros(WORD_BUCKETS, np.int64), np.zeros(DEPTH + 1, np.int64)
 
         def rows() -> pa.RecordBatch:
-            pairs = [(h, d) for h, names in found.items() for d in names]
-            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([d for _, d in pairs], pa.binary())], names=["h", "digest"])
+            pairs = [(h, d) for h, own in found.items() for d in own]
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([d for _, d in pairs], pa.binary()), pa.nulls(len(pairs), pa.int32()), pa.nulls(len(pairs), pa.binary())], names=names)
 
         for batch in batches:
             for part in slices(batch, size=PARSED_BYTES):
-                names = part.column(0).to_pylist()
-                lines, sketches = _parsed(part.column(1).to_pylist())
+                digests = part.column(0).to_pylist()
+                lines, sketches, running = _parsed(part.column(1).to_pylist())
+                words += np.bincount((running % np.uint64(WORD_BUCKETS)).astype(np.int64), minlength=WORD_BUCKETS)
+                lengths += np.bincount([len(t) for *_, t in lines if len(t) <= DEPTH], minlength=DEPTH + 1)
                 for (i, _, _, tokens), sketch in zip(lines, sketches.tolist(), strict=True):
                     for h in (_leaf(tokens), sketch):
                         own = found.get(h)
                         if own is None:
-                            found[h] = (names[i],)
-                        elif len(own) < RECURS and names[i] not in own:
-                            found[h] = (*own, names[i])
+                            found[h] = (digests[i],)
+                        elif len(own) < RECURS and digests[i] not in own:
+                            found[h] = (*own, digests[i])
                 if len(found) > HELD:
                     yield rows()
                     found.clear()
         if found:
             yield rows()
+        counts = [*(x.tobytes() for x in np.split(words, WORD_PARTS)), lengths.tobytes()]
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(counts), pa.int64()), pa.nulls(len(counts), pa.binary()), pa.array(range(len(counts)), pa.int32()), pa.array(counts, pa.binary())], names=names)
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                sums[part] = sums.get(part, 0) + np.frombuffer(counts.as_py(), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["part", "counts"])
 
-    pairs = _texts(docs).mapInArrow(run, "h long, digest binary").distinct()
-    return pairs.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= RECURS).select("h")
+    found = materialise(_texts(docs).mapInArrow(run, "h long, digest binary, part int, counts binary"), "recurrence")
+    pairs = found.where("part is null").select("h", "digest").distinct()
+    parts = {r.part: np.frombuffer(r.counts, np.int64) for r in found.where("part is not null").select("part", "counts").repartition("part").mapInArrow(added, "part int, counts binary").collect()}
+    words = np.concatenate([parts[i] for i in range(WORD_PARTS)]) if parts else np.zeros(WORD_BUCKETS, np.int64)
+    chance = Chance(words, int(words.sum()), parts.get(WORD_PARTS, np.zeros(DEPTH + 1, np.int64)))
+    return pairs.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= RECURS).select("h"), chance
 
 
 def _lines(docs: DataFrame, recurring: DataFrame) -> DataFrame:
@@ -122,7 +173,7 @@ def _lines(docs: DataFrame, recurring: DataFrame) -> DataFrame:
                     seen.add(name)
                 part = part.filter(pa.array(keep, pa.bool_()))
                 digests = part.column(0).to_pylist()
-                lines, sketches = _parsed(part.column(1).to_pylist())
+                lines, sketches, _ = _parsed(part.column(1).to_pylist())
                 leaves = np.array([_leaf(t) for *_, t in lines], np.int64)
                 size = np.zeros(len(digests), np.int64)
                 np.add.at(size, [i for i, *_ in lines], [len(x) for *_, x, _ in lines])
@@ -140,45 +191,78 @@ def _lines(docs: DataFrame, recurring: DataFrame) -> DataFrame:
 
 
 def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(leaf, token, n) of lines (leaf, line, n), added up within a batch; a token is 48 bits of its hash below its place."""
+    """(node, token, n) of lines (node, line, n), added up within a batch; a token is 48 bits of its hash below its place."""
     for batch in batches:
         for part in slices(batch, "line"):
             counts: Counter = Counter()
-            for leaf, line, n in zip(*[part.column(x).to_pylist() for x in ("leaf", "line", "n")], strict=True):
+            for node, line, n in zip(*[part.column(x).to_pylist() for x in ("node", "line", "n")], strict=True):
                 for place, token in enumerate(line.split(" ")):
                     if place >= DEPTH and token != "<*>":
-                        counts[leaf, place << 48 | xxhash.xxh64_intdigest(token, 42) & _LOW] += n
-            yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in counts], pa.int64()) for i in range(2)] + [pa.array(list(counts.values()), pa.int64())], names=["leaf", "token", "n"])
+                        counts[node, place << 48 | xxhash.xxh64_intdigest(token, 42) & _LOW] += n
+            yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in counts], pa.int64()) for i in range(2)] + [pa.array(list(counts.values()), pa.int64())], names=["node", "token", "n"])
+
+
+def _token(token: Column, place: Column) -> Column:
+    """A token at a place as _token_counts names it."""
+    return F.shiftleft(place.cast("long"), 48).bitwiseOR(F.xxhash64(token).bitwiseAND(F.lit(_LOW)))
+
 
+def _node_counts(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, total) of nodes with RECURS texts and several lines at least, and (node, token, n) of their tokens in RECURS texts."""
+    totals = lines.groupBy("node").agg(F.sum("n").alias("total"), F.count("*").alias("many")).where((F.col("total") >= RECURS) & (F.col("many") > 1)).select("node", "total")
+    counts = lines.select("node", "line", "n").join(totals.select("node"), "node", "left_semi").mapInArrow(_token_counts, "node long, token long, n long")
+    return totals, materialise(counts.groupBy("node", "token").agg(F.sum("n").alias("n")).where(F.col("n") >= RECURS), "tokens")
 
-def templates(lines: DataFrame) -> DataFrame:
-    """(leaf, id, template, n) of lines (leaf, id, line, n), n texts having each: the template its leaf makes of a line.
 
-    A token stays where DOMINANT of the leaf's lines have it at its place; any other is a variable field.  That is decided from
+def templates(lines: DataFrame, totals: DataFrame, counts: DataFrame) -> DataFrame:
+    """(leaf, id, template, n) of lines (leaf, node, id, line, n), n texts having each: the template its node makes of a line.
+
+    A token stays where DOMINANT of the node's lines have it at its place; any other is a variable field.  That is decided from
     counts alone, so templates don't depend on the order of lines or on how they're spread, and as shares, so they don't loosen as
     a corpus grows.  Lines with too many fields for their tokens beyond the leading ones have no template.
     """
-    totals = lines.groupBy("leaf").agg(F.sum("n").alias("total"), F.count("*").alias("many")).where((F.col("total") >= RECURS) & (F.col("many") > 1)).select("leaf", "total")
-    counts = lines.select("leaf", "line", "n").join(totals.select("leaf"), "leaf", "left_semi").mapInArrow(_token_counts, "leaf long, token long, n long").groupBy("leaf", "token").agg(F.sum("n").alias("n")).where(F.col("n") >= RECURS)
-    constant = counts.join(totals, "leaf").where(F.col("n") >= DOMINANT * F.col("total")).groupBy("leaf").agg(F.collect_list("token").alias("constants"))
+    constant = counts.join(totals, "node").where(F.col("n") >= DOMINANT * F.col("total")).groupBy("node").agg(F.collect_list("token").alias("constants"))
     words = F.split("line", " ")
-    token = lambda t, i: F.shiftleft(i.cast("long"), 48).bitwiseOR(F.xxhash64(t).bitwiseAND(F.lit(_LOW)))
-    masked = F.transform(words, lambda t, i: F.when((i < DEPTH) | (t == "<*>") | F.array_contains("constants", token(t, i)), t).otherwise(F.lit("<>")))
-    made = lines.join(constant, "leaf").select("leaf", "id", "n", masked.alias("made"))
+    masked = F.transform(words, lambda t, i: F.when((i < DEPTH) | (t == "<*>") | F.array_contains("constants", _token(t, i)), t).otherwise(F.lit("<>")))
+    made = lines.join(constant, "node").select("leaf", "node", "id", "n", masked.alias("made"))
     fields, marks, size = (F.size(F.filter("made", lambda t: t == "<>")), F.size(F.filter("made", lambda t: t == "<*>")), F.size("made"))
-    return made.where((fields <= (1 - CONSTANT) * F.greatest(size - DEPTH, F.lit(0))) & (size - fields - marks >= CONSTANT * size)).select("leaf", "id", F.xxhash64("made").alias("template"), "n")
+    return made.where((fields <= (1 - CONSTANT) * F.greatest(size - DEPTH, F.lit(0))) & (size - fields - marks >= CONSTANT * size)).select("leaf", "id", F.xxhash64("node", "made").alias("template"), "n")
+
+
+def divided(lines: DataFrame, totals: DataFrame, counts: DataFrame) -> DataFrame:
+    """The lines under nodes one token deeper: each node divides by the tokens of that place where most of its lines have a token which recurs.
+
+    Places that don't divide a node, since all its lines have one token there, don't count; of equal ones that with the fewest tokens does.  All
+    lines without a recurring token there go to one node.
+    """
+    place = F.shiftright("token", 48)
+    at = counts.groupBy("node", place.alias("place")).agg(F.sum("n").alias("covered"), F.count("*").alias("many"), F.max("n").alias("most")).join(totals, "node").where("most < total")
+    best = at.groupBy("node").agg(F.max(F.struct("covered", (-F.col("many")).alias("few"), (-F.col("place")).alias("left"))).alias("b")).select("node", (-F.col("b.left")).alias("place"))
+    children = counts.withColumn("place", place).join(best, ["node", "place"]).select("node", "token", F.lit(True).alias("child"))
+    placed = lines.join(best, "node").withColumn("token", _token(F.get(F.split("line", " "), F.col("place").cast("int")), F.col("place")))
+    return placed.join(children, ["node", "token"], "left").select("leaf", F.xxhash64("node", "place", F.when(F.col("child"), F.col("token"))).alias("node"), "id", "line", "n")
 
 
 def grouped(lines: DataFrame) -> DataFrame:
-    """(leaf, id, group, size): the masked lines that RECURS distinct texts have, as they are or as a template; of one template, one group."""
+    """(leaf, id, group, size, short): the masked lines that RECURS distinct texts have, as they are or as a template; of one template, one group.
+
+    Lines that a leaf makes no recurring template of are looked at again in the nodes that it divides into, SPLITS times.  short: the line, where it has
+    none but leading tokens.
+    """
     counted = materialise(lines.groupBy("leaf", "id", "digest").agg(F.first("line").alias("line")).groupBy("leaf", "id").agg(F.first("line").alias("line"), F.count("*").alias("n")), "counted")
     words = F.split("line", " ")
     size, marks = F.size(words), F.size(F.filter(words, lambda t: t == "<*>"))
-    made = materialise(templates(counted), "templates")
-    several = made.groupBy("leaf", "template").agg(F.sum("n").alias("n"), F.count("*").alias("many")).where((F.col("n") >= RECURS) & (F.col("many") > 1)).select("leaf", "template")
-    alike = made.join(several, ["leaf", "template"]).select("leaf", "id", F.col("template").alias("group"))
+    left, alike = counted.where(size > DEPTH).select("leaf", F.col("leaf").alias("node"), "id", "line", "n"), None
+    for level in range(SPLITS + 1):
+        totals, counts = _node_counts(left)
+        made = materialise(templates(left, totals, counts), "templates")
+        several = made.groupBy("leaf", "template").agg(F.sum("n").alias("n"), F.count("*").alias("many")).where((F.col("n") >= RECURS) & (F.col("many") > 1)).select("leaf", "template")
+        found = made.join(several, ["leaf", "template"]).select("leaf", "id", F.col("template").alias("group"))
+        alike = found if alike is None else alike.union(found)
+        if level < SPLITS:
+            left = materialise(divided(left.join(found, ["leaf", "id"], "left_anti"), totals, counts), "nodes")
     alone = counted.where((F.col("n") >= RECURS) & (size - marks >= CONSTANT * size)).join(alike, ["leaf", "id"], "left_anti").select("leaf", "id", F.col("id").alias("group"))
-    return alike.union(alone).join(counted.select("leaf", "id", size.alias("size")), ["leaf", "id"])
+    return alike.union(alone).join(counted.select("leaf", "id", size.alias("size"), F.when(size <= DEPTH, F.col("line")).alias("short")), ["leaf", "id"])
 
 
 def evidence(lines: DataFrame, groups: DataFrame, recurring: DataFrame) -> DataFrame:
@@ -198,21 +282,32 @@ def evidence(lines: DataFrame, groups: DataFrame, recurring: DataFrame) -> DataF
     return held.where((own > 0) & (own >= OWN * rest)).groupBy("leaf", "group").agg(F.count("*").alias("n"))
 
 
-def recurring_lines(lines: DataFrame, recurring: DataFrame) -> DataFrame:
+def _by_no_chance(groups: DataFrame, chance: Chance) -> DataFrame:
+    """(leaf, group) of groups (leaf, group, short, n), without the short lines that chance may have put together."""
+    held = groups.sparkSession.sparkContext.broadcast(chance)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [short is None or held.value.unlikely(short.split(" "), n) for short, n in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield batch.select(["leaf", "group"]).filter(pa.array(keep, pa.bool_()))
+
+    return groups.select("leaf", "group", "short", "n").mapInArrow(run, "leaf long, group long")
+
+
+def recurring_lines(lines: DataFrame, recurring: DataFrame, chance: Chance) -> DataFrame:
     """(leaf, id): the masked lines of groups that recur in texts which are otherwise their own."""
     groups = materialise(grouped(lines.join(recurring.withColumnRenamed("h", "leaf"), "leaf", "left_semi")), "line-groups")
-    sized = groups.groupBy("leaf", "group").agg(F.first("size").alias("size")).join(evidence(lines, groups, recurring), ["leaf", "group"]).where(F.col("n") >= RECURS)
-    sized = materialise(sized, "evidence")
-    short = sized.where(F.col("size") <= DEPTH).groupBy("size").agg(F.sum("n").alias("of"))  # a row for each size up to DEPTH
-    kept = sized.join(F.broadcast(short), "size", "left").where((F.col("size") > DEPTH) | (F.col("n") >= SHORT_SHARE * F.col("of")))
-    return groups.join(kept.select("leaf", "group"), ["leaf", "group"], "left_semi").select("leaf", "id")
+    short = groups.groupBy("leaf", "group").agg(F.first("short").alias("short"))
+    kept = _by_no_chance(short.join(evidence(lines, groups, recurring), ["leaf", "group"]).where(F.col("n") >= RECURS), chance)
+    return groups.join(kept, ["leaf", "group"], "left_semi").select("leaf", "id")
 
 
 def boilerplate(docs: DataFrame) -> DataFrame:
     """(digest, lines): of each distinct text the numbers of the lines whose template recurs across documents."""
-    recurring = materialise(_recurring(docs), "recurring")
+    recurring, chance = _recurring(docs)
+    recurring = materialise(recurring, "recurring")
     lines = materialise(_lines(docs, recurring), "lines")
-    dropped = lines.join(recurring_lines(lines, recurring), ["leaf", "id"], "left_semi").groupBy("digest", "leaf", "id").agg(F.first("at").alias("at"))
+    dropped = lines.join(recurring_lines(lines, recurring, chance), ["leaf", "id"], "left_semi").groupBy("digest", "leaf", "id").agg(F.first("at").alias("at"))
     return dropped.groupBy("digest").agg(F.flatten(F.collect_list("at")).alias("lines"))
 
 
@@ -239,7 +334,7 @@ def drop_boilerplate(docs: DataFrame) -> DataFrame:
     """docs, all rows and columns, without the lines whose template recurs across documents; n_chars, where there is one, follows.
 
     A template recurs if it stands in RECURS distinct texts that are otherwise their own (see evidence); one-word lines and others
-    that are all leading tokens must also be common among lines of their length.  Blank lines stay, as do null and
+    that are all leading tokens must also stand far more often than chance would have it (see Chance).  Blank lines stay, as do null and
     empty texts; a text of nothing else becomes empty.  Every row loses the lines of its own text, whatever other rows share its id.
     """
     names = docs.columns

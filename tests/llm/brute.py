@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -116,6 +117,34 @@ def _least_run(line: str) -> int:
     return min(found)
 
 
+def _templates(lines: dict[tuple[str, ...], int], recurs: int, level: int = 2, node: tuple = ()) -> dict[tuple[str, ...], tuple]:
+    """Of lines of one length and beginning, each with a number of texts: the group of each that is one of several lines of a recurring template."""
+    total, places = sum(lines.values()), Counter()
+    if total < recurs or len(lines) < 2:
+        return {}
+    for x, k in lines.items():
+        places.update({(i, t): k for i, t in enumerate(x) if i >= 3 and t != "<*>"})
+    places = {p: k for p, k in places.items() if k >= recurs}
+    made = defaultdict(list)
+    for x in lines:
+        m = tuple(t if i < 3 or t == "<*>" or places.get((i, t), 0) >= max(1, 0.3 * total) else None for i, t in enumerate(x))
+        if m.count(None) <= 0.4 * (len(m) - 3) and len(m) - m.count(None) - m.count("<*>") >= 0.6 * len(m):
+            made[m].append(x)
+    out = {x: ("template", node, m) for m, same in made.items() if len(same) > 1 and sum(lines[x] for x in same) >= recurs for x in same}
+    at = defaultdict(list)
+    for (i, _), k in places.items():
+        at[i].append(k)
+    best = max(((sum(ks), -len(ks), -i) for i, ks in at.items() if max(ks) < total), default=None)
+    if level and best:
+        i, under = -best[2], defaultdict(dict)
+        for x, k in lines.items():
+            if x not in out:
+                under[x[i] if (i, x[i]) in places else None][x] = k
+        for token, own in under.items():
+            out |= _templates(own, recurs, level - 1, (*node, i, token))
+    return out
+
+
 def boilerplate(texts: list[str | None], recurs: int = 3) -> list[set[int]]:
     """Numbers of the lines of each text that recur, as they read or as a template, in texts that are otherwise their own."""
 
@@ -133,22 +162,28 @@ def boilerplate(texts: list[str | None], recurs: int = 3) -> list[set[int]]:
         leaves[leaf(line)] |= ts
     words = lambda line: len(line) - line.count("<*>")
     group = {x: (x,) for x in holders if len(holders[x]) >= recurs and words(x) >= 0.6 * len(x)}
-    same_leaf = defaultdict(list)
+    same_leaf = defaultdict(dict)
     for x in holders:
-        if len(leaves[leaf(x)]) >= recurs:
-            same_leaf[leaf(x)].append(x)
+        if len(leaves[leaf(x)]) >= recurs and len(x) > 3:
+            same_leaf[leaf(x)][x] = len(holders[x])
     for lines in same_leaf.values():
-        total, places, made = sum(len(holders[x]) for x in lines), Counter(), defaultdict(list)
-        for x in lines:
-            for p in enumerate(x):
-                places[p] += len(holders[x])
-        for x in lines:
-            m = tuple(t if i < 3 or t == "<*>" or (places[i, t] >= recurs and places[i, t] >= 0.3 * total) else None for i, t in enumerate(x))
-            if m.count(None) <= 0.4 * max(len(m) - 3, 0) and len(m) - m.count(None) - m.count("<*>") >= 0.6 * len(m):
-                made[m].append(x)
-        for m, same in made.items():
-            if len(same) > 1 and sum(len(holders[x]) for x in same) >= recurs:
-                group |= dict.fromkeys(same, ("template", m))
+        group |= _templates(lines, recurs)
+    running, lengths = Counter(), Counter()
+    for t in texts:
+        for x in (t or "").encode().decode("latin-1").split("\n"):
+            lengths[len(x.split())] += 1
+            running.update(x.split() if len(x.split()) > 3 else ())
+
+    def chance(line: tuple[str, ...]) -> float:
+        e = lengths[len(line)]
+        for t in line:
+            if t != "<*>":
+                w = t.encode("latin-1").decode()
+                w = w.strip(".,").lower() or w
+                forms = {x + end for x in (w, w.capitalize()) for end in ("", ".", ",")} | {t.encode("latin-1").decode()}
+                e *= (sum(running[x.encode().decode("latin-1")] for x in forms) + 1) / (running.total() + 1)
+        return e
+
     runs = defaultdict(set)
     for t in parsed:
         for line in t.split("\n"):
@@ -161,11 +196,8 @@ def boilerplate(texts: list[str | None], recurs: int = 3) -> list[set[int]]:
             rest = [(x, b) for _, x, b in lines if x != line]
             own = sum(b for x, b in rest if len(runs[_least_run(first[x])]) < recurs)
             n[group[line]] += own > 0 and 2 * own >= sum(b for _, b in rest)
-    size = {of: len(x) for x, of in group.items()}
-    of = Counter()
-    for g, k in n.items():
-        of[size[g]] += k if k >= recurs else 0
-    gone = {x for x, g in group.items() if n[g] >= recurs and (size[g] > 3 or n[g] >= 0.02 * of[size[g]])}
+    odd = lambda k, e: k >= 10 * e and k * (math.log(k / e) - 1) + e >= 20
+    gone = {x for x, g in group.items() if n[g] >= recurs and (len(x) > 3 or odd(n[g], chance(x)))}
     return [{at for at, line, _ in parsed[t or ""] if line in gone} for t in texts]
 
 

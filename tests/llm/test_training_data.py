@@ -6,6 +6,7 @@ import hashlib
 import io
 import itertools
 import random
+from collections import Counter
 import re
 import sys
 import wave
@@ -267,6 +268,36 @@ def test_templates_over_a_small_vocabulary(spark):
     assert not any(_dropped(spark, [prose() for _ in range(100)]))
 
 
+def _own_prose(rng: random.Random, lines: int = 3) -> str:
+    return "\n".join(" ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(4, 9))) for _ in range(rng.randint(8, 12))) for _ in range(lines))
+
+
+def test_templates_many_short_lines(spark):
+    """However many short lines recur, each goes; short lines of common words stay, though chance repeats them in unlike texts."""
+    rng = random.Random(14)
+    word = lambda: "".join(rng.choice("klmnopqrst") for _ in range(6))
+    feet = [" ".join(word() for _ in range(rng.choice([1, 2, 3]))) for _ in range(60)]
+    texts = [f"{_own_prose(rng)}\n{feet[i % 60]}" for i in range(1200)]
+    assert _dropped(spark, texts) == [1] * 1200
+    common = [word() for _ in range(12)]
+    line = lambda k: " ".join(rng.choice(common) for _ in range(k))
+    prose = [f"{_own_prose(rng)}\n{line(9)}\n{line(rng.randint(1, 3)).capitalize()}.\n{line(8)}" for _ in range(300)]
+    assert max(Counter(t.split("\n")[4] for t in prose).values()) > 3 and not any(_dropped(spark, prose))
+
+
+@pytest.mark.parametrize("many", [1, 3, 6, 40])
+def test_templates_many_in_a_leaf(spark, many):
+    """Lines of one length and beginning may be of any number of templates, each with a field."""
+    rng = random.Random(many)
+    word = lambda: "".join(rng.choice("klmnopqrst") for _ in range(6))
+    made = []
+    for _ in range(many):
+        rest, field = [word() for _ in range(6)], rng.randrange(6)
+        made.append(lambda rest=rest, field=field: " ".join(["Sent", "from", "the", *(word() if i == field else w for i, w in enumerate(rest))]))
+    texts = [f"{_own_prose(rng)}\n{made[i % many]()}" for i in range(30 * many if many < 40 else 400)]
+    assert _dropped(spark, texts) == [1] * len(texts)
+
+
 def test_templates_rows_of_one_id(spark):
     """A row loses the lines of its own text only."""
     rng = random.Random(13)
