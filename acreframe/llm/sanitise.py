@@ -28,6 +28,7 @@ _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")  # a run without dots too, so that
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TERM = re.compile(r"[^\W\d_]{3,}")
+_SIGN = re.compile("[0-9@]")
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -62,7 +63,9 @@ def _luhn(digits: str) -> bool:
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, str]]:
-    """(start, number of the kind, end, value) of the entities that patterns find, in order."""
+    """(start, number of the kind, end, value) of the entities that patterns find, in order; each has a digit or an at sign."""
+    if not _SIGN.search(text):
+        return []
     out = [(a, 0, b, text[a:b].lower()) for a, b in _emails(text)]
     out += [(a, 1, b, text[a:b]) for a, b in _addresses(text)]
     for kind, pattern, least, most in ((2, _CARD, 12, 19), (3, _PHONE, 9, 15)):
@@ -146,7 +149,7 @@ def _count(texts: Iterator[str]) -> Iterator[pa.RecordBatch]:
     for text in texts:
         spans = base_spans(text)
         kinds = sorted({k for _, k, _, _ in spans})
-        for term in {t for t, *_ in _terms(text, spans)} if spans else set(_TERM.findall(text.lower())):
+        for term in {t for t, *_ in _terms(text, spans)} if spans else {t.lower() for t in set(_TERM.findall(text))}:
             own = counts.get(term)
             if own is None:
                 own = counts[term] = [0] * len(_COUNTS)
