@@ -27,6 +27,8 @@ BATCH_BYTES = 1 << 20
 TASK_ENTRIES = 2_000_000
 #: Segments of an anchor beyond which its windows are spread over tasks: a task compares few groups at a time, an anchor's segments being one.
 CROWDED = 1000
+#: Such windows that a task holds to tell which is the first of each string: so one string has few rows of each task.
+SINGLE = 100_000
 #: Bytes of compressed texts that a task unpacks at a time.
 PACKED_BYTES = 1 << 19
 _LOW = np.uint64((1 << 24) - 1)
@@ -360,10 +362,17 @@ def _parts(*columns: np.ndarray, raw: list[bytes]) -> pa.RecordBatch:
 
 def _cut_out(length: int):
     """Of the listed segments: n > 0: the bytes of the segment, by anchor; n = 0: a window of a crowded anchor, by fingerprint, of each string the
-    first among some texts; n < 0: a run of -n windows that are repeats."""
+    first of the task (of SINGLE such windows at a time); n < 0: a run of -n windows that are repeats."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
+        single: dict[tuple[int, int], tuple[int, int, int]] = {}
+
+        def firsts() -> pa.RecordBatch:
+            places = np.array(list(single.values()), np.int64).reshape(-1, 3)
+            one, two = (np.array([k[i] for k in single], np.uint64) for i in range(2))
+            return _parts(one.view(np.int64), *places.T, np.zeros(len(places)), raw=[x.tobytes() for x in two])
+
         for batch in batches:
             for part in slices(batch, "raw", PACKED_BYTES):
                 few: list[tuple] = []
@@ -381,10 +390,23 @@ def _cut_out(length: int):
                 if many:
                     one, two, docs, rows, pos = (np.concatenate(x) for x in zip(*many, strict=True))
                     first, behind, _ = _behind(one, two, docs, rows, pos)
-                    yield _parts(one[first].view(np.int64), docs[first], rows[first], pos[first], np.zeros(len(first)), raw=[x.tobytes() for x in two[first]])
-                    docs, rows, pos, n = _runs(docs[behind], rows[behind], pos[behind])
+                    later = []
+                    for key, place in zip(zip(one[first].tolist(), two[first].tolist(), strict=True), zip(docs[first].tolist(), rows[first].tolist(), pos[first].tolist(), strict=True), strict=True):
+                        known = single.setdefault(key, place)
+                        if place > known:
+                            later.append(place)
+                        elif place < known:
+                            single[key] = place
+                            later.append(known)
+                    more = np.array(later, np.int64).reshape(-1, 3).T
+                    docs, rows, pos, n = _runs(*(np.concatenate((x[behind], y)) for x, y in zip((docs, rows, pos), more, strict=True)))
+                    if len(single) > SINGLE:
+                        yield firsts()
+                        single.clear()
                     if len(docs):
                         yield _parts(_mix(rows.view(np.uint64) * np.uint64(_TWO) + pos.astype(np.uint64)).view(np.int64), docs, rows, pos, -n, raw=[b""] * len(docs))
+        if single:
+            yield firsts()
 
     return run
 
