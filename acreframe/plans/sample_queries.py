@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from acreframe.functions import classes as cl
 from acreframe.functions.names import sample_parts
 from acreframe.operators import accuracy as ac
+from acreframe.operators import bagging as ba
 from acreframe.operators import model as mo
 from acreframe.operators import sample as sa
 from acreframe.plans.views import cte, table, view
@@ -304,6 +305,35 @@ def forest(spark, sf):
     return ac.confusion(scored.select("pred", F.col("label").alias("obs")))
 
 
+def bag_weights(spark, sf):
+    """How often each of ten bootstrap samples has its rows: rows left out, rows and draws."""
+    drawn = table(spark, sf, "embeddings").select(F.col("vec_id"), F.explode(F.sequence(F.lit(0), F.lit(9))).alias("tree")).withColumn("w", ba.bag_weight(F.col("vec_id"), F.col("tree"), 88))
+    return drawn.groupBy("tree").agg(F.count_if(F.col("w") == 0).alias("n_out"), F.count("*").alias("n"), F.sum("w").alias("draws"), F.max("w").alias("most"))
+
+
+_DRAW = "CAST('0x' || substr(md5(concat(vec_id, ':', tree, ':88')), 1, 13) AS BIGINT) / 4503599627370496.0e0"
+BAG_WEIGHTS_SQL = f"""WITH d AS (SELECT vec_id, unnest(range(0, 10))::INT AS tree FROM embeddings), u AS (SELECT *, {_DRAW} AS u FROM d), w AS (SELECT tree, len(list_filter([{', '.join(f'{p!r}::DOUBLE' for p in ba.DRAWN)}], lambda p: p <= u)) AS w FROM u)
+SELECT tree, count(*) FILTER (WHERE w = 0) AS n_out, count(*) AS n, sum(w)::BIGINT AS draws, max(w)::INT AS most FROM w GROUP BY 1"""
+
+
+def bag_votes(spark, sf):
+    """Out-of-bag votes of twenty trees of one split each: whether a vector's component is positive."""
+    votes = F.array(*[(F.col("embedding")[i] > 0).cast("double") for i in range(20)])
+    out = table(spark, sf, "embeddings").withColumn("votes", ba.left_out(votes, F.col("vec_id"), 88))
+    return out.select("vec_id", ba.most_voted(F.col("votes"), 2).alias("pred"), F.size("votes").alias("voters"))
+
+
+BAG_VOTES_SQL = f"""WITH d AS (SELECT vec_id, embedding, unnest(range(0, 20))::INT AS tree FROM embeddings), u AS (SELECT vec_id, tree, embedding[tree + 1] > 0 AS yes, {_DRAW} < {ba.DRAWN[0]!r}::DOUBLE AS out FROM d),
+ v AS (SELECT vec_id, count(*) FILTER (WHERE out AND yes) AS ones, count(*) FILTER (WHERE out) AS voters FROM u GROUP BY 1) SELECT vec_id, CASE WHEN voters = 0 THEN NULL WHEN 2 * ones > voters THEN 1 ELSE 0 END AS pred, voters::INT AS voters FROM v"""
+
+
+def bagged(spark, sf):
+    """A forest of bagged trees on the embeddings, and the confusion matrix of its out-of-bag votes."""
+    frame = _embedding_frame(spark, sf)
+    forest = ba.fit_bagged(frame, "label", trees=20, depth=5)
+    return ac.confusion(ba.out_of_bag(frame, forest).where("pred is not null").select("pred", F.col("label").alias("obs")))
+
+
 def classified(spark, sf):
     """Classify every pixel's seasonal features by a forest trained on the return flag of the pixels of even rows."""
     from acreframe.operators.features import seasonal_features
@@ -319,5 +349,5 @@ QUERIES = {
     "thinned_sample": (thinned, THIN_SQL), "prebalanced_sample": (prebalance, PREBALANCE_SQL), "sample_increments": (increments, INCREMENTS_SQL), "smallholders": (smallholders, SMALL_SQL), "confusion": (confusion, CONFUSION_SQL), "accuracies": (accuracies, ACCURACY_SQL),
     "accuracy_table": (accuracy_table, TABLE_SQL), "weighted_accuracy": (weighted, WEIGHTED_SQL), "kappa": (kappa, KAPPA_SQL), "label_kappa": (label_kappa, LABEL_KAPPA_SQL), "generic_confusion": (generic_confusion, GENERIC_SQL), "smallholder_confusion": (smallholder_confusion, SMALL_CM_SQL), "holdout_recall": (recall, RECALL_SQL), "roc_auc": (roc, ROC_SQL),
     "run_scores": (run_scores, RUNS_SQL), "best_models": (best_models, BEST_SQL), "accuracy_gains": (accuracy_gains, GAINS_SQL), "array_means": (array_means, MEANS_SQL), "score_log": (log_scores, LOG_SQL), "class_counts": (class_counts, COUNTS_SQL), "sample_names": (sample_names, NAMES_SQL), "stratified_sample": (stratified, STRATIFIED_SQL),
-    "forest_scores": (forest, None), "classified_map": (classified, None),
+    "forest_scores": (forest, None), "classified_map": (classified, None), "bag_weights": (bag_weights, BAG_WEIGHTS_SQL), "bag_votes": (bag_votes, BAG_VOTES_SQL), "out_of_bag": (bagged, None),
 }
