@@ -127,6 +127,11 @@ def roll_up(lines: DataFrame, start_date: str | None = None, stop_date: str | No
         F.coalesce(F.max("cell_id"), F.first(cell_of_file(F.col("file")))).alias("cell_id"), F.sum("minutes").alias("minutes"), cores.alias("cores"), F.min("start").alias("first"), F.max("end").alias("last"),
         F.collect_set(F.when(dated, pair)).alias("ranges"), F.count_if(dated).alias("n"), F.collect_set(F.when(F.col("is_error") & F.col("in_start").isNotNull(), wrong)).alias("errors"),
     )
+    return by_cell(files, start_date, stop_date, ignore)
+
+
+def by_cell(files: DataFrame, start_date: str | None = None, stop_date: str | None = None, ignore: tuple[str, str] | None = None) -> DataFrame:
+    """dl_status rows from what each file(file, cell_id, minutes, cores, first, last, ranges, n, errors) brings."""
     cells = files.where("first is not null").groupBy("cell_id").agg(
         F.min("first").alias("dllog_start"), F.max("last").alias("dllog_end"), islands(F.flatten(F.collect_list("ranges"))).alias("dllog_ranges"), F.sum("n").alias("n_ranges"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("errors")))).alias("dllog_errors"), F.sum("minutes").cast("int").alias("dltime"), F.sum(F.col("minutes") * F.col("cores")).cast("int").alias("dlcoremin"),
