@@ -124,9 +124,9 @@ def roc_auc(scores: DataFrame, score: str, label: str) -> DataFrame:
     trapezoids between distinct scores, from the highest on.  Scores are counted by value first; no task sees all values.
     """
     known = scores.where(f"{label} is not null and {score} is not null").select(F.col(score).cast("double").alias("s"), F.col(label).alias("y"))
-    by = known.groupBy("s").agg(F.count_if(F.col("y") == 1).alias("p"), F.count_if(F.col("y") == 0).alias("n")).withColumn("g", F.lit(0))
+    by = known.groupBy("s").agg(F.count_if(F.col("y") == 1).alias("p"), F.count_if(F.col("y") == 0).alias("n"))
     total = by.agg(F.sum("p").alias("all_p"), F.sum("n").alias("all_n"))
-    placed = sums_before(by, "g", "s", ["p", "n"]).join(F.broadcast(total))  # one row is joined
+    placed = sums_before(by, None, "s", ["p", "n"]).join(F.broadcast(total))  # one row is joined
     # positives and negatives from a score on, and from the next higher one on
     tp, fp = F.col("all_p") - F.col("p_before"), F.col("all_n") - F.col("n_before")
     tp0, fp0 = tp - F.col("p"), fp - F.col("n")

@@ -68,7 +68,7 @@ def mosaic(pixels: DataFrame, priority: DataFrame, nodata: int = 0) -> DataFrame
 
 
 def stretched(pixels: DataFrame, g: float = 1.5) -> DataFrame:
-    """Values of each band after gamma, between 0 and 1 over the band's range."""
+    """Values of each band after gamma, between 0 and 1 over the band's range; what is broadcast is a row for each spectral index."""
     v = gamma(F.col("value"), g)
     bands = pixels.groupBy("spec_index").agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
-    return pixels.join(bands, "spec_index").withColumn("stretched", stretch(v, F.col("lo"), F.col("hi"))).drop("lo", "hi")
+    return pixels.join(F.broadcast(bands), "spec_index").withColumn("stretched", stretch(v, F.col("lo"), F.col("hi"))).drop("lo", "hi")

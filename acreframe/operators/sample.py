@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acreframe.functions.classes import MIXED
-from acreframe.operators.ranks import sums_before
+from acreframe.operators.ranks import beside, sums_before
 
 
 def prevalence(lut: DataFrame, compat: bool = False) -> DataFrame:
@@ -125,9 +125,9 @@ def stratified(points: DataFrame, class_col: str, share: float, key: str, seed:
     placed = points.withColumns({"__g": F.xxhash64(class_col), "__h": F.xxhash64(key, F.lit(seed))})
     counts = placed.groupBy("__g", "__h").agg(F.count("*").alias("__n"))
     need = counts.groupBy("__g").agg(F.ceil(F.sum("__n") * share).alias("__need"))
-    found = sums_before(counts, "__g", "__h", ["__n"]).join(need, "__g")
-    end = found.where("__n_before < __need and __need <= __n_before + __n").select("__g", F.col("__h").alias("__end"))  # a row for each class
-    return placed.join(end, "__g", "left").withColumn("inner_test", F.coalesce(F.col("__h") <= F.col("__end"), F.lit(False)).cast("int")).drop("__g", "__h", "__end")
+    found = beside(sums_before(counts, "__g", "__h", ["__n"]), need, "__g", "__h")
+    end = found.where("__n_before < __need and __need <= __n_before + __n").select("__g", F.col("__h").alias("__end"))
+    return beside(placed, end, "__g", "__h", "left").withColumn("inner_test", F.coalesce(F.col("__h") <= F.col("__end"), F.lit(False)).cast("int")).drop("__g", "__h", "__end")
 
 
 def sweep_sample(points: DataFrame, lut: DataFrame, cutoff: int, cls: str, method: str, target: int, mix_factor: float = 10, drop: tuple[str, ...] = ()) -> DataFrame:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def project_grid(bounds: tuple[float, float, float, float], size: float, spark) -> DataFrame:
@@ -143,11 +147,51 @@ def patches(points: DataFrame, pixels: DataFrame, size: float, reach: int = 1) -
     return around.withColumn("row", F.col("__r") + F.col("__dr")).withColumn("col", F.col("__c") + F.col("__dc")).join(pixels, ["row", "col"]).drop("__r", "__c", "__dr", "__dc")
 
 
-def pixels_in_zones(pixels: DataFrame, zones: DataFrame, tile: float) -> DataFrame:
-    """pixels(x, y, ...) with the columns of each zone(zone_id, ring, ...) that holds their centre; the ring is left out."""
+def _edge_meets(edges: Column, xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
+    """Whether an edge touches a box: their bounds do, and the box's corners aren't all on one side of the edge's line."""
+
+    def meets(e: Column) -> Column:
+        (ax, ay), (bx, by) = ((e[p]["x"], e[p]["y"]) for p in "ab")
+        bounds = (F.least(ax, bx) <= xmax) & (F.greatest(ax, bx) >= xmin) & (F.least(ay, by) <= ymax) & (F.greatest(ay, by) >= ymin)
+        sides = [(bx - ax) * (y - ay) - (by - ay) * (x - ax) for x in (xmin, xmax) for y in (ymin, ymax)]
+        return bounds & (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
+
+    return F.exists(edges, meets)
+
+
+def cover(zones: DataFrame, tile: float, levels: int = 3) -> DataFrame:
+    """zones(zone_id, ring, ...), a row for each tile (__level, __tx, __ty) of a quadtree over its ring, and whether the tile lies inside.
+
+    Tiles measure `tile` at level 0 and half as much at each further one.  Only tiles that an edge meets are divided; those of the last level that an
+    edge meets are the ring's boundary and keep the ring, inside tiles don't, tiles outside are left out.
+    """
     boxed = zones.withColumns(ring_box(F.col("ring")))
-    met = points_in_boxes(pixels, boxed, tile)
-    return met.where(in_ring(F.col("x"), F.col("y"), F.col("ring"))).drop("ring", "xmin", "ymin", "xmax", "ymax")
+    at = boxed.withColumns({"__tx": F.explode(_tiles(F.col("xmin"), F.col("xmax"), tile))}).withColumn("__ty", F.explode(_tiles(F.col("ymin"), F.col("ymax"), tile)))
+    out: DataFrame | None = None
+    for level in range(levels):
+        size = tile / (1 << level)
+        x, y = F.col("__tx") * size, F.col("__ty") * size
+        at = at.withColumns({"__level": F.lit(level), "__met": _edge_meets(_edges(F.col("ring")), x, y, x + size, y + size)})
+        inside = at.where(~F.col("__met")).where(in_ring(x + size / 2, y + size / 2, F.col("ring"))).withColumns({"__inside": F.lit(True), "ring": F.when(F.lit(False), F.col("ring"))})
+        met = at.where("__met")
+        last = inside if level + 1 < levels else inside.unionByName(met.withColumn("__inside", F.lit(False)))
+        out = last if out is None else out.unionByName(last)
+        half = lambda c: F.explode(F.array(2 * F.col(c), 2 * F.col(c) + 1))
+        at = met.withColumn("__tx", half("__tx")).withColumn("__ty", half("__ty"))
+    return out.drop("__met")
+
+
+def pixels_in_zones(pixels: DataFrame, zones: DataFrame, tile: float, levels: int = 3) -> DataFrame:
+    """pixels(x, y, ...) with the columns of each zone(zone_id, ring, ...) that holds their centre; the ring is left out.
+
+    An equi-join on the tiles of the zones' covers, of which only those at a boundary test the ring: a pixel has a key for each level,
+    so large rings cost no more tests than their outlines are long.
+    """
+    place = lambda c: F.floor(F.col(c) / (F.lit(float(tile)) / F.pow(F.lit(2.0), F.col("__level"))))
+    keyed = pixels.withColumn("__level", F.explode(F.sequence(F.lit(0), F.lit(levels - 1)))).withColumns({"__tx": place("x"), "__ty": place("y")})
+    box = (F.col("x") > F.col("xmin")) & (F.col("x") < F.col("xmax")) & (F.col("y") > F.col("ymin")) & (F.col("y") < F.col("ymax"))
+    met = keyed.join(cover(zones, tile, levels), ["__level", "__tx", "__ty"])
+    return met.where(F.col("__inside") | (box & in_ring(F.col("x"), F.col("y"), F.col("ring")))).drop("__level", "__tx", "__ty", "__inside", "ring", "xmin", "ymin", "xmax", "ymax")
 
 
 def clip_to_box(pixels: DataFrame, xmin: float, ymin: float, xmax: float, ymax: float) -> DataFrame:
@@ -185,37 +229,60 @@ def resample(pixels: DataFrame, old: float, new: float) -> DataFrame:
 
 
 def _uniform(seed: int, what: str) -> Column:
-    """A number from 0 to 1 for zone_id and i, by the first 32 bits of an MD5."""
+    """A number from 0 to 1 for zone_id and i, by the first 52 bits of an MD5."""
     name = F.concat_ws(":", F.col("zone_id").cast("string"), F.col("i").cast("string"), F.lit(f"{what}{seed}"))
-    return F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("double") / float(1 << 32)
-
-
-def random_points(zones: DataFrame, n: int, seed: int = 0, first: int = 4) -> DataFrame:
-    """n points in each zone(zone_id, ring), id <zone>_<i>: of numbered candidates in its box, the first n inside.
-
-    The same seed gives the same points.  Each round draws for the zones that still lack points, twice as many candidates as the
-    round before, until none does; a ring without an area has no points.
+    return F.conv(F.substring(F.md5(name), 1, 13), 16, 10).cast("double") / float(1 << 52)
+
+
+def triangles(ring: list[tuple[float, float]]) -> list[tuple[float, ...]]:
+    """The triangles (ax, ay, bx, by, cx, cy) of a simple ring, by cutting off ears, the first one in order each time."""
+    points = [p for k, p in enumerate(ring) if p != ring[k - 1] or k == 0]
+    points = points[:-1] if len(points) > 1 and points[0] == points[-1] else points
+    turn = lambda a, b, c: (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
+    if sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(points, points[1:] + points[:1], strict=True)) < 0:
+        points = points[:1] + points[:0:-1]
+    out = []
+    while len(points) > 2:
+        corners = [(points[k - 1], points[k % len(points)], points[(k + 1) % len(points)]) for k in range(1, len(points) + 1)]
+        clear = lambda a, b, c: not any(p not in (a, b, c) and min(turn(a, b, p), turn(b, c, p), turn(c, a, p)) >= 0 for p in points)
+        ears = (k for k, (a, b, c) in enumerate(corners) if turn(a, b, c) > 0 and clear(a, b, c))
+        k = next(ears, None)
+        if k is None:  # no corner but flat ones, or a ring that crosses itself: the flattest corner goes
+            k = min(range(len(corners)), key=lambda k: abs(turn(*corners[k])))
+        else:
+            out.append(tuple(v for p in corners[k] for v in p))
+        del points[(k + 1) % len(points)]
+    return out
+
+
+def _triangulated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = []
+        for ring in batch.column(1).to_pylist():
+            total, own = 0.0, []
+            for ax, ay, bx, by, cx, cy in triangles([(p["x"], p["y"]) for p in ring or () if p]):
+                total += abs((bx - ax) * (cy - ay) - (by - ay) * (cx - ax)) / 2
+                own.append({"ax": ax, "ay": ay, "ux": bx - ax, "uy": by - ay, "vx": cx - ax, "vy": cy - ay, "upto": total})
+            found.append(own)
+        parts = pa.array(found, pa.list_(pa.struct([(k, pa.float64()) for k in ("ax", "ay", "ux", "uy", "vx", "vy", "upto")])))
+        yield pa.RecordBatch.from_arrays([batch.column(0), parts], names=["zone_id", "parts"])
+
+
+def random_points(zones: DataFrame, n: int, seed: int = 0) -> DataFrame:
+    """n points in each zone(zone_id, ring), id <zone>_<i>, spread evenly: in a triangle of the ring, drawn by its share of the area.
+
+    The same seed gives the same points.  Rings may be concave and as thin as they like; one without an area, or null, has no points.
     """
-    spark = zones.sparkSession
-    boxed = zones.withColumns(ring_box(F.col("ring")))
-    short = boxed.where(clipped_area(F.col("ring"), tuple(F.col(c) for c in ("xmin", "ymin", "xmax", "ymax"))) > 0).withColumn("__lack", F.lit(n))
-    x = F.col("xmin") + _uniform(seed, "x") * (F.col("xmax") - F.col("xmin"))
-    y = F.col("ymin") + _uniform(seed, "y") * (F.col("ymax") - F.col("ymin"))
-    out, low, many = None, 0, first * n
-    while n > 0:
-        drawn = short.withColumn("i", F.explode(F.sequence(F.lit(low), F.lit(low + many - 1)))).select("zone_id", "i", x.alias("x"), y.alias("y"), "ring", "__lack")
-        line = Window.partitionBy("zone_id").orderBy("i")
-        inside = drawn.where(in_ring(F.col("x"), F.col("y"), F.col("ring"))).withColumn("k", F.row_number().over(line)).where("k <= __lack")
-        found = inside.select("zone_id", F.concat_ws("_", "zone_id", F.lit(n) - F.col("__lack") + F.col("k") - 1).alias("point_id"), "x", "y")
-        out = found if out is None else out.union(found)
-        got = inside.groupBy("zone_id").agg(F.count("*").alias("__got"))
-        left = short.join(got, "zone_id", "left").withColumn("__lack", F.col("__lack") - F.coalesce("__got", F.lit(0))).where("__lack > 0").drop("__got")
-        # the zones that lack points are written down, so a further round doesn't draw the rounds before again
-        short = left.checkpoint() if spark.sparkContext.getCheckpointDir() else left.cache()
-        if short.isEmpty():
-            break
-        low, many = low + many, 2 * many
-    return zones.select("zone_id", F.lit("").alias("point_id"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y")).limit(0) if out is None else out
+    schema = StructType([zones.schema["zone_id"]]).simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ", 1)
+    parts = zones.select("zone_id", "ring").mapInArrow(_triangulated, f"{schema}, parts array<struct<ax:double,ay:double,ux:double,uy:double,vx:double,vy:double,upto:double>>")
+    total = F.try_element_at("parts", F.lit(-1))["upto"]
+    drawn = parts.where(total > 0).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))) if n > 0 else parts.limit(0).withColumn("i", F.lit(0))
+    drawn = drawn.withColumns({"__u": _uniform(seed, "t") * total, "__a": _uniform(seed, "x"), "__b": _uniform(seed, "y")})
+    # the other half of the parallelogram is turned over
+    over = F.col("__a") + F.col("__b") > 1
+    drawn = drawn.withColumns({"__t": F.get(F.filter("parts", lambda t: t["upto"] > F.col("__u")), F.lit(0)), "__a": F.when(over, 1 - F.col("__a")).otherwise(F.col("__a")), "__b": F.when(over, 1 - F.col("__b")).otherwise(F.col("__b"))})
+    at = lambda c: F.col("__t")[f"a{c}"] + F.col("__a") * F.col("__t")[f"u{c}"] + F.col("__b") * F.col("__t")[f"v{c}"]
+    return drawn.select("zone_id", F.concat_ws("_", "zone_id", "i").alias("point_id"), at("x").alias("x"), at("y").alias("y"))
 
 
 def observed_between(polygons: DataFrame, oldest: int, newest: int) -> DataFrame:

@@ -31,6 +31,10 @@ def _names(spark, sf):
     return o.select("o_orderkey", name.alias("file"), F.date_format(F.col("o_orderdate").cast("date"), "yyyyDDD").alias("smooth"), F.col("o_orderdate").cast("date").alias("d"))
 
 
+def _landsat(spark, sf):
+    return _names(spark, sf).where(~F.col("file").startswith("S2A"))
+
+
 _NAMES = """nm AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, strftime(o_orderdate, '%Y%j') AS smooth, strftime(o_orderdate, '%Y%m%d') AS ymd, lpad(CAST(o_custkey % 1000 AS VARCHAR), 6, '0') AS tile,
  CASE WHEN o_orderkey % 3 = 0 THEN 'LC08' WHEN o_orderkey % 3 = 1 THEN 'LE07' ELSE 'S2A' END AS sensor, CASE WHEN o_orderkey % 4 = 0 THEN 'X.nc' ELSE '.nc' END AS suffix FROM orders)"""
 
@@ -54,7 +58,7 @@ SELECT o_orderkey, base, CASE WHEN suffix = 'X.nc' THEN 'low_quality' ELSE 'imag
 
 
 def product_ids(spark, sf):
-    n = _names(spark, sf).where("o_orderkey % 3 < 2")
+    n = _landsat(spark, sf)
     product = F.concat_ws("_", F.substring("file", 1, 4), F.substring("file", 11, 6), F.substring("file", 18, 8), F.when(F.col("o_orderkey") % 2 == 0, "L3A").otherwise("L3B"))
     return n.select("o_orderkey", nm.scene_of_product(product).alias("scene_id"), nm.bandpass(product).alias("bandpass"))
 
@@ -116,13 +120,15 @@ _IN_ZONE = "x > x0 AND x < x0 + 180 AND y > y0 AND y < y0 + 2000 AND (y < y0 + 1
 
 def cells_over_zones(spark, sf):
     """Cells whose box overlaps a zone's box, with the area of the zone within the cell."""
-    zones = _zones(spark, sf).where("zone_id % 5 < 4 and zone_id < 20").withColumns(sp.ring_box(F.col("ring")))  # those that the grid covers
+    zones = _zones(spark, sf).withColumns(sp.ring_box(F.col("ring")))
     met = sp.boxes_overlap(_grid(spark), zones, 200.0)
     area = sp.clipped_area(F.col("ring_b"), tuple(F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")))
     return met.groupBy("zone_id_b").agg(F.count("*").alias("cells"), F.round(F.sum(area), 3).alias("area")).withColumnRenamed("zone_id_b", "zone_id")
 
 
-OVERLAP_SQL = f"""{cte('zones')}, {_GRID}, o AS (SELECT zone_id, count(*) AS cells FROM grid JOIN zones ON greatest(xmin, x0) < least(xmax, x0 + 180) AND greatest(ymin, y0) < least(ymax, y0 + 2000) WHERE zone_id % 5 < 4 AND zone_id < 20 GROUP BY 1) SELECT zone_id, cells, 270000.0e0 AS area FROM o"""
+#: Areas of a whole zone, of one that the grid covers up to 100 of its width or 1300 of its height, and of one with both.
+OVERLAP_SQL = f"""{cte('zones')}, {_GRID}, o AS (SELECT zone_id, count(*) AS cells FROM grid JOIN zones ON greatest(xmin, x0) < least(xmax, x0 + 180) AND greatest(ymin, y0) < least(ymax, y0 + 2000) GROUP BY 1)
+SELECT zone_id, cells, CASE WHEN zone_id % 5 = 4 AND zone_id >= 20 THEN 125950.0e0 WHEN zone_id % 5 = 4 THEN 154444.444e0 WHEN zone_id >= 20 THEN 225900.0e0 ELSE 270000.0e0 END AS area FROM o"""
 
 
 def zone_points(spark, sf):
@@ -189,9 +195,13 @@ def random_points(spark, sf):
     return sp.random_points(_zones(spark, sf), 10, 7).select("zone_id", "point_id", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
 
-_UNIFORM = "CAST('0x' || substr(md5(concat(zone_id, ':', i, ':{}7')), 1, 8) AS BIGINT) / 4294967296.0e0"
-RANDOM_SQL = f"""{cte('zones')}, k AS (SELECT *, CAST(unnest(range(0, 400)) AS INT) AS i FROM zones), p AS (SELECT zone_id, i, x0, y0, x0 + {_UNIFORM.format('x')} * 180 AS x, y0 + {_UNIFORM.format('y')} * 2000 AS y FROM k),
- n AS (SELECT *, row_number() OVER (PARTITION BY zone_id ORDER BY i) AS k FROM p WHERE {_IN_ZONE}) SELECT zone_id, concat(zone_id, '_', k - 1) AS point_id, round(x, 6) AS x, round(y, 6) AS y FROM n WHERE k <= 10"""
+_UNIFORM = "CAST('0x' || substr(md5(concat(zone_id, ':', i, ':{}7')), 1, 13) AS BIGINT) / 4503599627370496.0e0"
+#: The three triangles of a zone, from its lower left corner: thirds of the way along their areas, 90000, 135000 and 45000.
+RANDOM_SQL = f"""{cte('zones')}, k AS (SELECT *, CAST(unnest(range(0, 10)) AS INT) AS i FROM zones),
+ u AS (SELECT zone_id, i, x0, y0, {_UNIFORM.format('t')} * 270000.0e0 AS t, {_UNIFORM.format('x')} AS a, {_UNIFORM.format('y')} AS b FROM k),
+ f AS (SELECT zone_id, i, x0, y0, t, CASE WHEN a + b > 1 THEN 1 - a ELSE a END AS a, CASE WHEN a + b > 1 THEN 1 - b ELSE b END AS b FROM u)
+ SELECT zone_id, concat(zone_id, '_', i) AS point_id, round(x0 + a * (CASE WHEN t < 90000 THEN 180 WHEN t < 225000 THEN 180 ELSE 90 END) + b * (CASE WHEN t < 90000 THEN 180 WHEN t < 225000 THEN 90 ELSE 0 END), 6) AS x,
+ round(y0 + a * (CASE WHEN t < 90000 THEN 0 WHEN t < 225000 THEN 1000 ELSE 2000 END) + b * (CASE WHEN t < 90000 THEN 1000 WHEN t < 225000 THEN 2000 ELSE 1000 END), 6) AS y FROM f"""
 
 
 def grid_cells(spark, sf):
@@ -206,11 +216,19 @@ GRID_SQL = f"{cte('points')}, {_GRID}, k AS (SELECT cell_id, count(*) AS n FROM
 
 
 def downsampled(spark, sf):
-    out = sp.downsample(sp.crop(view(spark, sf, "pixels").where("spec_index = 'N'"), 0, 2, 1, 12), 3)
-    return out.withColumn("value", F.round("value", 4))
+    """Means of blocks of three by three pixels, over all their images."""
+    return sp.downsample(view(spark, sf, "pixels"), 3).withColumn("value", F.round("value", 4))
+
+
+DOWN_SQL = f"""{cte('pixels')} SELECT cell_id, CAST(floor(r / 3) AS INT) AS "row", CAST(floor(c / 3) AS INT) AS "col", round(avg(value), 4) AS value FROM pixels GROUP BY 1, 2, 3"""
+
+
+def cropped(spark, sf):
+    """Values of the pixels within a window of rows and columns."""
+    return sp.crop(view(spark, sf, "pixels"), 0, 2, 1, 12).groupBy("cell_id", "spec_index").agg(F.count("*").alias("n"), F.sum(F.col("value").cast("long")).alias("total"))
 
 
-DOWN_SQL = f"""{cte('pixels')} SELECT cell_id, CAST(floor(r / 3) AS INT) AS "row", CAST(floor(c / 3) AS INT) AS "col", round(avg(value), 4) AS value FROM pixels WHERE spec_index = 'N' AND r BETWEEN 1 AND 12 AND c BETWEEN 0 AND 2 GROUP BY 1, 2, 3"""
+CROPPED_SQL = f"""{cte('pixels')} SELECT cell_id, spec_index, count(*) AS n, CAST(sum(value) AS BIGINT) AS total FROM pixels WHERE r BETWEEN 1 AND 12 AND c BETWEEN 0 AND 2 GROUP BY 1, 2"""
 
 
 def decimated(spark, sf):
@@ -363,18 +381,18 @@ SELECT scene_id, 'a' AS only_in FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UN
 
 
 def matched_products(spark, sf):
-    n = _names(spark, sf).where("o_orderkey % 3 < 2")
+    n = _landsat(spark, sf)
     s = n.select(F.col("o_orderkey").alias("scene_id"), F.lower(F.substring("file", 1, 4)).alias("sensor"), F.substring("file", 18, 8).alias("date"), F.substring("file", 11, 6).alias("tile"))
     products = n.where("o_orderkey % 5 < 3").select(F.concat_ws("_", F.substring("file", 1, 4), F.substring("file", 11, 6), F.substring("file", 18, 8), F.concat(F.lit("L3"), F.when(F.col("o_orderkey") % 2 == 0, "A").otherwise("B"))).alias("product"), F.substring("file", 18, 8).alias("date"))
     return iv.match_products(s, products)
 
 
 MATCHED_SQL = f"""WITH {_NAMES}, s AS (SELECT * FROM nm WHERE sensor != 'S2A'), p AS (SELECT DISTINCT sensor, ymd, concat(sensor, '_', tile, '_', ymd, '_L3', CASE WHEN o_orderkey % 2 = 0 THEN 'A' ELSE 'B' END) AS product FROM s WHERE o_orderkey % 5 < 3)
-SELECT o_orderkey AS scene_id, lower(s.sensor) AS sensor, s.ymd AS date, s.tile, max(product) AS product FROM s LEFT JOIN p ON s.sensor = p.sensor AND s.ymd = p.ymd AND contains(product, s.tile) GROUP BY 1, 2, 3, 4"""
+SELECT o_orderkey AS scene_id, lower(s.sensor) AS sensor, s.ymd AS date, s.tile, max(product) AS product FROM s LEFT JOIN p ON s.sensor = p.sensor AND s.ymd = p.ymd AND split_part(product, '_', 2) = s.tile GROUP BY 1, 2, 3, 4"""
 
 
 def rebuilt(spark, sf):
-    n = _names(spark, sf).where("o_orderkey % 3 < 2").withColumn("cell_id", (F.col("o_orderkey") % 20).cast("int"))
+    n = _landsat(spark, sf).withColumn("cell_id", (F.col("o_orderkey") % 20).cast("int"))
     products = n.where("o_orderkey % 5 < 3").select("cell_id", F.concat_ws("_", F.substring("file", 1, 4), F.substring("file", 11, 6), F.substring("file", 18, 8), F.concat(F.lit("L3"), F.when(F.col("o_orderkey") % 2 == 0, "A").otherwise("B"))).alias("product"))
     return iv.rebuild(n.select("cell_id", F.regexp_replace("file", r"X?\.nc$", "").alias("scene_id")), products)
 
@@ -562,7 +580,7 @@ SELECT p.cell_id, dllog_start, dllog_end, dltime, coalesce(f.n, 0) = 0 AS archiv
 QUERIES = {
     "image_names": (image_names, NAMES_SQL), "product_ids": (product_ids, PRODUCT_SQL), "export_names": (export_names, EXPORT_SQL), "day_rollover": (day_rollover, ROLLOVER_SQL), "points_in_cells": (points_in_cells, IN_CELLS_SQL), "cells_over_zones": (cells_over_zones, OVERLAP_SQL), "zone_points": (zone_points, ZONE_POINTS_SQL),
     "zonal_shares": (_zonal, ZONAL_SQL), "district_errors": (district_errors, DISTRICT_SQL), "sampled_pixels": (sampled_pixels, SAMPLED_SQL), "nearest_pixels": (nearest_pixels, NEAREST_SQL), "point_patches": (point_patches, PATCHES_SQL), "random_points": (random_points, RANDOM_SQL), "grid_cells": (grid_cells, GRID_SQL),
-    "downsampled": (downsampled, DOWN_SQL), "decimated": (decimated, DECIMATED_SQL), "mosaic": (mosaicked, MOSAIC_SQL), "histogram": (histograms, HISTOGRAM_SQL), "stretched": (stretched, STRETCHED_SQL), "image_bounds": (image_bounds, BOUNDS_SQL), "class_means": (class_means, CLASS_MEANS_SQL), "external_recall": (external_recall, EXTERNAL_SQL),
+    "downsampled": (downsampled, DOWN_SQL), "cropped": (cropped, CROPPED_SQL), "decimated": (decimated, DECIMATED_SQL), "mosaic": (mosaicked, MOSAIC_SQL), "histogram": (histograms, HISTOGRAM_SQL), "stretched": (stretched, STRETCHED_SQL), "image_bounds": (image_bounds, BOUNDS_SQL), "class_means": (class_means, CLASS_MEANS_SQL), "external_recall": (external_recall, EXTERNAL_SQL),
     "feature_stack": (feature_stack, STACK_SQL), "missing_values": (missing_values, MISSING_SQL), "reduced_features": (reduced_features, REDUCED_SQL), "unique_files": (unique_files, UNIQUE_SQL), "first_cells": (first_cells, FIRST_SQL), "closest_images": (closest_images, CLOSEST_SQL), "missing_files": (missing_files, MISSING_FILES_SQL),
     "cells_with_file": (cells_with_file, CELLS_SQL), "catalogue_differences": (catalogue_differences, DIFFERENCES_SQL), "matched_products": (matched_products, MATCHED_SQL), "rebuilt_scenes": (rebuilt, REBUILT_SQL), "scenes_between": (scenes_between, BETWEEN_SQL), "catalogue": (catalogue, CATALOGUE_SQL), "why_missing": (why_missing, WHY_SQL),
     "images_by_year": (images_by_year, BY_YEAR_SQL), "images_by_month": (images_by_month, BY_MONTH_SQL), "cell_status": (cell_status, _status_sql()), "index_coverage": (index_coverage, COVERAGE_SQL), "shift_statistics": (shift_statistics, SHIFT_SQL), "scenes_per_year": (scenes_per_year, PER_YEAR_SQL), "grid_totals": (grid_totals, TOTALS_SQL),

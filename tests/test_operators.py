@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 import statistics
 
 import pytest
@@ -13,7 +14,7 @@ from acreframe.functions import classes, names, numbers
 from acreframe.functions.indices import spectral_index
 from acreframe.operators import accuracy, features, inventory, logs, phenology, ranks, sample, seasons, series, spatial, stack
 from acreframe.sources import tables
-from acreframe.streaming.log_updates import apply_batch, current_status, watch_logs
+from acreframe.streaming.log_updates import apply_batch, current_status, file_status, watch_files, watch_logs
 
 SCHEMA = "cell_id int, row int, col int, spec_index string, img_date date, value int"
 
@@ -169,7 +170,7 @@ def test_rings(spark):
     made = spatial.random_points(zones, 5, 3).collect()
     assert len(made) == 5 and all(inside(p.x, p.y) for p in made) and made == spatial.random_points(zones, 5, 3).collect()
     thin = spark.createDataFrame([(7, [(0.0, 0.0), (1000.0, 1000.0), (1000.0, 1001.0), (0.0, 1.0), (0.0, 0.0)]), (8, [(0.0, 0.0), (1.0, 1.0), (0.0, 0.0)])], "zone_id int, ring array<struct<x double, y double>>")
-    many = spatial.random_points(thin, 50, 1, first=1).collect()
+    many = spatial.random_points(thin, 50, 1).collect()
     assert sorted(p.point_id for p in many) == sorted(f"7_{i}" for i in range(50)) and all(0 <= p.y - p.x <= 1 for p in many)
     pixels = spark.createDataFrame([(i, j, i * 100 + j, j * 10 + 5.0, i * 10 + 5.0) for i in range(12) for j in range(12) if (i + j) % 3], "row int, col int, value int, px double, py double")
     places = [(k, rng.uniform(-20, 140), rng.uniform(-20, 140)) for k in range(60)]
@@ -269,6 +270,106 @@ def test_log_stream(spark, tmp_path):
     assert status.cell_id == 3001 and [tuple(g)[0] for g in status.dllog_gaps] == [dt.date(2019, 1, 1), dt.date(2020, 2, 1)]
 
 
+def test_random_points_spread(spark):
+    """Points of concave, turned and very thin rings lie inside, as evenly as the area; rings that are null or flat have none."""
+    hook = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (3.0, 4.0), (3.0, 1.0), (1.0, 1.0), (1.0, 4.0), (0.0, 4.0), (0.0, 0.0)]
+    thin = [(0.0, 0.0), (1e6, 1e6), (1e6, 1e6 + 1e-3), (0.0, 1e-3)]
+    star = [(10.0, 0.0), (2.0, 1.0), (0.0, 10.0), (-2.0, 1.0), (-10.0, 0.0), (-2.0, -1.0), (0.0, -10.0), (2.0, -1.0)]
+    rings = [(1, hook), (2, hook[::-1]), (3, thin), (4, None), (5, [(0.0, 0.0), (1.0, 1.0), (2.0, 2.0)]), (6, star), (7, [])]
+    got = spatial.random_points(spark.createDataFrame(rings, "zone_id int, ring array<struct<x double, y double>>"), 2000, 5).collect()
+    assert {z: sum(r.zone_id == z for r in got) for z in range(1, 8)} == {1: 2000, 2: 2000, 3: 2000, 4: 0, 5: 0, 6: 2000, 7: 0}
+    for z in (1, 2):
+        own = [r for r in got if r.zone_id == z]
+        assert all(0 <= r.x <= 4 and 0 <= r.y <= 4 and not (1 < r.x < 3 and r.y > 1) for r in own)
+        assert abs(sum(r.x < 1 for r in own) / 2000 - 0.4) < 0.04 and abs(sum(r.y > 1 for r in own) / 2000 - 0.6) < 0.04
+    assert all(-1e-6 < r.y - r.x < 1.1e-3 for r in got if r.zone_id == 3)
+    assert abs(sum(r.x > 0 for r in got if r.zone_id == 6) / 2000 - 0.5) < 0.04
+    for ring in (hook, hook[::-1], star):
+        area = lambda p: abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(p, p[1:] + p[:1], strict=True))) / 2
+        assert abs(sum(area([t[:2], t[2:4], t[4:]]) for t in spatial.triangles(ring)) - area(ring)) < 1e-9
+
+
+def test_cover_spares_ring_tests(spark):
+    """Inside tiles need no ring test: a large ring's tests are those of the tiles along its outline."""
+    ring = [(0.0, 0.0), (1000.0, 0.0), (1000.0, 600.0), (500.0, 1000.0), (0.0, 600.0), (0.0, 0.0)]
+    zones = spark.createDataFrame([(1, ring)], "zone_id int, ring array<struct<x double, y double>>")
+    tiles = spatial.cover(zones, 100.0, 3).collect()
+    assert {t["__inside"] for t in tiles} == {True, False} and all((t.ring is None) == t["__inside"] for t in tiles)
+    area = lambda t: (100.0 / 2 ** t["__level"]) ** 2
+    assert sum(area(t) for t in tiles if not t["__inside"]) < 0.2 * 800_000 and sum(area(t) for t in tiles if t["__inside"]) > 0.85 * 800_000
+    rng = random.Random(2)
+    points = [(i, rng.uniform(-50, 1050), rng.uniform(-50, 1050)) for i in range(2000)]
+    frame_ = spark.createDataFrame(points, "id int, x double, y double")
+    plain = {r.id for r in frame_.crossJoin(zones).where(spatial.in_ring(F.col("x"), F.col("y"), F.col("ring"))).collect()}
+    for tile, levels in ((100.0, 3), (37.0, 1), (2000.0, 4)):
+        assert {r.id for r in spatial.pixels_in_zones(frame_, zones, tile, levels).collect()} == plain
+
+
+def test_out_of_bag(spark):
+    """The out-of-bag score is near that of rows held out, and the same for any partitioning; weights are those of Poisson(1)."""
+    from acreframe.operators import bagging
+
+    rng = random.Random(10)
+    rows = [(i, "ab"[i % 2], (i % 2) * 60 + rng.randint(0, 70), rng.randint(0, 9), rng.randint(0, 9)) for i in range(900)]
+    points = spark.createDataFrame(rows, "OID_ long, cls string, var_x int, var_y int, var_z int")
+    train, rest = points.where("OID_ % 3 > 0"), points.where("OID_ % 3 = 0")
+    forest = bagging.fit_bagged(train, "cls", trees=15, depth=4, seed=3, at_once=3)
+    score = bagging.out_of_bag_score(train, forest, "cls")
+    held = bagging.classify_bagged(rest, forest).agg(F.avg((F.col("pred") == F.col("cls")).cast("double"))).first()[0]
+    assert score > 0.85 and abs(score - held) < 0.04
+    voted = {r.OID_: (r.pred, r.voters) for r in bagging.out_of_bag(train, forest).collect()}
+    assert voted == {r.OID_: (r.pred, r.voters) for r in bagging.out_of_bag(train.repartition(7, "var_y"), forest).collect()}
+    assert 3 < sum(v for _, v in voted.values()) / len(voted) < 8
+    drawn = spark.range(20_000).select(bagging.bag_weight(F.col("id"), F.lit(1), 3).alias("w")).groupBy("w").count().collect()
+    share = {r.w: r["count"] / 20_000 for r in drawn}
+    assert abs(share[0] - 0.3679) < 0.02 and abs(share[2] - 0.1839) < 0.02 and abs(sum(w * p for w, p in share.items()) - 1) < 0.03
+
+
+def test_ranks_without_hot_groups(spark):
+    """Rank sums, medians and stratified shares neither meet by group nor by a product."""
+    rows = spark.range(300).select(F.col("id"), (F.col("id") % 2).alias("g"), (F.col("id") * 7 % 101).cast("double").alias("v"), (F.col("id") % 3 == 0).cast("int").alias("y"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for frame_ in (ranks.medians(rows, "g", "v"), accuracy.roc_auc(rows, "v", "y"), sample.stratified(rows, "g", 0.1, "id")):
+            plan = frame_._jdf.queryExecution().executedPlan().toString()
+            assert "CartesianProduct" not in plan and not re.search(r"SortMergeJoin \[(g|__g)#\d+L?\], ", plan)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {r.g: r.v for r in ranks.medians(rows, "g", "v").collect()} == {k: statistics.median([i * 7 % 101 for i in range(300) if i % 2 == k]) for k in (0, 1)}
+
+
+def test_products_by_tile(spark):
+    """A tile that stands in a product's date isn't the product's tile."""
+    scenes = spark.createDataFrame([(1, "le07", "000012", "20000120"), (2, "le07", "000238", "20000120")], "scene_id int, sensor string, tile string, date string")
+    products = spark.createDataFrame([("LE07_000238_20000120_L3A", "20000120")], "product string, date string")
+    assert {r.scene_id: r["product"] for r in inventory.match_products(scenes, products).collect()} == {1: None, 2: "LE07_000238_20000120_L3A"}
+
+
+def test_log_state(spark, tmp_path):
+    """Lines of many logs, dealt to micro-batches anyhow and some twice, give the roll-up of all; a restart adds nothing."""
+    rng = random.Random(6)
+    day = lambda: dt.date(2020, 1, 1) + dt.timedelta(days=rng.randint(0, 700))
+    rows = []
+    for f in range(18):
+        file = f"stacdl_{f + 90}.err"
+        for no in range(rng.randint(5, 30)):
+            line = rng.choice([f"cell_id = {f % 5}", f"\\ Working on {day()} to {day()}", f"Working on {day()} to {day()}", "x TimeoutError", "nothing", f"full process took: {rng.randint(1, 9)} minutes", f"core used: {rng.randint(1, 120)}", "urllib.error.HTTPError"])
+            rows.append((file, no, line if f % 7 else line.replace("cell_id", "id")))
+    schema = "file string, line_no long, line string"
+    whole = logs.roll_up(spark.createDataFrame(rows, schema), "2019-01-01", "2022-06-01")
+    plain = lambda frame: sorted(((r.cell_id, r.dllog_start, r.dllog_end, r.dllog_ranges, r.n_ranges, r.dllog_errors, r.dltime, r.dlcoremin, r.dllog_gaps, r.dl_fix_now) for r in frame.collect()), key=str)
+    rng.shuffle(rows)
+    for k in range(3):
+        spark.createDataFrame(rows[k::3] + rows[:5], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        watch_files(stream, str(tmp_path / "store"), str(tmp_path / "cp")).awaitTermination(120)
+    want = plain(whole)
+    assert len(want) > 4 and plain(file_status(spark, str(tmp_path / "store"), "2019-01-01", "2022-06-01")) == want
+    watch_files(stream, str(tmp_path / "store"), str(tmp_path / "cp")).awaitTermination(120)
+    assert plain(file_status(spark, str(tmp_path / "store"), "2019-01-01", "2022-06-01")) == want
+
+
 def test_models_and_stacks(spark):
     with pytest.raises(ValueError):
         tables.read_registry('{"m": {"singleton_vars": "forest"}}')
