@@ -33,11 +33,14 @@ def first_cells(scenes: DataFrame) -> DataFrame:
 def closest_image(requests: DataFrame, images: DataFrame) -> DataFrame:
     """For each request(req_id, cell_id, year, day): the image of that cell and year nearest to the day; ties by earlier day, larger file, name.
 
-    The nearest is an aggregate of the joined rows, so no cell's images are held together.
+    A cell's year has at most 366 days with images, of each the best one; these are packed into one row, so requests meet a row each and never all
+    images.
     """
-    dated = images.select("cell_id", F.year("img_date").alias("year"), F.dayofyear("img_date").alias("img_day"), "size", "file")
-    near = requests.join(dated, ["cell_id", "year"]).groupBy("req_id").agg(F.min(F.struct(F.abs(F.col("img_day") - F.col("day")).alias("off"), "img_day", (-F.col("size")).alias("__s"), "file")).alias("b"))
-    return near.select("req_id", "b.off", "b.img_day", "b.file")
+    days = images.groupBy("cell_id", F.year("img_date").alias("year"), F.dayofyear("img_date").alias("img_day")).agg(F.min(F.struct((-F.col("size")).alias("__s"), "file")).alias("b"))
+    packed = days.groupBy("cell_id", "year").agg(F.collect_list(F.struct("img_day", "b.file")).alias("days"))
+    near = F.array_min(F.transform("days", lambda d: F.struct(F.abs(d["img_day"] - F.col("day")).alias("off"), d["img_day"].alias("img_day"), d["file"].alias("file"))))
+    found = requests.join(packed, ["cell_id", "year"]).select("req_id", near.alias("n"))
+    return found.groupBy("req_id").agg(F.min("n").alias("n")).select("req_id", "n.off", "n.img_day", "n.file")
 
 
 def missing_files(scenes: DataFrame, files: DataFrame) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -198,10 +201,34 @@ def model_run(points: DataFrame, lut: DataFrame, features: str, sample: str, sch
     return model, scores
 
 
-def sweep(samples: dict[str, DataFrame], score: Callable[[DataFrame, int], dict[str, float]], runs: int, spark) -> DataFrame:
-    """One row of scores per sample and run; run i has the seed 1 + 23 i.  The driver loops over models, not over rows."""
-    rows = [{"model": name, "run": i, **score(frame, 1 + 23 * i)} for name, frame in samples.items() for i in range(runs)]
-    return spark.createDataFrame(rows)
+def side_by_side(spark, jobs: dict[str, Callable[[], list[dict]]], at_once: int = 4, log: str | None = None) -> list[dict]:
+    """The rows of all jobs, in order; `at_once` jobs run side by side, so that small fits fill the cluster.
+
+    log: a folder where each job's rows are written when it ends; jobs whose rows are there aren't run again, so a sweep that broke goes on where it ended.
+    """
+
+    def one(name: str) -> list[dict]:
+        path = f"{log}/{name}"
+        if log and _exists(spark, f"{path}/_SUCCESS"):
+            return json.loads(spark.read.text(path).first()[0])
+        rows = jobs[name]()
+        if log:
+            spark.createDataFrame([(json.dumps(rows),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+        return rows
+
+    with ThreadPoolExecutor(at_once) as pool:
+        found = [pool.submit(inheritable_thread_target(spark)(one), name) for name in jobs]
+        try:
+            return [row for f in found for row in f.result()]
+        except BaseException:
+            pool.shutdown(cancel_futures=True)
+            raise
+
+
+def sweep(samples: dict[str, DataFrame], score: Callable[[DataFrame, int], dict[str, float]], runs: int, spark, at_once: int = 4, log: str | None = None) -> DataFrame:
+    """One row of scores per sample and run; run i has the seed 1 + 23 i.  Runs are jobs of side_by_side."""
+    job = lambda name, i: lambda: [{"model": name, "run": i, **score(samples[name], 1 + 23 * i)}]
+    return spark.createDataFrame(side_by_side(spark, {f"{name}-{i}": job(name, i) for name in samples for i in range(runs)}, at_once, log))
 
 
 def _averaged(runs: DataFrame, by: list[str]) -> DataFrame:
@@ -211,33 +238,39 @@ def _averaged(runs: DataFrame, by: list[str]) -> DataFrame:
     return g.select("*", *[array_mean(c).alias(f"avg{c}") for c in measures])
 
 
-def learning_curve(training: DataFrame, holdout: DataFrame, lut: DataFrame, features: str, sample: str, scheme: str, years: list[int], runs: int = 3, stop: int = 1000, step: int = 10, **options) -> DataFrame:
+def learning_curve(training: DataFrame, holdout: DataFrame, lut: DataFrame, features: str, sample: str, scheme: str, years: list[int], runs: int = 3, stop: int = 1000, step: int = 10, at_once: int = 4, log: str | None = None, **options) -> DataFrame:
     """Models on samples with more and more mixed crops, each in several runs: (n, n_small, a column of runs and of their mean for each measure).
 
-    Sample n has about n steps of mixed crops, and edge classes with rand below n / 100; run i has the seed 1 + 23 i.
+    Sample n has about n steps of mixed crops, and edge classes with rand below n / 100; run i has the seed 1 + 23 i.  Samples are jobs of side_by_side.
     """
-    spark, rows = training.sparkSession, []
-    grown = increments(training, step, stop // step - 1)
-    for n in range(stop // step):
-        part = grown.where(F.col("n") == n).drop("n").cache()
+    spark, grown = training.sparkSession, increments(training, step, stop // step - 1)
+
+    def one(n: int) -> list[dict]:
+        part, rows = grown.where(F.col("n") == n).drop("n").cache(), []
         small = part.where(F.col("LC25_name") == "Crops-mix").count()
         for i in range(runs):
             _, scores = model_run(part, lut, features, sample, scheme, years, fixed=holdout, seed=1 + 23 * i, **options)
             rows.append({"n": n, "n_small": small, "run": i} | {k: v for k, v in scores.items() if isinstance(v, float)})
         part.unpersist()
+        return rows
+
+    rows = side_by_side(spark, {f"{sample}-{n}": lambda n=n: one(n) for n in range(stop // step)}, at_once, log)
     schema = ", ".join(["n long", "n_small long", "run long", *(f"`{c}` double" for c in sorted({k for r in rows for k in r} - {"n", "n_small", "run"}))])
     return _averaged(spark.createDataFrame(rows, schema), ["n", "n_small"]).orderBy("n")
 
 
-def sample_grid(points: DataFrame, holdout: DataFrame, lut: DataFrame, features: str, scheme: str, years: list[int], cutoffs: list[int], mixes: list[int], runs: int = 3, **options) -> DataFrame:
-    """Models on samples bal<cutoff>mix<factor> of every pair, each in several runs: scores(model, S, run, measures), to be logged."""
-    spark, rows = points.sparkSession, []
-    for cutoff in cutoffs:
-        for mix in mixes:
-            part, name = balance(points, lut, cutoff, mix).cache(), f"bal{cutoff}mix{mix}"
-            for i in range(runs):
-                _, scores = model_run(part, lut, features, name, scheme, years, fixed=holdout, seed=1 + 23 * i, **options)
-                rows.append({"run": i} | {k: v for k, v in scores.items() if k in ("model", "S") or isinstance(v, float)})
-            part.unpersist()
+def sample_grid(points: DataFrame, holdout: DataFrame, lut: DataFrame, features: str, scheme: str, years: list[int], cutoffs: list[int], mixes: list[int], runs: int = 3, at_once: int = 4, log: str | None = None, **options) -> DataFrame:
+    """Models on samples bal<cutoff>mix<factor> of every pair, each in several runs: scores(model, S, run, measures), to be logged.  Samples are jobs of side_by_side."""
+    spark = points.sparkSession
+
+    def one(name: str, cutoff: int, mix: int) -> list[dict]:
+        part, rows = balance(points, lut, cutoff, mix).cache(), []
+        for i in range(runs):
+            _, scores = model_run(part, lut, features, name, scheme, years, fixed=holdout, seed=1 + 23 * i, **options)
+            rows.append({"run": i} | {k: v for k, v in scores.items() if k in ("model", "S") or isinstance(v, float)})
+        part.unpersist()
+        return rows
+
+    rows = side_by_side(spark, {name: lambda a=(name, c, m): one(*a) for c in cutoffs for m in mixes for name in [f"bal{c}mix{m}"]}, at_once, log)
     schema = ", ".join(["model string", "S string", "run long", *(f"`{c}` double" for c in sorted({k for r in rows for k in r} - {"model", "S", "run"}))])
     return spark.createDataFrame(rows, schema)

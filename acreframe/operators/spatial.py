@@ -268,6 +268,49 @@ def _triangulated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column(0), parts], names=["zone_id", "parts"])
 
 
+def _both(one: tuple[float, ...], two: tuple[float, ...]) -> float:
+    """The area that two triangles, both turning left, have in common: the first is cut by each side of the second."""
+    points = [(one[i], one[i + 1]) for i in (0, 2, 4)]
+    for i in (0, 2, 4):
+        ax, ay, bx, by = two[i], two[i + 1], two[(i + 2) % 6], two[(i + 3) % 6]
+        side = [(bx - ax) * (y - ay) - (by - ay) * (x - ax) for x, y in points]
+        kept = []
+        for k, (p, s) in enumerate(zip(points, side, strict=True)):
+            q, t = points[k - 1], side[k - 1]
+            if (s >= 0) != (t >= 0):
+                kept.append((q[0] + t / (t - s) * (p[0] - q[0]), q[1] + t / (t - s) * (p[1] - q[1])))
+            if s >= 0:
+                kept.append(p)
+        points = kept
+        if not points:
+            return 0.0
+    return abs(sum(p[0] * q[1] - q[0] * p[1] for p, q in zip(points, points[1:] + points[:1], strict=True))) / 2
+
+
+def _signed(rings: list | None) -> list[tuple[int, tuple[float, ...]]]:
+    """The triangles of a polygon, its outer ring first; those of holes count against it."""
+    return [(-1 if k else 1, t) for k, ring in enumerate(rings or ()) for t in triangles([(p["x"], p["y"]) for p in ring or () if p])]
+
+
+def overlap_areas(a: DataFrame, b: DataFrame, tile: float, key: str = "zone_id") -> DataFrame:
+    """(key, key_b, area) of polygons a and b (key, rings: the outer ring, then holes) that have an area in common; a polygon of several parts is
+    as many rows of one key.
+
+    Boxes of outer rings meet on tiles of the plane, then triangles of the one are cut by triangles of the other, so rings may be concave.
+    """
+    boxed = lambda df: df.select(F.col(key).alias("key"), "rings").withColumns(ring_box(F.get("rings", F.lit(0))))
+    met = boxes_overlap(boxed(a), boxed(b), tile).select("key", "key_b", "rings", "rings_b")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [sum(s * t * _both(x, y) for s, x in _signed(one) for t, y in _signed(two)) for one, two in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], names=["key", "key_b", "area"])
+
+    types = dict(met.dtypes)
+    areas = met.mapInArrow(cut, f"key {types['key']}, key_b {types['key_b']}, area double")
+    return areas.groupBy("key", "key_b").agg(F.sum("area").alias("area")).where("area > 1e-9").toDF(key, f"{key}_b", "area")
+
+
 def random_points(zones: DataFrame, n: int, seed: int = 0) -> DataFrame:
     """n points in each zone(zone_id, ring), id <zone>_<i>, spread evenly: in a triangle of the ring, drawn by its share of the area.
 

@@ -37,9 +37,22 @@ def as_cells(x: int | str | Iterable[int], spark: SparkSession) -> DataFrame:
 
 
 def index_series(pixels: DataFrame, cells: DataFrame | None, index: str, year: int, start_month: int) -> DataFrame:
-    """Rows of an index and of the cells in a crop year; both prune partitions of a table laid out by them."""
+    """Rows of an index and of the cells (numbers from 0) in a crop year; both prune partitions of a table that write_pixels has laid out.
+
+    The cells' numbers are broadcast: a project's grid has some thousands at most.
+    """
     out = pixels.where((F.col("spec_index") == index) & crop_year(F.col("img_date"), year, start_month))
-    return out if cells is None else out.join(cells, "cell_id", "left_semi")
+    return out if cells is None else out.join(F.broadcast(cells.where("cell_id >= 0")), "cell_id", "left_semi")  # Spark prunes by a side with a filter
+
+
+def write_pixels(pixels: DataFrame, name: str, path: str, buckets: int) -> DataFrame:
+    """The pixels as table `name` at path: partitions by index and cell, in each `buckets` files by row and column.
+
+    Scans of an index or of some cells read their partitions only, and whatever groups by pixel or has windows over one reads it without an exchange.
+    """
+    laid = pixels.repartition(buckets, "row", "col").sortWithinPartitions("spec_index", "cell_id", "row", "col", "img_date")
+    laid.write.partitionBy("spec_index", "cell_id").bucketBy(buckets, "row", "col").option("path", path).mode("overwrite").saveAsTable(name)
+    return pixels.sparkSession.table(name)
 
 
 def raw_images(raw: DataFrame, sensors: tuple[str, ...]) -> DataFrame:

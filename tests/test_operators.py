@@ -305,6 +305,68 @@ def test_cover_spares_ring_tests(spark):
         assert {r.id for r in spatial.pixels_in_zones(frame_, zones, tile, levels).collect()} == plain
 
 
+def test_overlap_areas(spark):
+    """Concave polygons, turned ones, with holes and of several parts, against pixels."""
+    hook = [(0, 0), (8, 0), (8, 8), (6, 8), (6, 2), (2, 2), (2, 8), (0, 8)]
+    frame_ring, hole = [(0, 0), (10, 0), (10, 10), (0, 10), (0, 0)], [(3, 3), (3, 7), (7, 7), (7, 3)]
+    wedge = [(1, -1), (9, 5), (1, 9), (4, 5)]
+    polygons = {1: [[hook]], 2: [[frame_ring, hole]], 3: [[wedge]], 4: [[[(20, 20), (22, 20), (22, 22)]], [hook[::-1]]], 5: [[[(4, 4), (6, 4), (6, 6), (4, 6)]]]}
+    rows = [(k, [[(float(x), float(y)) for x, y in ring] for ring in part]) for k, parts in polygons.items() for part in parts]
+    frame_ = spark.createDataFrame(rows, "zone_id int, rings array<array<struct<x double, y double>>>")
+
+    def inside(x: float, y: float, ring: list) -> bool:
+        return sum((ay > y) != (by > y) and x < (bx - ax) * (y - ay) / (by - ay) + ax for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1], strict=True)) % 2 == 1
+
+    holds = lambda k, x, y: any(sum(inside(x, y, r) for r in part) % 2 for part in polygons[k])
+    step = 0.1
+    grid = [(x * step + 0.05, y * step + 0.05) for x in range(-20, 230) for y in range(-20, 230)]
+    held = {k: {p for p in grid if holds(k, *p)} for k in polygons}
+    got = {(r.zone_id, r.zone_id_b): r.area for r in spatial.overlap_areas(frame_, frame_, 5.0).collect()}
+    assert set(got) == {(a, b) for a in held for b in held if held[a] & held[b]} and (2, 5) not in got
+    assert all(abs(got[a, b] - len(held[a] & held[b]) * step * step) < 0.7 for a, b in got)
+    assert abs(got[1, 1] - 40) < 1e-9 and abs(got[2, 2] - 84) < 1e-9 and abs(got[1, 2] - 36) < 1e-9 and abs(got[4, 4] - 42) < 1e-9
+
+
+def test_pixels_laid_out(spark, tmp_path):
+    """Features of a table in its layout read it without an exchange, and a list of cells prunes its partitions at run time."""
+    days = [dt.date(2020, 1, 1) + dt.timedelta(days=10 * k) for k in range(12)]
+    rows = [(c, r, k, i, d, 100 * r + d.day) for c in range(3) for r in range(4) for k in range(4) for i in ("evi2", "kndvi") for d in days]
+    pixels = spark.createDataFrame(rows, SCHEMA)
+    laid = tables.write_pixels(pixels, "acreframe_laid", str(tmp_path / "laid"), 4)
+    try:
+        cells = tables.as_cells([1, 2], spark)
+        series_ = tables.index_series(laid, cells, "evi2", 2020, 1)
+        found = features.seasonal_features(series_, ["maxv_yr", "avg_yr"], 2020, 1)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        scan = plan[: plan.index("BroadcastExchange")] if "BroadcastExchange" in plan else plan
+        assert "dynamicpruning" in plan and "Exchange hashpartitioning" not in scan, plan
+        want = features.seasonal_features(tables.index_series(pixels, cells, "evi2", 2020, 1), ["maxv_yr", "avg_yr"], 2020, 1)
+        assert sorted(map(tuple, found.select(want.columns).collect())) == sorted(map(tuple, want.collect())) and want.count() == 32
+    finally:
+        spark.sql("drop table acreframe_laid")
+
+
+def test_sweep_goes_on(spark, tmp_path):
+    """Runs side by side give the same table as one by one, and those that are logged aren't run again."""
+    from acreframe.operators import model
+
+    frames = {k: spark.range(n) for k, n in (("a", 3), ("b", 5))}
+    ran = []
+
+    def score(frame_, seed):
+        ran.append(seed)
+        if len(ran) == 5 and len(frames) == 2 and not (tmp_path / "again").exists():
+            (tmp_path / "again").mkdir()
+            raise RuntimeError("broken")
+        return {"n": float(frame_.count() + seed)}
+
+    with pytest.raises(RuntimeError):
+        model.sweep(frames, score, 3, spark, 1, str(tmp_path / "log"))
+    table = model.sweep(frames, score, 3, spark, 3, str(tmp_path / "log"))
+    assert len(ran) == 7
+    assert sorted(map(tuple, table.collect())) == sorted(map(tuple, model.sweep(frames, score, 3, spark, 1).collect())) and table.count() == 6
+
+
 def test_out_of_bag(spark):
     """The out-of-bag score is near that of rows held out, and the same for any partitioning; weights are those of Poisson(1)."""
     from acreframe.operators import bagging
