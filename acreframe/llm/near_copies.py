@@ -24,6 +24,8 @@ SAMPLE, COMMON = 16, 3
 #: Sets that share a shingle of their prefixes are all compared up to CROWDED; beyond that they're told by their differences from a pivot, and so
 #: are those that share a difference, LEVELS times; whatever is crowded then is compared pair by pair.
 CROWDED, LEVELS = 16, 2
+#: Sets far from a pivot that are compared with each other; more of them get another pivot.
+FAR = 256
 #: Bits in which fingerprints of a covering group differ from one to the next.
 RADIUS = 3
 
@@ -169,7 +171,7 @@ def _similar(docs: DataFrame, prints: DataFrame, pairs: DataFrame, length: int,
 
 
 def _differences(docs: DataFrame, prints: DataFrame, pairs: DataFrame, length: int, percent: int) -> DataFrame:
-    """(p, id, linked, d, w, first, rest) of pairs (p, id): how the set of id differs from that of its pivot p.
+    """(p, id, linked, far, d, w, first, rest) of pairs (p, id): how the set of id differs from that of its pivot p.
 
     Of a set S, let A be what it has beside the pivot P and R what it lacks of it, D both together, d = |D| and w = percent |A| + 100 |R|.
     S is similar to P (linked) if w <= (100 - percent) |P| = c; and S1 to S2 if (100 + percent) |D1 & D2| >= w1 + w2 - c, for |S1 & S2| is
@@ -177,6 +179,9 @@ def _differences(docs: DataFrame, prints: DataFrame, pairs: DataFrame, length: i
     w1 / (100 + percent) of them if S2 isn't linked; two that aren't share (w1 - c) / 100 at least.  In any one order of all differences the first
     d - least + 1 of each can't be disjoint: `first` are those for a set that isn't linked to meet others like it, or for a linked one to meet those that
     aren't, `rest` the further ones by which a set that isn't linked meets linked ones.  What is lacking comes last: many lack the same.
+
+    One less the similarity is a distance, so similar sets lie about as far from the pivot.  Sets further off than three times the distance of similar ones have no
+    differences listed, for these are most of the set; such a set can only be similar to one that is `far`: further off than two times that distance.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,17 +195,19 @@ def _differences(docs: DataFrame, prints: DataFrame, pairs: DataFrame, length: i
                 linked = w <= c
                 least = w // (100 + percent) + 1 if linked else max(w // (100 + percent) + 1, -(-(w - c) // 100))
                 by_linked = -(-(w - c) // (100 + percent))  # and a linked set has at most c / percent differences
-                first = max(0, d - least + 1)
-                last = first if linked or by_linked * percent > c else max(first, d - by_linked + 1)
+                both, every = len(own) - len(added), len(pivot) + len(added)
+                far = 100 * both < (2 * percent - 100) * every
+                first = max(0, d - least + 1) if 100 * both >= (3 * percent - 200) * every else 0
+                last = first if linked or not first or by_linked * percent > c else max(first, d - by_linked + 1)
                 order = np.concatenate((added, lacking)).view(np.int64)
-                out.append((p, i, linked, d, w, order[:first], order[first:last]))
-            types = {"p": pa.int64(), "id": pa.int64(), "linked": pa.bool_(), "d": pa.int64(), "w": pa.int64(), "first": pa.list_(pa.int64()), "rest": pa.list_(pa.int64())}
+                out.append((p, i, linked, far, d, w, order[:first], order[first:last]))
+            types = {"p": pa.int64(), "id": pa.int64(), "linked": pa.bool_(), "far": pa.bool_(), "d": pa.int64(), "w": pa.int64(), "first": pa.list_(pa.int64()), "rest": pa.list_(pa.int64())}
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(types.values())], names=list(types))
 
     own = _own_texts(docs, prints, pairs.select("id").union(pairs.select("p")).distinct(), length)
     # the pivots' texts, of which each meets many, are joined last and not moved again
     both = pairs.join(own.select("id", F.col("text").alias("a")), "id").join(own.select(F.col("id").alias("p"), F.col("text").alias("b")), "p")
-    return both.select("p", "id", "a", "b").mapInArrow(compare, "p long, id long, linked boolean, d long, w long, first array<long>, rest array<long>")
+    return both.select("p", "id", "a", "b").mapInArrow(compare, "p long, id long, linked boolean, far boolean, d long, w long, first array<long>, rest array<long>")
 
 
 def _covered(prints: DataFrame, percent: int) -> DataFrame:
@@ -239,7 +246,7 @@ def _met(parts: DataFrame, percent: int) -> DataFrame:
 
 
 def _split(docs: DataFrame, prints: DataFrame, crowded: DataFrame, edges: DataFrame, length: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Compare crowded buckets (h, id, n, k) with a pivot each: more edges, and the buckets of the pivots' differences that are crowded again.
+    """Compare crowded buckets (h, id, n, k) with a pivot each: more edges, and the buckets that are crowded again, of differences or of sets far from a pivot.
 
     Buckets whose sets meet otherwise have the same pivot if it's in both, so a set is compared with few pivots.
     """
@@ -256,8 +263,15 @@ def _split(docs: DataFrame, prints: DataFrame, crowded: DataFrame, edges: DataFr
     sized = to.select("p", "id", "n", "k", (100 - percent) * F.col("np")).toDF("p", "id", "n", "k", "c")
     parts = parts.join(sizes, "h").join(sized, ["p", "id"]).join(labels.select("id", "label"), "id")
     parts = materialise(_apart(parts.select("h", "id", "n", "k", "c", "linked", "first", "d", "w", "label", "many")), "parts")
-    edges = edges.union(_similar(docs, prints, _met(parts.where(F.col("many") <= CROWDED).drop("many"), percent), length, percent))
-    return materialise(edges, "edges"), parts.where(F.col("many") > CROWDED).select("h", "id", "n", "k").distinct()
+    # those far from a pivot, by pivot; many of them get another one
+    off = found.where("far").join(to.drop("np"), ["p", "id"]).join(labels.select("id", "label"), "id")
+    sizes = off.groupBy("p").agg(F.count("*").alias("many")).where("many > 1")
+    off = materialise(_apart(off.join(sizes, "p").select(F.xxhash64("p", F.lit("far")).alias("h"), "id", "n", "k", "label", "many")), "far")
+    few = off.where(F.col("many") <= FAR).select("h", "id", "n", "k", "label")
+    pairs = _met(parts.where(F.col("many") <= CROWDED).drop("many"), percent).union(_pairs(few.join(_second(few), "h").where("id > id2 and label != label2"), percent)).distinct()
+    edges = edges.union(_similar(docs, prints, pairs, length, percent))
+    again = parts.where(F.col("many") > CROWDED).select("h", "id", "n", "k").union(off.where(F.col("many") > FAR).select("h", "id", "n", "k"))
+    return materialise(edges, "edges"), again.distinct()
 
 
 def similar_links(docs: DataFrame, prints: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:

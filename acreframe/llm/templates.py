@@ -105,89 +105,93 @@ class Chance(NamedTuple):
         return n >= LIFT * e and n * (np.log(n / e) - 1) + e >= NATS
 
 
-def _recurring(docs: DataFrame) -> tuple[DataFrame, Chance]:
-    """(h): leaves and sketches of RECURS distinct texts at least; and how often words stand in running text.
-
-    A task names RECURS texts of each at most, since more make no difference.
-    """
-    names = ["h", "digest", "part", "counts"]
+def _recurring(docs: DataFrame) -> DataFrame:
+    """(h): leaves and sketches of RECURS distinct texts at least.  A task names RECURS texts of each at most, since more make no difference."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, tuple[bytes, ...]] = {}
-        words, lengths = np.zeros(WORD_BUCKETS, np.int64), np.zeros(DEPTH + 1, np.int64)
 
         def rows() -> pa.RecordBatch:
             pairs = [(h, d) for h, own in found.items() for d in own]
-            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([d for _, d in pairs], pa.binary()), pa.nulls(len(pairs), pa.int32()), pa.nulls(len(pairs), pa.binary())], names=names)
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([d for _, d in pairs], pa.binary())], names=["h", "digest"])
 
         for batch in batches:
             for part in slices(batch, size=PARSED_BYTES):
-                digests = part.column(0).to_pylist()
-                lines, sketches, running = _parsed(part.column(1).to_pylist())
-                words += np.bincount((running % np.uint64(WORD_BUCKETS)).astype(np.int64), minlength=WORD_BUCKETS)
-                lengths += np.bincount([len(t) for *_, t in lines if len(t) <= DEPTH], minlength=DEPTH + 1)
+                names = part.column(0).to_pylist()
+                lines, sketches, _ = _parsed(part.column(1).to_pylist())
                 for (i, _, _, tokens), sketch in zip(lines, sketches.tolist(), strict=True):
                     for h in (_leaf(tokens), sketch):
                         own = found.get(h)
                         if own is None:
-                            found[h] = (digests[i],)
-                        elif len(own) < RECURS and digests[i] not in own:
-                            found[h] = (*own, digests[i])
+                            found[h] = (names[i],)
+                        elif len(own) < RECURS and names[i] not in own:
+                            found[h] = (*own, names[i])
                 if len(found) > HELD:
                     yield rows()
                     found.clear()
         if found:
             yield rows()
-        counts = [*(x.tobytes() for x in np.split(words, WORD_PARTS)), lengths.tobytes()]
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(counts), pa.int64()), pa.nulls(len(counts), pa.binary()), pa.array(range(len(counts)), pa.int32()), pa.array(counts, pa.binary())], names=names)
 
-    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for part, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                sums[part] = sums.get(part, 0) + np.frombuffer(counts.as_py(), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["part", "counts"])
-
-    found = materialise(_texts(docs).mapInArrow(run, "h long, digest binary, part int, counts binary"), "recurrence")
-    pairs = found.where("part is null").select("h", "digest").distinct()
-    parts = {r.part: np.frombuffer(r.counts, np.int64) for r in found.where("part is not null").select("part", "counts").repartition("part").mapInArrow(added, "part int, counts binary").collect()}
-    words = np.concatenate([parts[i] for i in range(WORD_PARTS)]) if parts else np.zeros(WORD_BUCKETS, np.int64)
-    chance = Chance(words, int(words.sum()), parts.get(WORD_PARTS, np.zeros(DEPTH + 1, np.int64)))
-    return pairs.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= RECURS).select("h"), chance
+    pairs = _texts(docs).mapInArrow(run, "h long, digest binary").distinct()
+    return pairs.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= RECURS).select("h")
 
 
-def _lines(docs: DataFrame, recurring: DataFrame) -> DataFrame:
+def _lines(docs: DataFrame, recurring: DataFrame) -> tuple[DataFrame, Chance]:
     """Of distinct texts, those of copies in different tasks coming again: digest, all (bytes of its lines), and of each distinct masked line of
-    which the leaf or the sketch may recur: leaf, sketch, id, line, bytes, and the numbers of the lines that read so (at)."""
+    which the leaf or the sketch may recur: leaf, sketch, id, line, bytes, and the numbers of the lines that read so (at).  And how often words stand in
+    running text, which each task counts in the same pass (part, counts)."""
     held = docs.sparkSession.sparkContext.broadcast(bit_table(recurring))
-    names = ["digest", "all", "leaf", "sketch", "id", "line", "bytes", "at"]
-    types = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.list_(pa.int32()))
+    names = ["digest", "all", "leaf", "sketch", "id", "line", "bytes", "at", "part", "counts"]
+    types = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
+        words, lengths = np.zeros(WORD_BUCKETS, np.int64), np.zeros(DEPTH + 1, np.int64)
         for batch in batches:
             for part in slices(batch, size=PARSED_BYTES):
-                keep = []
-                for name in part.column(0).to_pylist():
+                keep, digests = [], part.column(0).to_pylist()
+                for name in digests:
                     keep.append(name not in seen)
                     seen.add(name)
-                part = part.filter(pa.array(keep, pa.bool_()))
-                digests = part.column(0).to_pylist()
-                lines, sketches, _ = _parsed(part.column(1).to_pylist())
+                lines, sketches, running = _parsed(part.column(1).to_pylist())
+                words += np.bincount((running % np.uint64(WORD_BUCKETS)).astype(np.int64), minlength=WORD_BUCKETS)
+                lengths += np.bincount([len(t) for *_, t in lines if len(t) <= DEPTH], minlength=DEPTH + 1)
                 leaves = np.array([_leaf(t) for *_, t in lines], np.int64)
                 size = np.zeros(len(digests), np.int64)
                 np.add.at(size, [i for i, *_ in lines], [len(x) for *_, x, _ in lines])
                 found: dict[tuple[int, int, bytes], list] = {}
                 for k in np.flatnonzero(in_table(held.value, leaves) | in_table(held.value, sketches)):
                     i, at, line, tokens = lines[k]
+                    if not keep[i]:
+                        continue
                     own = found.setdefault((i, int(leaves[k]), b" ".join(map(_masked, tokens))), [int(sketches[k]), 0, []])
                     own[1] += len(line)
                     own[2].append(at)
                 out = [(digests[i], int(size[i]), leaf, sketch, xxhash.xxh64_intdigest(line, 42) - (1 << 63), line.decode(), n, at) for (i, leaf, line), (sketch, n, at) in found.items()]
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+                    columns = [pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=False)]
+                    yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(len(out), t) for t in types[8:])], names=names)
+        counts = [*(x.tobytes() for x in np.split(words, WORD_PARTS)), lengths.tobytes()]
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(len(counts), t) for t in types[:8]), pa.array(range(len(counts)), pa.int32()), pa.array(counts, pa.binary())], names=names)
+
+    schema = "digest binary, all long, leaf long, sketch long, id long, line string, bytes long, at array<int>, part int, counts binary"
+    found = materialise(_texts(docs).mapInArrow(run, schema), "lines")
+    return found.where("part is null").drop("part", "counts"), _chance(found.where("part is not null").select("part", "counts"))
+
+
+def _chance(counts: DataFrame) -> Chance:
+    """The counts of all tasks (part, counts) added up, each part in a task of its own."""
 
-    return _texts(docs).mapInArrow(run, "digest binary, all long, leaf long, sketch long, id long, line string, bytes long, at array<int>")
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                sums[part] = sums.get(part, 0) + np.frombuffer(counts.as_py(), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["part", "counts"])
+
+    parts = {r.part: np.frombuffer(r.counts, np.int64) for r in counts.repartition("part").mapInArrow(added, "part int, counts binary").collect()}
+    words = np.concatenate([parts[i] for i in range(WORD_PARTS)]) if parts else np.zeros(WORD_BUCKETS, np.int64)
+    return Chance(words, int(words.sum()), parts.get(WORD_PARTS, np.zeros(DEPTH + 1, np.int64)))
 
 
 def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,9 +308,8 @@ def recurring_lines(lines: DataFrame, recurring: DataFrame, chance: Chance) -> D
 
 def boilerplate(docs: DataFrame) -> DataFrame:
     """(digest, lines): of each distinct text the numbers of the lines whose template recurs across documents."""
-    recurring, chance = _recurring(docs)
-    recurring = materialise(recurring, "recurring")
-    lines = materialise(_lines(docs, recurring), "lines")
+    recurring = materialise(_recurring(docs), "recurring")
+    lines, chance = _lines(docs, recurring)
     dropped = lines.join(recurring_lines(lines, recurring, chance), ["leaf", "id"], "left_semi").groupBy("digest", "leaf", "id").agg(F.first("at").alias("at"))
     return dropped.groupBy("digest").agg(F.flatten(F.collect_list("at")).alias("lines"))
 
