@@ -103,6 +103,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES)
         held += int(n)
     if len(lengths) > start:
         yield batch.slice(start)
+    pa.default_memory_pool().release_unused()  # workers are kept, and beside each other their free memory counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -184,11 +184,11 @@ class _Packer:
 _PIECES = pa.schema([(x, pa.int64()) for x in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, width: int = 4096, end_id: int = 2, cached: int = WordTokenizer.CACHED) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, width: int = 4096, end_id: int = 2, cached: int = WordTokenizer.CACHED, keep: bool = True) -> DataFrame:
     """Pack documents(doc_id, text) into sequences of at most `width` ids, in the order in which they come.
 
     tokenizer: path of a tokenizers file, on every machine; `end_id` follows each document; cached: words whose ids a Python worker
-    keeps, twice (some 250 bytes each), which changes nothing but time.  Returns a row per piece:
+    keeps, twice (some 250 bytes each), which changes nothing but time; keep: whether it keeps them and the tokenizer for its next task.  Returns a row per piece:
     doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset.  A partition is packed by itself, without a shuffle:
     its number leads the sequence_ids.  Cuts are the best ones for each BLOCK_TOKENS of tokens with what the block before left
     over, and the last sequence of a partition is the only one with more padding than a choice of cuts saves.
@@ -196,7 +196,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, width: int = 4096, end_id: i
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokenizer.of(tokenizer, cached)
+        words = WordTokenizer.of(tokenizer, cached) if keep else WordTokenizer(tokenizer, cached)
         end = end_id.to_bytes(4, "little")
         packer = _Packer(words.closes, width, TaskContext.get().partitionId() << 40)
 
