@@ -43,9 +43,9 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 4096 ids; a null or empty text is its end alone, repeated rows are packed as they come.
 
-    Workers keep few words, since those of the stages before may still hold what is theirs.
+    Workers hold few words, and let go of the tokenizer with their task, since other stages use them too.
     """
-    return pack_documents(docs, tokenizer("word_bpe_49k.json"), width=4096, end_id=2, cached=60_000)
+    return pack_documents(docs, tokenizer("word_bpe_49k.json"), width=4096, end_id=2, cached=60_000, keep=False)
 
 
 STAGES = [("quality", quality), ("lines", lines), ("near_copies", near_copies), ("benchmark", benchmark), ("packing", packing)]
