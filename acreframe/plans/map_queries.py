@@ -131,6 +131,30 @@ OVERLAP_SQL = f"""{cte('zones')}, {_GRID}, o AS (SELECT zone_id, count(*) AS cel
 SELECT zone_id, cells, CASE WHEN zone_id % 5 = 4 AND zone_id >= 20 THEN 125950.0e0 WHEN zone_id % 5 = 4 THEN 154444.444e0 WHEN zone_id >= 20 THEN 225900.0e0 ELSE 270000.0e0 END AS area FROM o"""
 
 
+def zone_cell_areas(spark, sf):
+    """Areas that zones and cells of the grid, both as rings, have in common."""
+    corner = lambda x, y: F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    ring = F.array(corner("xmin", "ymin"), corner("xmax", "ymin"), corner("xmax", "ymax"), corner("xmin", "ymax"))
+    cells = _grid(spark).select(F.col("cell_id").alias("zone_id"), F.array(ring).alias("rings"))
+    zones = _zones(spark, sf).select("zone_id", F.array("ring").alias("rings"))
+    met = sp.overlap_areas(zones, cells, 200.0)
+    return met.groupBy("zone_id").agg(F.round(F.sum("area"), 3).alias("area"))
+
+
+ZONE_CELLS_SQL = f"SELECT zone_id, area FROM ({OVERLAP_SQL})"
+
+
+def catalogue_ids(spark, sf):
+    """Sentinel ids of one provider in the form of the other."""
+    n = _names(spark, sf).where(F.col("file").startswith("S2A"))
+    level = F.when(F.col("o_orderkey") % 2 == 0, "MSIL2A").otherwise("MSIL1C")
+    scene = F.concat_ws("_", F.lit("S2A"), level, F.concat(F.date_format("d", "yyyyMMdd"), F.lit("T135101")), F.lit("R024"), F.concat(F.lit("T21H"), F.lpad((F.col("o_orderkey") % 90).cast("string"), 2, "0")), F.lit("20200115"))
+    return n.select("o_orderkey", nm.other_catalogue_id(scene).alias("scene_id"))
+
+
+CATALOGUE_IDS_SQL = f"WITH {_NAMES} SELECT o_orderkey, concat('S2A_21H', lpad(CAST(o_orderkey % 90 AS VARCHAR), 2, '0'), '_', ymd, '_0_', CASE WHEN o_orderkey % 2 = 0 THEN 'L2A' ELSE 'L1C' END) AS scene_id FROM nm WHERE sensor = 'S2A'"
+
+
 def zone_points(spark, sf):
     return sp.pixels_in_zones(view(spark, sf, "points"), _zones(spark, sf), 200.0).select("OID_", "zone_id")
 
@@ -580,7 +604,7 @@ SELECT p.cell_id, dllog_start, dllog_end, dltime, coalesce(f.n, 0) = 0 AS archiv
 QUERIES = {
     "image_names": (image_names, NAMES_SQL), "product_ids": (product_ids, PRODUCT_SQL), "export_names": (export_names, EXPORT_SQL), "day_rollover": (day_rollover, ROLLOVER_SQL), "points_in_cells": (points_in_cells, IN_CELLS_SQL), "cells_over_zones": (cells_over_zones, OVERLAP_SQL), "zone_points": (zone_points, ZONE_POINTS_SQL),
     "zonal_shares": (_zonal, ZONAL_SQL), "district_errors": (district_errors, DISTRICT_SQL), "sampled_pixels": (sampled_pixels, SAMPLED_SQL), "nearest_pixels": (nearest_pixels, NEAREST_SQL), "point_patches": (point_patches, PATCHES_SQL), "random_points": (random_points, RANDOM_SQL), "grid_cells": (grid_cells, GRID_SQL),
-    "downsampled": (downsampled, DOWN_SQL), "cropped": (cropped, CROPPED_SQL), "decimated": (decimated, DECIMATED_SQL), "mosaic": (mosaicked, MOSAIC_SQL), "histogram": (histograms, HISTOGRAM_SQL), "stretched": (stretched, STRETCHED_SQL), "image_bounds": (image_bounds, BOUNDS_SQL), "class_means": (class_means, CLASS_MEANS_SQL), "external_recall": (external_recall, EXTERNAL_SQL),
+    "zone_cell_areas": (zone_cell_areas, ZONE_CELLS_SQL), "catalogue_ids": (catalogue_ids, CATALOGUE_IDS_SQL), "downsampled": (downsampled, DOWN_SQL), "cropped": (cropped, CROPPED_SQL), "decimated": (decimated, DECIMATED_SQL), "mosaic": (mosaicked, MOSAIC_SQL), "histogram": (histograms, HISTOGRAM_SQL), "stretched": (stretched, STRETCHED_SQL), "image_bounds": (image_bounds, BOUNDS_SQL), "class_means": (class_means, CLASS_MEANS_SQL), "external_recall": (external_recall, EXTERNAL_SQL),
     "feature_stack": (feature_stack, STACK_SQL), "missing_values": (missing_values, MISSING_SQL), "reduced_features": (reduced_features, REDUCED_SQL), "unique_files": (unique_files, UNIQUE_SQL), "first_cells": (first_cells, FIRST_SQL), "closest_images": (closest_images, CLOSEST_SQL), "missing_files": (missing_files, MISSING_FILES_SQL),
     "cells_with_file": (cells_with_file, CELLS_SQL), "catalogue_differences": (catalogue_differences, DIFFERENCES_SQL), "matched_products": (matched_products, MATCHED_SQL), "rebuilt_scenes": (rebuilt, REBUILT_SQL), "scenes_between": (scenes_between, BETWEEN_SQL), "catalogue": (catalogue, CATALOGUE_SQL), "why_missing": (why_missing, WHY_SQL),
     "images_by_year": (images_by_year, BY_YEAR_SQL), "images_by_month": (images_by_month, BY_MONTH_SQL), "cell_status": (cell_status, _status_sql()), "index_coverage": (index_coverage, COVERAGE_SQL), "shift_statistics": (shift_statistics, SHIFT_SQL), "scenes_per_year": (scenes_per_year, PER_YEAR_SQL), "grid_totals": (grid_totals, TOTALS_SQL),
