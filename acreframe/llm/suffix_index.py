@@ -363,6 +363,7 @@ def _parts(*columns: np.ndarray, raw: list[bytes]) -> pa.RecordBatch:
 def _cut_out(length: int):
     """Of the listed segments: n > 0: the bytes of the segment, by anchor; n = 0: a window of a crowded anchor, by fingerprint, of each string the
     first of the task (of SINGLE such windows at a time); n < 0: a run of -n windows that are repeats."""
+    most = SINGLE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -400,7 +401,7 @@ def _cut_out(length: int):
                             later.append(known)
                     more = np.array(later, np.int64).reshape(-1, 3).T
                     docs, rows, pos, n = _runs(*(np.concatenate((x[behind], y)) for x, y in zip((docs, rows, pos), more, strict=True)))
-                    if len(single) > SINGLE:
+                    if len(single) > most:
                         yield firsts()
                         single.clear()
                     if len(docs):

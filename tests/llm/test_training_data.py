@@ -15,6 +15,8 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 from pyspark.sql import functions as F
 
@@ -518,6 +520,7 @@ def test_tokenizer_words():
 def test_repeats(spark, empty, rows, length, crowded, batch, monkeypatch):
     """With one level and with many, and with anchors' windows beside each other and spread."""
     monkeypatch.setattr(suffix_index, "CROWDED", crowded)
+    monkeypatch.setattr(suffix_index, "SINGLE", 400 if crowded == 1 else 100_000)
     monkeypatch.setattr(suffix_index, "TASK_ENTRIES", 60)
     monkeypatch.setattr(suffix_index, "BATCH_BYTES", batch)
     known = [r for r in rows if r[0] is not None]
@@ -531,6 +534,25 @@ def test_repeats(spark, empty, rows, length, crowded, batch, monkeypatch):
     assert suffix_index.remove_repeats(empty, length).count() == 0
 
 
+def test_windows_leave_a_task_once(spark, monkeypatch):
+    """Windows of a passage that a third of all texts hold, under a crowded anchor: a task names the first of each string, however many slices it reads."""
+    import zstandard
+
+    rng = random.Random(15)
+    word = lambda n: bytes(rng.choice(b"abcdefgh ") for _ in range(n))
+    passage = word(160)
+    texts = [(i, 7 * i, word(rng.randint(0, 30)) + passage + word(20)) for i in rng.sample(range(500), 300)]
+    pack = zstandard.ZstdCompressor().compress
+    runs = [[{"h": 1, "pos": raw.index(passage), "n": 61, "crowded": True}] for *_, raw in texts]
+    batch = pa.RecordBatch.from_pydict({"key": [t[0] for t in texts], "row": [t[1] for t in texts], "raw": [pack(t[2]) for t in texts], "runs": runs})
+    out = pa.Table.from_batches(list(suffix_index._cut_out(100)(iter([batch.slice(i, 10) for i in range(0, 300, 10)]))))
+    firsts = out.filter(pa.compute.equal(out["n"], 0))
+    least = min(t[0] for t in texts)
+    assert firsts.num_rows == 61 and set(firsts["doc"].to_pylist()) == {least}
+    told = {(d, p + k) for d, p, n in zip(out["doc"].to_pylist(), out["pos"].to_pylist(), out["n"].to_pylist(), strict=True) if n < 0 for k in range(-n)}
+    assert told == {(i, raw.index(passage) + k) for i, _, raw in texts if i != least for k in range(61)}
+
+
 def test_repeats_keep_rows_of_one_id(spark):
     """Rows that share an id but nothing else lose nothing."""
     rng = random.Random(14)
