@@ -35,7 +35,7 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     pairs = materialise(pairs, "links")
     before = _state(pairs)
     for _ in range(rounds):
-        pairs = materialise(_small(materialise(_large(pairs), "stars")), "stars")
+        pairs = materialise(_small(_large(pairs)), "stars")
         now = _state(pairs)
         if now == before:
             break

@@ -293,8 +293,10 @@ def similar_links(docs: DataFrame, prints: DataFrame, length: int = 5, percent:
             break
         edges, open_ = _split(docs, prints, open_, edges, length, percent)
     else:
-        rows = materialise(_apart(_labelled(open_, edges)), "labels")
-        edges = edges.union(_similar(docs, prints, _pairs(rows.join(_second(rows), "h").where("label != label2"), percent), length, percent))
+        # whoever is still crowded meets in the buckets of the beginning, of which there are fewer for a pair than of differences
+        left = crowded.join(open_.select("id").distinct(), "id", "left_semi")
+        rows = materialise(_apart(_labelled(left, edges)), "labels")
+        edges = edges.union(_similar(docs, prints, _pairs(rows.join(_second(rows), "h").where("id > id2 and label != label2"), percent), length, percent))
     return edges.union(_similar(docs, prints, _likely(materialise(_labelled(few, edges), "labels"), crowded, percent), length, percent))
 
 
