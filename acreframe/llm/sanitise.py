@@ -277,7 +277,10 @@ def find_private(docs: DataFrame) -> DataFrame:
     def joined(spans: F.Column) -> F.Column:
         return F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", F.element_at(names, (s["kind"] + 1).cast("int")), s["start"], s["end"])), ",")
 
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(4)]
+    def number(kind: int) -> F.Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind))  # a second parameter of the lambda, even one with a default, would get the place
+
+    counts = [number(k).cast("long").alias(f"n_{KINDS[k]}") for k in range(4)]
     return private_spans(docs).select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.concat("base", "extra")).alias("spans"), F.size("extra").cast("long").alias("n_terms"))
 
 

@@ -159,6 +159,14 @@ def test_private_spans(docs, empty, rows):
         assert [(a, k, b) for a, k, b, _ in sanitise.base_spans(t)] == brute.private(t), t
 
 
+def test_private_counts(spark):
+    """Counts of each kind where the spans of a text aren't one of each kind in the order of kinds."""
+    rows = [(1, "a@b.c"), (2, "1.2.3.4 and 5.6.7.8, 9.9.9.9"), (3, "+1 (555) 010-9900 then 4111 1111 1111 1111 then x@y.org, 1.2.3.4"), (4, "4111-1111-1111-1111"), (5, "none"), (6, None)]
+    out = by_id(sanitise.find_private(spark.createDataFrame(rows, "doc_id long, text string")))
+    for i, t in rows:
+        assert [out[i][f"n_{k}"] for k in ("email", "ip", "card", "phone")] == [sum(s[1] == n for s in brute.private(t)) for n in range(4)], t
+
+
 def test_disclosing_terms(spark):
     """Shares against counts by hand; terms that give a kind or a value away go, wherever they stand in the texts that hold it."""
     far = " ".join(["filler"] * 40)
