@@ -22,6 +22,31 @@ def ratio(a: str | Column, b: str | Column) -> Column:
     return F.try_divide(col(a).cast("double"), col(b).cast("double"))
 
 
+def _spread(n: Column, xy: Column, x: Column, y: Column) -> Column:
+    """n * sum(x y) - sum(x) * sum(y), exact."""
+    n, xy, x, y = (c.cast("decimal(19,0)") for c in (n, xy, x, y))
+    return n * xy - x * y
+
+
+def whole_slope(y: Column, x: Column) -> Column:
+    """Least squares slope of whole y over whole x, both small (sums of products fit 64 bits), cut towards zero: an aggregate without rounding.
+
+    In floating point a slope that is whole comes out above or below, by the order of the rows.
+    """
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x).cast("bigint"), F.when(both, y).cast("bigint")
+    n = F.count(x)
+    over, under = _spread(n, F.sum(x * y), F.sum(x), F.sum(y)), _spread(n, F.sum(x * x), F.sum(x), F.sum(x))
+    return F.call_function("div", over, F.nullif(under, F.lit(0).cast("decimal(38,0)")))
+
+
+def whole_deviation(x: Column) -> tuple[Column, Column]:
+    """Aggregates whose quotient is the population's standard deviation of small whole numbers: the first is whole wherever the deviation is a fraction."""
+    x = x.cast("bigint")
+    n = F.count(x)
+    return F.sqrt(_spread(n, F.sum(x * x), F.sum(x), F.sum(x)).cast("double")), n
+
+
 def wrapped_day(day: Column, start_day: int) -> Column:
     """Day of year that goes on counting past 31 December, for seasons that begin on start_day."""
     return F.when(day >= start_day, day).otherwise(day + 365)

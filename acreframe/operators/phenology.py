@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from acreframe.functions.numbers import ratio, short, wrapped_day
+from acreframe.functions.numbers import ratio, short, whole_slope, wrapped_day
 from acreframe.operators.features import KEY
 from acreframe.operators.seasons import phenology_season
 
@@ -89,7 +89,7 @@ def phenology_features(series: DataFrame, names: list[str], season: str, year: i
     trough_date = F.when(F.col("trough"), d)
     aggregates = {
         "rows": F.count_if("inside"), "med": F.max("med"), "maxv": F.max(v_in), "minv": F.min(v_in),
-        "slope": F.regr_slope(v_in.cast("double"), F.when(F.col("inside"), _days()).cast("double")),
+        "slope": whole_slope(v_in, F.when(F.col("inside"), F.date_diff(d, F.make_date(F.lit(year), F.lit(1), F.lit(1))))),
         "peaks": F.count_if("peak"), "pos": F.min(peak_date), "pos_value": F.min_by(v, peak_date),
         "troughs": F.count_if("trough"), "tos": F.max(trough_date), "tos_value": F.max_by(v, trough_date),
         "sos": F.coalesce(F.max(F.when(before & low, d)), F.min(d)), "sos_value": F.coalesce(F.max_by(v, F.when(before & low, d)), F.min_by(v, d)),
