@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, ShortType
 
-from acreframe.functions.numbers import cyclic_day, ratio, short, wrapped_day
+from acreframe.functions.numbers import cyclic_day, ratio, short, whole_deviation, whole_slope, wrapped_day
 from acreframe.operators.seasons import season, start_day
 
 KEY = ("cell_id", "row", "col", "spec_index")
@@ -18,25 +19,27 @@ def _epoch(date: Column) -> Column:
     return F.unix_date(date)
 
 
-def _statistic(name: str, inside: Column, first_day: int) -> Column:
-    """An aggregate of the rows inside the season."""
+def _statistic(name: str, inside: Column, first_day: int, year: int, whole: bool) -> Column:
+    """An aggregate of the rows inside the season; of whole values without rounding before the cut to 16 bits."""
     v, d = F.when(inside, F.col("value")), F.col("img_date")
     high = F.max_by(d, F.when(inside, F.struct("value", -_epoch(d))))
     low = F.min_by(d, F.when(inside, F.struct("value", _epoch(d))))
     avg16 = short(F.avg(v))
+    over, under = whole_deviation(v) if whole else (F.stddev_pop(v), F.lit(1))
+    day = F.when(inside, F.date_diff(d, F.make_date(F.lit(year), F.lit(1), F.lit(1))))
     return {
         "maxv": lambda: F.max(v),
         "minv": lambda: F.min(v),
         "amp": lambda: F.max(v) - F.min(v),
         "avg": lambda: avg16,
         "med": lambda: short(F.median(v)),
-        "sd": lambda: F.stddev_pop(v),
-        "cv": lambda: short(ratio(F.stddev_pop(v) * 1000, avg16)),
+        "sd": lambda: ratio(over, under),
+        "cv": lambda: short(ratio(over * 1000, under * avg16.cast("double"))),
         "maxd": lambda: wrapped_day(F.dayofyear(high), first_day),
         "maxdc": lambda: cyclic_day(F.dayofyear(high)),
         "mind": lambda: wrapped_day(F.dayofyear(low), first_day),
         "mindc": lambda: cyclic_day(F.dayofyear(low)),
-        "slp": lambda: short(F.regr_slope(v.cast("double"), F.when(inside, _epoch(d)).cast("double"))),
+        "slp": lambda: short(whole_slope(v, day) if whole else F.regr_slope(v.cast("double"), day.cast("double"))),
     }[name]()
 
 
@@ -56,6 +59,7 @@ def seasonal_features(pixels: DataFrame, names: list[str], year: int, start_mont
     in any of the seasons isn't returned; a feature without rows is null.  Unknown names raise.
     """
     d, first = F.col("img_date"), start_day(start_month)
+    whole = isinstance(pixels.schema["value"].dataType, (ByteType, ShortType, IntegerType))
     columns, needed = [], F.lit(False)
     for name in names:
         kind, _, when = name.rpartition("_")
@@ -64,7 +68,7 @@ def seasonal_features(pixels: DataFrame, names: list[str], year: int, start_mont
             needed = needed | F.year(d).isin(year, year + 1)
         elif kind in STATISTICS and when in ("yr", "wet", "dry"):
             inside = season(when, d, year, start_month)
-            columns.append(_statistic(kind, inside, first).alias(name))
+            columns.append(_statistic(kind, inside, first, year, whole).alias(name))
             needed = needed | inside
         else:
             raise ValueError(f"unknown feature {name}")

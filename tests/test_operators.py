@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 import random
 import re
 import statistics
@@ -574,3 +575,22 @@ def test_more_sources(spark, tmp_path):
     (tmp_path / "p.csv").write_text("OID_,PID\n1,a\n")
     tables.write_stack(spark.createDataFrame([(1, 1, 1, 5, 6)], "cell_id int, row int, col int, b int, a int"), str(tmp_path / "st"), ["a", "b"])
     assert spark.read.parquet(str(tmp_path / "st")).columns == ["cell_id", "row", "col", "a", "b"]
+
+
+def test_whole_slopes_and_deviations(spark):
+    """Slopes and shares that are whole numbers aren't cut to the next one, in whatever order rows come."""
+    rng, rows, want = random.Random(5), [], {}
+    for i in range(300):
+        slope, days = rng.choice((-1, 1)) * rng.randint(1, 60), sorted(rng.sample(range(310, 365), rng.randint(3, 9)))
+        rows += [(0, i, 0, "evi2", dt.date(1998, 1, 1) + dt.timedelta(days=d - 1), 4000 + slope * (d - 337)) for d in days]
+        own = [4000 + slope * (d - 337) for d in days]
+        spread = len(own) * sum(v * v for v in own) - sum(own) ** 2
+        mean = sum(own) // len(own)
+        want[i] = (slope, math.isqrt(spread * 1000000 // (len(own) * mean) ** 2))
+    rng.shuffle(rows)
+    pixels = spark.createDataFrame(rows, "cell_id int, row int, col int, spec_index string, img_date date, value int").repartition(7)
+    got = {r.row: (r.slp_wet, r.cv_wet) for r in features.seasonal_features(pixels, ["slp_wet", "cv_wet"], 1998, 7).collect()}
+    assert got == want
+    assert {r.row: r.slp_wet for r in phenology.phenology_features(pixels, ["slp"], "wet", 1998).collect()} == {i: w[0] for i, w in want.items()}
+    ones = pixels.where("row < 3").groupBy("cell_id", "row", "col", "spec_index").agg(F.min("img_date").alias("img_date"), F.max("value").alias("value"))
+    assert all(r.slp_wet is None for r in features.seasonal_features(ones, ["slp_wet"], 1998, 7).collect())
