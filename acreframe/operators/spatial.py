@@ -121,17 +121,19 @@ def sample_pixels(points: DataFrame, pixels: DataFrame, size: float, x: str = "x
 def nearest_pixels(points: DataFrame, pixels: DataFrame, size: float, tolerance: float, key: str) -> DataFrame:
     """The pixel whose centre (px, py) is nearest to each point (x, y), null beyond the tolerance; ties go to the lower row, then column.
 
-    Points and pixels meet on tiles as large as the tolerance, of which a point looks at its own and the eight around it; so a
-    tolerance of many pixels makes no more rows of a point.  size: of a pixel, the least a tile measures.
+    Pixels are laid, each once, as an array on tiles as large as the tolerance, on their own and the eight around it.  So a point meets one row, that
+    of its own tile, and points are neither multiplied nor grouped; few tiles are broadcast.  size: of a pixel, the least a tile measures.
     """
     tile = float(max(size, tolerance))
-    tiled = pixels.withColumn("__r", F.floor(F.col("py") / tile)).withColumn("__c", F.floor(F.col("px") / tile))
     steps = F.sequence(F.lit(-1), F.lit(1))
-    around = points.select(key, "x", "y", F.explode(steps).alias("__dr"), F.floor(F.col("y") / tile).alias("__y")).select("*", F.explode(steps).alias("__dc"), F.floor(F.col("x") / tile).alias("__x"))
-    around = around.select(key, "x", "y", (F.col("__y") + F.col("__dr")).alias("__r"), (F.col("__x") + F.col("__dc")).alias("__c"))
-    found = around.join(tiled, ["__r", "__c"]).withColumn("distance", F.hypot(F.col("px") - F.col("x"), F.col("py") - F.col("y"))).where(F.col("distance") <= tolerance)
-    best = found.groupBy(key).agg(F.min(F.struct("distance", "row", "col", "value")).alias("b")).select(key, "b.row", "b.col", "b.value", "b.distance")
-    return points.join(best, key, "left")
+    once = pixels.groupBy("px", "py", "row", "col").agg(F.min(F.struct("value"))["value"].alias("value"))
+    laid = once.select("*", F.explode(steps).alias("__dr")).select("*", F.explode(steps).alias("__dc"))
+    laid = laid.withColumns({"__r": F.floor(F.col("py") / tile) + F.col("__dr"), "__c": F.floor(F.col("px") / tile) + F.col("__dc")})
+    near = laid.groupBy("__r", "__c").agg(F.collect_list(F.struct("px", "py", "row", "col", "value")).alias("__near"))
+    met = points.withColumns({"__r": F.floor(F.col("y") / tile), "__c": F.floor(F.col("x") / tile)}).join(near, ["__r", "__c"], "left")
+    off = F.transform("__near", lambda p: F.struct(F.hypot(p["px"] - F.col("x"), p["py"] - F.col("y")).alias("distance"), p["row"], p["col"], p["value"]))
+    best = met.withColumn("__b", F.array_min(F.filter(off, lambda p: p["distance"] <= tolerance)))
+    return best.select(*points.columns, "__b.row", "__b.col", "__b.value", "__b.distance")
 
 
 def pixel_at(pixels: DataFrame, row: int, col: int) -> DataFrame:

@@ -594,3 +594,14 @@ def test_whole_slopes_and_deviations(spark):
     assert {r.row: r.slp_wet for r in phenology.phenology_features(pixels, ["slp"], "wet", 1998).collect()} == {i: w[0] for i, w in want.items()}
     ones = pixels.where("row < 3").groupBy("cell_id", "row", "col", "spec_index").agg(F.min("img_date").alias("img_date"), F.max("value").alias("value"))
     assert all(r.slp_wet is None for r in features.seasonal_features(ones, ["slp_wet"], 1998, 7).collect())
+
+
+def test_nearest_pixels_without_exchange_of_points(spark):
+    """Points aren't grouped by their key: each row gets its own pixel, repeated keys and pixels included, and no task sorts points."""
+    points = spark.createDataFrame([(1, 0.0, 0.0), (1, 100.0, 100.0), (None, 0.0, 1.0), (3, None, 0.0), (4, 5000.0, 0.0)], "k int, x double, y double")
+    pixels = spark.createDataFrame([(0, 0, 2.0, 0.0, 7), (0, 0, 2.0, 0.0, 5), (10, 10, 101.0, 101.0, 9)], "row int, col int, px double, py double, value int")
+    out = spatial.nearest_pixels(points, pixels, 10.0, 20.0, "k")
+    assert sorted((r.k, r.x, r.value) for r in out.where("k = 1").collect()) == [(1, 0.0, 5), (1, 100.0, 9)]
+    assert sorted((r.k or 0, r.value) for r in out.where("k is null or k > 1").collect() if r.k or r.value) == [(0, 5), (3, None), (4, None)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k#" not in plan
