@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,13 +63,12 @@ def _common(docs: DataFrame, length: int) -> DataFrame:
     return texts.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON).select("h")
 
 
-def _prints(docs: DataFrame, length: int, percent: int) -> DataFrame:
+def _prints(docs: DataFrame, held: Broadcast, length: int, percent: int) -> DataFrame:
     """(key, digest, doc_id, id, fp, n, prefix) of each row: id names its shingle set of n, fp is its fingerprint; prefix: its first shingles, common ones ordered last.
 
     Sets of a similarity of `percent` share percent of the larger one at least, so in any one order of all shingles, the first
-    n - ceil(percent n) + 1 of each can't be disjoint.
+    n - ceil(percent n) + 1 of each can't be disjoint.  held: a filter of the common ones.
     """
-    held = docs.sparkSession.sparkContext.broadcast(bit_table(_common(docs, length)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,7 +170,7 @@ def _similar(docs: DataFrame, prints: DataFrame, pairs: DataFrame, length: int,
     return materialise(both.select("u", "v", "a", "b").mapInArrow(compare, "u long, v long"), "similar")
 
 
-def _differences(docs: DataFrame, prints: DataFrame, pairs: DataFrame, length: int, percent: int) -> DataFrame:
+def _differences(docs: DataFrame, prints: DataFrame, pairs: DataFrame, held: Broadcast, length: int, percent: int) -> DataFrame:
     """(p, id, linked, far, d, w, first, rest) of pairs (p, id): how the set of id differs from that of its pivot p.
 
     Of a set S, let A be what it has beside the pivot P and R what it lacks of it, D both together, d = |D| and w = percent |A| + 100 |R|.
@@ -178,7 +178,8 @@ def _differences(docs: DataFrame, prints: DataFrame, pairs: DataFrame, length: i
     |P| - |R1| - |R2| + |D1 & D2|.  So sets that are similar to each other but not both to the pivot share a difference at least, and more than
     w1 / (100 + percent) of them if S2 isn't linked; two that aren't share (w1 - c) / 100 at least.  In any one order of all differences the first
     d - least + 1 of each can't be disjoint: `first` are those for a set that isn't linked to meet others like it, or for a linked one to meet those that
-    aren't, `rest` the further ones by which a set that isn't linked meets linked ones.  What is lacking comes last: many lack the same.
+    aren't, `rest` the further ones by which a set that isn't linked meets linked ones.  Common shingles (of the filter `held`) come after others, and what
+    is lacking comes last: many lack the same.
 
     One less the similarity is a distance, so similar sets lie about as far from the pivot.  Sets further off than three times the distance of similar ones have no
     differences listed, for these are most of the set; such a set can only be similar to one that is `far`: further off than two times that distance.
@@ -199,7 +200,8 @@ def _differences(docs: DataFrame, prints: DataFrame, pairs: DataFrame, length: i
                 far = 100 * both < (2 * percent - 100) * every
                 first = max(0, d - least + 1) if 100 * both >= (3 * percent - 200) * every else 0
                 last = first if linked or not first or by_linked * percent > c else max(first, d - by_linked + 1)
-                order = np.concatenate((added, lacking)).view(np.int64)
+                late = in_table(held.value, added)
+                order = np.concatenate((added[~late], added[late], lacking)).view(np.int64)
                 out.append((p, i, linked, far, d, w, order[:first], order[first:last]))
             types = {"p": pa.int64(), "id": pa.int64(), "linked": pa.bool_(), "far": pa.bool_(), "d": pa.int64(), "w": pa.int64(), "first": pa.list_(pa.int64()), "rest": pa.list_(pa.int64())}
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(types.values())], names=list(types))
@@ -219,10 +221,19 @@ def _covered(prints: DataFrame, percent: int) -> DataFrame:
     return _pairs(grouped.join(_second(pivots), "h"), percent)
 
 
-def _labelled(rows: DataFrame, edges: DataFrame) -> DataFrame:
-    """Rows of sets with a label that is the same for sets that the edges connect."""
-    roots = components(edges).withColumnRenamed("node", "id")
-    return rows.join(roots, "id", "left").select(*rows.columns, F.coalesce("root", "id").alias("label"))
+def _labelled(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of sets with a label that is the same for sets of one root (node, root)."""
+    return rows.join(roots.withColumnRenamed("node", "id"), "id", "left").select(*rows.columns, F.coalesce("root", "id").alias("label"))
+
+
+def _stars(roots: DataFrame) -> DataFrame:
+    """Edges (u, v) that connect what (node, root) does: components of these and a few more settle in few rounds."""
+    return roots.where("node != root").select(F.col("node").alias("u"), F.col("root").alias("v"))
+
+
+def _connected(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """(node, root) with more edges (u, v)."""
+    return roots if more.isEmpty() else components(_stars(roots).union(more))
 
 
 def _apart(rows: DataFrame) -> DataFrame:
@@ -245,36 +256,37 @@ def _met(parts: DataFrame, percent: int) -> DataFrame:
     return _pairs(parts.join(_second(parts), "h").where("id > id2 and label != label2").where(ways & many), percent)
 
 
-def _split(docs: DataFrame, prints: DataFrame, crowded: DataFrame, edges: DataFrame, length: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Compare crowded buckets (h, id, n, k) with a pivot each: more edges, and the buckets that are crowded again, of differences or of sets far from a pivot.
+def _split(docs: DataFrame, prints: DataFrame, crowded: DataFrame, roots: DataFrame, held: Broadcast, length: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Compare crowded buckets (h, id, n, k) with a pivot each: the roots with more edges, and the buckets that are crowded again, of differences or of sets far from a pivot.
 
     Buckets whose sets meet otherwise have the same pivot if it's in both, so a set is compared with few pivots.
     """
     pivots = crowded.groupBy("h").agg(F.min_by(F.struct("id", "n"), F.struct(-F.col("k"), F.xxhash64("id"))).alias("p")).select("h", F.col("p.id").alias("p"), F.col("p.n").alias("np"))
     to = materialise(crowded.join(pivots, "h").where("id != p").select("p", "np", "id", "n", "k").distinct(), "pivots")
-    found = materialise(_differences(docs, prints, to.select("p", "id"), length, percent), "differences")
-    edges = materialise(edges.union(found.where("linked").select(F.greatest("id", "p").alias("u"), F.least("id", "p").alias("v"))), "edges")
-    labels = _labelled(to.select("id", "n", "k").distinct(), edges)
+    found = materialise(_differences(docs, prints, to.select("p", "id"), held, length, percent), "differences")
+    roots = _connected(roots, found.where("linked").select(F.greatest("id", "p").alias("u"), F.least("id", "p").alias("v")))
+    labels = _labelled(to.select("id", "n", "k").distinct(), roots)
     own = lambda c: F.transform(c, lambda e: F.struct(e.alias("e"), F.lit(c == "first").alias("first")))
-    parts = found.select("p", "id", "linked", "d", "w", F.explode(F.concat(own("first"), own("rest"))).alias("at")).select(F.xxhash64("p", "at.e").alias("h"), "p", "id", "linked", "d", "w", "at.first")
-    # a bucket can hold a pair if two sets that aren't linked have it among the first, or one that is and one that isn't share it
-    sizes = parts.groupBy("h").agg(F.count("*").alias("many"), F.count_if(~F.col("linked") & F.col("first")).alias("free"), F.count_if("linked").alias("bound"))
-    sizes = sizes.where((F.col("free") > 1) | ((F.col("bound") > 0) & (F.col("bound") < F.col("many")))).select("h", "many")
+    # sizes and labels are joined before differences are listed one by one
     sized = to.select("p", "id", "n", "k", (100 - percent) * F.col("np")).toDF("p", "id", "n", "k", "c")
-    parts = parts.join(sizes, "h").join(sized, ["p", "id"]).join(labels.select("id", "label"), "id")
-    parts = materialise(_apart(parts.select("h", "id", "n", "k", "c", "linked", "first", "d", "w", "label", "many")), "parts")
+    known = found.join(sized, ["p", "id"]).join(labels.select("id", "label"), "id").withColumn("at", F.explode(F.concat(own("first"), own("rest"))))
+    parts = known.select(F.xxhash64("p", "at.e").alias("h"), "id", "n", "k", "c", "linked", "at.first", "d", "w", "label")
+    # a bucket can hold a pair if its labels differ, and two sets that aren't linked have it among the first, or one that is and one that isn't share it
+    sizes = parts.groupBy("h").agg(F.count("*").alias("many"), F.count_if(~F.col("linked") & F.col("first")).alias("free"), F.count_if("linked").alias("bound"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    sizes = sizes.where("lo != hi").where((F.col("free") > 1) | ((F.col("bound") > 0) & (F.col("bound") < F.col("many")))).select("h", "many")
+    parts = materialise(parts.join(sizes, "h"), "parts")
     # those far from a pivot, by pivot; many of them get another one
     off = found.where("far").join(to.drop("np"), ["p", "id"]).join(labels.select("id", "label"), "id")
     sizes = off.groupBy("p").agg(F.count("*").alias("many")).where("many > 1")
     off = materialise(_apart(off.join(sizes, "p").select(F.xxhash64("p", F.lit("far")).alias("h"), "id", "n", "k", "label", "many")), "far")
     few = off.where(F.col("many") <= FAR).select("h", "id", "n", "k", "label")
     pairs = _met(parts.where(F.col("many") <= CROWDED).drop("many"), percent).union(_pairs(few.join(_second(few), "h").where("id > id2 and label != label2"), percent)).distinct()
-    edges = edges.union(_similar(docs, prints, pairs, length, percent))
+    roots = _connected(roots, _similar(docs, prints, pairs, length, percent))
     again = parts.where(F.col("many") > CROWDED).select("h", "id", "n", "k").union(off.where(F.col("many") > FAR).select("h", "id", "n", "k"))
-    return materialise(edges, "edges"), again.distinct()
+    return roots, again.distinct()
 
 
-def similar_links(docs: DataFrame, prints: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:
+def similar_links(docs: DataFrame, prints: DataFrame, held: Broadcast, length: int = 5, percent: int = 80) -> DataFrame:
     """Edges (u, v) that connect the set ids of prints as all pairs of a similarity of `percent` do.
 
     Pairs of sets that are linked already needn't be compared.  So each set is first compared with the pivot of its covering group.  Crowded buckets that
@@ -285,19 +297,19 @@ def similar_links(docs: DataFrame, prints: DataFrame, length: int = 5, percent:
     met = materialise(buckets.join(crowds, "h", "left_semi"), "met")
     crowded = materialise(met.join(met.groupBy("id").agg(F.count("*").alias("k")), "id").select("h", "id", "n", "k"), "crowded")
     few = buckets.join(crowds, "h", "left_anti")
-    edges = _similar(docs, prints, _covered(prints, percent), length, percent)
+    roots = components(_similar(docs, prints, _covered(prints, percent), length, percent))
     open_ = _by_size(crowded)
     for _ in range(LEVELS):
-        open_ = materialise(_apart(_labelled(open_, edges)).select("h", "id", "n", "k"), "apart")
+        open_ = materialise(_apart(_labelled(open_, roots)).select("h", "id", "n", "k"), "apart")
         if open_.isEmpty():
             break
-        edges, open_ = _split(docs, prints, open_, edges, length, percent)
+        roots, open_ = _split(docs, prints, open_, roots, held, length, percent)
     else:
         # whoever is still crowded meets in the buckets of the beginning, of which there are fewer for a pair than of differences
         left = crowded.join(open_.select("id").distinct(), "id", "left_semi")
-        rows = materialise(_apart(_labelled(left, edges)), "labels")
-        edges = edges.union(_similar(docs, prints, _pairs(rows.join(_second(rows), "h").where("id > id2 and label != label2"), percent), length, percent))
-    return edges.union(_similar(docs, prints, _likely(materialise(_labelled(few, edges), "labels"), crowded, percent), length, percent))
+        rows = materialise(_apart(_labelled(left, roots)), "labels")
+        roots = _connected(roots, _similar(docs, prints, _pairs(rows.join(_second(rows), "h").where("id > id2 and label != label2"), percent), length, percent))
+    return _stars(roots).union(_similar(docs, prints, _likely(materialise(_labelled(few, roots), "labels"), crowded, percent), length, percent))
 
 
 def similar_groups(docs: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:
@@ -306,8 +318,9 @@ def similar_groups(docs: DataFrame, length: int = 5, percent: int = 80) -> DataF
     Returns key, digest, doc_id, group and component_id, the least doc_id of the group.  Texts of equal sets are merged first; null and
     empty texts have the same set.  A row without doc_id never names its group unless all its group's ids are null (then null).
     """
-    prints = materialise(_prints(docs, length, percent), "prints")
-    roots = materialise(components(similar_links(docs, prints, length, percent)), "roots").withColumnRenamed("node", "id")
+    held = docs.sparkSession.sparkContext.broadcast(bit_table(_common(docs, length)))
+    prints = materialise(_prints(docs, held, length, percent), "prints")
+    roots = materialise(components(similar_links(docs, prints, held, length, percent)), "roots").withColumnRenamed("node", "id")
     least = prints.groupBy("id").agg(F.min("doc_id").alias("least"))
     named = least.join(roots, "id", "left").select("id", "least", F.coalesce("root", "id").alias("group"))
     of = materialise(named.join(named.groupBy("group").agg(F.min("least").alias("component_id")), "group").select("id", "group", "component_id"), "groups")
