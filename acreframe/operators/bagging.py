@@ -78,17 +78,23 @@ def with_votes(rows: DataFrame, forest: Bagged, column: str = "votes") -> DataFr
     return out.select(*rows.columns, F.array(*names).alias(column))
 
 
+def _once(rows: DataFrame, value: Column, column: str) -> DataFrame:
+    """rows with a value that is computed once a row: a filter on what is made of a plain column has Spark compute the column anew for each use, a class each."""
+    return rows.select("*", F.explode(F.array(value)).alias(column))
+
+
 def classify_bagged(rows: DataFrame, forest: Bagged) -> DataFrame:
     """rows with `pred`, the label that most trees name."""
     labels = F.array(*map(F.lit, forest.labels))
-    return with_votes(rows, forest, "__votes").withColumn("pred", F.get(labels, most_voted(F.col("__votes"), len(forest.labels)))).drop("__votes")
+    voted = _once(with_votes(rows, forest, "__all"), F.col("__all"), "__votes")
+    return voted.withColumn("pred", F.get(labels, most_voted(F.col("__votes"), len(forest.labels)))).drop("__all", "__votes")
 
 
 def out_of_bag(train: DataFrame, forest: Bagged, key: str = "OID_") -> DataFrame:
     """The training rows with `pred` by the trees whose samples lack them, and how many these are (`voters`); no shuffle."""
     labels = F.array(*map(F.lit, forest.labels))
-    voted = with_votes(train, forest, "__votes").withColumn("__votes", left_out(F.col("__votes"), F.col(key), forest.seed))
-    return voted.withColumns({"pred": F.get(labels, most_voted(F.col("__votes"), len(forest.labels))), "voters": F.size("__votes")}).drop("__votes")
+    voted = _once(with_votes(train, forest, "__all"), left_out(F.col("__all"), F.col(key), forest.seed), "__votes")
+    return voted.withColumns({"pred": F.get(labels, most_voted(F.col("__votes"), len(forest.labels))), "voters": F.size("__votes")}).drop("__all", "__votes")
 
 
 def out_of_bag_score(train: DataFrame, forest: Bagged, class_col: str, key: str = "OID_") -> float | None:

@@ -388,6 +388,19 @@ def test_out_of_bag(spark):
     assert abs(share[0] - 0.3679) < 0.02 and abs(share[2] - 0.1839) < 0.02 and abs(sum(w * p for w, p in share.items()) - 1) < 0.03
 
 
+def test_votes_once(spark):
+    """A filter on what the votes say has no tree predict a row more than once; labels without votes stay null."""
+    from acreframe.operators import bagging
+
+    points = spark.createDataFrame([(i, "abc"[i % 3], i % 3 * 5 + i % 4, i % 7) for i in range(60)], "OID_ long, cls string, var_x int, var_y int")
+    forest = bagging.fit_bagged(points, "cls", trees=3, depth=2, seed=3)
+    for scored in (bagging.out_of_bag(points, forest), bagging.classify_bagged(points, forest)):
+        plan = scored.where("pred is not null")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("UDF(") == 1 + len(forest.trees), plan
+    rows = bagging.out_of_bag(points, forest).collect()
+    assert len(rows) == 60 and {r.voters == 0 for r in rows if r.pred is None} == {True} and all(r.voters for r in rows if r.pred)
+
+
 def test_ranks_without_hot_groups(spark):
     """Rank sums, medians and stratified shares neither meet by group nor by a product."""
     rows = spark.range(300).select(F.col("id"), (F.col("id") % 2).alias("g"), (F.col("id") * 7 % 101).cast("double").alias("v"), (F.col("id") % 3 == 0).cast("int").alias("y"))
