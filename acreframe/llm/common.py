@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 2 << 20
 #: Bits of a filter of hashes: its size is fixed, 1 MB.  Beyond it more passes than needed, and what passes is always looked up.
 FILTER_BITS = 1 << 23
+#: Has Spark remove a query's shuffle files when it has ended; else they stay until the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -50,11 +52,16 @@ def clear(spark: SparkSession) -> None:
     discard(spark, f"{shared_dir(spark)}/acreframe/{spark.sparkContext.applicationId}")
 
 
-def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """Write to the shared folder and read again: cuts lineage, and survives a lost executor."""
+def materialise(df: DataFrame, name: str, path: str | None = None, **options: str) -> DataFrame:
+    """Write to the shared folder (or to path) and read again: cuts lineage, and survives a lost executor.  Shuffle files go with the write."""
     spark = df.sparkSession
-    path = table_path(spark, name)
-    df.write.options(**options).parquet(path)
+    path = path or table_path(spark, name)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
     return spark.read.schema(df.schema).parquet(path)
 
 

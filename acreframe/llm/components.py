@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acreframe.llm.common import materialise
+from acreframe.llm.common import discard, materialise, table_path
 
 
 def _state(edges: DataFrame) -> tuple[int, int]:
@@ -28,14 +28,17 @@ def _small(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """edges(u, v): longs.  Returns (node, root) for each node that has an edge; root: the least node reachable.
 
-    Each round writes its edges to the shared folder, so neither the plan nor a recomputation grows with the rounds.
+    Each round writes its edges to the shared folder and removes those of the last, so neither the plan, a recomputation nor the disk grows with the rounds.
     Stars of a hub are made by a partial minimum and a join; a hub's links never meet in one group.
     """
     pairs = edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    pairs = materialise(pairs, "links")
+    spark, path = edges.sparkSession, table_path(edges.sparkSession, "links")
+    pairs = materialise(pairs, "links", path)
     before = _state(pairs)
     for _ in range(rounds):
-        pairs = materialise(_small(_large(pairs)), "stars")
+        last, path = path, table_path(spark, "stars")
+        pairs = materialise(_small(_large(pairs)), "stars", path)
+        discard(spark, last)
         now = _state(pairs)
         if now == before:
             break

@@ -89,10 +89,26 @@ def _prints(docs: DataFrame, held: Broadcast, length: int, percent: int) -> Data
 
 
 def _buckets(prints: DataFrame) -> DataFrame:
-    """(h, id, n): the shingles of prefixes that several sets have there."""
-    dealt = prints.select("id", "n", F.explode("prefix").alias("h")).repartition("h")
+    """(h, id, n, i): the shingles of prefixes that several sets have there, and at which place from 0."""
+    dealt = prints.select("id", "n", F.posexplode("prefix").alias("i", "h")).repartition("h")
     shared = dealt.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi").select("h")
-    return dealt.join(shared.hint("merge"), "h", "left_semi").select("h", "id", "n").distinct()
+    return dealt.join(shared.hint("merge"), "h", "left_semi").select("h", "id", "n", "i").distinct()
+
+
+def _common_least(n: str, n2: str, percent: int) -> Column:
+    """How many shingles similar sets of n and n2 have in common at least."""
+    return F.ceil(percent * (F.col(n) + F.col(n2)) / (100 + percent) - F.lit(1e-6))
+
+
+def _placed(crowded: DataFrame, percent: int) -> DataFrame:
+    """The rows of crowded buckets (h, id, n, i, ...) by which similar sets can meet first.
+
+    What they share lies from the first shared shingle on, so of either set that many are left there.  For the smaller one this ends its prefix at
+    half the length; so a row lies there (ahead), or is of a set larger than one that does.
+    """
+    marked = crowded.withColumn("__ahead", F.col("i") + _common_least("n", "n", percent) <= F.col("n"))
+    least = marked.where("__ahead").groupBy("h").agg(F.min("n").alias("__n"), F.count("*").alias("__many"))
+    return marked.join(least, "h").where((F.col("__ahead") & (F.col("__many") > 1)) | (F.col("n") >= F.col("__n"))).drop("__ahead", "__n", "__many")
 
 
 def _least_shared(percent: int) -> Column:
@@ -102,7 +118,7 @@ def _least_shared(percent: int) -> Column:
     other set; of the prefix that ends first in the order, these are in the other prefix.
     """
     prefix = lambda n: F.floor((100 - percent) * F.col(n) / 100) + 1
-    common = F.ceil(percent * (F.col("n") + F.col("n2")) / (100 + percent) - F.lit(1e-6))
+    common = _common_least("n", "n2", percent)
     return F.least(prefix("n") - F.col("n") + common, prefix("n2") - F.col("n2") + common)
 
 
@@ -110,22 +126,24 @@ def _pairs(met: DataFrame, percent: int) -> DataFrame:
     """(u, v) of (id, n, id2, n2), each once; sets too unlike in size can't be similar.
 
     Where k and k2 say how many crowded shingles the prefixes hold, neither are sets that can't share enough of them; if
-    they share others besides, they meet in buckets of few.
+    they share others besides, they meet in buckets of few.  Where i and i2 are the places of what they share, it may be the first such shingle.
     """
     sized = met.where("id != id2").where(100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
     if "k" in met.columns:
         sized = sized.where(F.least("k", "k2") >= _least_shared(percent))
+    if "i" in met.columns:
+        common = _common_least("n", "n2", percent)
+        sized = sized.where((F.col("i") + common <= F.col("n")) & (F.col("i2") + common <= F.col("n2")))
     return sized.select(F.greatest("id", "id2").alias("u"), F.least("id", "id2").alias("v")).distinct()
 
 
-def _likely(few: DataFrame, crowded: DataFrame, percent: int) -> DataFrame:
+def _likely(few: DataFrame, many: DataFrame, percent: int) -> DataFrame:
     """(u, v) of the sets of unlike labels that meet in buckets of few, without those that share too few shingles of their prefixes to be similar.
 
-    Shared crowded shingles aren't counted one by one: the lesser number of them in either prefix stands for them.
+    Shared crowded shingles aren't counted one by one: the lesser number of them in either prefix, of (id, k), stands for them.
     """
     met = few.join(_second(few), "h").where("id > id2 and label != label2").where(100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
     shared = met.groupBy(F.col("id").alias("u"), F.col("id2").alias("v")).agg(F.count("*").alias("c"), F.first("n").alias("n"), F.first("n2").alias("n2"))
-    many = crowded.select("id", "k").distinct()
     shared = shared.join(many.toDF("u", "k"), "u", "left").join(many.toDF("v", "k2"), "v", "left").na.fill(0, ["k", "k2"])
     return shared.where(F.col("c") + F.least("k", "k2") >= _least_shared(percent)).select("u", "v")
 
@@ -295,8 +313,10 @@ def similar_links(docs: DataFrame, prints: DataFrame, held: Broadcast, length: i
     buckets = materialise(_buckets(prints), "buckets")
     crowds = buckets.groupBy("h").agg(F.count("*").alias("many")).where(F.col("many") > CROWDED).select("h")
     met = materialise(buckets.join(crowds, "h", "left_semi"), "met")
-    crowded = materialise(met.join(met.groupBy("id").agg(F.count("*").alias("k")), "id").select("h", "id", "n", "k"), "crowded")
-    few = buckets.join(crowds, "h", "left_anti")
+    many = materialise(met.groupBy("id").agg(F.count("*").alias("k")), "many")
+    counted = met.join(many, "id").select("h", "id", "n", "i", "k")
+    crowded = materialise(_placed(counted, percent), "crowded")
+    few = buckets.join(crowds, "h", "left_anti").drop("i")
     roots = components(_similar(docs, prints, _covered(prints, percent), length, percent))
     open_ = _by_size(crowded)
     for _ in range(LEVELS):
@@ -309,7 +329,7 @@ def similar_links(docs: DataFrame, prints: DataFrame, held: Broadcast, length: i
         left = crowded.join(open_.select("id").distinct(), "id", "left_semi")
         rows = materialise(_apart(_labelled(left, roots)), "labels")
         roots = _connected(roots, _similar(docs, prints, _pairs(rows.join(_second(rows), "h").where("id > id2 and label != label2"), percent), length, percent))
-    return _stars(roots).union(_similar(docs, prints, _likely(materialise(_labelled(few, roots), "labels"), crowded, percent), length, percent))
+    return _stars(roots).union(_similar(docs, prints, _likely(materialise(_labelled(few, roots), "labels"), many, percent), length, percent))
 
 
 def similar_groups(docs: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:

@@ -61,3 +61,31 @@ def test_stage_drops_edited_copies(spark):
     assert (brute.fingerprint(texts[0]) ^ brute.fingerprint(texts[1])).bit_count() > 2
     kept = corpus_pipeline.near_copies(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "")
     assert sorted(r.doc_id for r in kept.collect()) == [0, 2]
+
+
+def test_sets_meet_ahead_in_the_last_join(spark):
+    """Sets of one size meet by places in the first ninth of their shingles, not in the first fifth; none that can be similar is left out."""
+    n, percent = 90, 80
+    rows = [(h, s, n, i, 9) for s, first in ((1, 0), (2, 0), (3, 11), (4, 11)) for i, h in enumerate(range(first, first + 19))]
+    crowded = near_copies._placed(spark.createDataFrame(rows, "h long, id long, n long, i int, k long"), percent)
+    met = crowded.join(near_copies._second(crowded), "h").where("id > id2")
+    assert {tuple(r) for r in near_copies._pairs(met, percent).collect()} == {(2, 1), (4, 3)}
+    # 80 shingles in 100: the smaller set's first may be the larger one's twenty-first
+    rows = [(7, 1, 80, 0, 1), (7, 2, 100, 20, 1), (8, 3, 80, 1, 1), (8, 4, 100, 20, 1)]
+    crowded = near_copies._placed(spark.createDataFrame(rows, "h long, id long, n long, i int, k long"), percent)
+    met = crowded.join(near_copies._second(crowded), "h").where("id > id2")
+    assert {tuple(r) for r in near_copies._pairs(met, percent).collect()} == {(2, 1)}
+
+
+def test_shuffle_files_and_old_stars_go(spark, monkeypatch, tmp_path):
+    """A table of the shared folder leaves no shuffle files, and components leave one table."""
+    from acreframe.llm import common, components
+
+    paths = iter(tmp_path / str(k) for k in range(99))
+    monkeypatch.setattr(components, "table_path", lambda *_: str(next(paths)))
+    found = components.components(spark.createDataFrame([(k, k + 1) for k in range(20)], "u long, v long"))
+    assert {r.root for r in found.collect()} == {0} and len([p for p in tmp_path.iterdir() if p.is_dir()]) == 1
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles
+    before = set(files().mkString("|").split("|"))
+    common.materialise(spark.range(1000).repartition(7, "id"), "dealt")
+    assert set(files().mkString("|").split("|")) <= before
