@@ -6,6 +6,7 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -49,7 +50,10 @@ def _masked(token: bytes) -> bytes:
 
 def _leaf(tokens: list[bytes]) -> int:
     """Where the tree sends a line: by its number of tokens, then by its leading ones."""
-    return xxhash.xxh64_intdigest(b"%d " % len(tokens) + b" ".join([_masked(t) for t in tokens[:DEPTH]]), 42) - (1 << 63)
+    leading = b" ".join(tokens[:DEPTH])
+    if _FIELD.search(leading):
+        leading = b" ".join([_masked(t) for t in tokens[:DEPTH]])
+    return xxhash.xxh64_intdigest(b"%d %b" % (len(tokens), leading), 42) - (1 << 63)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -61,7 +65,7 @@ def _sketches(lines: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     hashes of the tokens of running text: of lines beyond the leading ones."""
     many = np.fromiter(map(len, lines), np.int64, len(lines))
     starts = np.cumsum(many) - many
-    words = np.fromiter((xxhash.xxh64_intdigest(t) for line in lines for t in line), np.uint64, int(many.sum()))
+    words = np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(lines)), np.uint64, int(many.sum()))
     padded = np.concatenate((words, np.zeros(RUN, np.uint64)))
     runs, whole = np.zeros(len(words), np.uint64), np.zeros(len(lines), np.uint64)
     for k in range(RUN):

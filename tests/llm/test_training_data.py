@@ -645,3 +645,16 @@ def test_contamination(spark, docs, empty, rows, block, held, monkeypatch):
     assert de.contamination(clean, bench).agg(F.sum("n_hit")).first()[0] == 0
     assert clean.where("text is not null and n_chars != length(text)").count() == 0
     assert de.contamination(empty, bench).count() == 0 and de.contamination(docs, bench.where("false")).where("contaminated").count() == 0
+
+
+def test_leading_fields_are_searched_once(monkeypatch):
+    """Where a line's leading tokens hold no field, none of them is looked at alone; leaves are those of tokens masked one by one."""
+    from acreframe.llm import templates as tp
+
+    masked, calls = tp._masked, []
+    monkeypatch.setattr(tp, "_masked", lambda t: calls.append(t) or masked(t))
+    for line in ("a b c d", "a", "a: //b c", "a 4 c 5", "x://y a@b", "é世 :// b"):
+        tokens = line.encode().split()
+        want = tp.xxhash.xxh64_intdigest(b"%d " % len(tokens) + b" ".join(map(masked, tokens[: tp.DEPTH])), 42) - (1 << 63)
+        assert tp._leaf(tokens) == want
+    assert calls == b"a 4 c x://y a@b \xc3\xa9\xe4\xb8\x96 :// b".split()
