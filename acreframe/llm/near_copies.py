@@ -2,7 +2,8 @@
 
 Covering hashing of SimHash fingerprints finds groups first, whose members are compared with a pivot each.  Fingerprints bound no
 similarity, so a join of the sets' prefixes finds the pairs that are still apart: none from the given similarity on is missed.  Where many
-sets share a shingle of their prefixes, they are told by what sets them apart from one of them, and these differences are joined (see `_differences`).
+sets share a shingle of their prefixes, they are compared with one of them, then those still apart meet once a pair if sketches of them allow it
+(see `_may_be_similar`).  Where very many share one, they are told by what sets them apart from one of them, and these differences are joined (see `_differences`).
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acreframe.llm.common import bit_table, digest, in_table, materialise, row_key, slices
@@ -22,9 +23,11 @@ from acreframe.llm.simhash import keep_first, links, majority
 
 #: One of SAMPLE texts is looked at for common shingles, which stand in COMMON of those at least.  This only orders shingles; it drops none.
 SAMPLE, COMMON = 16, 3
-#: Sets that share a shingle of their prefixes are all compared up to CROWDED; beyond that they're told by their differences from a pivot, and so
-#: are those that share a difference, LEVELS times; whatever is crowded then is compared pair by pair.
-CROWDED, LEVELS = 16, 2
+#: Sets that share a shingle of their prefixes all meet up to CROWDED.  Beyond that they're compared with a pivot, and meet by sketches up to DENSE.  Beyond
+#: that they're told by their differences from a pivot, and so are those that share a difference, LEVELS times; whatever is crowded then is compared pair by pair.
+CROWDED, DENSE, LEVELS = 16, 1024, 2
+#: Bits of a set's sketch.
+SKETCH = 1024
 #: Sets far from a pivot that are compared with each other; more of them get another pivot.
 FAR = 256
 #: Bits in which fingerprints of a covering group differ from one to the next.
@@ -45,6 +48,12 @@ def shingle_set(text: str | None, length: int = 5) -> np.ndarray:
     return np.unique(out ^ out >> np.uint64(29))
 
 
+def _sketch(shingles: np.ndarray) -> np.ndarray:
+    """SKETCH bits: whether the shingles of each remainder are odd in number.  A shingle that only one of two sets has changes one bit."""
+    odd = np.bincount((shingles % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def _name(shingles: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(shingles.tobytes(), 42) - (1 << 63)
 
@@ -64,7 +73,7 @@ def _common(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _prints(docs: DataFrame, held: Broadcast, length: int, percent: int) -> DataFrame:
-    """(key, digest, doc_id, id, fp, n, prefix) of each row: id names its shingle set of n, fp is its fingerprint; prefix: its first shingles, common ones ordered last.
+    """(key, digest, doc_id, id, fp, n, bits, prefix) of each row: id names its shingle set of n, fp is its fingerprint, bits its sketch; prefix: its first shingles, common ones ordered last.
 
     Sets of a similarity of `percent` share percent of the larger one at least, so in any one order of all shingles, the first
     n - ceil(percent n) + 1 of each can't be disjoint.  held: a filter of the common ones.
@@ -73,19 +82,20 @@ def _prints(docs: DataFrame, held: Broadcast, length: int, percent: int) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                ids, prints, many, first = [], [], [], []
+                ids, prints, many, bits, first = [], [], [], [], []
                 for text in part.column("text").to_pylist():
                     own = shingle_set(text, length)
                     late = in_table(held.value, own)
                     ids.append(_name(own))
                     prints.append(majority(own))
                     many.append(len(own))
+                    bits.append(_sketch(own))
                     first.append(np.concatenate((own[~late], own[late]))[: len(own) - -(-percent * len(own) // 100) + 1].view(np.int64))
-                columns = [*part.columns[:3], pa.array(ids, pa.int64()), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(many, pa.int64()), pa.array(first, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "digest", "doc_id", "id", "fp", "n", "prefix"])
+                columns = [*part.columns[:3], pa.array(ids, pa.int64()), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(many, pa.int64()), *(pa.array(x, pa.list_(pa.int64())) for x in (bits, first))]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "digest", "doc_id", "id", "fp", "n", "bits", "prefix"])
 
     rows = docs.select(row_key().alias("key"), digest().alias("digest"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "key long, digest binary, doc_id long, id long, fp long, n long, prefix array<long>")
+    return rows.mapInArrow(run, "key long, digest binary, doc_id long, id long, fp long, n long, bits array<long>, prefix array<long>")
 
 
 def _buckets(prints: DataFrame) -> DataFrame:
@@ -122,6 +132,35 @@ def _least_shared(percent: int) -> Column:
     return F.least(prefix("n") - F.col("n") + common, prefix("n2") - F.col("n2") + common)
 
 
+def _may_be_similar(percent: int) -> Column:
+    """Whether sets of n and n2 with sketches bits and bits2 may be similar: sketches differ in no more bits than the sets do in shingles."""
+    words = [F.bit_count(F.get("bits", F.lit(k)).bitwiseXOR(F.get("bits2", F.lit(k)))) for k in range(SKETCH // 64)]
+    return sum(words[1:], words[0]) <= F.col("n") + F.col("n2") - 2 * _common_least("n", "n2", percent)
+
+
+def _met_once(rows: DataFrame, percent: int) -> DataFrame:
+    """(u, v) of the sets of rows (h, id, n, i, k, bits, label) that have unlike labels, share an h and may be similar.
+
+    Each pair meets once: at the first shingle that both have among these rows, so where nothing that stands before it is in both.
+    """
+    before = F.collect_list("h").over(Window.partitionBy("id").orderBy("i").rowsBetween(Window.unboundedPreceding, -1))
+    placed = rows.withColumn("before", before)
+    common = _common_least("n", "n2", percent)
+    sized = (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")) & (F.least("k", "k2") >= _least_shared(percent))
+    ahead = (F.col("i") + common <= F.col("n")) & (F.col("i2") + common <= F.col("n2"))
+    met = placed.join(_second(placed), "h").where(F.expr("id > id2 and label != label2") & sized & ahead & _may_be_similar(percent) & ~F.arrays_overlap("before", "before2"))
+    return met.select(F.col("id").alias("u"), F.col("id2").alias("v"))
+
+
+def _to_pivots(rows: DataFrame, percent: int) -> DataFrame:
+    """(u, v): the sets of rows (h, id, n, i, k, bits, label) with the pivot of each bucket they lie in, if they have unlike labels and may be similar.
+
+    The pivot is the set with most crowded shingles, so buckets whose sets meet otherwise have the same one if it's in both.
+    """
+    pivots = rows.groupBy("h").agg(F.min_by(F.struct("id", "n", "bits", "label"), F.struct(-F.col("k"), F.xxhash64("id"))).alias("p")).select("h", "p.*")
+    return _pairs(rows.join(_second(pivots), "h").where("label != label2").where(_may_be_similar(percent)).drop("i", "k"), percent)
+
+
 def _pairs(met: DataFrame, percent: int) -> DataFrame:
     """(u, v) of (id, n, id2, n2), each once; sets too unlike in size can't be similar.
 
@@ -307,17 +346,24 @@ def _split(docs: DataFrame, prints: DataFrame, crowded: DataFrame, roots: DataFr
 def similar_links(docs: DataFrame, prints: DataFrame, held: Broadcast, length: int = 5, percent: int = 80) -> DataFrame:
     """Edges (u, v) that connect the set ids of prints as all pairs of a similarity of `percent` do.
 
-    Pairs of sets that are linked already needn't be compared.  So each set is first compared with the pivot of its covering group.  Crowded buckets that
-    still hold sets apart are split by their differences from a pivot, then the pairs in buckets of few are compared.
+    Pairs of sets that are linked already needn't be compared.  So each set is first compared with the pivots of its covering group and of its crowded buckets.  Crowded
+    buckets that still hold sets apart are joined by sketches, very large ones split by differences from a pivot, then the pairs in buckets of few are compared.
     """
     buckets = materialise(_buckets(prints), "buckets")
     crowds = buckets.groupBy("h").agg(F.count("*").alias("many")).where(F.col("many") > CROWDED).select("h")
     met = materialise(buckets.join(crowds, "h", "left_semi"), "met")
     many = materialise(met.groupBy("id").agg(F.count("*").alias("k")), "many")
     counted = met.join(many, "id").select("h", "id", "n", "i", "k")
-    crowded = materialise(_placed(counted, percent), "crowded")
+    sketches = prints.groupBy("id").agg(F.first("bits").alias("bits"))
+    crowded = materialise(_placed(counted, percent).join(sketches, "id"), "crowded")
     few = buckets.join(crowds, "h", "left_anti").drop("i")
     roots = components(_similar(docs, prints, _covered(prints, percent), length, percent))
+    rows = materialise(_apart(_labelled(crowded, roots)), "labels")
+    roots = _connected(roots, _similar(docs, prints, _to_pivots(rows, percent), length, percent))
+    rows = materialise(_apart(_labelled(rows.drop("label"), roots)), "labels")
+    large = materialise(rows.groupBy("h").agg(F.count("*").alias("many")).where(F.col("many") > DENSE).select("h"), "large")
+    roots = _connected(roots, _similar(docs, prints, _met_once(rows.join(large, "h", "left_anti"), percent), length, percent))
+    crowded = rows.join(large, "h", "left_semi").drop("bits", "label")
     open_ = _by_size(crowded)
     for _ in range(LEVELS):
         open_ = materialise(_apart(_labelled(open_, roots)).select("h", "id", "n", "k"), "apart")

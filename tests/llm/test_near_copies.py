@@ -6,6 +6,7 @@ import random
 import sys
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -77,6 +78,40 @@ def test_sets_meet_ahead_in_the_last_join(spark):
     assert {tuple(r) for r in near_copies._pairs(met, percent).collect()} == {(2, 1)}
 
 
+@pytest.mark.parametrize("crowded, dense, levels", [(4, 20, 2), (1, 1, 1)])
+def test_groups_beyond_dense_buckets(spark, monkeypatch, crowded, dense, levels):
+    for name, value in (("CROWDED", crowded), ("DENSE", dense), ("LEVELS", levels)):
+        monkeypatch.setattr(near_copies, name, value)
+    texts = _texts()
+    first = brute.groups([brute.shingles(t) for t in texts], brute.similar)
+    got = near_copies.similar_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(first))
+
+
+def test_unlike_edits_of_one_text_hardly_meet(spark, monkeypatch):
+    """Of pairs that share many shingles, but too few to be similar, a twentieth at most is compared, and none by differences; similar ones meet once a pair."""
+    rng = random.Random(10)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    texts = [" ".join(f"x{rng.randrange(10**6)}" if k in edits else w for k, w in enumerate(base)) for edits in (set(rng.sample(range(300), 14)) for _ in range(60))]
+    first = brute.groups([brute.shingles(t) for t in texts], brute.similar)
+    assert len(set(first)) == len(texts)
+    made = []
+    write = near_copies.materialise
+    monkeypatch.setattr(near_copies, "materialise", lambda df, name, *more: (made.append((name, (out := write(df, name, *more)).count())), out)[1])
+    got = near_copies.similar_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(first))
+    assert dict(made)["crowded"] > 10 * len(texts)
+    assert not [x for x in made if x[0] in ("pairs", "differences", "parts", "far") and x[1] > len(texts) * (len(texts) - 1) / 2 / 20]
+    assert not {"differences", "parts", "far"} & {x[0] for x in made}
+    # sets of 60 that have 55 and 30 in common with the first: sketches of similar ones differ in 12 bits at most
+    sets = [sorted(rng.sample(range(10**12), 60)) for _ in range(2)]
+    sets = [sets[0], [*sets[0][:55], *sets[1][:5]], [*sets[0][:30], *sets[1][30:]]]
+    bits = [near_copies._sketch(np.array(sorted(x), np.uint64)).tolist() for x in sets]
+    rows = [(h, k, 60, i, 13, bits[k], k) for k, x in enumerate(sets) for i, h in enumerate(x[:7])]
+    met = near_copies._met_once(spark.createDataFrame(rows, "h long, id long, n long, i int, k long, bits array<long>, label long"), 80)
+    assert [tuple(r) for r in met.collect()] == [(1, 0)]
+
+
 def test_shuffle_files_and_old_stars_go(spark, monkeypatch, tmp_path):
     """A table of the shared folder leaves no shuffle files, and components leave one table."""
     from acreframe.llm import common, components
