@@ -48,6 +48,11 @@ def _masked(token: bytes) -> bytes:
     return _MARK if _FIELD.search(token) else token
 
 
+def _masked_line(line: bytes, tokens: list[bytes]) -> bytes:
+    """The masked tokens of a line; one without a field, as most of prose, is searched once."""
+    return b" ".join(map(_masked, tokens) if _FIELD.search(line) else tokens)
+
+
 def _leaf(tokens: list[bytes]) -> int:
     """Where the tree sends a line: by its number of tokens, then by its leading ones."""
     leading = b" ".join(tokens[:DEPTH])
@@ -72,10 +77,10 @@ def _sketches(lines: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         runs = runs * _ODD + padded[k : k + len(words)]
         whole = np.where(many > k, whole * _ODD + padded[starts + k], whole)
     runs = (runs ^ (runs >> np.uint64(32))) * _ODD
-    line, place = np.repeat(np.arange(len(lines)), many), np.arange(len(words)) - np.repeat(starts, many)
-    runs[place > many[line] - RUN] = np.iinfo(np.uint64).max
+    for k in range(1, RUN):  # the last ones of a line go beyond it
+        runs[(starts + many - k)[many >= k]] = np.iinfo(np.uint64).max
     least = np.minimum.reduceat(runs, starts) if len(lines) else runs
-    return np.where(many < RUN, (whole ^ (whole >> np.uint64(32))) * _ODD, least).view(np.int64), words[many[line] > DEPTH]
+    return np.where(many < RUN, (whole ^ (whole >> np.uint64(32))) * _ODD, least).view(np.int64), words[np.repeat(many > DEPTH, many)]
 
 
 def _parsed(texts: list[str | None]) -> tuple[list[tuple[int, int, bytes, list[bytes]]], np.ndarray, np.ndarray]:
@@ -168,7 +173,7 @@ def _lines(docs: DataFrame, recurring: DataFrame) -> tuple[DataFrame, Chance]:
                     i, at, line, tokens = lines[k]
                     if not keep[i]:
                         continue
-                    own = found.setdefault((i, int(leaves[k]), b" ".join(map(_masked, tokens))), [int(sketches[k]), 0, []])
+                    own = found.setdefault((i, int(leaves[k]), _masked_line(line, tokens)), [int(sketches[k]), 0, []])
                     own[1] += len(line)
                     own[2].append(at)
                 out = [(digests[i], int(size[i]), leaf, sketch, xxhash.xxh64_intdigest(line, 42) - (1 << 63), line.decode(), n, at) for (i, leaf, line), (sketch, n, at) in found.items()]

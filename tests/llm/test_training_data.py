@@ -658,3 +658,13 @@ def test_leading_fields_are_searched_once(monkeypatch):
         want = tp.xxhash.xxh64_intdigest(b"%d " % len(tokens) + b" ".join(map(masked, tokens[: tp.DEPTH])), 42) - (1 << 63)
         assert tp._leaf(tokens) == want
     assert calls == b"a 4 c x://y a@b \xc3\xa9\xe4\xb8\x96 :// b".split()
+
+
+def test_lines_without_fields_are_searched_once(monkeypatch):
+    """A line is masked as its tokens are, and one without a field isn't looked at token by token."""
+    from acreframe.llm import templates
+
+    for line in (b"", b"a b", b"a 1 b@c http://x :/ /", b"no: // field", b"  x\t9\x0b\xc2\xa0y"):
+        assert templates._masked_line(line, line.split()) == b" ".join(map(templates._masked, line.split()))
+    monkeypatch.setattr(templates, "_masked", None)
+    assert templates._masked_line(b"words  of prose", [b"words", b"of", b"prose"]) == b"words of prose"
